@@ -18,7 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed patterns (the reference engine's text semantics, see module docstring).
-_EDGE_SPACES = r"^\p{Zs}+|\p{Zs}+\z"
+# The Unicode space separators (category Zs), stripped by the reference's trim.
+SPACE_SEPARATORS = " \u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u202f\u205f\u3000"
 _WHITESPACE_RUN = r"[\t\n\f\r ]+"
 _CAST_BLANKS = r"^[\t\n\x0B\f\r ]+|[\t\n\x0B\f\r ]+\z"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z|^(?i)[+-]?(inf|infinity|nan)\z"
@@ -34,7 +35,7 @@ def _text(v: Column | str) -> Column:
 
 def trim_spaces(v: Column | str) -> Column:
     """``trim``: drop space separators at both ends (not tabs or newlines)."""
-    return F.regexp_replace(_text(v), _EDGE_SPACES, "")
+    return F.btrim(_text(v), F.lit(SPACE_SEPARATORS))
 
 
 def to_double_strict(v: Column | str) -> Column:

@@ -23,8 +23,12 @@ def _c(v: Column | str) -> Column:
 
 
 def round_to(v: Column | str, places: int) -> Column:
+    """Half away from zero on ``v * 10^places``; a result of zero keeps the sign of ``v``
+    (``-0.0`` as in the reference, where Spark's decimal rounding would drop it)."""
     scale = float(10**places)
-    return F.round(_c(v) * F.lit(scale), 0) / F.lit(scale)
+    scaled = _c(v) * F.lit(scale)
+    rounded = F.round(scaled, 0)
+    return F.when(rounded == F.lit(0.0), F.lit(0.0) * scaled).otherwise(rounded) / F.lit(scale)
 
 
 def r2(v: Column | str) -> Column:

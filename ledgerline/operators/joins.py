@@ -9,15 +9,19 @@ _CONF = "spark.ledgerline.broadcastMaxRows"
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
+def broadcast_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
+
+
+def broadcast_if_small(dim: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark ``dim`` for broadcast only when its row count is proven small.
 
-    The count is taken on the (materialised) dimension, so it is a cheap metadata-sized job.
-    Above the bound the dimension is returned unchanged and Spark plans a shuffle join, with
-    AQE free to re-plan it from runtime sizes and to split skewed partitions.
+    ``rows`` is a known upper bound (the row count recorded when the dimension was written);
+    without it the rows are counted, stopping once the bound is passed.  Above the bound the
+    dimension is returned unchanged: Spark plans a shuffle join and AQE may still re-plan it
+    from runtime sizes and split skewed partitions.
     """
-    limit = max_rows if max_rows is not None else int(dim.sparkSession.conf.get(_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
-    # ``limit(limit + 1).count()`` stops reading once the bound is passed.
-    if dim.limit(limit + 1).count() <= limit:
-        return F.broadcast(dim)
-    return dim
+    limit = broadcast_limit(dim)
+    if rows is None:
+        rows = dim.limit(limit + 1).count()
+    return F.broadcast(dim) if rows <= limit else dim

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import as_double, money, money_sum, pct, r1, r2
-from ..operators.joins import broadcast_if_small
 from ..operators.ordered import ordered_scan
 from ..sources.scratch import materialize
 from .model import Model
@@ -41,7 +40,7 @@ def _situation(margin: F.Column, revenue: F.Column) -> F.Column:
 
 def margin_by_category(m: Model) -> DataFrame:
     """A1: where margin is made and lost, per product category."""
-    p = broadcast_if_small(m["dim_produto"].select("sk_produto", "categoria"))
+    p = m.dim("dim_produto", "sk_produto", "categoria")
     g = _reliable(m).join(p, "sk_produto").groupBy("categoria").agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
         money_sum("receita_total").alias("rt"),
@@ -95,7 +94,7 @@ ABC_GROUP = ["codigo_cliente", "razao_social", "segmento", "regiao"]
 
 def customer_totals(m: Model) -> DataFrame:
     """Per-customer totals behind A3 (orphan member excluded)."""
-    c = broadcast_if_small(m["dim_cliente"].select("sk_cliente", *ABC_GROUP))
+    c = m.dim("dim_cliente", "sk_cliente", *ABC_GROUP)
     return (
         _reliable(m)
         .join(c, "sk_cliente")
@@ -193,7 +192,7 @@ def discount_bands(m: Model) -> DataFrame:
 
 def freight_subsidy(m: Model) -> DataFrame:
     """What free freight costs, per category."""
-    p = broadcast_if_small(m["dim_produto"].select("sk_produto", "categoria"))
+    p = m.dim("dim_produto", "sk_produto", "categoria")
     g = _reliable(m).join(p, "sk_produto").groupBy("categoria").agg(
         money_sum("receita_total").alias("rt"),
         money_sum("custo_entrega").alias("ce"),
@@ -215,7 +214,7 @@ def freight_subsidy(m: Model) -> DataFrame:
 
 def monthly_trend(m: Model) -> DataFrame:
     """Month by month, with change over the previous month that had sales and a 3-month mean."""
-    t = broadcast_if_small(m["dim_tempo"].select("sk_tempo", "ano_mes"))
+    t = m.dim("dim_tempo", "sk_tempo", "ano_mes")
     g = _reliable(m).join(t, "sk_tempo").groupBy("ano_mes").agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
         money_sum("receita_total").alias("rt"),
@@ -242,7 +241,7 @@ def monthly_trend(m: Model) -> DataFrame:
 
 def loss_products(m: Model) -> DataFrame:
     """Products that sell (revenue over 1000) and lose money."""
-    p = broadcast_if_small(m["dim_produto"].select("sk_produto", "codigo_produto", "descricao", "categoria"))
+    p = m.dim("dim_produto", "sk_produto", "codigo_produto", "descricao", "categoria")
     g = _reliable(m).join(p, "sk_produto").groupBy("codigo_produto", "descricao", "categoria").agg(
         F.sum(F.col("quantidade").cast("bigint")).alias("quantidade"),
         money_sum("receita_total").alias("rt"),
@@ -267,7 +266,7 @@ def loss_products(m: Model) -> DataFrame:
 
 def seller_performance(m: Model) -> DataFrame:
     """The sales team, grouped by seller name and rate (unknown codes fold together)."""
-    v = broadcast_if_small(m["dim_vendedor"].select("sk_vendedor", "nome_vendedor", "taxa_comissao"))
+    v = m.dim("dim_vendedor", "sk_vendedor", "nome_vendedor", "taxa_comissao")
     g = _reliable(m).join(v, "sk_vendedor").groupBy(
         "nome_vendedor", r1(F.lit(100.0) * F.col("taxa_comissao")).alias("taxa_comissao_pct")
     ).agg(
@@ -299,12 +298,10 @@ def seller_performance(m: Model) -> DataFrame:
 def panel(m: Model) -> DataFrame:
     """A10: item-grain panel with every dimension resolved (reliable cost only)."""
     f = _reliable(m)
-    t = broadcast_if_small(m["dim_tempo"].select("sk_tempo", "data", "ano_mes"))
-    p = broadcast_if_small(m["dim_produto"].select("sk_produto", F.col("descricao").alias("produto"), "categoria"))
-    v = broadcast_if_small(m["dim_vendedor"].select("sk_vendedor", F.col("nome_vendedor").alias("vendedor")))
-    c = broadcast_if_small(
-        m["dim_cliente"].select("sk_cliente", F.col("razao_social").alias("cliente"), "segmento", "regiao")
-    )
+    t = m.dim("dim_tempo", "sk_tempo", "data", "ano_mes")
+    p = m.dim("dim_produto", "sk_produto", F.col("descricao").alias("produto"), "categoria")
+    v = m.dim("dim_vendedor", "sk_vendedor", F.col("nome_vendedor").alias("vendedor"))
+    c = m.dim("dim_cliente", "sk_cliente", F.col("razao_social").alias("cliente"), "segmento", "regiao")
     j = f.join(t, "sk_tempo").join(p, "sk_produto").join(v, "sk_vendedor").join(c, "sk_cliente")
     return j.select(
         "data", "ano_mes", "numero_pedido", "cliente", "segmento", "regiao", "vendedor", "produto", "categoria",

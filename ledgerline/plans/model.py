@@ -104,7 +104,7 @@ def dim_date(span: DataFrame, first: str = "data_pedido", last: str = "data_pedi
     )
 
 
-def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame, sellers: DataFrame) -> DataFrame:
+def fact_sales(m: "Model") -> DataFrame:
     """one row per kept order item with the additive measures.
 
     Product and seller are inner joins (unknown product or seller code leaves the fact), the
@@ -113,10 +113,10 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame, sell
     Dimensions are broadcast only after a row-count check; otherwise Spark shuffles and AQE
     splits skewed keys.
     """
-    p = broadcast_if_small(products.select("codigo_produto", "sk_produto", "custo_unitario", "custo_confiavel"))
-    ve = broadcast_if_small(sellers.select("cod_vendedor", "sk_vendedor", "taxa_comissao"))
-    c = broadcast_if_small(customers.select("codigo_cliente", "sk_cliente"))
-    j = sales.join(p, "codigo_produto").join(ve, "cod_vendedor").join(c, "codigo_cliente", "left")
+    p = m.dim("dim_produto", "codigo_produto", "sk_produto", "custo_unitario", "custo_confiavel")
+    ve = m.dim("dim_vendedor", "cod_vendedor", "sk_vendedor", "taxa_comissao")
+    c = m.dim("dim_cliente", "codigo_cliente", "sk_cliente")
+    j = m["stg_vendas"].join(p, "codigo_produto").join(ve, "cod_vendedor").join(c, "codigo_cliente", "left")
 
     price, qty = F.col("preco_unitario"), F.col("quantidade")
     cost, rate = F.col("custo_unitario"), F.col("taxa_comissao")
@@ -147,7 +147,20 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame, sell
 
 
 class Model(dict):
-    """Named DataFrames of one build: raw, staging, dimensions and fact."""
+    """Named DataFrames of one build: raw, staging, dimensions and fact.
+
+    ``rows`` holds the row count of every table written by the build; it is the size check
+    behind ``dim``.
+    """
+
+    def __init__(self, *args, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.rows: dict[str, int] = {}
+
+    def dim(self, name: str, *columns) -> DataFrame:
+        """Columns of a dimension, marked for broadcast when its recorded size allows it."""
+        df = self[name].select(*columns) if columns else self[name]
+        return broadcast_if_small(df, self.rows.get(name))
 
 
 _CACHE: dict[tuple[str, str], Model] = {}
@@ -170,11 +183,15 @@ def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True) ->
         m["stg_produtos"] = stg_products(m["raw_produtos"])
         m["stg_clientes"] = stg_customers(m["raw_clientes"])
         sales = stg_sales(m["raw_vendas"])
-        if materialized:
-            root = new_scratch_dir(spark, "model")
-            keep = lambda df, name: materialize(df, name, f"{root}/{name}")
-        else:
-            keep = lambda df, name: df
+        root = new_scratch_dir(spark, "model") if materialized else None
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            if root is None:
+                return df
+            out = materialize(df, name, f"{root}/{name}")
+            m.rows[name] = out.count()
+            return out
+
         m["stg_vendas"] = keep(sales, "stg_vendas")
         # One pass over the sales gives both the seller codes and the date span.
         span = keep(
@@ -187,9 +204,7 @@ def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True) ->
         m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente")
         m["dim_vendedor"] = keep(dim_seller(span), "dim_vendedor")
         m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo")
-        m["fct_vendas"] = keep(
-            fact_sales(m["stg_vendas"], m["dim_produto"], m["dim_cliente"], m["dim_vendedor"]), "fct_vendas"
-        )
+        m["fct_vendas"] = keep(fact_sales(m), "fct_vendas")
         _CACHE[key] = m
         return m
 

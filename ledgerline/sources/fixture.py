@@ -61,7 +61,9 @@ def styled_date(day: Column, style: Column) -> Column:
 
 
 def _code(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 6, "0"))
+    """``prefix`` + key left-padded to six digits (longer keys are kept whole)."""
+    s = key.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(s) >= 6, s).otherwise(F.lpad(s, 6, "0")))
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
