@@ -9,7 +9,8 @@ differ from Spark's defaults in a few places:
 * ``\\s`` there is ``[\\t\\n\\f\\r ]`` (no vertical tab); ``$`` matches only at the very end.
 * a two-digit year ``yy`` means 1969-2068 there, 2000-2099 in Spark.
 * text -> double there accepts surrounding ASCII whitespace, ``inf``/``nan`` and plain decimal
-  numbers; Spark's ``try_cast`` also accepts forms such as ``1.5d`` that must stay NULL.
+  numbers (digits may be grouped by ``_``); Spark's ``try_cast`` also accepts forms such as
+  ``1.5d`` that must stay NULL.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from pyspark.sql import functions as F
 # The Unicode space separators (category Zs), stripped by the reference's trim.
 SPACE_SEPARATORS = " \u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u202f\u205f\u3000"
 _WHITESPACE_RUN = r"[\t\n\f\r ]+"
-_CAST_BLANKS = r"^[\t\n\x0B\f\r ]+|[\t\n\x0B\f\r ]+\z"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z|^(?i)[+-]?(inf|infinity|nan)\z"
+# ASCII blanks a text -> number cast ignores at both ends.
+CAST_BLANKS = "\t\n\x0b\f\r "
+# Digits may be grouped by single underscores between digits (``1_000``).
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMBER = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\z|^(?i)[+-]?(inf|infinity|nan)\z"
 _DMY_SLASH = r"^\d{2}/\d{2}/\d{4}\z"
 _YMD_DASH = r"^\d{4}-\d{2}-\d{2}\z"
 _DMY_SHORT = r"^\d{2}-\d{2}-\d{2}\z"
@@ -40,8 +44,8 @@ def trim_spaces(v: Column | str) -> Column:
 
 def to_double_strict(v: Column | str) -> Column:
     """Text -> double with the reference's accepted forms; anything else -> NULL."""
-    s = F.regexp_replace(_text(v), _CAST_BLANKS, "")
-    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
+    s = F.btrim(_text(v), F.lit(CAST_BLANKS))
+    return F.when(s.rlike(_NUMBER), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def to_num(v: Column | str) -> Column:
@@ -96,5 +100,5 @@ def to_int_like_cast(v: Column | str) -> Column:
     A decimal text rounds (``'12.7'`` -> 13) and bad text raises, as there.  Integer text is cast
     directly so large keys keep full precision.
     """
-    s = F.regexp_replace(_text(v), _CAST_BLANKS, "")
+    s = F.btrim(_text(v), F.lit(CAST_BLANKS))
     return F.when(s.rlike(r"^[+-]?\d+\z"), s.cast("int")).otherwise(F.round(s.cast("double")).cast("int"))

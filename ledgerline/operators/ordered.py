@@ -151,9 +151,15 @@ def ordered_scan(
     for name, src in running.items():
         src_type = df.schema[src].dataType
         run_type = _widen(src_type)
-        offsets = [F.lit(v if v is not None else 0).cast(run_type) for v in sums_before[src]]
+        offsets = [F.lit(v).cast(run_type) for v in sums_before[src]]
         within = F.sum(src).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast(run_type)
-        out = out.withColumn(name, (within + _pick(offsets, F.col(_BUCKET))).cast(run_type))
+        before = _pick(offsets, F.col(_BUCKET))
+        zero = F.lit(0).cast(run_type)
+        # NULL only while no value at all has been seen, as a plain running sum would be.
+        total = F.when(within.isNull() & before.isNull(), F.lit(None).cast(run_type)).otherwise(
+            F.coalesce(within, zero) + F.coalesce(before, zero)
+        )
+        out = out.withColumn(name, total.cast(run_type))
     for name, src in totals.items():
         total = acc_s[src]
         out = out.withColumn(name, F.lit(total).cast(_widen(df.schema[src].dataType)))

@@ -90,24 +90,34 @@ PARSED_COLUMNS = {
 def parse_quality(m: Model) -> DataFrame:
     """Per raw column with a conversion rule, rows present, converted and failed.
 
-    One aggregate pass per raw table; the per-column counters are then unpivoted.
+    One pass per raw table: each rule is evaluated once per row into a 0/1 flag, the flags are
+    summed, and the per-column counters are unpivoted.  Every rule maps NULL to NULL, so
+    failed = present - converted.
     """
     parts = []
     for table, rules in PARSED_COLUMNS.items():
-        aggs, rows = [], []
+        flags, sums, rows = [], [], []
         for i, (column, rule) in enumerate(rules.items()):
-            raw, parsed = F.col(column), rule(column)
-            aggs += [
-                F.count_if(raw.isNotNull()).alias(f"p{i}"),
-                F.count_if(parsed.isNotNull()).alias(f"c{i}"),
-                F.count_if(raw.isNotNull() & parsed.isNull()).alias(f"f{i}"),
+            flags += [
+                F.col(column).isNotNull().cast("long").alias(f"p{i}"),
+                rule(column).isNotNull().cast("long").alias(f"c{i}"),
             ]
-            rows.append(F.struct(F.lit(column).alias("coluna"), F.col(f"p{i}").alias("presentes"),
-                                 F.col(f"c{i}").alias("convertidos"), F.col(f"f{i}").alias("falhas")))
-        one = m[table].agg(*aggs)
+            sums += [F.sum(f"p{i}").alias(f"p{i}"), F.sum(f"c{i}").alias(f"c{i}")]
+            rows.append(
+                F.struct(
+                    F.lit(column).alias("coluna"),
+                    F.col(f"p{i}").alias("presentes"),
+                    F.col(f"c{i}").alias("convertidos"),
+                    (F.col(f"p{i}") - F.col(f"c{i}")).alias("falhas"),
+                )
+            )
+        one = m[table].select(*flags).agg(*sums)
         parts.append(
             one.select(F.explode(F.array(*rows)).alias("r")).select(
-                F.lit(table).alias("tabela"), "r.coluna", "r.presentes", "r.convertidos", "r.falhas"
+                F.lit(table).alias("tabela"), "r.coluna",
+                F.coalesce("r.presentes", F.lit(0)).alias("presentes"),
+                F.coalesce("r.convertidos", F.lit(0)).alias("convertidos"),
+                F.coalesce("r.falhas", F.lit(0)).alias("falhas"),
             )
         )
     return reduce(DataFrame.unionByName, parts)

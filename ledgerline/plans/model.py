@@ -167,48 +167,60 @@ _CACHE: dict[tuple[str, str], Model] = {}
 _LOCK = threading.Lock()
 
 
-def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Model:
-    """Run the whole modelling job once per session and input folder.
+def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True, reuse: bool = True) -> Model:
+    """Model of the raw exports projected from the test tables in ``sf_dir``.
 
-    With ``materialized`` the deduplicated sales, the four dimensions and the fact are written
-    under the shared scratch folder (the reference also stores them as tables) and every later
-    query reads those files: the dedupe shuffle runs once, and scans of the fact get column
-    pruning and filter pushdown.  Without it everything stays a lazy plan (used by tests).
+    Built once per session, input folder and mode (``reuse``); see ``build_model_from_raw``.
     """
     key = (spark.sparkContext.applicationId, f"{sf_dir}|{materialized}")
     with _LOCK:
-        if key in _CACHE:
+        if reuse and key in _CACHE:
             return _CACHE[key]
-        m = Model(raw_tables(spark, sf_dir))
-        m["stg_produtos"] = stg_products(m["raw_produtos"])
-        m["stg_clientes"] = stg_customers(m["raw_clientes"])
-        sales = stg_sales(m["raw_vendas"])
-        root = new_scratch_dir(spark, "model") if materialized else None
-
-        def keep(df: DataFrame, name: str) -> DataFrame:
-            if root is None:
-                return df
-            out = materialize(df, name, f"{root}/{name}")
-            m.rows[name] = out.count()
-            return out
-
-        m["stg_vendas"] = keep(sales, "stg_vendas")
-        # One pass over the sales gives both the seller codes and the date span.
-        span = keep(
-            m["stg_vendas"].groupBy("cod_vendedor").agg(
-                F.min("data_pedido").alias("primeira"), F.max("data_pedido").alias("ultima")
-            ),
-            "seller_span",
-        )
-        m["dim_produto"] = keep(dim_product(m["stg_produtos"]), "dim_produto")
-        m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente")
-        m["dim_vendedor"] = keep(dim_seller(span), "dim_vendedor")
-        m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo")
-        m["fct_vendas"] = keep(fact_sales(m), "fct_vendas")
-        _CACHE[key] = m
+        m = build_model_from_raw(spark, raw_tables(spark, sf_dir), materialized)
+        if reuse:
+            _CACHE[key] = m
         return m
 
 
+def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materialized: bool = True) -> Model:
+    """Run the whole modelling job on three raw exports (``raw_vendas``, ``raw_produtos``,
+    ``raw_clientes``; all text, e.g. from ``sources.io.read_raw_exports``).
+
+    With ``materialized`` the deduplicated sales, the four dimensions and the fact are written
+    under the shared scratch folder (the reference also stores them as tables) and every later
+    query reads those files: the dedupe shuffle runs once, a lost executor costs a re-read
+    instead of a recomputation, and scans of the fact get column pruning and filter pushdown.
+    Without it everything stays a lazy plan (used by tests).
+    """
+    m = Model(raw)
+    m["stg_produtos"] = stg_products(m["raw_produtos"])
+    m["stg_clientes"] = stg_customers(m["raw_clientes"])
+    root = new_scratch_dir(spark, "model") if materialized else None
+
+    def keep(df: DataFrame, name: str, count: bool = False) -> DataFrame:
+        if root is None:
+            return df
+        out = materialize(df, name, f"{root}/{name}")
+        if count:
+            m.rows[name] = out.count()
+        return out
+
+    m["stg_vendas"] = keep(stg_sales(m["raw_vendas"]), "stg_vendas")
+    # One pass over the sales gives both the seller codes and the date span.
+    span = keep(
+        m["stg_vendas"].groupBy("cod_vendedor").agg(
+            F.min("data_pedido").alias("primeira"), F.max("data_pedido").alias("ultima")
+        ),
+        "seller_span",
+    )
+    m["dim_produto"] = keep(dim_product(m["stg_produtos"]), "dim_produto", count=True)
+    m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente", count=True)
+    m["dim_vendedor"] = keep(dim_seller(span), "dim_vendedor", count=True)
+    m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo", count=True)
+    m["fct_vendas"] = keep(fact_sales(m), "fct_vendas")
+    return m
+
+
 def forget_models() -> None:
     with _LOCK:
         _CACHE.clear()

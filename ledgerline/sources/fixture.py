@@ -20,6 +20,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that arrives in fewer splits than there are cores.
+
+    A Parquet row group is never split, so a file written as one big row group is read by one
+    task however many cores wait.  Only then is the scan dealt round-robin; a large input
+    (many files and row groups) already has enough splits and is left alone, so this costs no
+    shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def idiv(a: Column, b: Column | int) -> Column:
     """Integer division truncating toward zero (SQL ``div``)."""
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
@@ -68,9 +82,11 @@ def _code(prefix: str, key: Column) -> Column:
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_vendas``: one text row per lineitem (order key and line number repeat in the data)."""
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+    li = spread(
+        _table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+        )
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey)
