@@ -1,13 +1,17 @@
 """Rounding and exact money sums.
 
-The reference rounds doubles by binary scaling (``round(x * 10^n) / 10^n`` with half away from
-zero).  Spark's ``round(x, n)`` rounds the shortest decimal text of ``x`` instead, which differs on
-values such as 0.285.  Rounding ``x * 10^n`` to an integer first gives the reference's result,
-because an exact ``.5`` is representable and the shortest text never crosses it.
-
-Money columns of the fact are already rounded to cents, so summing them as ``decimal(18,2)`` is
-exact and independent of partitioning and merge order; the result is turned back into a double
-only at the end.
+The reference rounds doubles by binary scaling: ``round(x * 10^n) / 10^n`` with halves away from
+zero, keeping the sign of a zero result.  Spark's ``round(x, n)`` rounds the shortest decimal text
+of ``x`` instead (it differs on values such as 0.285), goes through ``BigDecimal`` per value and
+drops the sign of zero.  ``rint`` (round half to even, in plain double arithmetic) gives the same
+result as the reference except on exact halves, which are detected exactly and moved away from
+zero; the expression stays inside generated code with no allocation.
+
+Money columns of the fact are rounded to cents, so ``rint(x * 100)`` is their exact integer
+number of cents.  Sums are taken over those cents as ``decimal(18,0)`` values: exact, independent of
+partitioning and merge order, and safe from overflow at any realistic volume (a 64-bit sum of
+cents could overflow on a very large fact).  A sum is turned back into a double money value with
+``money``, the same conversion the reference's engine applies to a ``decimal(.., 2)`` sum.
 """
 
 from __future__ import annotations
@@ -15,20 +19,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+CENTS_SUM = "decimal(18,0)"
 
 
 def _c(v: Column | str) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
+def round_half_away(y: Column) -> Column:
+    """Nearest integer (as double), halves away from zero, ``-0.0`` kept."""
+    r = F.rint(y)
+    return F.when(F.abs(y - r) == F.lit(0.5), y + F.signum(y) * F.lit(0.5)).otherwise(r)
+
+
 def round_to(v: Column | str, places: int) -> Column:
-    """Half away from zero on ``v * 10^places``; a result of zero keeps the sign of ``v``
-    (``-0.0`` as in the reference, where Spark's decimal rounding would drop it)."""
-    scale = float(10**places)
-    scaled = _c(v) * F.lit(scale)
-    rounded = F.round(scaled, 0)
-    return F.when(rounded == F.lit(0.0), F.lit(0.0) * scaled).otherwise(rounded) / F.lit(scale)
+    scale = F.lit(float(10**places))
+    return round_half_away(_c(v) * scale) / scale
 
 
 def r2(v: Column | str) -> Column:
@@ -39,14 +45,24 @@ def r1(v: Column | str) -> Column:
     return round_to(v, 1)
 
 
-def money(v: Column | str) -> Column:
-    """A cents-rounded double as an exact decimal."""
-    return _c(v).cast(MONEY)
+def cents(v: Column | str) -> Column:
+    """Exact cents of a cents-rounded money column, as a long."""
+    return F.rint(_c(v) * F.lit(100.0)).cast("long")
 
 
 def money_sum(v: Column | str) -> Column:
-    """Exact sum of a money column (decimal result)."""
-    return F.sum(money(v))
+    """Exact sum of a money column, in cents (decimal)."""
+    return F.sum(cents(v).cast(CENTS_SUM))
+
+
+def cents_sum(c: Column) -> Column:
+    """Exact sum of a cents expression (e.g. a difference of two ``cents``)."""
+    return F.sum(c.cast(CENTS_SUM))
+
+
+def money(total_cents: Column | str) -> Column:
+    """Cents (exact) -> money as double."""
+    return _c(total_cents).cast("double") / F.lit(100.0)
 
 
 def as_double(v: Column | str) -> Column:

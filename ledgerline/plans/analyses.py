@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import as_double, money, money_sum, pct, r1, r2
+from ..functions.numeric import cents, cents_sum, money, money_sum, pct, r1, r2
 from ..operators.ordered import ordered_scan
 from ..sources.scratch import materialize
 from .model import Model
@@ -23,15 +23,15 @@ def _reliable(m: Model) -> DataFrame:
 
 
 def _share_of_total(col: str) -> F.Column:
-    """``100 * x / sum(x) over ()`` for a small grouped result."""
+    """``100 * x / sum(x) over ()`` of a cents column, for a small grouped result."""
     total = F.sum(col).over(Window.partitionBy())
-    return pct(F.col(col), total)
+    return pct(money(col), money(total))
 
 
-def _situation(margin: F.Column, revenue: F.Column) -> F.Column:
-    ratio = F.lit(100.0) * as_double(margin) / F.nullif(as_double(revenue), F.lit(0.0))
+def _situation(margin_cents: str, revenue_cents: str) -> F.Column:
+    ratio = F.lit(100.0) * money(margin_cents) / F.nullif(money(revenue_cents), F.lit(0.0))
     return (
-        F.when(margin < 0, F.lit("Prejuizo"))
+        F.when(F.col(margin_cents) < 0, F.lit("Prejuizo"))
         .when(ratio < 10, F.lit("Critica"))
         .when(ratio < 20, F.lit("Atencao"))
         .otherwise(F.lit("Saudavel"))
@@ -54,16 +54,16 @@ def margin_by_category(m: Model) -> DataFrame:
     return g.select(
         "categoria",
         "pedidos",
-        r2(as_double("rt")).alias("receita"),
-        r2(as_double("cp")).alias("custo_produto"),
-        r2(as_double("ce")).alias("custo_entrega"),
-        r2(as_double("cc")).alias("custo_comissao"),
-        r2(as_double("fs")).alias("frete_subsidiado"),
-        r2(as_double("mb")).alias("margem_bruta"),
-        r2(as_double("mc")).alias("margem_contribuicao"),
-        pct(F.col("mc"), F.col("rt")).alias("margem_pct"),
+        r2(money("rt")).alias("receita"),
+        r2(money("cp")).alias("custo_produto"),
+        r2(money("ce")).alias("custo_entrega"),
+        r2(money("cc")).alias("custo_comissao"),
+        r2(money("fs")).alias("frete_subsidiado"),
+        r2(money("mb")).alias("margem_bruta"),
+        r2(money("mc")).alias("margem_contribuicao"),
+        pct(money("mc"), money("rt")).alias("margem_pct"),
         _share_of_total("rt").alias("participacao_pct"),
-        _situation(F.col("mc"), F.col("rt")).alias("situacao"),
+        _situation("mc", "rt").alias("situacao"),
     ).orderBy("margem_contribuicao")
 
 
@@ -78,11 +78,11 @@ def margin_waterfall(m: Model) -> DataFrame:
     )
     steps = t.selectExpr(
         "stack(5,"
-        " 1, 'Receita', CAST(receita AS DOUBLE),"
-        " 2, 'Mercadoria', CAST(-mercadoria AS DOUBLE),"
-        " 3, 'Entrega', CAST(-entrega AS DOUBLE),"
-        " 4, 'Comissao', CAST(-comissao AS DOUBLE),"
-        " 5, 'Margem', CAST(margem AS DOUBLE)) AS (ordem, etapa, valor)"
+        " 1, 'Receita', CAST(receita AS DOUBLE) / 100,"
+        " 2, 'Mercadoria', CAST(-mercadoria AS DOUBLE) / 100,"
+        " 3, 'Entrega', CAST(-entrega AS DOUBLE) / 100,"
+        " 4, 'Comissao', CAST(-comissao AS DOUBLE) / 100,"
+        " 5, 'Margem', CAST(margem AS DOUBLE) / 100) AS (ordem, etapa, valor)"
     )
     return steps.select(
         F.col("ordem").cast("int").alias("ordem"), "etapa", r2("valor").alias("valor")
@@ -122,9 +122,9 @@ def customer_abc(m: Model) -> DataFrame:
     scanned = ordered_scan(
         per_customer, order, number="posicao", running={"acum_dec": "receita_dec"}, totals={"total_dec": "receita_dec"}
     )
-    receita = as_double("receita_dec")
-    margem = as_double("margem_dec")
-    share = as_double("acum_dec") / F.nullif(as_double("total_dec"), F.lit(0.0))
+    receita = money("receita_dec")
+    margem = money("margem_dec")
+    share = money("acum_dec") / F.nullif(money("total_dec"), F.lit(0.0))
     return scanned.select(
         "posicao",
         "razao_social",
@@ -135,7 +135,7 @@ def customer_abc(m: Model) -> DataFrame:
         r2(F.try_divide(receita, F.col("pedidos"))).alias("ticket_medio"),
         r2(margem).alias("margem"),
         pct(margem, receita).alias("margem_pct"),
-        r2(as_double("frete_dec")).alias("frete_subsidiado"),
+        r2(money("frete_dec")).alias("frete_subsidiado"),
         r1("desconto_avg").alias("desconto_medio"),
         r1(F.lit(100.0) * share).alias("receita_acumulada_pct"),
         F.when(share <= 0.80, F.lit("A")).when(share <= 0.95, F.lit("B")).otherwise(F.lit("C")).alias("classe_abc"),
@@ -145,7 +145,7 @@ def customer_abc(m: Model) -> DataFrame:
 def critical_customers(m: Model) -> DataFrame:
     """A4: A/B customers whose (rounded) margin % is below the portfolio's (unrounded) margin %."""
     portfolio = _reliable(m).agg(
-        (F.lit(100.0) * as_double(money_sum("margem_contribuicao")) / F.nullif(as_double(money_sum("receita_total")), F.lit(0.0)))
+        F.lit(100.0) * money(money_sum("margem_contribuicao")) / F.nullif(money(money_sum("receita_total")), F.lit(0.0))
     ).scalar()
     a = customer_abc(m).filter(F.col("classe_abc").isin("A", "B") & (F.col("margem_pct") < portfolio))
     return a.select(
@@ -183,10 +183,10 @@ def discount_bands(m: Model) -> DataFrame:
     return g.select(
         "faixa",
         "itens",
-        r2(as_double("rt")).alias("receita"),
+        r2(money("rt")).alias("receita"),
         _share_of_total("rt").alias("participacao_pct"),
-        r2(as_double("mc")).alias("margem"),
-        pct(F.col("mc"), F.col("rt")).alias("margem_pct"),
+        r2(money("mc")).alias("margem"),
+        pct(money("mc"), money("rt")).alias("margem_pct"),
     ).orderBy("faixa")
 
 
@@ -196,19 +196,19 @@ def freight_subsidy(m: Model) -> DataFrame:
     g = _reliable(m).join(p, "sk_produto").groupBy("categoria").agg(
         money_sum("receita_total").alias("rt"),
         money_sum("custo_entrega").alias("ce"),
-        F.sum(money("custo_entrega") - money("frete_subsidiado")).alias("charged"),
+        cents_sum(cents("custo_entrega") - cents("frete_subsidiado")).alias("charged"),
         money_sum("frete_subsidiado").alias("fs"),
         money_sum("margem_contribuicao").alias("mc"),
     )
     return g.select(
         "categoria",
-        r2(as_double("rt")).alias("receita"),
-        r2(as_double("ce")).alias("custo_entrega"),
-        r2(as_double("charged")).alias("frete_cobrado"),
-        r2(as_double("fs")).alias("frete_absorvido"),
-        pct(F.col("fs"), F.col("rt")).alias("absorvido_sobre_receita_pct"),
-        r2(as_double("mc")).alias("margem"),
-        r2(as_double(F.col("mc") + F.col("fs"))).alias("margem_sem_subsidio"),
+        r2(money("rt")).alias("receita"),
+        r2(money("ce")).alias("custo_entrega"),
+        r2(money("charged")).alias("frete_cobrado"),
+        r2(money("fs")).alias("frete_absorvido"),
+        pct(money("fs"), money("rt")).alias("absorvido_sobre_receita_pct"),
+        r2(money("mc")).alias("margem"),
+        r2(money(F.col("mc") + F.col("fs"))).alias("margem_sem_subsidio"),
     ).orderBy(F.col("frete_absorvido").desc_nulls_last())
 
 
@@ -222,7 +222,7 @@ def monthly_trend(m: Model) -> DataFrame:
         money_sum("frete_subsidiado").alias("fs"),
     )
     w = Window.orderBy("ano_mes")
-    receita, margem = as_double("rt"), as_double("mc")
+    receita, margem = money("rt"), money("mc")
     prev_r, prev_m = F.lag(receita).over(w), F.lag(margem).over(w)
     monthly_pct = F.lit(100.0) * margem / F.nullif(receita, F.lit(0.0))
     return g.select(
@@ -232,7 +232,7 @@ def monthly_trend(m: Model) -> DataFrame:
         r2(F.try_divide(receita, F.col("pedidos"))).alias("ticket_medio"),
         r2(margem).alias("margem"),
         pct(margem, receita).alias("margem_pct"),
-        r2(as_double("fs")).alias("frete_absorvido"),
+        r2(money("fs")).alias("frete_absorvido"),
         r1(F.lit(100.0) * (receita - prev_r) / F.nullif(prev_r, F.lit(0.0))).alias("var_receita_pct"),
         r1(F.lit(100.0) * (margem - prev_m) / F.nullif(F.abs(prev_m), F.lit(0.0))).alias("var_margem_pct"),
         r1(F.avg(monthly_pct).over(w.rowsBetween(-2, Window.currentRow))).alias("margem_pct_media_3m"),
@@ -250,17 +250,17 @@ def loss_products(m: Model) -> DataFrame:
         F.avg("desconto_pct").alias("desc_avg"),
         money_sum("frete_subsidiado").alias("fs"),
     )
-    return g.filter((F.col("mc") < 0) & (F.col("rt") > 1000)).select(
+    return g.filter((F.col("mc") < 0) & (F.col("rt") > 1000 * 100)).select(
         "codigo_produto",
         "descricao",
         "categoria",
         "quantidade",
-        r2(as_double("rt")).alias("receita"),
-        r2(as_double("mb")).alias("margem_bruta"),
-        r2(as_double("mc")).alias("margem_contribuicao"),
-        pct(F.col("mc"), F.col("rt")).alias("margem_pct"),
+        r2(money("rt")).alias("receita"),
+        r2(money("mb")).alias("margem_bruta"),
+        r2(money("mc")).alias("margem_contribuicao"),
+        pct(money("mc"), money("rt")).alias("margem_pct"),
         r1("desc_avg").alias("desconto_medio"),
-        r2(as_double("fs")).alias("frete_absorvido"),
+        r2(money("fs")).alias("frete_absorvido"),
     ).orderBy("margem_contribuicao")
 
 
@@ -276,7 +276,7 @@ def seller_performance(m: Model) -> DataFrame:
         money_sum("custo_comissao").alias("cc"),
         money_sum("margem_contribuicao").alias("mc"),
     )
-    receita, margem = as_double("rt"), as_double("mc")
+    receita, margem = money("rt"), money("mc")
     return g.select(
         "nome_vendedor",
         "taxa_comissao_pct",
@@ -284,7 +284,7 @@ def seller_performance(m: Model) -> DataFrame:
         r2(receita).alias("receita"),
         r2(F.try_divide(receita, F.col("pedidos"))).alias("ticket_medio"),
         r1("desc_avg").alias("desconto_medio"),
-        r2(as_double("cc")).alias("comissao_paga"),
+        r2(money("cc")).alias("comissao_paga"),
         r2(margem).alias("margem"),
         pct(margem, receita).alias("margem_pct"),
         F.rank().over(Window.orderBy(F.col("rt").desc_nulls_last())).cast("bigint").alias("posicao_receita"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import digits_only, to_date_br, to_double_strict, to_num
-from ..functions.numeric import as_double, money_sum, r2
+from ..functions.numeric import money, money_sum, r2
 from .analyses import panel
 from .model import Model
 
@@ -54,8 +54,8 @@ def fact_integrity(m: Model) -> DataFrame:
         F.count_if(F.col("sk_vendedor").isNull()).alias("sem_vendedor"),
         F.count_if(F.col("sk_cliente") == 0).alias("cliente_nao_identificado"),
         F.count_if(~F.col("custo_confiavel")).alias("sem_custo"),
-        r2(as_double(money_sum("receita_total"))).alias("receita"),
-        r2(as_double(money_sum("margem_contribuicao"))).alias("margem"),
+        r2(money(money_sum("receita_total"))).alias("receita"),
+        r2(money(money_sum("margem_contribuicao"))).alias("margem"),
     )
 
 
