@@ -117,6 +117,8 @@ def customer_abc(m: Model) -> DataFrame:
     totals (materialised once, since the scan reads them several times).  Revenue ties are
     broken by the customer columns so positions are reproducible.
     """
+    if "customer_abc" in m.memo:
+        return m.memo["customer_abc"]
     per_customer = materialize(customer_totals(m), "abc_totals")
     order = [("receita_dec", True)] + [(c, False) for c in ABC_GROUP]
     scanned = ordered_scan(
@@ -125,7 +127,7 @@ def customer_abc(m: Model) -> DataFrame:
     receita = money("receita_dec")
     margem = money("margem_dec")
     share = money("acum_dec") / F.nullif(money("total_dec"), F.lit(0.0))
-    return scanned.select(
+    out = scanned.select(
         "posicao",
         "razao_social",
         "segmento",
@@ -140,6 +142,8 @@ def customer_abc(m: Model) -> DataFrame:
         r1(F.lit(100.0) * share).alias("receita_acumulada_pct"),
         F.when(share <= 0.80, F.lit("A")).when(share <= 0.95, F.lit("B")).otherwise(F.lit("C")).alias("classe_abc"),
     ).orderBy("posicao")
+    m.memo["customer_abc"] = out
+    return out
 
 
 def critical_customers(m: Model) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import r2
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import broadcast_if_small, broadcast_limit
 from ..operators.ordered import ordered_scan
 from ..session import new_scratch_dir
 from ..sources.fixture import raw_tables
@@ -111,12 +111,21 @@ def fact_sales(m: "Model") -> DataFrame:
     customer is a left join falling back to member 0.  The date key is computed from the date:
     the date dimension spans every sale date, so that join always matches and is not needed.
     Dimensions are broadcast only after a row-count check; otherwise Spark shuffles and AQE
-    splits skewed keys.
+    splits skewed keys.  Sales without a customer code can match nothing, so when the customer
+    join has to shuffle they bypass it instead of piling up in the one partition NULL keys
+    hash to (walk-in sales may well be a third of all rows).
     """
     p = m.dim("dim_produto", "codigo_produto", "sk_produto", "custo_unitario", "custo_confiavel")
     ve = m.dim("dim_vendedor", "cod_vendedor", "sk_vendedor", "taxa_comissao")
     c = m.dim("dim_cliente", "codigo_cliente", "sk_cliente")
-    j = m["stg_vendas"].join(p, "codigo_produto").join(ve, "cod_vendedor").join(c, "codigo_cliente", "left")
+    sales = m["stg_vendas"].join(p, "codigo_produto").join(ve, "cod_vendedor")
+    if m.is_broadcast("dim_cliente"):
+        j = sales.join(c, "codigo_cliente", "left")
+    else:
+        code = F.col("codigo_cliente")
+        j = sales.filter(code.isNotNull()).join(c, "codigo_cliente", "left").unionByName(
+            sales.filter(code.isNull()).withColumn("sk_cliente", F.lit(None).cast("bigint"))
+        )
 
     price, qty = F.col("preco_unitario"), F.col("quantidade")
     cost, rate = F.col("custo_unitario"), F.col("taxa_comissao")
@@ -156,11 +165,21 @@ class Model(dict):
     def __init__(self, *args, **kwargs):
         super().__init__(*args, **kwargs)
         self.rows: dict[str, int] = {}
+        self.memo: dict[str, DataFrame] = {}
 
     def dim(self, name: str, *columns) -> DataFrame:
         """Columns of a dimension, marked for broadcast when its recorded size allows it."""
         df = self[name].select(*columns) if columns else self[name]
-        return broadcast_if_small(df, self.rows.get(name))
+        return broadcast_if_small(df, self._rows(name))
+
+    def is_broadcast(self, name: str) -> bool:
+        return self._rows(name) <= broadcast_limit(self[name])
+
+    def _rows(self, name: str) -> int:
+        if name not in self.rows:
+            limit = broadcast_limit(self[name])
+            self.rows[name] = self[name].limit(limit + 1).count()
+        return self.rows[name]
 
 
 _CACHE: dict[tuple[str, str], Model] = {}

@@ -1,29 +1,70 @@
-"""The same answers whatever the number of shuffle partitions (1, 4, 200)."""
+"""The same answers whatever the number of shuffle partitions (1, 4, 200) or join strategy."""
 
 import pytest
 
 from conftest import SF_SMALL
 from ledgerline.plans import analyses as A
-from ledgerline.plans.model import build_model
+from ledgerline.plans.model import build_model, fact_sales
 
 
 def _snapshot(spark):
-    m = build_model(spark, SF_SMALL, materialized=False, reuse=False)
+    m = build_model(spark, SF_SMALL, reuse=False)
     out = {}
     for fn in (A.margin_by_category, A.customer_abc, A.monthly_trend, A.seller_performance):
         out[fn.__name__] = sorted((tuple(r) for r in fn(m).collect()), key=repr)
     out["dim_produto"] = sorted((tuple(r) for r in m["dim_produto"].collect()), key=repr)
-    return out
+    out["fct_vendas"] = sorted((tuple(r) for r in m["fct_vendas"].collect()), key=repr)
+    return out, m
+
+
+def _with(spark, conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def _restore(spark, old):
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+SMALL_BUCKETS = {"spark.ledgerline.orderedScan.rowsPerBucket": "40"}
+
+
+@pytest.fixture(scope="module")
+def base(spark):
+    old = _with(spark, {"spark.sql.shuffle.partitions": "4", **SMALL_BUCKETS})
+    try:
+        return _snapshot(spark)[0]
+    finally:
+        _restore(spark, old)
 
 
 @pytest.mark.parametrize("parts", [1, 200])
-def test_partition_count_does_not_change_results(spark, parts):
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    spark.conf.set("spark.ledgerline.orderedScan.rowsPerBucket", "40")
+def test_partition_count_does_not_change_results(spark, base, parts):
+    old = _with(spark, {"spark.sql.shuffle.partitions": str(parts), **SMALL_BUCKETS})
+    try:
+        assert _snapshot(spark)[0] == base
+    finally:
+        _restore(spark, old)
+
+
+def test_shuffle_joins_give_same_results(spark, base):
+    """Dimensions too big to broadcast: sort-merge joins, NULL customers bypassing the join."""
+    old = _with(spark, {
+        "spark.ledgerline.broadcastMaxRows": "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        **SMALL_BUCKETS,
+    })
     try:
-        base = _snapshot(spark)
-        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-        assert _snapshot(spark) == base
+        snap, m = _snapshot(spark)
+        plan = fact_sales(m)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert snap == base
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        spark.conf.unset("spark.ledgerline.orderedScan.rowsPerBucket")
+        _restore(spark, old)
