@@ -1,0 +1,5 @@
+"""No stream operators: the modelled workload is a batch rebuild of the whole star schema.
+
+The reference has no streaming, incremental load or dimension history (every run rebuilds all
+tables), so there is nothing to express with Structured Streaming here.
+"""
