@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import analyses as A
 from .plans import checks as Q
 from .plans.model import Model, build_model
-from .plans.staging import dedupe_sales
+from .plans.staging import dedupe_sales, stg_customers, stg_products
 from .session import scratch_root
+from .sources.fixture import raw_customers, raw_products, raw_sales
 
 
 def _model(spark: SparkSession, sf_dir: str) -> Model:
@@ -34,19 +35,26 @@ def _on_model(fn: Callable[[Model], DataFrame]) -> Callable[[SparkSession, str],
     return run
 
 
-def _dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_sales(_model(spark, sf_dir)["raw_vendas"])
+def _raw(fn: Callable[[DataFrame], DataFrame] | None, source) -> Callable[[SparkSession, str], DataFrame]:
+    """Queries over one raw export: no model build needed."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = source(spark, sf_dir)
+        return fn(raw) if fn else raw
+
+    run.__name__ = (fn or source).__name__
+    return run
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources (the raw exports, projected from the test tables)
-    "raw_sales": _table("raw_vendas"),
-    "raw_products": _table("raw_produtos"),
-    "raw_customers": _table("raw_clientes"),
+    "raw_sales": _raw(None, raw_sales),
+    "raw_products": _raw(None, raw_products),
+    "raw_customers": _raw(None, raw_customers),
     # staging
-    "dedupe_by_key": _dedupe,
-    "stg_products": _table("stg_produtos"),
-    "stg_customers": _table("stg_clientes"),
+    "dedupe_by_key": _raw(dedupe_sales, raw_sales),
+    "stg_products": _raw(stg_products, raw_products),
+    "stg_customers": _raw(stg_customers, raw_customers),
     "stg_sales": _table("stg_vendas"),
     # star schema
     "dim_product": _table("dim_produto"),

@@ -4,22 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_CONF = "spark.ledgerline.broadcastMaxRows"
+_ROWS = "spark.ledgerline.broadcastMaxRows"
+_BYTES = "spark.ledgerline.broadcastMaxBytes"
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+# Width assumed per value when sizing a broadcast (strings and other variable-width values get
+# a generous fixed allowance; the row count is exact).
+_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
+    T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+}
+_VARIABLE_WIDTH = 48
+
+
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row of ``schema`` (plus a fixed per-row overhead)."""
+    return 16 + sum(_WIDTH.get(type(f.dataType), _VARIABLE_WIDTH) for f in schema.fields)
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
+    """Largest row count of ``df`` that may be broadcast: the row cap, lowered by the byte budget."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get(_ROWS, str(DEFAULT_BROADCAST_MAX_ROWS)))
+    budget = int(conf.get(_BYTES, str(DEFAULT_BROADCAST_MAX_BYTES)))
+    return min(rows, budget // row_width(df.schema))
 
 
 def broadcast_if_small(dim: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark ``dim`` for broadcast only when its row count is proven small.
+    """Mark ``dim`` for broadcast only when its size is proven small.
 
-    ``rows`` is a known upper bound (the row count recorded when the dimension was written);
-    without it the rows are counted, stopping once the bound is passed.  Above the bound the
-    dimension is returned unchanged: Spark plans a shuffle join and AQE may still re-plan it
-    from runtime sizes and split skewed partitions.
+    ``rows`` is a known row count (recorded when the dimension was written); without it the rows
+    are counted, stopping once the bound is passed.  The bound is a row cap and a byte budget
+    for the selected columns.  Above it the dimension is returned unchanged: Spark plans a
+    shuffle join, and AQE may still re-plan it from runtime sizes and split skewed partitions.
     """
     limit = broadcast_limit(dim)
     if rows is None:

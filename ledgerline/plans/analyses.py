@@ -147,11 +147,20 @@ def customer_abc(m: Model) -> DataFrame:
 
 
 def critical_customers(m: Model) -> DataFrame:
-    """A4: A/B customers whose (rounded) margin % is below the portfolio's (unrounded) margin %."""
+    """A4: A/B customers whose (rounded) margin % is below the portfolio's (unrounded) margin %.
+
+    The portfolio margin is a one-row aggregate used as a scalar subquery (computed once, no
+    join), carried as a column so every expression reads the same value.
+    """
     portfolio = _reliable(m).agg(
         F.lit(100.0) * money(money_sum("margem_contribuicao")) / F.nullif(money(money_sum("receita_total")), F.lit(0.0))
     ).scalar()
-    a = customer_abc(m).filter(F.col("classe_abc").isin("A", "B") & (F.col("margem_pct") < portfolio))
+    pf = F.col("margem_carteira")
+    a = (
+        customer_abc(m)
+        .withColumn("margem_carteira", portfolio)
+        .filter(F.col("classe_abc").isin("A", "B") & (F.col("margem_pct") < pf))
+    )
     return a.select(
         "classe_abc",
         "razao_social",
@@ -159,10 +168,10 @@ def critical_customers(m: Model) -> DataFrame:
         "receita",
         "margem",
         "margem_pct",
-        r1(portfolio).alias("margem_carteira_pct"),
-        r1(F.col("margem_pct") - portfolio).alias("diferenca_pp"),
+        r1(pf).alias("margem_carteira_pct"),
+        r1(F.col("margem_pct") - pf).alias("diferenca_pp"),
         "desconto_medio",
-        r2(F.col("receita") * (portfolio - F.col("margem_pct")) / F.lit(100)).alias("margem_nao_realizada"),
+        r2(F.col("receita") * (pf - F.col("margem_pct")) / F.lit(100)).alias("margem_nao_realizada"),
     ).orderBy(F.col("margem_nao_realizada").desc_nulls_last())
 
 

@@ -119,7 +119,7 @@ def fact_sales(m: "Model") -> DataFrame:
     ve = m.dim("dim_vendedor", "cod_vendedor", "sk_vendedor", "taxa_comissao")
     c = m.dim("dim_cliente", "codigo_cliente", "sk_cliente")
     sales = m["stg_vendas"].join(p, "codigo_produto").join(ve, "cod_vendedor")
-    if m.is_broadcast("dim_cliente"):
+    if m.is_broadcast("dim_cliente", "codigo_cliente", "sk_cliente"):
         j = sales.join(c, "codigo_cliente", "left")
     else:
         code = F.col("codigo_cliente")
@@ -172,13 +172,13 @@ class Model(dict):
         df = self[name].select(*columns) if columns else self[name]
         return broadcast_if_small(df, self._rows(name))
 
-    def is_broadcast(self, name: str) -> bool:
-        return self._rows(name) <= broadcast_limit(self[name])
+    def is_broadcast(self, name: str, *columns) -> bool:
+        df = self[name].select(*columns) if columns else self[name]
+        return self._rows(name) <= broadcast_limit(df)
 
     def _rows(self, name: str) -> int:
         if name not in self.rows:
-            limit = broadcast_limit(self[name])
-            self.rows[name] = self[name].limit(limit + 1).count()
+            self.rows[name] = self[name].count()
         return self.rows[name]
 
 
@@ -211,9 +211,7 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
     instead of a recomputation, and scans of the fact get column pruning and filter pushdown.
     Without it everything stays a lazy plan (used by tests).
     """
-    m = Model(raw)
-    m["stg_produtos"] = stg_products(m["raw_produtos"])
-    m["stg_clientes"] = stg_customers(m["raw_clientes"])
+    m = Model()
     root = new_scratch_dir(spark, "model") if materialized else None
 
     def keep(df: DataFrame, name: str, count: bool = False) -> DataFrame:
@@ -224,6 +222,12 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
             m.rows[name] = out.count()
         return out
 
+    # Land the exports once: staging and the quality checks read them, and parsing CSV (or, in
+    # the tests, projecting the test tables) should not be repeated for each.
+    for name in ("raw_vendas", "raw_produtos", "raw_clientes"):
+        m[name] = keep(raw[name], name)
+    m["stg_produtos"] = stg_products(m["raw_produtos"])
+    m["stg_clientes"] = stg_customers(m["raw_clientes"])
     m["stg_vendas"] = keep(stg_sales(m["raw_vendas"]), "stg_vendas")
     # One pass over the sales gives both the seller codes and the date span.
     span = keep(

@@ -20,17 +20,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan that arrives in fewer splits than there are cores.
 
     A Parquet row group is never split, so a file written as one big row group is read by one
-    task however many cores wait.  Only then is the scan dealt round-robin; a large input
-    (many files and row groups) already has enough splits and is left alone, so this costs no
-    shuffle at scale.
+    task however many cores wait.  Only then are the rows hashed over the cores (by ``keys``,
+    deterministic on retry, unlike a round-robin deal); a large input (many files and row
+    groups) already has enough splits and is left alone, so this costs no shuffle at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *keys)
     return df
 
 
@@ -86,7 +86,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-        )
+        ),
+        "l_orderkey", "l_linenumber",
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey)

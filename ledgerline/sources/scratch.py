@@ -17,4 +17,5 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     target = path or new_scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    # The schema is known: reading it back needs no footer-inference job.
+    return spark.read.schema(df.schema).parquet(target)
