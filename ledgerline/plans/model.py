@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import r2
 from ..operators.joins import broadcast_if_small, broadcast_limit
 from ..operators.ordered import ordered_scan
-from ..session import new_scratch_dir
+from ..session import app_id, new_scratch_dir
 from ..sources.fixture import raw_tables
 from ..sources.scratch import materialize
 from .staging import stg_customers, stg_products, stg_sales
@@ -191,7 +191,7 @@ def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True, reu
 
     Built once per session, input folder and mode (``reuse``); see ``build_model_from_raw``.
     """
-    key = (spark.sparkContext.applicationId, f"{sf_dir}|{materialized}")
+    key = (app_id(spark), f"{sf_dir}|{materialized}")
     with _LOCK:
         if reuse and key in _CACHE:
             return _CACHE[key]

@@ -31,25 +31,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def app_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or "app"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and materialised model tables.
 
-    On a cluster this must be the shared folder named by ``spark.checkpoint.dir``.  Only when
-    that setting is missing and the master is local (tests) do we create our own folder.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir`` (read from the
+    session).  Only when that setting is missing and the master is local (tests) is a folder of
+    our own created, once per application.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        path = _LOCAL_ROOTS.setdefault(app_id(spark), tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # no SparkContext handle (e.g. a remote session): nothing to register
+        pass
     return path
 
 
 def new_scratch_dir(spark: SparkSession, kind: str) -> str:
     """A fresh, never reused sub-folder of the shared scratch root."""
     root = scratch_root(spark)
-    app = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/ledgerline/{app}/{kind}-{uuid.uuid4().hex[:12]}"
+    return f"{root.rstrip('/')}/ledgerline/{app_id(spark)}/{kind}-{uuid.uuid4().hex[:12]}"

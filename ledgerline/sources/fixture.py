@@ -28,8 +28,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     deterministic on retry, unlike a round-robin deal); a large input (many files and row
     groups) already has enough splits and is left alone, so this costs no shuffle at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the scan alone
+        return df
+    if splits < cores:
         return df.repartition(cores, *keys)
     return df
 

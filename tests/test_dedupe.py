@@ -50,3 +50,13 @@ def test_partial_limit_before_shuffle(spark):
     raw = _raw(spark, [row()])
     plan = dedupe_sales(raw)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_key_keeps_one_row_and_the_rest(spark):
+    # A third of the rows are copies of one item; they collapse to the first copy and every
+    # other item is kept whole.
+    hot = [row(order="7", item="1", price=f"{p},00") for p in range(10, 310)]
+    rest = [row(order=str(1000 + i), item="1") for i in range(600)]
+    kept = stg_sales(_raw(spark, hot + rest))
+    assert kept.count() == 601
+    assert kept.filter("numero_pedido = 7").first().preco_unitario == 100.0  # "100,00" sorts first
