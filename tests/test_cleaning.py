@@ -58,7 +58,7 @@ def test_int_like_cast(spark):
     assert _one(spark, ["12", "-3", " 7", "12.7", "-2.5", "+4"], C.to_int_like_cast) == [12, -3, 7, 13, -3, 4]
 
 
-ALPHABET = list("0123456789.,-/ R$\tn 　d e") + ["\n", "\x0b", "inf", "nan", "_"]
+ALPHABET = list("0123456789.,-/ R$\tn 　d e") + ["\n", "\x0b", "\u00a0", "\u2009", "\x85", "inf", "nan", "_"]
 
 
 def _random_texts(n, seed):

@@ -60,3 +60,10 @@ def test_hot_key_keeps_one_row_and_the_rest(spark):
     kept = stg_sales(_raw(spark, hot + rest))
     assert kept.count() == 601
     assert kept.filter("numero_pedido = 7").first().preco_unitario == 10.0  # "10,00" sorts first as text
+
+
+def test_null_status_and_decimal_quantity(spark):
+    raw = _raw(spark, [row(order="1", status=None), row(order="2", qty="2.5"), row(order="3", qty=" 4 ")])
+    kept = {r.numero_pedido: r for r in stg_sales(raw).collect()}
+    assert set(kept) == {2, 3}  # NULL status fails the status filter, as in the reference
+    assert kept[2].quantidade == 3 and kept[3].quantidade == 4
