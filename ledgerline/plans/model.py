@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -222,24 +223,36 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
             m.rows[name] = out.count()
         return out
 
-    # Land the exports once: staging and the quality checks read them, and parsing CSV (or, in
-    # the tests, projecting the test tables) should not be repeated for each.
-    for name in ("raw_vendas", "raw_produtos", "raw_clientes"):
-        m[name] = keep(raw[name], name)
-    m["stg_produtos"] = stg_products(m["raw_produtos"])
-    m["stg_clientes"] = stg_customers(m["raw_clientes"])
-    m["stg_vendas"] = keep(stg_sales(m["raw_vendas"]), "stg_vendas")
-    # One pass over the sales gives both the seller codes and the date span.
-    span = keep(
-        m["stg_vendas"].groupBy("cod_vendedor").agg(
-            F.min("data_pedido").alias("primeira"), F.max("data_pedido").alias("ultima")
-        ),
-        "seller_span",
-    )
-    m["dim_produto"] = keep(dim_product(m["stg_produtos"]), "dim_produto", count=True)
-    m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente", count=True)
-    m["dim_vendedor"] = keep(dim_seller(span), "dim_vendedor", count=True)
-    m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo", count=True)
+    # Three independent chains (sales, products, customers) are submitted side by side: Spark
+    # runs their jobs concurrently, so the small dimension jobs fill cores the sales job leaves
+    # idle.  The exports are landed once: staging and the quality checks both read them, and
+    # parsing CSV (or, in the tests, projecting the test tables) should not be repeated.
+    def sales_chain() -> None:
+        m["raw_vendas"] = keep(raw["raw_vendas"], "raw_vendas")
+        m["stg_vendas"] = keep(stg_sales(m["raw_vendas"]), "stg_vendas")
+        # One pass over the sales gives both the seller codes and the date span.
+        span = keep(
+            m["stg_vendas"].groupBy("cod_vendedor").agg(
+                F.min("data_pedido").alias("primeira"), F.max("data_pedido").alias("ultima")
+            ),
+            "seller_span",
+        )
+        m["dim_vendedor"] = keep(dim_seller(span), "dim_vendedor", count=True)
+        m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo", count=True)
+
+    def product_chain() -> None:
+        m["raw_produtos"] = keep(raw["raw_produtos"], "raw_produtos")
+        m["stg_produtos"] = stg_products(m["raw_produtos"])
+        m["dim_produto"] = keep(dim_product(m["stg_produtos"]), "dim_produto", count=True)
+
+    def customer_chain() -> None:
+        m["raw_clientes"] = keep(raw["raw_clientes"], "raw_clientes")
+        m["stg_clientes"] = stg_customers(m["raw_clientes"])
+        m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente", count=True)
+
+    with ThreadPoolExecutor(max_workers=3, thread_name_prefix="model") as pool:
+        for f in [pool.submit(c) for c in (sales_chain, product_chain, customer_chain)]:
+            f.result()
     m["fct_vendas"] = keep(fact_sales(m), "fct_vendas")
     return m
 
