@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import analyses as A
 from .plans import checks as Q
-from .plans.model import Model, build_model
+from .plans.model import Model, build_model, fact_columns
 from .plans.staging import dedupe_sales, stg_customers, stg_products
 from .session import scratch_root
 from .sources.fixture import raw_customers, raw_products, raw_sales
@@ -61,7 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_customer": _table("dim_cliente"),
     "dim_seller": _table("dim_vendedor"),
     "dim_date": _table("dim_tempo"),
-    "fact_sales": _table("fct_vendas"),
+    "fact_sales": _on_model(lambda m: fact_columns(m["fct_vendas"])),
     # analyses
     "margin_by_category": _on_model(A.margin_by_category),
     "margin_waterfall": _on_model(A.margin_waterfall),

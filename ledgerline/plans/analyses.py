@@ -1,7 +1,10 @@
 """The ten business analyses over the star schema (A1-A10).
 
 Every analysis reads only fact rows whose product cost is known (``custo_confiavel``); that
-filter reaches the Parquet scan of the materialised fact.  Money is summed exactly as decimal
+filter reaches the Parquet scan of the materialised fact.  Product and customer attributes are
+read from the fact itself (it carries those of the dimension rows it points to), so no
+analysis joins back to a large dimension; the date and seller dimensions, bounded by the date
+span and the sales team, are joined behind a size check.  Money is summed exactly as decimal
 and rounded the reference's way at the end (see ``functions.numeric``).  Windows that run over a
 handful of groups (categories, discount bands, months, sellers) stay plain; the ABC curve runs
 over one row per customer and uses the bucketed ordered scan instead.
@@ -40,8 +43,7 @@ def _situation(margin_cents: str, revenue_cents: str) -> F.Column:
 
 def margin_by_category(m: Model) -> DataFrame:
     """A1: where margin is made and lost, per product category."""
-    p = m.dim("dim_produto", "sk_produto", "categoria")
-    g = _reliable(m).join(p, "sk_produto").groupBy("categoria").agg(
+    g = _reliable(m).groupBy("categoria").agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
         money_sum("receita_total").alias("rt"),
         money_sum("custo_produto").alias("cp"),
@@ -94,10 +96,8 @@ ABC_GROUP = ["codigo_cliente", "razao_social", "segmento", "regiao"]
 
 def customer_totals(m: Model) -> DataFrame:
     """Per-customer totals behind A3 (orphan member excluded)."""
-    c = m.dim("dim_cliente", "sk_cliente", *ABC_GROUP)
     return (
         _reliable(m)
-        .join(c, "sk_cliente")
         .filter(F.col("codigo_cliente") != F.lit("NAO_IDENTIFICADO"))
         .groupBy(*ABC_GROUP)
         .agg(
@@ -205,8 +205,7 @@ def discount_bands(m: Model) -> DataFrame:
 
 def freight_subsidy(m: Model) -> DataFrame:
     """What free freight costs, per category."""
-    p = m.dim("dim_produto", "sk_produto", "categoria")
-    g = _reliable(m).join(p, "sk_produto").groupBy("categoria").agg(
+    g = _reliable(m).groupBy("categoria").agg(
         money_sum("receita_total").alias("rt"),
         money_sum("custo_entrega").alias("ce"),
         cents_sum(cents("custo_entrega") - cents("frete_subsidiado")).alias("charged"),
@@ -254,8 +253,7 @@ def monthly_trend(m: Model) -> DataFrame:
 
 def loss_products(m: Model) -> DataFrame:
     """Products that sell (revenue over 1000) and lose money."""
-    p = m.dim("dim_produto", "sk_produto", "codigo_produto", "descricao", "categoria")
-    g = _reliable(m).join(p, "sk_produto").groupBy("codigo_produto", "descricao", "categoria").agg(
+    g = _reliable(m).groupBy("codigo_produto", "descricao", "categoria").agg(
         F.sum(F.col("quantidade").cast("bigint")).alias("quantidade"),
         money_sum("receita_total").alias("rt"),
         money_sum("margem_bruta").alias("mb"),
@@ -312,12 +310,11 @@ def panel(m: Model) -> DataFrame:
     """A10: item-grain panel with every dimension resolved (reliable cost only)."""
     f = _reliable(m)
     t = m.dim("dim_tempo", "sk_tempo", "data", "ano_mes")
-    p = m.dim("dim_produto", "sk_produto", F.col("descricao").alias("produto"), "categoria")
     v = m.dim("dim_vendedor", "sk_vendedor", F.col("nome_vendedor").alias("vendedor"))
-    c = m.dim("dim_cliente", "sk_cliente", F.col("razao_social").alias("cliente"), "segmento", "regiao")
-    j = f.join(t, "sk_tempo").join(p, "sk_produto").join(v, "sk_vendedor").join(c, "sk_cliente")
+    j = f.join(t, "sk_tempo").join(v, "sk_vendedor")
     return j.select(
-        "data", "ano_mes", "numero_pedido", "cliente", "segmento", "regiao", "vendedor", "produto", "categoria",
+        "data", "ano_mes", "numero_pedido", F.col("razao_social").alias("cliente"), "segmento", "regiao",
+        "vendedor", F.col("descricao").alias("produto"), "categoria",
         "tipo_operacao", "quantidade", "desconto_pct", "receita_total", "custo_produto", "custo_entrega",
         "custo_comissao", "frete_subsidiado", "margem_contribuicao",
     )

@@ -105,27 +105,47 @@ def dim_date(span: DataFrame, first: str = "data_pedido", last: str = "data_pedi
     )
 
 
+# Columns of the reference's fact table, in order.
+FACT_COLUMNS = [
+    "numero_pedido", "sequencia_item", "sk_tempo", "sk_cliente", "sk_produto", "sk_vendedor", "tipo_operacao",
+    "quantidade", "preco_unitario", "desconto_pct", "receita_mercadoria", "receita_total", "custo_produto",
+    "custo_entrega", "custo_comissao", "frete_subsidiado", "margem_bruta", "margem_contribuicao", "custo_confiavel",
+]
+# Attributes of the two large dimensions carried on every fact row (see ``fact_sales``).
+PRODUCT_ATTRIBUTES = ["codigo_produto", "descricao", "categoria"]
+CUSTOMER_ATTRIBUTES = ["codigo_cliente", "razao_social", "segmento", "regiao"]
+
+
 def fact_sales(m: "Model") -> DataFrame:
     """one row per kept order item with the additive measures.
 
     Product and seller are inner joins (unknown product or seller code leaves the fact), the
     customer is a left join falling back to member 0.  The date key is computed from the date:
     the date dimension spans every sale date, so that join always matches and is not needed.
-    Dimensions are broadcast only after a row-count check; otherwise Spark shuffles and AQE
-    splits skewed keys.  Sales without a customer code can match nothing, so when the customer
-    join has to shuffle they bypass it instead of piling up in the one partition NULL keys
-    hash to (walk-in sales may well be a third of all rows).
+    Dimensions are broadcast only after a size check; otherwise Spark shuffles and AQE splits
+    skewed keys.  Sales without a customer code can match nothing, so when the customer join
+    has to shuffle they bypass it instead of piling up in the one partition NULL keys hash to
+    (walk-in sales may well be a third of all rows).
+
+    The table written has the reference's fact columns plus the product and customer
+    attributes of the very dimension rows it points to (member 0's for unknown customers).
+    They ride along in the two joins the fact needs anyway, and spare every analysis a join
+    back to a dimension that may be too large to broadcast: the analyses and the panel read
+    one table.  ``fact_columns`` gives the reference's column list.
     """
-    p = m.dim("dim_produto", "codigo_produto", "sk_produto", "custo_unitario", "custo_confiavel")
+    p = m.dim("dim_produto", "sk_produto", "custo_unitario", "custo_confiavel", *PRODUCT_ATTRIBUTES)
     ve = m.dim("dim_vendedor", "cod_vendedor", "sk_vendedor", "taxa_comissao")
-    c = m.dim("dim_cliente", "codigo_cliente", "sk_cliente")
+    customer_columns = ["sk_cliente", *CUSTOMER_ATTRIBUTES]
+    c = m.dim("dim_cliente", *customer_columns)
     sales = m["stg_vendas"].join(p, "codigo_produto").join(ve, "cod_vendedor")
-    if m.is_broadcast("dim_cliente", "codigo_cliente", "sk_cliente"):
+    if m.is_broadcast("dim_cliente", *customer_columns):
         j = sales.join(c, "codigo_cliente", "left")
     else:
         code = F.col("codigo_cliente")
         j = sales.filter(code.isNotNull()).join(c, "codigo_cliente", "left").unionByName(
-            sales.filter(code.isNull()).withColumn("sk_cliente", F.lit(None).cast("bigint"))
+            sales.filter(code.isNull()).select(
+                "*", *[F.lit(None).cast(c.schema[n].dataType).alias(n) for n in customer_columns if n != "codigo_cliente"]
+            )
         )
 
     price, qty = F.col("preco_unitario"), F.col("quantidade")
@@ -133,11 +153,12 @@ def fact_sales(m: "Model") -> DataFrame:
     freight, delivery = F.col("frete_cobrado"), F.col("custo_frete_real")
     goods = price * qty
     reliable = F.col("custo_confiavel")
+    known = F.col("sk_cliente").isNotNull()
     return j.select(
         "numero_pedido",
         "sequencia_item",
         date_key(F.col("data_pedido")).alias("sk_tempo"),
-        F.coalesce(F.col("sk_cliente"), F.lit(0).cast("bigint")).alias("sk_cliente"),
+        F.coalesce(F.col("sk_cliente"), F.lit(UNKNOWN_CUSTOMER[0]).cast("bigint")).alias("sk_cliente"),
         "sk_produto",
         "sk_vendedor",
         "tipo_operacao",
@@ -153,9 +174,19 @@ def fact_sales(m: "Model") -> DataFrame:
         F.when(reliable, r2(goods - cost * qty)).alias("margem_bruta"),
         F.when(reliable, r2(goods + freight - cost * qty - delivery - goods * rate)).alias("margem_contribuicao"),
         reliable.alias("custo_confiavel"),
+        *PRODUCT_ATTRIBUTES,
+        F.when(known, F.col("codigo_cliente")).otherwise(F.lit(UNKNOWN_CUSTOMER[1])).alias("codigo_cliente"),
+        F.when(known, F.col("razao_social")).otherwise(F.lit(UNKNOWN_CUSTOMER[2])).alias("razao_social"),
+        F.when(known, F.col("segmento")).alias("segmento"),
+        F.when(known, F.col("regiao")).alias("regiao"),
     )
 
 
+def fact_columns(fact: DataFrame) -> DataFrame:
+    """The fact with exactly the reference's columns (a projection: only those are read)."""
+    return fact.select(*FACT_COLUMNS)
+
+
 class Model(dict):
     """Named DataFrames of one build: raw, staging, dimensions and fact.
 
