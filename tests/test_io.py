@@ -44,3 +44,22 @@ def test_model_and_reports_export(spark, model):
     assert painel.filter(~F.col("data").rlike(r"^\d{4}-\d{2}-\d{2}$")).count() == 0
     first = spark.read.option("header", True).csv(out["por_mes"]).orderBy("ano_mes").first()
     assert first.var_receita_pct is None  # written as empty text, read back as NULL
+
+
+def test_views_answer_sql_under_reference_names(spark, model):
+    from ledgerline.views import register_views
+
+    names = register_views(model)
+    assert {"an_categoria", "painel", "fct_vendas", "dim_tempo"} <= set(names)
+    top = spark.sql("SELECT categoria, margem_pct FROM an_categoria ORDER BY margem_contribuicao LIMIT 1").first()
+    assert top.margem_pct == -19.0  # the worst category at sf0.001 (FIXTURES.md)
+    assert len(spark.table("fct_vendas").columns) == 19
+
+
+def test_command_line_run(spark):
+    from ledgerline.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    main(["--testdata", SF_SMALL, "--out", out])
+    assert spark.read.parquet(out + "/model/fct_vendas").count() == 3662
+    assert spark.read.option("header", True).csv(out + "/reports/por_categoria").count() == 6
