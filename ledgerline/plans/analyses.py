@@ -1,10 +1,9 @@
 """The ten business analyses over the star schema (A1-A10).
 
 Every analysis reads only fact rows whose product cost is known (``custo_confiavel``); that
-filter reaches the Parquet scan of the materialised fact.  Product and customer attributes are
-read from the fact itself (it carries those of the dimension rows it points to), so no
-analysis joins back to a large dimension; the date and seller dimensions, bounded by the date
-span and the sales team, are joined behind a size check.  Money is summed exactly as decimal
+filter reaches the Parquet scan of the materialised fact.  Dimension attributes are read from
+the fact itself (it carries those of the dimension rows it points to), so no analysis joins
+back to a dimension: each one is a pruned scan of one table and an aggregation.  Money is summed exactly as decimal
 and rounded the reference's way at the end (see ``functions.numeric``).  Windows that run over a
 handful of groups (categories, discount bands, months, sellers) stay plain; the ABC curve runs
 over one row per customer and uses the bucketed ordered scan instead.
@@ -226,8 +225,7 @@ def freight_subsidy(m: Model) -> DataFrame:
 
 def monthly_trend(m: Model) -> DataFrame:
     """Month by month, with change over the previous month that had sales and a 3-month mean."""
-    t = m.dim("dim_tempo", "sk_tempo", "ano_mes")
-    g = _reliable(m).join(t, "sk_tempo").groupBy("ano_mes").agg(
+    g = _reliable(m).groupBy("ano_mes").agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
         money_sum("receita_total").alias("rt"),
         money_sum("margem_contribuicao").alias("mc"),
@@ -277,8 +275,7 @@ def loss_products(m: Model) -> DataFrame:
 
 def seller_performance(m: Model) -> DataFrame:
     """The sales team, grouped by seller name and rate (unknown codes fold together)."""
-    v = m.dim("dim_vendedor", "sk_vendedor", "nome_vendedor", "taxa_comissao")
-    g = _reliable(m).join(v, "sk_vendedor").groupBy(
+    g = _reliable(m).groupBy(
         "nome_vendedor", r1(F.lit(100.0) * F.col("taxa_comissao")).alias("taxa_comissao_pct")
     ).agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
@@ -308,13 +305,9 @@ def seller_performance(m: Model) -> DataFrame:
 
 def panel(m: Model) -> DataFrame:
     """A10: item-grain panel with every dimension resolved (reliable cost only)."""
-    f = _reliable(m)
-    t = m.dim("dim_tempo", "sk_tempo", "data", "ano_mes")
-    v = m.dim("dim_vendedor", "sk_vendedor", F.col("nome_vendedor").alias("vendedor"))
-    j = f.join(t, "sk_tempo").join(v, "sk_vendedor")
-    return j.select(
+    return _reliable(m).select(
         "data", "ano_mes", "numero_pedido", F.col("razao_social").alias("cliente"), "segmento", "regiao",
-        "vendedor", F.col("descricao").alias("produto"), "categoria",
+        F.col("nome_vendedor").alias("vendedor"), F.col("descricao").alias("produto"), "categoria",
         "tipo_operacao", "quantidade", "desconto_pct", "receita_total", "custo_produto", "custo_entrega",
         "custo_comissao", "frete_subsidiado", "margem_contribuicao",
     )

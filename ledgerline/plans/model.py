@@ -111,9 +111,11 @@ FACT_COLUMNS = [
     "quantidade", "preco_unitario", "desconto_pct", "receita_mercadoria", "receita_total", "custo_produto",
     "custo_entrega", "custo_comissao", "frete_subsidiado", "margem_bruta", "margem_contribuicao", "custo_confiavel",
 ]
-# Attributes of the two large dimensions carried on every fact row (see ``fact_sales``).
+# Dimension attributes carried on every fact row (see ``fact_sales``).
 PRODUCT_ATTRIBUTES = ["codigo_produto", "descricao", "categoria"]
 CUSTOMER_ATTRIBUTES = ["codigo_cliente", "razao_social", "segmento", "regiao"]
+SELLER_ATTRIBUTES = ["nome_vendedor", "taxa_comissao"]
+DATE_ATTRIBUTES = ["data", "ano_mes"]
 
 
 def fact_sales(m: "Model") -> DataFrame:
@@ -127,14 +129,14 @@ def fact_sales(m: "Model") -> DataFrame:
     has to shuffle they bypass it instead of piling up in the one partition NULL keys hash to
     (walk-in sales may well be a third of all rows).
 
-    The table written has the reference's fact columns plus the product and customer
-    attributes of the very dimension rows it points to (member 0's for unknown customers).
-    They ride along in the two joins the fact needs anyway, and spare every analysis a join
-    back to a dimension that may be too large to broadcast: the analyses and the panel read
-    one table.  ``fact_columns`` gives the reference's column list.
+    The table written has the reference's fact columns plus the attributes of the very
+    dimension rows it points to (member 0's for unknown customers; the day and month of the
+    date key).  They ride along in the joins the fact needs anyway, and spare every analysis a
+    join back to a dimension, some of which may be too large to broadcast: the analyses and
+    the panel read one table.  ``fact_columns`` gives the reference's column list.
     """
     p = m.dim("dim_produto", "sk_produto", "custo_unitario", "custo_confiavel", *PRODUCT_ATTRIBUTES)
-    ve = m.dim("dim_vendedor", "cod_vendedor", "sk_vendedor", "taxa_comissao")
+    ve = m.dim("dim_vendedor", "cod_vendedor", "sk_vendedor", *SELLER_ATTRIBUTES)
     customer_columns = ["sk_cliente", *CUSTOMER_ATTRIBUTES]
     c = m.dim("dim_cliente", *customer_columns)
     sales = m["stg_vendas"].join(p, "codigo_produto").join(ve, "cod_vendedor")
@@ -179,6 +181,9 @@ def fact_sales(m: "Model") -> DataFrame:
         F.when(known, F.col("razao_social")).otherwise(F.lit(UNKNOWN_CUSTOMER[2])).alias("razao_social"),
         F.when(known, F.col("segmento")).alias("segmento"),
         F.when(known, F.col("regiao")).alias("regiao"),
+        *SELLER_ATTRIBUTES,
+        F.col("data_pedido").alias("data"),
+        F.date_format("data_pedido", "yyyy-MM").alias("ano_mes"),
     )
 
 
