@@ -74,6 +74,11 @@ def _pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*values), index + F.lit(1))
 
 
+def fits_one_bucket(df: DataFrame, max_rows: int | None) -> bool:
+    """Whether a known row bound lets ``ordered_scan`` run as one bounded window task."""
+    return max_rows is not None and max_rows <= max(1, _setting(df, "rowsPerBucket"))
+
+
 def ordered_scan(
     df: DataFrame,
     order: Sequence[tuple[str, bool]],
@@ -81,17 +86,19 @@ def ordered_scan(
     running: Mapping[str, str] | None = None,
     totals: Mapping[str, str] | None = None,
     seed: int = 17,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add a dense 1..n ``number`` in ``order``, inclusive ``running`` sums and grand ``totals``.
 
     ``running`` and ``totals`` map output column -> numeric source column; use exact types
-    (integers, decimals) so the sums do not depend on the bucket layout.
+    (integers, decimals) so the sums do not depend on the bucket layout.  ``max_rows`` is a
+    known upper bound of the input's rows; when it fits one bucket the counting pass is skipped.
     """
     running = dict(running or {})
     totals = dict(totals or {})
     sources = sorted(set(running.values()) | set(totals.values()))
-    n = df.count()
     rows_per_bucket = max(1, _setting(df, "rowsPerBucket"))
+    n = max_rows if max_rows is not None and max_rows <= rows_per_bucket else df.count()
     buckets = max(1, min(_setting(df, "maxBuckets"), math.ceil(n / rows_per_bucket)))
 
     key = _key(df, order)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, cents_sum, money, money_sum, pct, r1, r2
-from ..operators.ordered import ordered_scan
+from ..operators.ordered import fits_one_bucket, ordered_scan
 from ..sources.scratch import materialize
 from .model import Model
 
@@ -113,15 +113,21 @@ def customer_abc(m: Model) -> DataFrame:
     """A3: ABC curve of customers by revenue, crossed with profitability.
 
     Position and running share come from the bucketed ordered scan over the per-customer
-    totals (materialised once, since the scan reads them several times).  Revenue ties are
-    broken by the customer columns so positions are reproducible.
+    totals.  There are at most as many totals as rows in the customer dimension: when that
+    fits one bucket the totals are scanned once; otherwise they are materialised first, since
+    the bucketed scan reads them several times.  Revenue ties are broken by the customer
+    columns so positions are reproducible.
     """
     if "customer_abc" in m.memo:
         return m.memo["customer_abc"]
-    per_customer = materialize(customer_totals(m), "abc_totals")
+    per_customer = customer_totals(m)
+    bound = m.rows.get("dim_cliente")
+    if not fits_one_bucket(per_customer, bound):
+        per_customer, bound = materialize(per_customer, "abc_totals"), None
     order = [("receita_dec", True)] + [(c, False) for c in ABC_GROUP]
     scanned = ordered_scan(
-        per_customer, order, number="posicao", running={"acum_dec": "receita_dec"}, totals={"total_dec": "receita_dec"}
+        per_customer, order, number="posicao", running={"acum_dec": "receita_dec"}, totals={"total_dec": "receita_dec"},
+        max_rows=bound,
     )
     receita = money("receita_dec")
     margem = money("margem_dec")
