@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ledgerline.plans import analyses as A
 from ledgerline.plans import checks as Q
 
-# Business figures of the fixture (FIXTURES.md) at sf0.001.
-EXPECTED_SF0001 = {"kept": 4132, "fact": 3662, "reliable": 3460, "returns": 115, "loss_products": 71, "months": 80}
+# Business figures of the fixture (FIXTURES.md, measured independently) at sf0.001.
+EXPECTED_SF0001 = {"kept": 4132, "fact": 3662, "reliable": 3460, "returns": 115, "loss_products": 71, "months": 80,
+                   "orphans": 170, "products": 186, "abc": {"A": 98, "B": 31, "C": 18},
+                   "category_margins": [-19.0, 6.1, 8.2, 18.2, 20.3, 33.9]}
 
 
 def test_fixture_counts(model):
@@ -19,6 +21,11 @@ def test_fixture_counts(model):
     assert rel.filter(F.col("tipo_operacao") == "DEVOLUCAO").count() == EXPECTED_SF0001["returns"]
     assert A.loss_products(model).count() == EXPECTED_SF0001["loss_products"]
     assert A.monthly_trend(model).count() == EXPECTED_SF0001["months"]
+    assert rel.filter(F.col("sk_cliente") == 0).count() == EXPECTED_SF0001["orphans"]
+    assert rel.select("codigo_produto").distinct().count() == EXPECTED_SF0001["products"]
+    abc = {r.classe_abc: r.n for r in A.customer_abc(model).groupBy("classe_abc").agg(F.count("*").alias("n")).collect()}
+    assert abc == EXPECTED_SF0001["abc"]
+    assert sorted(r.margem_pct for r in A.margin_by_category(model).collect()) == EXPECTED_SF0001["category_margins"]
 
 
 def test_surrogate_keys_dense_and_unique(model):
