@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.numeric import r2
 from ..operators.joins import broadcast_if_small, broadcast_limit
