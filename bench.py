@@ -40,7 +40,7 @@ TIMED = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="ledgerline-bench")
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))), app="ledgerline-bench")
     scratch_root(spark)
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM and codegen warm-up
 
