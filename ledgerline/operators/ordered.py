@@ -87,12 +87,16 @@ def ordered_scan(
     totals: Mapping[str, str] | None = None,
     seed: int = 17,
     max_rows: int | None = None,
+    in_order: bool = False,
 ) -> DataFrame:
     """Add a dense 1..n ``number`` in ``order``, inclusive ``running`` sums and grand ``totals``.
 
     ``running`` and ``totals`` map output column -> numeric source column; use exact types
     (integers, decimals) so the sums do not depend on the bucket layout.  ``max_rows`` is a
     known upper bound of the input's rows; when it fits one bucket the counting pass is skipped.
+    With ``in_order`` the result comes out globally sorted without a separate sort shuffle: the
+    buckets are range-partitioned (whole buckets, in bucket order) for the window, then sorted
+    within each partition.
     """
     running = dict(running or {})
     totals = dict(totals or {})
@@ -127,10 +131,15 @@ def ordered_scan(
             out = out.withColumn(name, F.sum(src).over(frame).cast(_widen(df.schema[src].dataType)))
         for name, src in totals.items():
             out = out.withColumn(name, F.sum(src).over(Window.partitionBy(_BUCKET)).cast(_widen(df.schema[src].dataType)))
-        return out.drop(_BUCKET)
+        out = out.drop(_BUCKET)
+        return out.sortWithinPartitions(*natural_order(order)) if in_order else out
 
     dfb = df.withColumn(_BUCKET, _bucket_of(key, bounds))
     nb = len(bounds) + 1
+    if in_order:
+        # Range partitioning on the bucket also satisfies the window's clustering, so this is
+        # the window's only exchange.
+        dfb = dfb.repartitionByRange(nb, _BUCKET)
     stats = {
         r[_BUCKET]: r
         for r in dfb.groupBy(_BUCKET)
@@ -170,7 +179,8 @@ def ordered_scan(
     for name, src in totals.items():
         total = acc_s[src]
         out = out.withColumn(name, F.lit(total).cast(_widen(df.schema[src].dataType)))
-    return out.drop(_BUCKET)
+    out = out.drop(_BUCKET)
+    return out.sortWithinPartitions(*natural_order(order)) if in_order else out
 
 
 def _widen(t: T.DataType) -> T.DataType:

@@ -127,7 +127,7 @@ def customer_abc(m: Model) -> DataFrame:
     order = [("receita_dec", True)] + [(c, False) for c in ABC_GROUP]
     scanned = ordered_scan(
         per_customer, order, number="posicao", running={"acum_dec": "receita_dec"}, totals={"total_dec": "receita_dec"},
-        max_rows=bound,
+        max_rows=bound, in_order=True,
     )
     receita = money("receita_dec")
     margem = money("margem_dec")
@@ -146,7 +146,7 @@ def customer_abc(m: Model) -> DataFrame:
         r1("desconto_avg").alias("desconto_medio"),
         r1(F.lit(100.0) * share).alias("receita_acumulada_pct"),
         F.when(share <= 0.80, F.lit("A")).when(share <= 0.95, F.lit("B")).otherwise(F.lit("C")).alias("classe_abc"),
-    ).orderBy("posicao")
+    )  # already in position order (``in_order``): no sort shuffle
     m.memo["customer_abc"] = out
     return out
 

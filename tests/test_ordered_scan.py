@@ -71,3 +71,12 @@ def test_descending_text_rejected(spark):
     df = _data(spark, n=10)
     with pytest.raises(ValueError):
         ordered_scan(df, [("code", True)], number="pos")
+
+
+def test_in_order_output_is_globally_sorted_without_a_sort_shuffle(spark, small_buckets):
+    df = _data(spark)
+    order = [("v", True), ("code", False), ("tag", False), ("id", False)]
+    got = ordered_scan(df, order, number="pos", in_order=True)
+    assert [r.pos for r in got.select("pos").collect()] == list(range(1, df.count() + 1))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(__ordered_bucket" in plan and "rangepartitioning(v" not in plan
