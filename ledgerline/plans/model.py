@@ -124,8 +124,8 @@ def fact_sales(m: "Model") -> DataFrame:
     customer is a left join falling back to member 0.  The date key is computed from the date:
     the date dimension spans every sale date, so that join always matches and is not needed.
     Dimensions are broadcast only after a size check; otherwise Spark shuffles and AQE splits
-    skewed keys.  Sales without a customer code can match nothing, so when the customer join
-    has to shuffle they bypass it instead of piling up in the one partition NULL keys hash to
+    skewed keys.  Sales without a customer code can match nothing; when the customer join has to
+    shuffle they get a salted key instead of piling up in the one partition NULL keys hash to
     (walk-in sales may well be a third of all rows).
 
     The table written has the reference's fact columns plus the attributes of the very
@@ -142,12 +142,14 @@ def fact_sales(m: "Model") -> DataFrame:
     if m.is_broadcast("dim_cliente", *customer_columns):
         j = sales.join(c, "codigo_cliente", "left")
     else:
+        # Shuffle key of a sale without customer code: its own (order, item), flagged so that it
+        # can never equal a dimension code.  Those rows spread over all partitions and match
+        # nothing, exactly like a NULL key, in one pass over the sales.
         code = F.col("codigo_cliente")
-        j = sales.filter(code.isNotNull()).join(c, "codigo_cliente", "left").unionByName(
-            sales.filter(code.isNull()).select(
-                "*", *[F.lit(None).cast(c.schema[n].dataType).alias(n) for n in customer_columns if n != "codigo_cliente"]
-            )
-        )
+        salt = F.concat_ws(":", F.col("numero_pedido").cast("string"), F.col("sequencia_item").cast("string"))
+        left = sales.withColumn("__k", F.coalesce(code, salt)).withColumn("__orphan", code.isNull())
+        right = c.withColumnRenamed("codigo_cliente", "__k").withColumn("__orphan", F.lit(False))
+        j = left.join(right, ["__k", "__orphan"], "left").drop("__k", "__orphan")
 
     price, qty = F.col("preco_unitario"), F.col("quantidade")
     cost, rate = F.col("custo_unitario"), F.col("taxa_comissao")

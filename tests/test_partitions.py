@@ -54,7 +54,7 @@ def test_partition_count_does_not_change_results(spark, base, parts):
 
 
 def test_shuffle_joins_give_same_results(spark, base):
-    """Dimensions too big to broadcast: sort-merge joins, NULL customers bypassing the join."""
+    """Dimensions too big to broadcast: sort-merge joins, NULL customer codes on salted keys."""
     old = _with(spark, {
         "spark.ledgerline.broadcastMaxRows": "0",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
