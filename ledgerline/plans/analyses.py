@@ -121,7 +121,7 @@ def customer_abc(m: Model) -> DataFrame:
     if "customer_abc" in m.memo:
         return m.memo["customer_abc"]
     per_customer = customer_totals(m)
-    bound = m.rows.get("dim_cliente")
+    bound = m.row_count("dim_cliente")
     if not fits_one_bucket(per_customer, bound):
         per_customer, bound = materialize(per_customer, "abc_totals"), None
     order = [("receita_dec", True)] + [(c, False) for c in ABC_GROUP]

@@ -214,6 +214,10 @@ class Model(dict):
         df = self[name].select(*columns) if columns else self[name]
         return self._rows(name) <= broadcast_limit(df)
 
+    def row_count(self, name: str) -> int:
+        """Rows of a table of the model (recorded at write time, else counted once)."""
+        return self._rows(name)
+
     def _rows(self, name: str) -> int:
         if name not in self.rows:
             self.rows[name] = self[name].count()
@@ -275,7 +279,7 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
             "seller_span",
         )
         m["dim_vendedor"] = keep(dim_seller(span), "dim_vendedor", count=True)
-        m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo", count=True)
+        m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo")
 
     def product_chain() -> None:
         m["raw_produtos"] = keep(raw["raw_produtos"], "raw_produtos")
