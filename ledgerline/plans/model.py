@@ -278,8 +278,10 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
             ),
             "seller_span",
         )
-        m["dim_vendedor"] = keep(dim_seller(span), "dim_vendedor", count=True)
-        m["dim_tempo"] = keep(dim_date(span, "primeira", "ultima"), "dim_tempo")
+        with ThreadPoolExecutor(max_workers=2, thread_name_prefix="model-span") as side:
+            seller = side.submit(lambda: keep(dim_seller(span), "dim_vendedor", True))
+            dates = side.submit(lambda: keep(dim_date(span, "primeira", "ultima"), "dim_tempo"))
+            m["dim_vendedor"], m["dim_tempo"] = seller.result(), dates.result()
 
     def product_chain() -> None:
         m["raw_produtos"] = keep(raw["raw_produtos"], "raw_produtos")
