@@ -80,3 +80,11 @@ def test_in_order_output_is_globally_sorted_without_a_sort_shuffle(spark, small_
     assert [r.pos for r in got.select("pos").collect()] == list(range(1, df.count() + 1))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning(__ordered_bucket" in plan and "rangepartitioning(v" not in plan
+
+
+def test_empty_and_single_row(spark, small_buckets):
+    empty = _data(spark, n=3).limit(0)
+    assert ordered_scan(empty, [("id", False)], number="pos", running={"run": "v"}).count() == 0
+    one = _data(spark, n=1)
+    r = ordered_scan(one, [("v", True), ("id", False)], number="pos", running={"run": "v"}, totals={"tot": "v"}).first()
+    assert r.pos == 1 and r.run == r.v and r.tot == r.v
