@@ -1,6 +1,7 @@
 """Benchmark: build the sales model and run every analysis at one scale factor.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_SHUFFLE_PARTITIONS (default twice the cores, at least 8).
 Prints one JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf"}.
 Each query is forced with the ``noop`` sink, so the whole plan runs without collecting rows.
 """
@@ -40,7 +41,8 @@ TIMED = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))), app="ledgerline-bench")
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus)))
+    spark = local_session(cpus, shuffle_partitions=partitions, app="ledgerline-bench")
     scratch_root(spark)
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM and codegen warm-up
 
