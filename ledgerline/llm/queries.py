@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, packing, quality_rules, substring_dedup
+from . import minhash, packing, quality_rules, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
     "op5_quality_rules": quality_rules.query,
+    "op7_toxicity": toxicity.query,
     "op8_packing": packing.query,
     "op10_substring_dedup": substring_dedup.query,
 }
