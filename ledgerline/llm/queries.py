@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, packing, quality_rules, substring_dedup, toxicity
+from . import html_text, minhash, packing, quality_rules, substring_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
+    "op2_warc": warc.query,
     "op5_quality_rules": quality_rules.query,
     "op7_toxicity": toxicity.query,
     "op8_packing": packing.query,
+    "op9_html_extraction": html_text.query,
     "op10_substring_dedup": substring_dedup.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.SQL,
+    "op2_warc": warc.SQL,
     "op5_quality_rules": quality_rules.SQL,
 }
