@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, minhash, nearest, packing, pieces, quality_rules, substring_dedup, toxicity, warc
+from . import html_text, minhash, nearest, packing, pieces, quality_knn, quality_rules, substring_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
     "op2_warc": warc.query,
     "op3_nearest_neighbours": nearest.query,
+    "op4_quality_classifier": quality_knn.query,
     "op5_quality_rules": quality_rules.query,
     "op6_piece_encoding": pieces.query,
     "op7_toxicity": toxicity.query,
