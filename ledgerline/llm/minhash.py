@@ -2,14 +2,15 @@
 buckets, star-shaped candidate edges, exact confirmation on full shingle sets.
 
 1. One pass over the texts gives every document its shingle count, a hash of its whole shingle
-   set and ``BANDS`` bucket keys.  Documents with equal sets form one class; only one member of
-   a class goes on, so copies by the thousand cost one row.
+   set, ``BANDS`` bucket keys and one byte of every bin of its signature.  Documents with equal
+   sets form one class; only one member of a class goes on, so copies by the thousand cost one row.
 2. Buckets with two or more classes survive.  In each, the member whose buckets are the fullest
    (the natural hub of a group of near copies) is linked to every other member: a star, not all
    pairs.  Star edges are confirmed on full sets and components are formed.
-3. Stars alone could miss a link between two leaves.  So buckets that still hold more than one
-   component drop their used centres and get new ones, twice as many as the round before, until
-   every pair of a bucket either lies in one component or was compared.  This is the exact rest.
+3. Stars alone could miss a link between two leaves.  Buckets whose leaves lie in more than one
+   component are therefore searched in blocks: signatures are compared within a task, and only
+   pairs over different components come out, each from the first bucket that it shares, whose
+   estimated similarity is within 5 standard deviations of the threshold.  They are confirmed too.
 
 With 40 bands of 6 rows, a pair at the threshold (0.85) shares no bucket with probability 1e-10.
 
@@ -35,11 +36,18 @@ SHINGLE = 5
 BANDS = 40
 ROWS = 6
 THRESHOLD = 85  # percent
-_BINS = BANDS * ROWS
+#: Bins of a signature; the first BANDS x ROWS of them make the bands.
+_BINS = 512
+#: Lowest estimate that is confirmed: at 0.85 the estimate's standard deviation is 0.016.
+_ESTIMATE = 0.765
+#: Members of a bucket that meet in one task at a time.
+BLOCK = 512
+#: Most ids that are broadcast to pick their texts (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 _U = np.uint64
 #: Lowest 64-bit value of every bin: bins cut the hash range evenly.
 _EDGES = np.array([-(-(b << 64) // _BINS) for b in range(_BINS)], dtype=np.uint64)
-_DONOR_TRIES = 64
+_DONOR_TRIES = 256
 
 
 def _donors(attempt: int) -> np.ndarray:
@@ -49,7 +57,7 @@ def _donors(attempt: int) -> np.ndarray:
 
 
 _TRIES = [_donors(a) for a in range(_DONOR_TRIES)]
-_ROW_CODES = constants(_BINS, 77).reshape(BANDS, ROWS)
+_ROW_CODES = constants(BANDS * ROWS, 77).reshape(BANDS, ROWS)
 _BAND_CODES = constants(BANDS, 78)
 
 
@@ -70,45 +78,55 @@ def shingle_sets(texts: list[bytes | None]) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """One-permutation minima of the bins; an empty bin copies the bin that its hash sequence
-    finds first among the filled ones (optimal densification)."""
-    at = np.searchsorted(shingles, _EDGES)
-    upto = np.append(at[1:], len(shingles))
-    filled = upto > at
-    out = shingles[np.minimum(at, len(shingles) - 1)]
-    empty = np.flatnonzero(~filled)
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """One-permutation minima of the bins, a row for each (non-empty) set; an empty bin copies the
+    bin that its hash sequence finds first among the filled ones (optimal densification)."""
+    out = np.empty((len(sets), _BINS), np.uint64)
+    filled = np.empty((len(sets), _BINS), bool)
+    for row, s in enumerate(sets):
+        at = np.searchsorted(s, _EDGES)
+        filled[row, :-1] = at[1:] > at[:-1]
+        filled[row, -1] = len(s) > at[-1]
+        out[row] = s[np.minimum(at, len(s) - 1)]
+    row, empty = np.nonzero(~filled)
     attempt = 0
-    while len(empty):
+    while len(row):
         donor = (_TRIES[attempt] if attempt < _DONOR_TRIES else _donors(attempt))[empty]
-        hit = filled[donor]
-        out[empty[hit]] = out[donor[hit]]
-        empty = empty[~hit]
+        hit = filled[row, donor]
+        out[row[hit], empty[hit]] = out[row[hit], donor[hit]]
+        row, empty = row[~hit], empty[~hit]
         attempt += 1
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    return mix((sig.reshape(BANDS, ROWS) * _ROW_CODES).sum(axis=1, dtype=np.uint64) + _BAND_CODES)
+def band_keys(sigs: np.ndarray) -> np.ndarray:
+    cells = sigs[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+    return mix((cells * _ROW_CODES).sum(axis=2, dtype=np.uint64) + _BAND_CODES)
+
+
+_SKETCH = "doc_id bigint, n_shingles bigint, set_hash bigint, bands array<bigint>, signature binary"
 
 
 def _sketch(batches):
     for batch in batches:
-        counts, sets, keys, bounds = [], [], [], [0]
-        for s in shingle_sets(text_bytes(batch.column("text"))):
-            counts.append(len(s))
-            sets.append(mix(s ^ _U(0x5BD1E995)).sum(dtype=np.uint64) if len(s) else _U(0))
-            if len(s):
-                keys.append(band_keys(signature(s)))
-            bounds.append(bounds[-1] + (BANDS if len(s) else 0))
+        sets = list(shingle_sets(text_bytes(batch.column("text"))))
+        counts = np.array([len(s) for s in sets], np.int64)
+        hashes = np.array([mix(s ^ _U(0x5BD1E995)).sum(dtype=np.uint64) for s in sets], np.uint64)
+        full = [s for s in sets if len(s)]
+        keys, low = [], []
+        for at in range(0, len(full), 512):
+            sigs = signatures(full[at : at + 512])
+            keys.append(band_keys(sigs).ravel())
+            low += [r.tobytes() for r in sigs.astype(np.uint8)]
         flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        low = iter(low)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(np.array(counts, np.int64)),
-                pa.array(np.array(sets, np.uint64).view(np.int64)),
-                list_column(flat.view(np.int64), np.array(bounds), pa.int64()),
+                batch.column("doc_id"), pa.array(counts), pa.array(hashes.view(np.int64)),
+                list_column(flat.view(np.int64), np.cumsum([0, *np.where(counts > 0, BANDS, 0)]), pa.int64()),
+                pa.array([next(low) if n else b"" for n in counts], pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "set_hash", "bands"],
+            names=["doc_id", "n_shingles", "set_hash", "bands", "signature"],
         )
 
 
@@ -123,9 +141,9 @@ def _full_sets(batches):
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, bands) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, set_hash, bands, signature) of every row of ``docs`` (doc_id, text)."""
     ids = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return ids.mapInArrow(_sketch, "doc_id bigint, n_shingles bigint, set_hash bigint, bands array<bigint>")
+    return ids.mapInArrow(_sketch, _SKETCH)
 
 
 def _may_link(n: str, m: str) -> Column:
@@ -134,13 +152,20 @@ def _may_link(n: str, m: str) -> Column:
     return small * 100 >= large * THRESHOLD
 
 
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is in ``ids``; ids are broadcast when they are counted to be few."""
+    ids = kept(ids.distinct(), "ids")
+    few = ids.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose full shingle sets reach the threshold.
 
     Sets are made again from the texts, for the documents that occur in a pair only.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    texts = _only(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), ids)
     sets = texts.mapInArrow(_full_sets, "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
     sets = kept(sets, "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
@@ -150,76 +175,103 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.filter(F.col("i") * 100 >= (F.col("n") + F.col("m") - F.col("i")) * THRESHOLD).select("a", "b")
 
 
-def _popular(members: DataFrame) -> DataFrame:
-    """Members (bucket, id, n) of buckets that hold two or more, with the fullness of the
-    member's buckets; written, as every later round starts from it."""
+def _cells(batches: pa.Table) -> pa.Table:
+    """Pairs of one bucket's block pair that lie in different components, may link by size and
+    estimate, and share no earlier band."""
+    rows = batches
+    names, out = ["a", "b"], ([], [])
+    ids, block = rows["id"].to_numpy(), rows["block"].to_numpy()
+    component, n = rows["component"].to_numpy(), rows["n"].to_numpy()
+    sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(len(ids), _BINS)
+    low, high, band = (rows[c][0].as_py() for c in ("low", "high", "band"))
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    for at in range(0, len(left), 16):
+        x = left[at : at + 16]
+        ok = component[x][:, None] != component[right][None, :]
+        ok &= (ids[x][:, None] < ids[right][None, :]) | (low != high)
+        small, large = np.minimum(n[x][:, None], n[right][None, :]), np.maximum(n[x][:, None], n[right][None, :])
+        ok &= small * 100 >= large * THRESHOLD
+        i, j = np.nonzero(ok)
+        if not len(i):
+            continue
+        same = sig[x[i]] == sig[right[j]]
+        near = same.mean(axis=1) >= _ESTIMATE
+        earlier = same[:, : band * ROWS].reshape(len(i), band, ROWS).all(axis=2).any(axis=1) if band else np.zeros(len(i), bool)
+        go = near & ~earlier
+        a, b = ids[x[i[go]]], ids[right[j[go]]]
+        out[0].append(np.minimum(a, b))
+        out[1].append(np.maximum(a, b))
+    columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
+
+
+def _leaf_pairs(members: DataFrame, sketches: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The pairs that the stars left untested and that may link.
+
+    ``members`` (bucket, band, id, n, size) without the buckets' centres.
+    """
+    if found is None:
+        members = members.withColumn("component", F.col("id"))
+    else:
+        members = members.join(found.withColumnRenamed("node", "id"), "id", "left")
+        members = members.withColumn("component", F.coalesce("component", "id"))
+    members = kept(members, "leaves")
+    mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    mixed = members.join(mixed.select("bucket"), "bucket", "left_semi")
+    mixed = kept(mixed, "mixed")
+    signed = _only(sketches.select("doc_id", "signature"), mixed.select(F.col("id").alias("doc_id")))
+    mixed = mixed.join(signed.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "id")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    mixed = mixed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    mixed = mixed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    cells = mixed.select("bucket", "low", "high", "block", "band", "id", "n", "component", "signature")
+    return cells.groupBy("bucket", "low", "high").applyInArrow(_cells, "a bigint, b bigint")
+
+
+def link_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """(node, component) over all classes that link with another one, if any do.
+
+    ``classes`` has one row (id, n, bands) per distinct shingle set; ``sketches`` has the
+    signatures.
+    """
+    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "id", "n")
     full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = kept(members.join(full, "bucket"), "buckets")
+    # Fullest member of each bucket: a sum per member, then a maximum per bucket, both partial.
     fullness = shared.groupBy("id").agg(F.sum("size").alias("pop"))
-    return shared.select("bucket", "id", "n").join(fullness, "id")
-
-
-def _stars(members: DataFrame, centres: int) -> DataFrame:
-    """Up to ``centres`` centres of every bucket: of each slot (a hash of the id), the fullest."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(centres))
-    best = F.max(F.struct("pop", (-F.col("id")).alias("low"), "n", "component"))
-    found = members.groupBy("bucket", slot.alias("slot")).agg(best.alias("c"))
-    return found.select(
-        "bucket", (-F.col("c.low")).alias("centre"), F.col("c.n").alias("cn"), F.col("c.component").alias("cc")
-    )
-
-
-def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, component) over all classes that link with another one.
-
-    ``classes`` has one row (id, n, bands) per distinct shingle set.
-    """
-    members = classes.select(F.explode("bands").alias("bucket"), "id", "n").distinct()
-    members = kept(_popular(members), "members").withColumn("component", F.col("id"))
-    tested = links = found = None
-    centres = 1
-    while True:
-        stars = kept(_stars(members, centres), "stars")
-        pairs = members.join(stars, "bucket").filter((F.col("cc") != F.col("component")) & _may_link("n", "cn"))
-        pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = kept(pairs, "pairs")
-        if not pairs.isEmpty():
-            good = kept(confirm(pairs, docs), "links")
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            if not good.isEmpty():
-                links = good if links is None else links.unionByName(good)
-                found = kept(components(links), "components")
-        used = stars.select("bucket", F.col("centre").alias("id"))
-        rest = members.drop("component").join(used, ["bucket", "id"], "left_anti")
-        if found is None:
-            rest = rest.withColumn("component", F.col("id"))
-        else:
-            rest = rest.join(found.withColumnRenamed("node", "id"), "id", "left")
-            rest = rest.withColumn("component", F.coalesce("component", "id"))
-        rest = kept(rest, "rest")
-        mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-        members = kept(rest.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
-        if members.isEmpty():
-            break
-        centres *= 2
-    if found is None:
-        return classes.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
+    best = F.max(F.struct("pop", (-F.col("id")).alias("low"), "n"))
+    centres = shared.join(fullness, "id").groupBy("bucket").agg(best.alias("c"))
+    centres = centres.select("bucket", (-F.col("c.low")).alias("centre"), F.col("c.n").alias("cn"))
+    stars = kept(shared.join(centres, "bucket").filter("id <> centre"), "stars")
+    pairs = stars.filter(_may_link("n", "cn"))
+    pairs = kept(pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "pairs")
+    links = kept(confirm(pairs, docs), "links")
+    found = None if links.isEmpty() else kept(components(links), "components")
+    leaves = stars.filter("size > 2").select("bucket", "band", "id", "n", "size")
+    rest = _leaf_pairs(leaves, sketches, found).distinct().join(pairs, ["a", "b"], "left_anti")
+    rest = kept(rest, "rest")
+    if not rest.isEmpty():
+        more = kept(confirm(rest, docs), "links")
+        if not more.isEmpty():
+            found = kept(components(links.unionByName(more)), "components")
     return found
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     sketches = kept(sketch(docs), "sketch")
-    sets = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    sets = sketches.drop("signature").filter("n_shingles > 0 AND doc_id IS NOT NULL")
     lowest = sets.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("id"))
     lowest = kept(lowest, "classes")
     one = sets.join(lowest.withColumnRenamed("id", "doc_id"), ["set_hash", "n_shingles", "doc_id"], "left_semi")
     one = one.dropDuplicates(["doc_id"])
     classes = one.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands")
-    groups = link_classes(classes, docs)
-    of_set = lowest.join(groups.withColumnRenamed("node", "id"), "id", "left")
+    groups = link_classes(classes, sketches, docs)
+    if groups is None:
+        of_set = lowest.withColumn("component", F.col("id"))
+    else:
+        of_set = lowest.join(groups.withColumnRenamed("node", "id"), "id", "left")
     of_set = of_set.select("set_hash", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     out = sketches.select("doc_id", "n_shingles", "set_hash").join(of_set, ["set_hash", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
