@@ -22,8 +22,9 @@ without doc_id are documents like others.  Extra columns are not looked at.
 
 from __future__ import annotations
 
-import unicodedata
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -56,7 +57,8 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.split = regex.compile(SPLIT)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.unusual = re.compile("|".join(["[\x1c-\x1f\u0130\u0250-\U0010ffff]", *special]))
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in shown]
         self.byte_names = {b: 256 + i for i, b in enumerate(rest)}  # bytes without a printable sign of their own
@@ -64,39 +66,37 @@ class Ids:
         self.old: dict[str, bytes] = {}
 
     def _exact(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one match of the split pattern, in lower case."""
+        name = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.byte_names)
+        return array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
 
     def _part(self, part: str) -> bytes:
-        """Ids of a part that is not among the young entries."""
+        """Ids of a lower-case part that is not among the young entries."""
         known = self.old.get(part)
         if known is None:
-            # Below U+0250 no character composes with another and the pattern is plain; whatever
-            # else there may be goes through the whole tokenizer.
-            if max(part) >= "ɐ" or ("<|" in part and any(s in part for s in self.special)):
-                known = self._exact(part)
+            if part.isalpha():
+                known = self._word(part)
+            elif (word := part[:-1]).isalpha():  # a word and one sign
+                known = (self.young.get(word) or self._part(word)) + (self.young.get(part[-1]) or self._part(part[-1]))
             else:
-                lower = part.lower() if part.isascii() else "".join(c.lower() for c in part)
-                if lower.isascii() and lower.isalpha():
-                    known = np.array([t.id for t in self.model.tokenize(lower)], "<u4").tobytes()
-                elif not lower.isascii() and not unicodedata.is_normalized("NFC", lower):
-                    known = self._exact(part)
-                else:
-                    ids = []
-                    for word in self.split.findall(lower):
-                        name = word.encode().decode("latin-1").translate(self.byte_names)
-                        ids += [t.id for t in self.model.tokenize(name)]
-                    known = np.array(ids, "<u4").tobytes()
+                known = b"".join(map(self._word, self.split.findall(part)))
         if len(self.young) >= REMEMBERED:
             self.old, self.young = self.young, {}
         self.young[part] = known
         return known
 
     def __call__(self, text: str) -> bytes:
-        # Python's split() also breaks at the four ASCII separators, which are no white space here.
-        if not text.isprintable() and any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        # Below U+0250, but for a capital that becomes two signs, lower case is sign by sign, no two
+        # signs compose and the split pattern is plain.  Python's split() also breaks at the four
+        # ASCII separators, which are no white space to the tokenizer.  Other texts, and texts with
+        # a special token's string, go through the whole tokenizer.
+        if self.unusual.search(text):
             return self._exact(text)
         known, part = self.young.get, self._part
-        return b"".join([known(p) or part(p) for p in text.split()])
+        return b"".join([known(p) or part(p) for p in text.lower().split()])
 
 
 _LOADED: dict[str, Ids] = {}
