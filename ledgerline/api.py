@@ -10,7 +10,8 @@ from .plans import analyses as A
 from .plans import checks as Q
 from .plans.model import Model, build_model, fact_columns
 from .plans.staging import dedupe_sales, stg_customers, stg_products
-from .session import scratch_root
+from .session import new_scratch_dir, scratch_root
+from .sources import io
 from .sources.fixture import raw_customers, raw_products, raw_sales
 
 
@@ -46,11 +47,48 @@ def _raw(fn: Callable[[DataFrame], DataFrame] | None, source) -> Callable[[Spark
     return run
 
 
+def _csv(name: str, source, reader) -> Callable[[SparkSession, str], DataFrame]:
+    """An export written in the ERP's layout and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_scratch_dir(spark, f"csv-{name}")
+        return reader(spark, io.write_raw_exports({name: source(spark, sf_dir)}, folder)[name])
+
+    run.__name__ = f"csv_{name}"
+    return run
+
+
+def _exported_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the model written as Parquet; the fact read back."""
+    m = _model(spark, sf_dir)
+    tables = {t: m[t] for t in ("dim_produto", "dim_cliente", "dim_vendedor", "dim_tempo")}
+    paths = io.export_model(tables | {"fct_vendas": fact_columns(m["fct_vendas"])}, new_scratch_dir(spark, "export"))
+    return spark.read.parquet(paths["fct_vendas"])
+
+
+def _exported_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel written as CSV and read back as text."""
+    panel, path = A.panel(_model(spark, sf_dir)), new_scratch_dir(spark, "panel-csv")
+    io.export_panel_csv(panel, path)
+    return io.read_raw_csv(spark, path, panel.columns, ",")
+
+
+def _exported_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report sheets written as CSV; the monthly one read back as text."""
+    m = _model(spark, sf_dir)
+    views = {sheet: getattr(A, name)(m) for sheet, name in io.REPORTS.items()}
+    paths = io.export_reports(views, new_scratch_dir(spark, "reports"))
+    return io.read_raw_csv(spark, paths["por_mes"], views["por_mes"].columns, ",")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources (the raw exports, projected from the test tables)
     "raw_sales": _raw(None, raw_sales),
     "raw_products": _raw(None, raw_products),
     "raw_customers": _raw(None, raw_customers),
+    "csv_sales": _csv("raw_vendas", raw_sales, io.read_raw_sales),
+    "csv_products": _csv("raw_produtos", raw_products, io.read_raw_products),
+    "csv_customers": _csv("raw_clientes", raw_customers, io.read_raw_customers),
     # staging
     "dedupe_by_key": _raw(dedupe_sales, raw_sales),
     "stg_products": _raw(stg_products, raw_products),
@@ -73,6 +111,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loss_products": _on_model(A.loss_products),
     "seller_performance": _on_model(A.seller_performance),
     "panel": _on_model(A.panel),
+    # sinks
+    "export_model": _exported_model,
+    "export_panel_csv": _exported_panel,
+    "export_reports": _exported_report,
     # checks
     "load_counts": _on_model(Q.load_counts),
     "dimension_counts": _on_model(Q.dimension_counts),

@@ -27,6 +27,7 @@ CAST_BLANKS = "\t\n\x0b\f\r "
 # Digits may be grouped by single underscores between digits (``1_000``).
 _DIGITS = r"\d+(?:_\d+)*"
 _NUMBER = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\z|^(?i)[+-]?(inf|infinity|nan)\z"
+_WHOLE = rf"^[+-]?{_DIGITS}\z"
 _DMY_SLASH = r"^\d{2}/\d{2}/\d{4}\z"
 _YMD_DASH = r"^\d{4}-\d{2}-\d{2}\z"
 _DMY_SHORT = r"^\d{2}-\d{2}-\d{2}\z"
@@ -56,10 +57,8 @@ def to_num(v: Column | str) -> Column:
     ``89.90`` -> 89.9, ``R$ 1.234,56`` -> 1234.56, ``1.234.567`` -> NULL.
     """
     x = trim_spaces(F.replace(F.replace(_text(v), F.lit("R$"), F.lit("")), F.lit(" "), F.lit("")))
-    both = x.contains(".") & x.contains(",")
-    s = F.when(both, F.replace(F.replace(x, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).otherwise(
-        F.replace(x, F.lit(","), F.lit("."))
-    )
+    # Without a comma the text stays as it is; with one, dots can only be thousands separators.
+    s = F.when(x.contains(","), F.translate(x, ",.", ".")).otherwise(x)
     return to_double_strict(s)
 
 
@@ -94,11 +93,28 @@ def flag_yes(v: Column | str) -> Column:
     return F.upper(trim_spaces(v)) == F.lit("S")
 
 
-def to_int_like_cast(v: Column | str) -> Column:
-    """Strict text -> int the way the reference's ``CAST(x AS INTEGER)`` behaves.
+def _int_parts(v: Column | str) -> tuple[Column, Column, Column]:
+    """Trimmed text, its value when it is a plain whole number, its rounded value otherwise.
 
-    A decimal text rounds (``'12.7'`` -> 13) and bad text raises, as there.  Integer text is cast
-    directly so large keys keep full precision.
+    Whole numbers are cast directly so large keys keep full precision; a decimal text rounds
+    (``12.7`` -> 13), digits may be grouped (``1_000``), and ``inf`` and ``nan`` are no integers.
     """
     s = F.btrim(_text(v), F.lit(CAST_BLANKS))
-    return F.when(s.rlike(r"^[+-]?\d+\z"), s.cast("int")).otherwise(F.round(s.cast("double")).cast("int"))
+    whole = F.when(s.rlike(_WHOLE), F.replace(s, F.lit("_"), F.lit("")))
+    x = to_double_strict(s)
+    finite = F.when(F.abs(x) < F.lit(float("inf")), x)
+    return s, whole, F.round(finite)
+
+
+def try_int(v: Column | str) -> Column:
+    """Text -> int, NULL for bad text or a value out of range (the converter check's form)."""
+    _, whole, rounded = _int_parts(v)
+    return F.when(whole.isNotNull(), whole.try_cast("int")).otherwise(rounded.try_cast("int"))
+
+
+def to_int_like_cast(v: Column | str) -> Column:
+    """Text -> int the way the reference's strict cast behaves: what ``try_int`` can't convert
+    raises."""
+    s = F.btrim(_text(v), F.lit(CAST_BLANKS))
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), s)).cast("int")
+    return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(try_int(v), bad))

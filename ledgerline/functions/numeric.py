@@ -1,4 +1,4 @@
-"""Rounding and exact money sums.
+"""Rounding and exact sums.
 
 The reference rounds doubles by binary scaling: ``round(x * 10^n) / 10^n`` with halves away from
 zero, keeping the sign of a zero result.  Spark's ``round(x, n)`` rounds the shortest decimal text
@@ -7,19 +7,22 @@ drops the sign of zero.  ``rint`` (round half to even, in plain double arithmeti
 result as the reference except on exact halves, which are detected exactly and moved away from
 zero; the expression stays inside generated code with no allocation.
 
-Money columns of the fact are rounded to cents, so ``rint(x * 100)`` is their exact integer
-number of cents.  Sums are taken over those cents as ``decimal(18,0)`` values: exact, independent of
-partitioning and merge order, and safe from overflow at any realistic volume (a 64-bit sum of
-cents could overflow on a very large fact).  A sum is turned back into a double money value with
-``money``, the same conversion the reference's engine applies to a ``decimal(.., 2)`` sum.
+A sum is kept in two parts.  Amounts below 10^15 are summed as whole decimal units (cents for
+money), exactly and in any order.  Whatever is left (infinite, not a number, or too large for whole
+units) is summed as doubles, the way the reference sums everything.  ``total`` puts both together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-CENTS_SUM = "decimal(18,0)"
+_UNITS = "decimal(19,0)"
+# Amounts from here on are summed as doubles.
+_LARGE = 1e15
+MONEY = 100
+# Discounts are averaged to this many units per point.
+RATE = 10_000
 
 
 def _c(v: Column | str) -> Column:
@@ -33,8 +36,10 @@ def round_half_away(y: Column) -> Column:
 
 
 def round_to(v: Column | str, places: int) -> Column:
-    scale = F.lit(float(10**places))
-    return round_half_away(_c(v) * scale) / scale
+    """Like the reference, a value that scaling would make infinite comes back as it is."""
+    scale, x = F.lit(float(10**places)), _c(v)
+    finite = F.abs(x) < F.lit(1e300)
+    return F.when(finite, round_half_away(x * scale) / scale).otherwise(x)
 
 
 def r2(v: Column | str) -> Column:
@@ -45,30 +50,50 @@ def r1(v: Column | str) -> Column:
     return round_to(v, 1)
 
 
-def cents(v: Column | str) -> Column:
-    """Exact cents of a cents-rounded money column, as a long."""
-    return F.rint(_c(v) * F.lit(100.0)).cast("long")
+def exact_sum(v: Column | str, units: int = MONEY) -> Column:
+    """Sum of ``v`` as a struct: ``whole`` in units, ``rest`` as a double (NULL if there is none)."""
+    x = _c(v)
+    whole = F.abs(x) < F.lit(_LARGE)
+    # Cut to the range first: ANSI casts raise on what ``when`` leaves out only if evaluated.
+    unit = F.when(whole, F.rint(x * F.lit(float(units))).cast(_UNITS))
+    return F.struct(F.sum(unit).alias("whole"), F.sum(F.when(~whole, x)).alias("rest"))
 
 
-def money_sum(v: Column | str) -> Column:
-    """Exact sum of a money column, in cents (decimal)."""
-    return F.sum(cents(v).cast(CENTS_SUM))
+def total(s: Column | str, units: int = MONEY) -> Column:
+    """The double value of a sum made by ``exact_sum``; NULL if nothing was summed."""
+    c = _c(s)
+    whole, rest = c["whole"].cast("double") / F.lit(float(units)), c["rest"]
+    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
 
 
-def cents_sum(c: Column) -> Column:
-    """Exact sum of a cents expression (e.g. a difference of two ``cents``)."""
-    return F.sum(c.cast(CENTS_SUM))
+def total_of_both(a: Column | str, b: Column | str, units: int = MONEY) -> Column:
+    """``total`` of two sums added; NULL if one of them is."""
+    x, y = _c(a), _c(b)
+    whole = (x["whole"] + y["whole"]).cast("double") / F.lit(float(units))
+    plain = x["rest"].isNull() & y["rest"].isNull()
+    return F.when(plain, whole).otherwise(total(x, units) + total(y, units))
 
 
-def money(total_cents: Column | str) -> Column:
-    """Cents (exact) -> money as double."""
-    return _c(total_cents).cast("double") / F.lit(100.0)
+def grand_total(s: Column | str, units: int = MONEY) -> Column:
+    """``total`` over all rows of a small grouped result."""
+    c, w = _c(s), Window.partitionBy()
+    both = F.struct(F.sum(c["whole"]).over(w).alias("whole"), F.sum(c["rest"]).over(w).alias("rest"))
+    return total(both, units)
+
+
+def exact_mean(s: Column | str, n: Column | str, units: int = RATE) -> Column:
+    """Mean from a sum and the count of its values."""
+    return F.try_divide(total(s, units), _c(n))
 
 
 def as_double(v: Column | str) -> Column:
     return _c(v).cast("double")
 
 
+def ratio(num: Column, den: Column) -> Column:
+    return num / F.nullif(den, F.lit(0.0))
+
+
 def pct(num: Column, den: Column, places: int = 1) -> Column:
-    """``round(100.0 * num / nullif(den, 0), places)`` on doubles."""
+    """``100 * num / den`` rounded; NULL for a zero ``den``."""
     return round_to(F.lit(100.0) * as_double(num) / F.nullif(as_double(den), F.lit(0.0)), places)

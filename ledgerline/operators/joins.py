@@ -1,7 +1,9 @@
-"""Joins against dimension tables with an explicit size check before broadcasting."""
+"""Joins against dimension tables: broadcast by measured size, hot keys dealt out otherwise."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,38 +12,54 @@ _ROWS = "spark.ledgerline.broadcastMaxRows"
 _BYTES = "spark.ledgerline.broadcastMaxBytes"
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-# Width assumed per value when sizing a broadcast (strings and other variable-width values get
-# a generous fixed allowance; the row count is exact).
-_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
-    T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-}
-_VARIABLE_WIDTH = 48
+# Bytes of a row besides its text: row header, and a fixed slot per column.
+_ROW_BYTES, _SLOT_BYTES = 16, 16
+# A key is hot from this share of a mean partition on; so at most this many times the partitions
+# can be hot.
+_HOT_SHARE = 4
 
 
-def row_width(schema: T.StructType) -> int:
-    """Estimated bytes per row of ``schema`` (plus a fixed per-row overhead)."""
-    return 16 + sum(_WIDTH.get(type(f.dataType), _VARIABLE_WIDTH) for f in schema.fields)
+def measured(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """Row count of ``df`` and the bytes of every text column, in one aggregate."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    sums = [F.coalesce(F.sum(F.octet_length(c).cast("bigint")), F.lit(0)).alias(c) for c in texts]
+    row = df.agg(F.count(F.lit(1)).alias("__rows"), *sums).first()
+    return row["__rows"], {c: row[c] for c in texts}
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """Largest row count of ``df`` that may be broadcast: the row cap, lowered by the byte budget."""
+def fits_broadcast(df: DataFrame, rows: int, text_bytes: dict[str, int]) -> bool:
+    """Whether the columns of ``df``, of measured size, are within the row and byte bounds."""
     conf = df.sparkSession.conf
-    rows = int(conf.get(_ROWS, str(DEFAULT_BROADCAST_MAX_ROWS)))
-    budget = int(conf.get(_BYTES, str(DEFAULT_BROADCAST_MAX_BYTES)))
-    return min(rows, budget // row_width(df.schema))
+    size = rows * (_ROW_BYTES + _SLOT_BYTES * len(df.columns)) + sum(text_bytes.get(c, 0) for c in df.columns)
+    return rows <= int(conf.get(_ROWS, str(DEFAULT_BROADCAST_MAX_ROWS))) and size <= int(
+        conf.get(_BYTES, str(DEFAULT_BROADCAST_MAX_BYTES))
+    )
 
 
-def broadcast_if_small(dim: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark ``dim`` for broadcast only when its size is proven small.
+def join_dealt(facts: DataFrame, dim: DataFrame, key: str, spread: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join of ``facts`` and ``dim`` on ``key`` in which no key lands in one task.
 
-    ``rows`` is a known row count (recorded when the dimension was written); without it the rows
-    are counted, stopping once the bound is passed.  The bound is a row cap and a byte budget
-    for the selected columns.  Above it the dimension is returned unchanged: Spark plans a
-    shuffle join, and AQE may still re-plan it from runtime sizes and split skewed partitions.
+    Keys that hold more than a quarter of a mean partition are found by a count (partial sums, so
+    the count itself is not skewed); there are at most four times as many as partitions, which
+    bounds the broadcast list.  Their fact rows are dealt over salts by a hash of ``spread``, and
+    only their dimension rows are repeated, once a salt.  NULL keys match nothing: they are dealt
+    over all partitions.
     """
-    limit = broadcast_limit(dim)
-    if rows is None:
-        rows = dim.limit(limit + 1).count()
-    return F.broadcast(dim) if rows <= limit else dim
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join: {how}")
+    parts = max(1, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    unit = counts.agg(F.greatest(F.lit(1.0), F.sum("__n") / F.lit(parts * _HOT_SHARE))).scalar()
+    hot = counts.withColumn("__unit", unit).filter(F.col("__n") > F.col("__unit"))
+    hot = F.broadcast(hot.select(key, F.ceil(F.col("__n") / F.col("__unit")).cast("int").alias("__salts")))
+
+    dealt = F.xxhash64(*spread)
+    salt = F.coalesce(F.pmod(dealt, F.col("__salts")), F.lit(0)).cast("int")
+    left = facts.join(hot, key, "left")
+    # A NULL key never equals a dimension's: its rows get negative salts, which no dimension has.
+    left = left.withColumn("__salt", F.when(F.col(key).isNull(), -1 - F.pmod(dealt, F.lit(parts * 64)).cast("int")).otherwise(salt))
+    left = left.withColumn("__key", F.coalesce(key, F.lit(""))).drop("__salts")
+    right = dim.join(hot, key, "left")
+    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+    right = right.filter(F.col(key).isNotNull()).withColumn("__key", F.col(key)).drop("__salts", key)
+    return left.join(right, ["__key", "__salt"], how).drop("__key", "__salt")

@@ -1,39 +1,32 @@
-"""Dense numbering and running sums over a total order without funnelling rows into one task.
+"""Dense numbering and running sums over a total order, without funnelling rows into one task.
 
 ``row_number() OVER (ORDER BY ...)`` and ``sum(...) OVER (ORDER BY ... ROWS UNBOUNDED PRECEDING)``
-have no partition key, so Spark runs them in a single task (``Exchange SinglePartition``).  The
-reference uses them for surrogate keys (D1) and for the ABC curve (A3).  Here the order is cut
-into ranges instead:
-
-1. count the input; if it fits one bucket (``rowsPerBucket``) everything runs in one window task
-   whose size is bounded by that setting;
-2. otherwise sample the sort key, take ``B - 1`` boundaries from the sorted sample (a bounded
-   driver result) and give every row its range number with a balanced comparison tree, so the
-   bucket is a deterministic column: a retried or lost task recomputes the same value;
-3. count and sum per bucket (at most ``B`` rows come back) and turn them into offsets;
-4. run the window inside each bucket and add the offsets of the buckets before it.
-
-The sort key includes the tie-breakers, so even a single hot leading value is split across
-buckets.  The input is read up to four times: pass something cheap to recompute, or materialise
-it first (``ledgerline.sources.scratch.materialize``).
+have no partition key, so Spark runs them in a single task.  The reference uses them for surrogate
+keys (D1) and for the ABC curve (A3).  Here, for every size of input:
+
+1. the rows are range-partitioned on the whole order, sorted within each partition and written
+   once, each with its partition's number and its place in the partition (Spark's row id after the
+   sort holds both);
+2. counts and sums per partition make the offsets of the partitions, a table of as many rows as
+   there are partitions, which is broadcast;
+3. number = place + offset.  A running sum needs a window inside the partition as well; only then
+   are the (narrow) rows shuffled a second time, by the partition's number.
+
+The order has to be total: append every remaining column, then ties are equal rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CONF = "spark.ledgerline.orderedScan."
-DEFAULTS = {"rowsPerBucket": 2_000_000, "maxBuckets": 512, "samplesPerBucket": 64}
-_BUCKET = "__ordered_bucket"
+from ..sources.scratch import materialize
 
-
-def _setting(df: DataFrame, name: str) -> int:
-    return int(df.sparkSession.conf.get(_CONF + name, str(DEFAULTS[name])))
+# ``monotonically_increasing_id`` holds the partition above 33 bits of place in the partition.
+_PLACE_BITS = 33
 
 
 def natural_order(order: Sequence[tuple[str, bool]]) -> list[Column]:
@@ -41,146 +34,53 @@ def natural_order(order: Sequence[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in order]
 
 
-def _key(df: DataFrame, order: Sequence[tuple[str, bool]]) -> Column:
-    """One struct whose natural ascending order equals ``order`` (NULLs last)."""
-    fields = []
-    for i, (c, desc) in enumerate(order):
-        col = F.col(c)
-        if desc:
-            if not isinstance(df.schema[c].dataType, T.NumericType):
-                raise ValueError(f"descending order is supported for numeric columns only: {c}")
-            col = -col
-        fields += [col.isNull().alias(f"n{i}"), col.alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def _literal(row, struct_type: T.StructType) -> Column:
-    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in struct_type.fields])
-
-
-def _bucket_of(key: Column, bounds: list[Column]) -> Column:
-    """Number of boundaries <= key, by binary search written as nested CASE."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < bounds[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
-
-
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*values), index + F.lit(1))
-
-
-def fits_one_bucket(df: DataFrame, max_rows: int | None) -> bool:
-    """Whether a known row bound lets ``ordered_scan`` run as one bounded window task."""
-    return max_rows is not None and max_rows <= max(1, _setting(df, "rowsPerBucket"))
-
-
 def ordered_scan(
     df: DataFrame,
     order: Sequence[tuple[str, bool]],
     number: str | None = None,
     running: Mapping[str, str] | None = None,
     totals: Mapping[str, str] | None = None,
-    seed: int = 17,
-    max_rows: int | None = None,
-    in_order: bool = False,
 ) -> DataFrame:
     """Add a dense 1..n ``number`` in ``order``, inclusive ``running`` sums and grand ``totals``.
 
-    ``running`` and ``totals`` map output column -> numeric source column; use exact types
-    (integers, decimals) so the sums do not depend on the bucket layout.  ``max_rows`` is a
-    known upper bound of the input's rows; when it fits one bucket the counting pass is skipped.
-    With ``in_order`` the result comes out globally sorted without a separate sort shuffle: the
-    buckets are range-partitioned (whole buckets, in bucket order) for the window, then sorted
-    within each partition.
+    ``running`` and ``totals`` map output column -> numeric source column; exact types (integers,
+    decimals) give sums that don't depend on the partitions.  A running sum is NULL while only
+    NULLs were seen, as a plain running sum is.
     """
-    running = dict(running or {})
-    totals = dict(totals or {})
+    running, totals = dict(running or {}), dict(totals or {})
+    keys = natural_order(order)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = materialize(ranged.withColumn("__row", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("__row", _PLACE_BITS)
+    placed = ranged.withColumn("__part", part)
+
     sources = sorted(set(running.values()) | set(totals.values()))
-    rows_per_bucket = max(1, _setting(df, "rowsPerBucket"))
-    n = max_rows if max_rows is not None and max_rows <= rows_per_bucket else df.count()
-    buckets = max(1, min(_setting(df, "maxBuckets"), math.ceil(n / rows_per_bucket)))
-
-    key = _key(df, order)
-    bounds: list[Column] = []
-    if buckets > 1:
-        key_type = df.select(key.alias("k")).schema["k"].dataType
-        fraction = min(1.0, _setting(df, "samplesPerBucket") * buckets / n)
-        sample = [r.k for r in df.select(key.alias("k")).sample(False, fraction, seed).orderBy("k").collect()]
-        picked = []
-        for i in range(1, buckets):
-            if not sample:
-                break
-            b = sample[(i * len(sample)) // buckets]
-            if not picked or picked[-1] != b:
-                picked.append(b)
-        bounds = [_literal(b, key_type) for b in picked]
-
-    if not bounds:
-        dfb = df.withColumn(_BUCKET, F.lit(0))
-        w = Window.partitionBy(_BUCKET).orderBy(*natural_order(order))
-        out = dfb
-        if number:
-            out = out.withColumn(number, F.row_number().over(w).cast("bigint"))
-        for name, src in running.items():
-            frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            out = out.withColumn(name, F.sum(src).over(frame).cast(_widen(df.schema[src].dataType)))
-        for name, src in totals.items():
-            out = out.withColumn(name, F.sum(src).over(Window.partitionBy(_BUCKET)).cast(_widen(df.schema[src].dataType)))
-        out = out.drop(_BUCKET)
-        return out.sortWithinPartitions(*natural_order(order)) if in_order else out
-
-    dfb = df.withColumn(_BUCKET, _bucket_of(key, bounds))
-    nb = len(bounds) + 1
-    if in_order:
-        # Range partitioning on the bucket also satisfies the window's clustering, so this is
-        # the window's only exchange.
-        dfb = dfb.repartitionByRange(nb, _BUCKET)
-    stats = {
-        r[_BUCKET]: r
-        for r in dfb.groupBy(_BUCKET)
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.sum(s).alias(f"__s_{s}") for s in sources])
-        .collect()
-    }
-    count_before, sums_before, acc_n = [], {s: [] for s in sources}, 0
-    acc_s = {s: None for s in sources}
-    for b in range(nb):
-        count_before.append(acc_n)
-        for s in sources:
-            sums_before[s].append(acc_s[s])
-        if b in stats:
-            acc_n += stats[b]["__n"]
-            for s in sources:
-                v = stats[b][f"__s_{s}"]
-                if v is not None:
-                    acc_s[s] = v if acc_s[s] is None else acc_s[s] + v
-
-    w = Window.partitionBy(_BUCKET).orderBy(*natural_order(order))
-    out = dfb
+    wide = {s: _widen(df.schema[s].dataType) for s in sources}
+    stats = placed.groupBy("__part").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(s).cast(wide[s]).alias(f"__s_{s}") for s in sources]
+    )
+    # One row per partition: a plain window over them is bounded by the partition count.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    offsets = stats.select(
+        "__part",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__rows_before"),
+        *[F.sum(f"__s_{s}").over(before).cast(wide[s]).alias(f"__before_{s}") for s in sources],
+        *[F.sum(f"__s_{s}").over(everything).cast(wide[s]).alias(f"__total_{s}") for s in sources],
+    )
+    out = placed.join(F.broadcast(offsets), "__part")
+    added = {}
     if number:
-        offsets = [F.lit(v).cast("bigint") for v in count_before]
-        out = out.withColumn(number, (F.row_number().over(w) + _pick(offsets, F.col(_BUCKET))).cast("bigint"))
-    for name, src in running.items():
-        src_type = df.schema[src].dataType
-        run_type = _widen(src_type)
-        offsets = [F.lit(v).cast(run_type) for v in sums_before[src]]
-        within = F.sum(src).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast(run_type)
-        before = _pick(offsets, F.col(_BUCKET))
-        zero = F.lit(0).cast(run_type)
-        # NULL only while no value at all has been seen, as a plain running sum would be.
-        total = F.when(within.isNull() & before.isNull(), F.lit(None).cast(run_type)).otherwise(
-            F.coalesce(within, zero) + F.coalesce(before, zero)
-        )
-        out = out.withColumn(name, total.cast(run_type))
-    for name, src in totals.items():
-        total = acc_s[src]
-        out = out.withColumn(name, F.lit(total).cast(_widen(df.schema[src].dataType)))
-    out = out.drop(_BUCKET)
-    return out.sortWithinPartitions(*natural_order(order)) if in_order else out
+        place = F.col("__row").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+        added[number] = (F.col("__rows_before") + place + F.lit(1)).cast("bigint")
+    within = Window.partitionBy("__part").orderBy("__row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for name, s in running.items():
+        own, prior, zero = F.sum(s).over(within).cast(wide[s]), F.col(f"__before_{s}"), F.lit(0).cast(wide[s])
+        both = F.coalesce(own, zero) + F.coalesce(prior, zero)
+        added[name] = F.when(own.isNotNull() | prior.isNotNull(), both).cast(wide[s])
+    for name, s in totals.items():
+        added[name] = F.col(f"__total_{s}")
+    return out.select(*df.columns, *[c.alias(n) for n, c in added.items()])
 
 
 def _widen(t: T.DataType) -> T.DataType:

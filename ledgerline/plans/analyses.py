@@ -3,10 +3,10 @@
 Every analysis reads only fact rows whose product cost is known (``custo_confiavel``); that
 filter reaches the Parquet scan of the materialised fact.  Dimension attributes are read from
 the fact itself (it carries those of the dimension rows it points to), so no analysis joins
-back to a dimension: each one is a pruned scan of one table and an aggregation.  Money is summed exactly as decimal
-and rounded the reference's way at the end (see ``functions.numeric``).  Windows that run over a
-handful of groups (categories, discount bands, months, sellers) stay plain; the ABC curve runs
-over one row per customer and uses the bucketed ordered scan instead.
+back to a dimension: each one is a pruned scan of one table and an aggregation.  Money is summed exactly
+and rounded the reference's way at the end (see ``functions.numeric``).  Windows that run over one
+row per category, discount band, month or seller stay plain; the ABC curve runs over one row per
+customer and uses the ordered scan instead.
 """
 
 from __future__ import annotations
@@ -14,9 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import cents, cents_sum, money, money_sum, pct, r1, r2
-from ..operators.ordered import fits_one_bucket, ordered_scan
-from ..sources.scratch import materialize
+from ..functions.numeric import RATE, exact_mean, exact_sum, grand_total, pct, r1, r2, ratio, total, total_of_both
+from ..operators.ordered import ordered_scan
 from .model import Model
 
 
@@ -25,17 +24,21 @@ def _reliable(m: Model) -> DataFrame:
 
 
 def _share_of_total(col: str) -> F.Column:
-    """``100 * x / sum(x) over ()`` of a cents column, for a small grouped result."""
-    total = F.sum(col).over(Window.partitionBy())
-    return pct(money(col), money(total))
+    """Percentage of the sum over all rows of a small grouped result."""
+    return pct(total(col), grand_total(col))
 
 
-def _situation(margin_cents: str, revenue_cents: str) -> F.Column:
-    ratio = F.lit(100.0) * money(margin_cents) / F.nullif(money(revenue_cents), F.lit(0.0))
+def _discounts() -> list[F.Column]:
+    """Sum and count of the discounts, for their mean."""
+    return [exact_sum("desconto_pct", RATE).alias("ds"), F.count("desconto_pct").alias("dn")]
+
+
+def _situation(margin: F.Column, revenue: F.Column) -> F.Column:
+    share = ratio(F.lit(100.0) * margin, revenue)
     return (
-        F.when(F.col(margin_cents) < 0, F.lit("Prejuizo"))
-        .when(ratio < 10, F.lit("Critica"))
-        .when(ratio < 20, F.lit("Atencao"))
+        F.when(margin < 0, F.lit("Prejuizo"))
+        .when(share < 10, F.lit("Critica"))
+        .when(share < 20, F.lit("Atencao"))
         .otherwise(F.lit("Saudavel"))
     )
 
@@ -44,50 +47,45 @@ def margin_by_category(m: Model) -> DataFrame:
     """A1: where margin is made and lost, per product category."""
     g = _reliable(m).groupBy("categoria").agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
-        money_sum("receita_total").alias("rt"),
-        money_sum("custo_produto").alias("cp"),
-        money_sum("custo_entrega").alias("ce"),
-        money_sum("custo_comissao").alias("cc"),
-        money_sum("frete_subsidiado").alias("fs"),
-        money_sum("margem_bruta").alias("mb"),
-        money_sum("margem_contribuicao").alias("mc"),
+        exact_sum("receita_total").alias("rt"),
+        exact_sum("custo_produto").alias("cp"),
+        exact_sum("custo_entrega").alias("ce"),
+        exact_sum("custo_comissao").alias("cc"),
+        exact_sum("frete_subsidiado").alias("fs"),
+        exact_sum("margem_bruta").alias("mb"),
+        exact_sum("margem_contribuicao").alias("mc"),
     )
     return g.select(
         "categoria",
         "pedidos",
-        r2(money("rt")).alias("receita"),
-        r2(money("cp")).alias("custo_produto"),
-        r2(money("ce")).alias("custo_entrega"),
-        r2(money("cc")).alias("custo_comissao"),
-        r2(money("fs")).alias("frete_subsidiado"),
-        r2(money("mb")).alias("margem_bruta"),
-        r2(money("mc")).alias("margem_contribuicao"),
-        pct(money("mc"), money("rt")).alias("margem_pct"),
+        r2(total("rt")).alias("receita"),
+        r2(total("cp")).alias("custo_produto"),
+        r2(total("ce")).alias("custo_entrega"),
+        r2(total("cc")).alias("custo_comissao"),
+        r2(total("fs")).alias("frete_subsidiado"),
+        r2(total("mb")).alias("margem_bruta"),
+        r2(total("mc")).alias("margem_contribuicao"),
+        pct(total("mc"), total("rt")).alias("margem_pct"),
         _share_of_total("rt").alias("participacao_pct"),
-        _situation("mc", "rt").alias("situacao"),
+        _situation(total("mc"), total("rt")).alias("situacao"),
     ).orderBy("margem_contribuicao")
 
 
 def margin_waterfall(m: Model) -> DataFrame:
     """A2: revenue down to contribution margin in five ordered steps (one scan, one row -> five)."""
     t = _reliable(m).agg(
-        money_sum("receita_total").alias("receita"),
-        money_sum("custo_produto").alias("mercadoria"),
-        money_sum("custo_entrega").alias("entrega"),
-        money_sum("custo_comissao").alias("comissao"),
-        money_sum("margem_contribuicao").alias("margem"),
+        exact_sum("receita_total").alias("receita"),
+        exact_sum("custo_produto").alias("mercadoria"),
+        exact_sum("custo_entrega").alias("entrega"),
+        exact_sum("custo_comissao").alias("comissao"),
+        exact_sum("margem_contribuicao").alias("margem"),
     )
-    steps = t.selectExpr(
-        "stack(5,"
-        " 1, 'Receita', CAST(receita AS DOUBLE) / 100,"
-        " 2, 'Mercadoria', CAST(-mercadoria AS DOUBLE) / 100,"
-        " 3, 'Entrega', CAST(-entrega AS DOUBLE) / 100,"
-        " 4, 'Comissao', CAST(-comissao AS DOUBLE) / 100,"
-        " 5, 'Margem', CAST(margem AS DOUBLE) / 100) AS (ordem, etapa, valor)"
-    )
-    return steps.select(
-        F.col("ordem").cast("int").alias("ordem"), "etapa", r2("valor").alias("valor")
-    ).orderBy("ordem")
+    steps = [
+        ("Receita", total("receita")), ("Mercadoria", -total("mercadoria")), ("Entrega", -total("entrega")),
+        ("Comissao", -total("comissao")), ("Margem", total("margem")),
+    ]
+    rows = F.array(*[F.struct(F.lit(i).alias("ordem"), F.lit(n).alias("etapa"), v.alias("valor")) for i, (n, v) in enumerate(steps, 1)])
+    return t.select(F.inline(rows)).select(F.col("ordem").cast("int").alias("ordem"), "etapa", r2("valor").alias("valor")).orderBy("ordem")
 
 
 ABC_GROUP = ["codigo_cliente", "razao_social", "segmento", "regiao"]
@@ -101,10 +99,10 @@ def customer_totals(m: Model) -> DataFrame:
         .groupBy(*ABC_GROUP)
         .agg(
             F.count_distinct("numero_pedido").alias("pedidos"),
-            money_sum("receita_total").alias("receita_dec"),
-            money_sum("margem_contribuicao").alias("margem_dec"),
-            money_sum("frete_subsidiado").alias("frete_dec"),
-            F.avg("desconto_pct").alias("desconto_avg"),
+            exact_sum("receita_total").alias("rt"),
+            exact_sum("margem_contribuicao").alias("mc"),
+            exact_sum("frete_subsidiado").alias("fs"),
+            *_discounts(),
         )
     )
 
@@ -112,41 +110,38 @@ def customer_totals(m: Model) -> DataFrame:
 def customer_abc(m: Model) -> DataFrame:
     """A3: ABC curve of customers by revenue, crossed with profitability.
 
-    Position and running share come from the bucketed ordered scan over the per-customer
-    totals.  There are at most as many totals as rows in the customer dimension: when that
-    fits one bucket the totals are scanned once; otherwise they are materialised first, since
-    the bucketed scan reads them several times.  Revenue ties are broken by the customer
-    columns so positions are reproducible.
+    Position and running share come from the ordered scan over the per-customer totals.  Revenue
+    ties are broken by the customer columns so positions are reproducible.
     """
     if "customer_abc" in m.memo:
         return m.memo["customer_abc"]
-    per_customer = customer_totals(m)
-    bound = m.row_count("dim_cliente")
-    if not fits_one_bucket(per_customer, bound):
-        per_customer, bound = materialize(per_customer, "abc_totals"), None
-    order = [("receita_dec", True)] + [(c, False) for c in ABC_GROUP]
-    scanned = ordered_scan(
-        per_customer, order, number="posicao", running={"acum_dec": "receita_dec"}, totals={"total_dec": "receita_dec"},
-        max_rows=bound, in_order=True,
+    receita, margem = total("rt"), total("mc")
+    per_customer = customer_totals(m).withColumns(
+        {"receita": receita, "rt_whole": F.col("rt.whole"), "rt_rest": F.col("rt.rest")}
     )
-    receita = money("receita_dec")
-    margem = money("margem_dec")
-    share = money("acum_dec") / F.nullif(money("total_dec"), F.lit(0.0))
+    order = [("receita", True)] + [(c, False) for c in ABC_GROUP]
+    parts = {"whole": "rt_whole", "rest": "rt_rest"}
+    scanned = ordered_scan(
+        per_customer, order, number="posicao",
+        running={f"acum_{k}": c for k, c in parts.items()}, totals={f"todos_{k}": c for k, c in parts.items()},
+    )
+    both = lambda name: total(F.struct(*[F.col(f"{name}_{k}").alias(k) for k in parts]))
+    share = ratio(both("acum"), both("todos"))
     out = scanned.select(
         "posicao",
         "razao_social",
         "segmento",
         "regiao",
         "pedidos",
-        r2(receita).alias("receita"),
-        r2(F.try_divide(receita, F.col("pedidos"))).alias("ticket_medio"),
+        r2("receita").alias("receita"),
+        r2(F.try_divide(F.col("receita"), F.col("pedidos"))).alias("ticket_medio"),
         r2(margem).alias("margem"),
-        pct(margem, receita).alias("margem_pct"),
-        r2(money("frete_dec")).alias("frete_subsidiado"),
-        r1("desconto_avg").alias("desconto_medio"),
+        pct(margem, F.col("receita")).alias("margem_pct"),
+        r2(total("fs")).alias("frete_subsidiado"),
+        r1(exact_mean("ds", "dn")).alias("desconto_medio"),
         r1(F.lit(100.0) * share).alias("receita_acumulada_pct"),
         F.when(share <= 0.80, F.lit("A")).when(share <= 0.95, F.lit("B")).otherwise(F.lit("C")).alias("classe_abc"),
-    )  # already in position order (``in_order``): no sort shuffle
+    ).orderBy("posicao")
     m.memo["customer_abc"] = out
     return out
 
@@ -158,7 +153,7 @@ def critical_customers(m: Model) -> DataFrame:
     join), carried as a column so every expression reads the same value.
     """
     portfolio = _reliable(m).agg(
-        F.lit(100.0) * money(money_sum("margem_contribuicao")) / F.nullif(money(money_sum("receita_total")), F.lit(0.0))
+        F.lit(100.0) * total(exact_sum("margem_contribuicao")) / F.nullif(total(exact_sum("receita_total")), F.lit(0.0))
     ).scalar()
     pf = F.col("margem_carteira")
     a = (
@@ -195,37 +190,37 @@ def discount_bands(m: Model) -> DataFrame:
     """A5: revenue and margin by discount band (NULL discount falls in the last band)."""
     g = _reliable(m).groupBy(discount_band(F.col("desconto_pct")).alias("faixa")).agg(
         F.count(F.lit(1)).alias("itens"),
-        money_sum("receita_total").alias("rt"),
-        money_sum("margem_contribuicao").alias("mc"),
+        exact_sum("receita_total").alias("rt"),
+        exact_sum("margem_contribuicao").alias("mc"),
     )
     return g.select(
         "faixa",
         "itens",
-        r2(money("rt")).alias("receita"),
+        r2(total("rt")).alias("receita"),
         _share_of_total("rt").alias("participacao_pct"),
-        r2(money("mc")).alias("margem"),
-        pct(money("mc"), money("rt")).alias("margem_pct"),
+        r2(total("mc")).alias("margem"),
+        pct(total("mc"), total("rt")).alias("margem_pct"),
     ).orderBy("faixa")
 
 
 def freight_subsidy(m: Model) -> DataFrame:
     """What free freight costs, per category."""
     g = _reliable(m).groupBy("categoria").agg(
-        money_sum("receita_total").alias("rt"),
-        money_sum("custo_entrega").alias("ce"),
-        cents_sum(cents("custo_entrega") - cents("frete_subsidiado")).alias("charged"),
-        money_sum("frete_subsidiado").alias("fs"),
-        money_sum("margem_contribuicao").alias("mc"),
+        exact_sum("receita_total").alias("rt"),
+        exact_sum("custo_entrega").alias("ce"),
+        exact_sum(F.col("custo_entrega") - F.col("frete_subsidiado")).alias("charged"),
+        exact_sum("frete_subsidiado").alias("fs"),
+        exact_sum("margem_contribuicao").alias("mc"),
     )
     return g.select(
         "categoria",
-        r2(money("rt")).alias("receita"),
-        r2(money("ce")).alias("custo_entrega"),
-        r2(money("charged")).alias("frete_cobrado"),
-        r2(money("fs")).alias("frete_absorvido"),
-        pct(money("fs"), money("rt")).alias("absorvido_sobre_receita_pct"),
-        r2(money("mc")).alias("margem"),
-        r2(money(F.col("mc") + F.col("fs"))).alias("margem_sem_subsidio"),
+        r2(total("rt")).alias("receita"),
+        r2(total("ce")).alias("custo_entrega"),
+        r2(total("charged")).alias("frete_cobrado"),
+        r2(total("fs")).alias("frete_absorvido"),
+        pct(total("fs"), total("rt")).alias("absorvido_sobre_receita_pct"),
+        r2(total("mc")).alias("margem"),
+        r2(total_of_both("mc", "fs")).alias("margem_sem_subsidio"),
     ).orderBy(F.col("frete_absorvido").desc_nulls_last())
 
 
@@ -233,12 +228,12 @@ def monthly_trend(m: Model) -> DataFrame:
     """Month by month, with change over the previous month that had sales and a 3-month mean."""
     g = _reliable(m).groupBy("ano_mes").agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
-        money_sum("receita_total").alias("rt"),
-        money_sum("margem_contribuicao").alias("mc"),
-        money_sum("frete_subsidiado").alias("fs"),
+        exact_sum("receita_total").alias("rt"),
+        exact_sum("margem_contribuicao").alias("mc"),
+        exact_sum("frete_subsidiado").alias("fs"),
     )
     w = Window.orderBy("ano_mes")
-    receita, margem = money("rt"), money("mc")
+    receita, margem = total("rt"), total("mc")
     prev_r, prev_m = F.lag(receita).over(w), F.lag(margem).over(w)
     monthly_pct = F.lit(100.0) * margem / F.nullif(receita, F.lit(0.0))
     return g.select(
@@ -248,7 +243,7 @@ def monthly_trend(m: Model) -> DataFrame:
         r2(F.try_divide(receita, F.col("pedidos"))).alias("ticket_medio"),
         r2(margem).alias("margem"),
         pct(margem, receita).alias("margem_pct"),
-        r2(money("fs")).alias("frete_absorvido"),
+        r2(total("fs")).alias("frete_absorvido"),
         r1(F.lit(100.0) * (receita - prev_r) / F.nullif(prev_r, F.lit(0.0))).alias("var_receita_pct"),
         r1(F.lit(100.0) * (margem - prev_m) / F.nullif(F.abs(prev_m), F.lit(0.0))).alias("var_margem_pct"),
         r1(F.avg(monthly_pct).over(w.rowsBetween(-2, Window.currentRow))).alias("margem_pct_media_3m"),
@@ -259,23 +254,23 @@ def loss_products(m: Model) -> DataFrame:
     """Products that sell (revenue over 1000) and lose money."""
     g = _reliable(m).groupBy("codigo_produto", "descricao", "categoria").agg(
         F.sum(F.col("quantidade").cast("bigint")).alias("quantidade"),
-        money_sum("receita_total").alias("rt"),
-        money_sum("margem_bruta").alias("mb"),
-        money_sum("margem_contribuicao").alias("mc"),
-        F.avg("desconto_pct").alias("desc_avg"),
-        money_sum("frete_subsidiado").alias("fs"),
+        exact_sum("receita_total").alias("rt"),
+        exact_sum("margem_bruta").alias("mb"),
+        exact_sum("margem_contribuicao").alias("mc"),
+        *_discounts(),
+        exact_sum("frete_subsidiado").alias("fs"),
     )
-    return g.filter((F.col("mc") < 0) & (F.col("rt") > 1000 * 100)).select(
+    return g.filter((total("mc") < 0) & (total("rt") > 1000)).select(
         "codigo_produto",
         "descricao",
         "categoria",
         "quantidade",
-        r2(money("rt")).alias("receita"),
-        r2(money("mb")).alias("margem_bruta"),
-        r2(money("mc")).alias("margem_contribuicao"),
-        pct(money("mc"), money("rt")).alias("margem_pct"),
-        r1("desc_avg").alias("desconto_medio"),
-        r2(money("fs")).alias("frete_absorvido"),
+        r2(total("rt")).alias("receita"),
+        r2(total("mb")).alias("margem_bruta"),
+        r2(total("mc")).alias("margem_contribuicao"),
+        pct(total("mc"), total("rt")).alias("margem_pct"),
+        r1(exact_mean("ds", "dn")).alias("desconto_medio"),
+        r2(total("fs")).alias("frete_absorvido"),
     ).orderBy("margem_contribuicao")
 
 
@@ -285,23 +280,23 @@ def seller_performance(m: Model) -> DataFrame:
         "nome_vendedor", r1(F.lit(100.0) * F.col("taxa_comissao")).alias("taxa_comissao_pct")
     ).agg(
         F.count_distinct("numero_pedido").alias("pedidos"),
-        money_sum("receita_total").alias("rt"),
-        F.avg("desconto_pct").alias("desc_avg"),
-        money_sum("custo_comissao").alias("cc"),
-        money_sum("margem_contribuicao").alias("mc"),
+        exact_sum("receita_total").alias("rt"),
+        *_discounts(),
+        exact_sum("custo_comissao").alias("cc"),
+        exact_sum("margem_contribuicao").alias("mc"),
     )
-    receita, margem = money("rt"), money("mc")
+    receita, margem = total("rt"), total("mc")
     return g.select(
         "nome_vendedor",
         "taxa_comissao_pct",
         "pedidos",
         r2(receita).alias("receita"),
         r2(F.try_divide(receita, F.col("pedidos"))).alias("ticket_medio"),
-        r1("desc_avg").alias("desconto_medio"),
-        r2(money("cc")).alias("comissao_paga"),
+        r1(exact_mean("ds", "dn")).alias("desconto_medio"),
+        r2(total("cc")).alias("comissao_paga"),
         r2(margem).alias("margem"),
         pct(margem, receita).alias("margem_pct"),
-        F.rank().over(Window.orderBy(F.col("rt").desc_nulls_last())).cast("bigint").alias("posicao_receita"),
+        F.rank().over(Window.orderBy(receita.desc_nulls_last())).cast("bigint").alias("posicao_receita"),
         F.rank()
         .over(Window.orderBy((margem / F.nullif(receita, F.lit(0.0))).desc_nulls_last()))
         .cast("bigint")

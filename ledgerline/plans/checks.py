@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import digits_only, to_date_br, to_double_strict, to_num
-from ..functions.numeric import money, money_sum, r2
+from ..functions.cleaning import digits_only, to_date_br, to_num, try_int
+from ..functions.numeric import exact_sum, r2, total
 from .analyses import panel
 from .model import Model
 
@@ -54,8 +54,8 @@ def fact_integrity(m: Model) -> DataFrame:
         F.count_if(F.col("sk_vendedor").isNull()).alias("sem_vendedor"),
         F.count_if(F.col("sk_cliente") == 0).alias("cliente_nao_identificado"),
         F.count_if(~F.col("custo_confiavel")).alias("sem_custo"),
-        r2(money(money_sum("receita_total"))).alias("receita"),
-        r2(money(money_sum("margem_contribuicao"))).alias("margem"),
+        r2(total(exact_sum("receita_total"))).alias("receita"),
+        r2(total(exact_sum("margem_contribuicao"))).alias("margem"),
     )
 
 
@@ -64,12 +64,6 @@ def panel_range(m: Model) -> DataFrame:
     return panel(m).agg(F.count(F.lit(1)).alias("linhas"), F.min("data").alias("de"), F.max("data").alias("ate"))
 
 
-def try_int(v: Column | str) -> Column:
-    """Text -> int for the converter check: NULL instead of an error on bad text."""
-    s = to_double_strict(v)
-    return F.when(F.isnan(s) | (F.abs(s) == F.lit(float("inf"))), F.lit(None)).otherwise(F.round(s)).try_cast("int")
-
-
 # Which rule converts which raw column.
 PARSED_COLUMNS = {
     "raw_vendas": {

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r2
-from ..operators.joins import broadcast_if_small, broadcast_limit
+from ..operators.joins import fits_broadcast, join_dealt, measured
 from ..operators.ordered import ordered_scan
 from ..session import app_id, new_scratch_dir
 from ..sources.fixture import raw_tables
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, remove_folder
 from .staging import stg_customers, stg_products, stg_sales
 
 # Fixed values of the reference: seller names and commission rates by seller code, and the
@@ -123,10 +123,8 @@ def fact_sales(m: "Model") -> DataFrame:
     Product and seller are inner joins (unknown product or seller code leaves the fact), the
     customer is a left join falling back to member 0.  The date key is computed from the date:
     the date dimension spans every sale date, so that join always matches and is not needed.
-    Dimensions are broadcast only after a size check; otherwise Spark shuffles and AQE splits
-    skewed keys.  Sales without a customer code can match nothing; when the customer join has to
-    shuffle they get a salted key instead of piling up in the one partition NULL keys hash to
-    (walk-in sales may well be a third of all rows).
+    A dimension is broadcast when its measured size allows; otherwise the join shuffles, with hot
+    codes and sales without a code dealt over many tasks.
 
     The table written has the reference's fact columns plus the attributes of the very
     dimension rows it points to (member 0's for unknown customers; the day and month of the
@@ -134,22 +132,17 @@ def fact_sales(m: "Model") -> DataFrame:
     join back to a dimension, some of which may be too large to broadcast: the analyses and
     the panel read one table.  ``fact_columns`` gives the reference's column list.
     """
-    p = m.dim("dim_produto", "sk_produto", "custo_unitario", "custo_confiavel", *PRODUCT_ATTRIBUTES)
-    ve = m.dim("dim_vendedor", "cod_vendedor", "sk_vendedor", *SELLER_ATTRIBUTES)
-    customer_columns = ["sk_cliente", *CUSTOMER_ATTRIBUTES]
-    c = m.dim("dim_cliente", *customer_columns)
-    sales = m["stg_vendas"].join(p, "codigo_produto").join(ve, "cod_vendedor")
-    if m.is_broadcast("dim_cliente", *customer_columns):
-        j = sales.join(c, "codigo_cliente", "left")
-    else:
-        # Shuffle key of a sale without customer code: its own (order, item), flagged so that it
-        # can never equal a dimension code.  Those rows spread over all partitions and match
-        # nothing, exactly like a NULL key, in one pass over the sales.
-        code = F.col("codigo_cliente")
-        salt = F.concat_ws(":", F.col("numero_pedido").cast("string"), F.col("sequencia_item").cast("string"))
-        left = sales.withColumn("__k", F.coalesce(code, salt)).withColumn("__orphan", code.isNull())
-        right = c.withColumnRenamed("codigo_cliente", "__k").withColumn("__orphan", F.lit(False))
-        j = left.join(right, ["__k", "__orphan"], "left").drop("__k", "__orphan")
+    j = m["stg_vendas"]
+    for name, key, columns, how in (
+        ("dim_produto", "codigo_produto", ["sk_produto", "custo_unitario", "custo_confiavel", *PRODUCT_ATTRIBUTES], "inner"),
+        ("dim_vendedor", "cod_vendedor", ["cod_vendedor", "sk_vendedor", *SELLER_ATTRIBUTES], "inner"),
+        ("dim_cliente", "codigo_cliente", ["sk_cliente", *CUSTOMER_ATTRIBUTES], "left"),
+    ):
+        dim = m[name].select(*columns)
+        if m.is_small(name, columns):
+            j = j.join(F.broadcast(dim), key, how)
+        else:
+            j = join_dealt(j, dim, key, ["numero_pedido", "sequencia_item"], how)
 
     price, qty = F.col("preco_unitario"), F.col("quantidade")
     cost, rate = F.col("custo_unitario"), F.col("taxa_comissao")
@@ -196,51 +189,54 @@ def fact_columns(fact: DataFrame) -> DataFrame:
 class Model(dict):
     """Named DataFrames of one build: raw, staging, dimensions and fact.
 
-    ``rows`` holds the row count of every table written by the build; it is the size check
-    behind ``dim``.
+    ``sizes`` holds the measured rows and text bytes of the dimensions; ``folder`` is where the
+    build wrote its tables.
     """
 
     def __init__(self, *args, **kwargs):
         super().__init__(*args, **kwargs)
-        self.rows: dict[str, int] = {}
+        self.sizes: dict[str, tuple[int, dict[str, int]]] = {}
         self.memo: dict[str, DataFrame] = {}
+        self.folder: str | None = None
 
-    def dim(self, name: str, *columns) -> DataFrame:
-        """Columns of a dimension, marked for broadcast when its recorded size allows it."""
-        df = self[name].select(*columns) if columns else self[name]
-        return broadcast_if_small(df, self._rows(name))
+    def is_small(self, name: str, columns: Sequence[str]) -> bool:
+        """Whether the columns of a table may be broadcast, by its measured size."""
+        if name not in self.sizes:
+            self.sizes[name] = measured(self[name])
+        return fits_broadcast(self[name].select(*columns), *self.sizes[name])
 
-    def is_broadcast(self, name: str, *columns) -> bool:
-        df = self[name].select(*columns) if columns else self[name]
-        return self._rows(name) <= broadcast_limit(df)
 
-    def row_count(self, name: str) -> int:
-        """Rows of a table of the model (recorded at write time, else counted once)."""
-        return self._rows(name)
-
-    def _rows(self, name: str) -> int:
-        if name not in self.rows:
-            self.rows[name] = self[name].count()
-        return self.rows[name]
-
-
-_CACHE: dict[tuple[str, str], Model] = {}
+_CACHE: dict[tuple, Model] = {}
+_KEY_LOCKS: dict[tuple, threading.Lock] = {}
 _LOCK = threading.Lock()
 
 
 def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True, reuse: bool = True) -> Model:
     """Model of the raw exports projected from the test tables in ``sf_dir``.
 
-    Built once per session, input folder and mode (``reuse``); see ``build_model_from_raw``.
+    Built once per session, input files and settings (``reuse``); see ``build_model_from_raw``.
+    Two callers that ask for the same model at once build it once; other keys are not held up.
     """
-    key = (app_id(spark), f"{sf_dir}|{materialized}")
+    raw = raw_tables(spark, sf_dir)
+    key = (app_id(spark), sf_dir, str(materialized), *_settings(spark), *sorted(_files(raw)))
+    if not reuse:
+        return build_model_from_raw(spark, raw, materialized)
     with _LOCK:
-        if reuse and key in _CACHE:
-            return _CACHE[key]
-        m = build_model_from_raw(spark, raw_tables(spark, sf_dir), materialized)
-        if reuse:
-            _CACHE[key] = m
-        return m
+        own = _KEY_LOCKS.setdefault(key, threading.Lock())
+    with own:
+        if key not in _CACHE:
+            _CACHE[key] = build_model_from_raw(spark, raw, materialized)
+        return _CACHE[key]
+
+
+def _settings(spark: SparkSession) -> list[str]:
+    """Settings that change how a model is built."""
+    names = ("spark.ledgerline.broadcastMaxRows", "spark.ledgerline.broadcastMaxBytes", "spark.sql.shuffle.partitions")
+    return [str(spark.conf.get(n, None)) for n in names]
+
+
+def _files(raw: dict[str, DataFrame]) -> set[str]:
+    return {f for df in raw.values() for f in df.inputFiles()}
 
 
 def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materialized: bool = True) -> Model:
@@ -253,23 +249,16 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
     instead of a recomputation, and scans of the fact get column pruning and filter pushdown.
     Without it everything stays a lazy plan (used by tests).
     """
-    m = Model()
-    root = new_scratch_dir(spark, "model") if materialized else None
+    m = Model(raw)
+    root = m.folder = new_scratch_dir(spark, "model") if materialized else None
 
-    def keep(df: DataFrame, name: str, count: bool = False) -> DataFrame:
-        if root is None:
-            return df
-        out = materialize(df, name, f"{root}/{name}")
-        if count:
-            m.rows[name] = out.count()
-        return out
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return df if root is None else materialize(df, name, f"{root}/{name}")
 
     # Three independent chains (sales, products, customers) are submitted side by side: Spark
     # runs their jobs concurrently, so the small dimension jobs fill cores the sales job leaves
-    # idle.  The exports are landed once: staging and the quality checks both read them, and
-    # parsing CSV (or, in the tests, projecting the test tables) should not be repeated.
+    # idle.  The raw exports are not copied: staging reads them once, the checks when asked.
     def sales_chain() -> None:
-        m["raw_vendas"] = keep(raw["raw_vendas"], "raw_vendas")
         m["stg_vendas"] = keep(stg_sales(m["raw_vendas"]), "stg_vendas")
         # One pass over the sales gives both the seller codes and the date span.
         span = keep(
@@ -279,19 +268,20 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
             "seller_span",
         )
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="model-span") as side:
-            seller = side.submit(lambda: keep(dim_seller(span), "dim_vendedor", True))
+            seller = side.submit(lambda: keep(dim_seller(span), "dim_vendedor"))
             dates = side.submit(lambda: keep(dim_date(span, "primeira", "ultima"), "dim_tempo"))
             m["dim_vendedor"], m["dim_tempo"] = seller.result(), dates.result()
+        m.sizes["dim_vendedor"] = measured(m["dim_vendedor"])
 
     def product_chain() -> None:
-        m["raw_produtos"] = keep(raw["raw_produtos"], "raw_produtos")
         m["stg_produtos"] = stg_products(m["raw_produtos"])
-        m["dim_produto"] = keep(dim_product(m["stg_produtos"]), "dim_produto", count=True)
+        m["dim_produto"] = keep(dim_product(m["stg_produtos"]), "dim_produto")
+        m.sizes["dim_produto"] = measured(m["dim_produto"])
 
     def customer_chain() -> None:
-        m["raw_clientes"] = keep(raw["raw_clientes"], "raw_clientes")
         m["stg_clientes"] = stg_customers(m["raw_clientes"])
-        m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente", count=True)
+        m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente")
+        m.sizes["dim_cliente"] = measured(m["dim_cliente"])
 
     with ThreadPoolExecutor(max_workers=3, thread_name_prefix="model") as pool:
         for f in [pool.submit(c) for c in (sales_chain, product_chain, customer_chain)]:
@@ -301,5 +291,11 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
 
 
 def forget_models() -> None:
+    """Drop the cached models and the folders that their builds wrote."""
     with _LOCK:
+        gone = list(_CACHE.values())
         _CACHE.clear()
+        _KEY_LOCKS.clear()
+    for m in gone:
+        if m.folder:
+            remove_folder(m["fct_vendas"].sparkSession, m.folder)

@@ -31,6 +31,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def job_session(app: str = "ledgerline") -> SparkSession:
+    """The session of a job: whatever spark-submit or the caller has set up.
+
+    No master, partition count or memory is set here; only what the rules depend on is, and only
+    for a session of our own making.
+    """
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return running
+    return SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").getOrCreate()
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
@@ -38,23 +50,33 @@ def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or "app"
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One JVM: ``local``, ``local[n]`` or ``local[n, m]``, but not ``local-cluster[...]``."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and materialised model tables.
 
     On a cluster this is the shared folder named by ``spark.checkpoint.dir`` (read from the
-    session).  Only when that setting is missing and the master is local (tests) is a folder of
-    our own created, once per application.
+    session); without it there is an error, and so there is for a path without a scheme while the
+    cluster's default file system is each machine's own disk.  (``file:`` spelled out is taken to
+    be a shared mount.)  A local session without the setting gets one folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = _LOCAL_ROOTS.setdefault(app_id(spark), tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # no SparkContext handle (e.g. a remote session): nothing to register
-        pass
-    return path
+    if path:
+        if not _is_local(spark) and "://" not in path and not path.startswith("file:"):
+            default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if default.startswith("file:"):
+                raise RuntimeError(f"spark.checkpoint.dir must name a shared folder, not {path!r} on each machine's disk")
+        return path
+    if not _is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    key = app_id(spark)
+    if key not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_ROOTS[key]
 
 
 def new_scratch_dir(spark: SparkSession, kind: str) -> str:

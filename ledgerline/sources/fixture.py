@@ -4,7 +4,8 @@ The reference loads three dirty CSV exports (sales items, products, customers) w
 as text.  Those files are not available, so the same three tables are derived here from the given
 parquet tables with deterministic rules that exercise every cleaning branch: three money formats,
 three date formats (two-digit years included), padded and blank text, NULL codes, cancelled items,
-negative quantities (returns) and disagreeing copies of one order item.
+negative quantities (returns), disagreeing copies of one order item, and sales whose product or
+customer code is in no other export.
 
 All money is handled as integer cents so the rendered text is identical in every engine.
 Everything here is a map-side projection except the sales/orders join on the order key.
@@ -20,24 +21,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that arrives in fewer splits than there are cores.
-
-    A Parquet row group is never split, so a file written as one big row group is read by one
-    task however many cores wait.  Only then are the rows hashed over the cores (by ``keys``,
-    deterministic on retry, unlike a round-robin deal); a large input (many files and row
-    groups) already has enough splits and is left alone, so this costs no shuffle at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the scan alone
-        return df
-    if splits < cores:
-        return df.repartition(cores, *keys)
-    return df
-
-
 def idiv(a: Column, b: Column | int) -> Column:
     """Integer division truncating toward zero (SQL ``div``)."""
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
@@ -86,13 +69,10 @@ def _code(prefix: str, key: Column) -> Column:
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_vendas``: one text row per lineitem (order key and line number repeat in the data)."""
-    li = spread(
-        _table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-        ),
-        "l_orderkey", "l_linenumber",
-    )
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+    )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey)
 
@@ -109,8 +89,10 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("o_orderkey") + F.col("l_suppkey")) % 97 == 0, F.lit("n/d"))
         .otherwise(styled_date(order_day, F.col("o_orderkey") % 3)).alias("data_pedido"),
         F.when((F.col("l_partkey") + F.col("l_suppkey")) % 29 == 0, F.lit(None).cast("string"))
+        .when(F.col("o_custkey") % 50 == 7, _code("X", F.col("o_custkey")))
         .otherwise(_code("C", F.col("o_custkey"))).alias("codigo_cliente"),
-        _code("P", F.col("l_partkey")).alias("codigo_produto"),
+        F.when(F.col("l_partkey") % 50 == 9, _code("X", F.col("l_partkey")))
+        .otherwise(_code("P", F.col("l_partkey"))).alias("codigo_produto"),
         F.when(returned, -qty).otherwise(qty).cast("string").alias("quantidade"),
         styled_money(idiv(cents, qty), F.col("l_partkey") % 3).alias("preco_unitario"),
         plain_money(dk * 250).alias("desconto_pct"),
@@ -124,8 +106,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw_produtos``: one row per part, some parts left out (orphan sales)."""
-    part = _table(spark, sf_dir, "part").filter(F.col("p_partkey") % 50 != 9)
+    """``raw_produtos``: one row per part."""
+    part = _table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     price = _cents(F.col("p_retailprice"))
     ptype = F.col("p_type")
@@ -149,8 +131,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw_clientes``: one row per customer with region name, some customers left out (orphans)."""
-    cust = _table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 50 != 7)
+    """``raw_clientes``: one row per customer with region name."""
+    cust = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = cust.join(nation, cust.c_nationkey == nation.n_nationkey).join(region, F.col("n_regionkey") == region.r_regionkey)

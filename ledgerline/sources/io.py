@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,47 +24,55 @@ SEPARATORS = {"raw_vendas": ";", "raw_produtos": ";", "raw_clientes": ","}
 LAYOUTS = {"raw_vendas": RAW_SALES_COLUMNS, "raw_produtos": RAW_PRODUCT_COLUMNS, "raw_clientes": RAW_CUSTOMER_COLUMNS}
 
 
-def _text_schema(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-
-
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str], sep: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, columns: list[str], sep: str, multiline: bool = False) -> DataFrame:
     """A headed CSV export with every column read as text, so nothing is guessed from the data.
 
-    The schema is given, so no pass over the files is needed to find the columns.  Empty and
-    ``""`` fields read as NULL; a doubled quote inside quotes is one quote.
+    Columns are bound by the names in the header, in whatever order the file has them; columns
+    that are not asked for are dropped, and a missing one is an error.  All files of a folder must
+    have the same header.  A row with too few or too many fields stops the job (FAILFAST), as it
+    does in the reference.  Empty and ``""`` fields read as NULL; a doubled quote inside quotes is
+    one quote.
+
+    ``multiline`` allows line breaks inside quoted fields; files are then not split between tasks.
+    Without it such a row is broken in two, which stops the job as well.
     """
-    return (
-        spark.read.schema(_text_schema(columns))
-        .option("header", True)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multiline}
+    found = spark.read.options(**options).csv(path).columns  # reads the header line only
+    missing = [c for c in columns if c not in found]
+    if missing:
+        raise ValueError(f"{path}: the header has no column {', '.join(missing)}; it has {', '.join(found)}")
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in found])
+    rows = (
+        spark.read.schema(schema).options(**options)
+        # The whole row is parsed whatever is selected, and every file's header is compared.
+        .option("mode", "FAILFAST").option("enforceSchema", False).option("columnPruning", False)
         .csv(path)
-    )
+    )
+    return rows.select(*columns)
 
 
-def read_raw_sales(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_sales(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Sales items export (``;``)."""
-    return read_raw_csv(spark, path, RAW_SALES_COLUMNS, ";")
+    return read_raw_csv(spark, path, RAW_SALES_COLUMNS, SEPARATORS["raw_vendas"], multiline)
 
 
-def read_raw_products(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_products(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Products export (``;``)."""
-    return read_raw_csv(spark, path, RAW_PRODUCT_COLUMNS, ";")
+    return read_raw_csv(spark, path, RAW_PRODUCT_COLUMNS, SEPARATORS["raw_produtos"], multiline)
 
 
-def read_raw_customers(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_customers(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Customers export (``,``)."""
-    return read_raw_csv(spark, path, RAW_CUSTOMER_COLUMNS, ",")
+    return read_raw_csv(spark, path, RAW_CUSTOMER_COLUMNS, SEPARATORS["raw_clientes"], multiline)
 
 
-def read_raw_exports(spark: SparkSession, sales: str, products: str, customers: str) -> dict[str, DataFrame]:
+def read_raw_exports(
+    spark: SparkSession, sales: str, products: str, customers: str, multiline: bool = False
+) -> dict[str, DataFrame]:
     return {
-        "raw_vendas": read_raw_sales(spark, sales),
-        "raw_produtos": read_raw_products(spark, products),
-        "raw_clientes": read_raw_customers(spark, customers),
+        "raw_vendas": read_raw_sales(spark, sales, multiline),
+        "raw_produtos": read_raw_products(spark, products, multiline),
+        "raw_clientes": read_raw_customers(spark, customers, multiline),
     }
 
 
@@ -101,20 +109,44 @@ def export_model(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]
     return paths
 
 
+def plain_number(v: Column) -> Column:
+    """A double as plain decimal text: the shortest digits that give the double back, a point and
+    at least one decimal.  ``inf`` and ``nan`` are written so; beyond 10^38, and nearer to zero than
+    10^-14, no amount is written out and the text stays scientific."""
+    x = v.cast("double")
+    size, text = F.abs(x), x.cast("string")
+    digits = lambda t: F.regexp_replace(x.try_cast(t).cast("string"), "(\\.\\d+?)0*$", "$1")
+    return (
+        F.when(F.isnan(x), F.lit("nan"))
+        .when(size == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(((size >= 1e-3) & (size < 1e7)) | (size == 0), text)
+        .when((size >= 1) & (size < 1e20), digits("decimal(38,18)"))
+        .when((size >= 1e20) & (size < 1e38), F.concat(digits("decimal(38,0)"), F.lit(".0")))
+        .when((size >= 1e-14) & (size < 1), digits("decimal(38,30)"))
+        .otherwise(text)
+    )
+
+
+def _plain_columns(df: DataFrame) -> DataFrame:
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.select(*[plain_number(F.col(c)).alias(c) if c in doubles else F.col(c) for c in df.columns])
+
+
 def export_panel_csv(panel: DataFrame, path: str) -> None:
-    """The panel as headed CSV (a folder of part files)."""
-    _csv_writer(panel).csv(path)
+    """The panel as headed CSV (a folder of part files), numbers in plain decimals."""
+    _csv_writer(_plain_columns(panel)).csv(path)
 
 
 def as_report_text(df: DataFrame) -> DataFrame:
-    """Dates as ``yyyy-MM-dd`` text and every NULL as empty text, as the spreadsheet export does."""
+    """Dates as ``yyyy-MM-dd`` text, numbers as plain decimals and every NULL as empty text, as the
+    spreadsheet export has them."""
     cols = []
-    for f in df.schema.fields:
+    for f in _plain_columns(df).schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd")
         cols.append(F.coalesce(c.cast("string"), F.lit("")).alias(f.name))
-    return df.select(*cols)
+    return _plain_columns(df).select(*cols)
 
 
 # Report sheet -> analysis, as exported by the reference.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_scratch_dir
 
@@ -19,3 +19,9 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     df.write.mode("overwrite").parquet(target)
     # The schema is known: reading it back needs no footer-inference job.
     return spark.read.schema(df.schema).parquet(target)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, wherever Spark's file systems reach it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

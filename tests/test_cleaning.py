@@ -58,6 +58,23 @@ def test_int_like_cast(spark):
     assert _one(spark, ["12", "-3", " 7", "12.7", "-2.5", "+4"], C.to_int_like_cast) == [12, -3, 7, 13, -3, 4]
 
 
+INTEGER_CASES = [
+    ("1_000", 1000), ("12.7", 13), ("x", None), ("inf", None), ("nan", None), ("99999999999", None), ("", None), ("+4", 4),
+    ("1__0", None), ("2147483647", 2147483647), ("1e3", 1000), (None, None),
+]
+
+
+def test_one_integer_rule_in_two_forms(spark):
+    """What the check counts as converted is what staging converts; the rest raises there."""
+    assert _one(spark, [v for v, _ in INTEGER_CASES], C.try_int) == [w for _, w in INTEGER_CASES]
+    for text, want in INTEGER_CASES:
+        if want is not None or text is None:
+            assert _one(spark, [text], C.to_int_like_cast) == [want]
+        else:
+            with pytest.raises(Exception, match="not an integer"):
+                _one(spark, [text], C.to_int_like_cast)
+
+
 ALPHABET = list("0123456789.,-/ R$\tn 　d e") + ["\n", "\x0b", "\u00a0", "\u2009", "\x85", "inf", "nan", "_"]
 
 
@@ -81,7 +98,7 @@ def test_rules_agree_with_reference_engine(spark, duck, name):
     """Random and near-real texts: the Spark rule equals the same rule evaluated by DuckDB."""
     texts = _random_texts(1500, seed=zlib.crc32(name.encode()))
     spark_rule = getattr(C, name)
-    sql_rule = getattr(O, name)
+    sql_rule = {"to_num": O._number, "to_date_br": O._day, "norm_txt": O._label}[name]
     got = _one(spark, texts, spark_rule)
     duck.execute("CREATE OR REPLACE TEMP TABLE probe(i INTEGER, v VARCHAR)")
     duck.executemany("INSERT INTO probe VALUES (?, ?)", list(enumerate(texts)))

@@ -1,4 +1,4 @@
-"""The bucketed ordered scan against a plain global window."""
+"""The ordered scan against a plain global window."""
 
 import random
 from decimal import Decimal
@@ -21,18 +21,23 @@ def _data(spark, n=3000, seed=3):
     return spark.createDataFrame(rows, "id int, v decimal(18,2), code string, tag string")
 
 
-@pytest.fixture
-def small_buckets(spark):
-    spark.conf.set("spark.ledgerline.orderedScan.rowsPerBucket", "100")
+@pytest.fixture(params=["1", "7", "64"])
+def partitions(spark, request):
+    """Several range partitions, kept apart."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], request.param)
+    spark.conf.set(names[1], "false")
     yield
-    spark.conf.unset("spark.ledgerline.orderedScan.rowsPerBucket")
+    for n, v in zip(names, old):
+        spark.conf.set(n, v)
 
 
 @pytest.mark.parametrize("order", [
     [("v", True), ("code", False), ("tag", False), ("id", False)],
     [("code", False), ("tag", False), ("v", False), ("id", False)],
 ])
-def test_matches_plain_window(spark, small_buckets, order):
+def test_matches_plain_window(spark, partitions, order):
     df = _data(spark)
     got = ordered_scan(df, order, number="pos", running={"run": "v"}, totals={"tot": "v"})
     w = Window.orderBy(*natural_order(order))
@@ -48,7 +53,7 @@ def test_matches_plain_window(spark, small_buckets, order):
     assert sorted(p for p, _, _ in g.values()) == list(range(1, len(g) + 1))
 
 
-def test_hot_leading_value_is_split(spark, small_buckets):
+def test_hot_leading_value_is_split(spark, partitions):
     """A third of the rows share the leading sort value; ties are broken by the next column."""
     rows = [(i, "HOT" if i % 3 == 0 else f"K{i:05d}") for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, k string")
@@ -58,7 +63,7 @@ def test_hot_leading_value_is_split(spark, small_buckets):
     assert pos == expected
 
 
-def test_single_bucket_path(spark):
+def test_numbers_and_sums(spark):
     df = _data(spark, n=200)
     got = ordered_scan(df, [("id", False)], number="pos", running={"run": "v"}, totals={"tot": "v"})
     rows = got.orderBy("pos").collect()
@@ -67,22 +72,15 @@ def test_single_bucket_path(spark):
     assert rows[-1].run == total and rows[0].tot == total
 
 
-def test_descending_text_rejected(spark):
-    df = _data(spark, n=10)
-    with pytest.raises(ValueError):
-        ordered_scan(df, [("code", True)], number="pos")
-
-
-def test_in_order_output_is_globally_sorted_without_a_sort_shuffle(spark, small_buckets):
-    df = _data(spark)
-    order = [("v", True), ("code", False), ("tag", False), ("id", False)]
-    got = ordered_scan(df, order, number="pos", in_order=True)
-    assert [r.pos for r in got.select("pos").collect()] == list(range(1, df.count() + 1))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning(__ordered_bucket" in plan and "rangepartitioning(v" not in plan
+def test_descending_text(spark, partitions):
+    df = _data(spark, n=200)
+    order = [("code", True), ("id", True)]
+    got = {r.id: r.pos for r in ordered_scan(df, order, number="pos").collect()}
+    w = Window.orderBy(*natural_order(order))
+    assert got == {r.id: r.pos for r in df.select("id", F.row_number().over(w).alias("pos")).collect()}
 
 
-def test_empty_and_single_row(spark, small_buckets):
+def test_empty_and_single_row(spark, partitions):
     empty = _data(spark, n=3).limit(0)
     assert ordered_scan(empty, [("id", False)], number="pos", running={"run": "v"}).count() == 0
     one = _data(spark, n=1)

@@ -1,5 +1,5 @@
-"""Write PLANS.md: the physical plan of every registered query, summarised, plus full plans of the
-heaviest ones.  Usage: python tools/plan_report.py [sf_dir] [out.md]
+"""Write PLANS.md: the physical plan of every registered query of the sales model, summarised.
+Usage: python tools/plan_report.py [sf_dir] [out.md]
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-FULL = ["margin_by_category", "customer_abc", "panel"]
 # Plans that build the model, shown from the raw exports (the registered queries read the written tables).
 BUILD = ["stg_vendas", "dim_produto", "dim_cliente", "fct_vendas"]
 
@@ -38,7 +37,7 @@ def summarise(plan: str) -> dict:
 def main() -> None:
     from ledgerline.session import local_session, scratch_root
 
-    import __spark_entry__ as E
+    from ledgerline.api import QUERIES
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
@@ -55,8 +54,7 @@ def main() -> None:
         "| query | hash | range | single | BHJ | SMJ | NLJ | WGL | scans | pushed filters |",
         "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |",
     ]
-    full = {}
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = explain(fn(spark, sf_dir))
         s = summarise(plan)
         pushed = "; ".join(p for p in s["pushed"] if p) or "-"
@@ -64,8 +62,6 @@ def main() -> None:
             f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['bhj']} | {s['smj']} | {s['nlj']} | "
             f"{s['wgl']} | {s['scans']} | {pushed[:160]} |"
         )
-        if name in FULL:
-            full[name] = plan
     from ledgerline.plans.model import build_model
 
     lazy = build_model(spark, sf_dir, materialized=False, reuse=False)
@@ -84,23 +80,20 @@ def main() -> None:
             f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['bhj']} | {s['smj']} | {s['nlj']} | "
             f"{s['wgl']} | {s['scans']} | {pushed[:160]} |"
         )
-        full["build: " + name] = plan
 
     # The same build as it is planned when the inputs are large: dimensions above the broadcast
-    # bound and more rows than one ordered-scan bucket holds.
+    # bound.
     at_scale = {
         "spark.ledgerline.broadcastMaxRows": "0",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.ledgerline.orderedScan.rowsPerBucket": "2000",
     }
     for k, v in at_scale.items():
         spark.conf.set(k, v)
     big = build_model(spark, sf_dir, materialized=False, reuse=False)
     lines += [
         "",
-        "The same build planned as for large inputs (no dimension under the broadcast bound, ordered",
-        "scans over several buckets; settings: " + ", ".join(f"`{k}={v}`" for k, v in at_scale.items()) + "):",
+        "The same build planned as for large inputs (no dimension under the broadcast bound; settings: " + ", ".join(f"`{k}={v}`" for k, v in at_scale.items()) + "):",
         "",
         "| table | hash | range | single | BHJ | SMJ | NLJ | WGL | scans | pushed filters |",
         "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |",
@@ -113,20 +106,15 @@ def main() -> None:
             f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['bhj']} | {s['smj']} | {s['nlj']} | "
             f"{s['wgl']} | {s['scans']} | {pushed[:160]} |"
         )
-    full["build at scale: dim_produto"] = explain(big["dim_produto"])
-    full["build at scale: fct_vendas"] = explain(big["fct_vendas"])
     for k in at_scale:
         spark.conf.unset(k)
     lines += [
         "",
         "`single` counts exchanges into one partition. They occur only over results whose size is bounded",
         "independently of the data volume (one row per category, discount band, month or seller; the",
-        "one-row totals of the waterfall and checks; one bucket of the ordered scan, at most",
-        "`rowsPerBucket` rows) and the final ordering of such small reports.",
+        "one-row totals of the waterfall and checks; the ordered scan's one row per partition).",
         "",
     ]
-    for name, plan in full.items():
-        lines += [f"## {name}", "", "```", plan.strip(), "```", ""]
     with open(out, "w") as fh:
         fh.write("\n".join(lines) + "\n")
     print(out)
