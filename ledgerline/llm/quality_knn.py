@@ -170,7 +170,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     marked = marked.filter("label IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(chosen, "doc_id")
+    # At most SAMPLE ids and labels are broadcast.
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
     return texts.dropDuplicates(["doc_id"])
 
 
