@@ -217,7 +217,7 @@ def _leaf_pairs(members: DataFrame, sketches: DataFrame, found: DataFrame | None
         members = members.withColumn("component", F.coalesce("component", "id"))
     members = kept(members, "leaves")
     mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    mixed = members.join(mixed.select("bucket"), "bucket", "left_semi")
+    mixed = members.join(kept(mixed.select("bucket"), "mixed-buckets"), "bucket", "left_semi")
     mixed = kept(mixed, "mixed")
     signed = _only(sketches.select("doc_id", "signature"), mixed.select(F.col("id").alias("doc_id")))
     mixed = mixed.join(signed.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "id")
@@ -237,12 +237,15 @@ def link_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame) -> Da
     """
     members = classes.select(F.posexplode("bands").alias("band", "bucket"), "id", "n")
     full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    # Written aggregates, here and below: a join with one then has shuffles of its own, which AQE
+    # can split where a bucket holds a large group.
+    full = kept(full, "sizes")
     shared = kept(members.join(full, "bucket"), "buckets")
     # Fullest member of each bucket: a sum per member, then a maximum per bucket, both partial.
     fullness = shared.groupBy("id").agg(F.sum("size").alias("pop"))
     best = F.max(F.struct("pop", (-F.col("id")).alias("low"), "n"))
     centres = shared.join(fullness, "id").groupBy("bucket").agg(best.alias("c"))
-    centres = centres.select("bucket", (-F.col("c.low")).alias("centre"), F.col("c.n").alias("cn"))
+    centres = kept(centres.select("bucket", (-F.col("c.low")).alias("centre"), F.col("c.n").alias("cn")), "centres")
     stars = kept(shared.join(centres, "bucket").filter("id <> centre"), "stars")
     pairs = stars.filter(_may_link("n", "cn"))
     pairs = kept(pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "pairs")

@@ -136,7 +136,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).filter("doc_id IS NOT NULL")
     found = kept(ids.mapInArrow(_runs, "run bigint, doc_id bigint, i int, j int"), "runs")
     first = found.groupBy("run").agg(F.min(F.struct("doc_id", "i")).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.filter("n > 1").select("run", "first")
+    # Written, so that the join below has a shuffle of its own, which AQE can split.
+    first = kept(first.filter("n > 1").select("run", "first"), "repeated-runs")
     again = found.join(first, "run").filter(F.struct("doc_id", "i") != F.col("first"))
     return again.groupBy("doc_id").agg(F.collect_set(F.struct("i", "j")).alias("__ranges"))
 
