@@ -43,32 +43,44 @@ def trim_spaces(v: Column | str) -> Column:
     return F.btrim(_text(v), F.lit(SPACE_SEPARATORS))
 
 
-def to_double_strict(v: Column | str) -> Column:
-    """Text -> double with the reference's accepted forms; anything else -> NULL."""
-    s = F.btrim(_text(v), F.lit(CAST_BLANKS))
+def cast_text(v: Column | str) -> Column:
+    """Text without the blanks that a text -> number cast ignores."""
+    return F.btrim(_text(v), F.lit(CAST_BLANKS))
+
+
+def parse_number(s: Column | str) -> Column:
+    """``cast_text`` -> double with the reference's accepted forms; anything else -> NULL."""
+    s = F.col(s) if isinstance(s, str) else s
     return F.when(s.rlike(_NUMBER), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
 
 
-def to_num(v: Column | str) -> Column:
-    """money/number text in Brazilian or plain notation -> double.
+def to_double_strict(v: Column | str) -> Column:
+    return parse_number(cast_text(v))
+
 
-    ``R$`` and every space are removed.  With both ``.`` and ``,`` present the dot is a thousands
-    separator (removed) and the comma the decimal mark; otherwise a comma is the decimal mark.
-    ``89.90`` -> 89.9, ``R$ 1.234,56`` -> 1234.56, ``1.234.567`` -> NULL.
+def number_text(v: Column | str) -> Column:
+    """First half of C1: the text without ``R$`` and spaces, with a point as the decimal mark.
+
+    With a comma in the text, dots can only be thousands separators and the comma is the decimal
+    mark; without one the text stays as it is.
     """
     x = trim_spaces(F.replace(F.replace(_text(v), F.lit("R$"), F.lit("")), F.lit(" "), F.lit("")))
-    # Without a comma the text stays as it is; with one, dots can only be thousands separators.
-    s = F.when(x.contains(","), F.translate(x, ",.", ".")).otherwise(x)
-    return to_double_strict(s)
+    return cast_text(F.when(x.contains(","), F.translate(x, ",.", ".")).otherwise(x))
 
 
-def to_date_br(v: Column | str) -> Column:
-    """Date text -> date, format chosen by the shape of the text, never by trial.
+def to_num(v: Column | str) -> Column:
+    """money/number text in Brazilian or plain notation -> double.
 
-    ``dd/mm/yyyy``, ``yyyy-mm-dd`` or ``dd-mm-yy`` (69-99 -> 19xx, 00-68 -> 20xx); any other
-    shape or an impossible date -> NULL.
+    ``89.90`` -> 89.9, ``R$ 1.234,56`` -> 1234.56, ``1.234.567`` -> NULL.  Over a table, prepare the
+    text with ``number_text`` in one projection and convert it with ``parse_number`` in the next, so
+    that it is made once a value.
     """
-    t = trim_spaces(v)
+    return parse_number(number_text(v))
+
+
+def parse_date(t: Column | str) -> Column:
+    """Second half of C2, over ``trim_spaces``."""
+    t = F.col(t) if isinstance(t, str) else t
     yy = F.substring(t, 7, 2)
     century = F.when(yy >= F.lit("69"), F.lit("19")).otherwise(F.lit("20"))
     return (
@@ -78,6 +90,15 @@ def to_date_br(v: Column | str) -> Column:
     )
 
 
+def to_date_br(v: Column | str) -> Column:
+    """Date text -> date, format chosen by the shape of the text, never by trial.
+
+    ``dd/mm/yyyy``, ``yyyy-mm-dd`` or ``dd-mm-yy`` (69-99 -> 19xx, 00-68 -> 20xx); any other
+    shape or an impossible date -> NULL.
+    """
+    return parse_date(trim_spaces(v))
+
+
 def norm_txt(v: Column | str) -> Column:
     """Trim, collapse whitespace runs to one space, empty -> NULL."""
     return F.nullif(F.regexp_replace(trim_spaces(v), _WHITESPACE_RUN, " "), F.lit(""))
@@ -93,28 +114,30 @@ def flag_yes(v: Column | str) -> Column:
     return F.upper(trim_spaces(v)) == F.lit("S")
 
 
-def _int_parts(v: Column | str) -> tuple[Column, Column, Column]:
-    """Trimmed text, its value when it is a plain whole number, its rounded value otherwise.
+def parse_int(s: Column | str) -> Column:
+    """``cast_text`` -> int, NULL for bad text or a value out of range.
 
     Whole numbers are cast directly so large keys keep full precision; a decimal text rounds
     (``12.7`` -> 13), digits may be grouped (``1_000``), and ``inf`` and ``nan`` are no integers.
     """
-    s = F.btrim(_text(v), F.lit(CAST_BLANKS))
-    whole = F.when(s.rlike(_WHOLE), F.replace(s, F.lit("_"), F.lit("")))
-    x = to_double_strict(s)
-    finite = F.when(F.abs(x) < F.lit(float("inf")), x)
-    return s, whole, F.round(finite)
+    s = F.col(s) if isinstance(s, str) else s
+    x = parse_number(s)
+    rounded = F.round(F.when(F.abs(x) < F.lit(float("inf")), x)).try_cast("int")
+    return F.when(s.rlike(_WHOLE), F.replace(s, F.lit("_"), F.lit("")).try_cast("int")).otherwise(rounded)
+
+
+def strict_int(s: Column | str) -> Column:
+    """``parse_int`` that raises on what it can't convert, as the reference's cast does."""
+    s = F.col(s) if isinstance(s, str) else s
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), s)).cast("int")
+    return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(parse_int(s), bad))
 
 
 def try_int(v: Column | str) -> Column:
-    """Text -> int, NULL for bad text or a value out of range (the converter check's form)."""
-    _, whole, rounded = _int_parts(v)
-    return F.when(whole.isNotNull(), whole.try_cast("int")).otherwise(rounded.try_cast("int"))
+    """Text -> int, NULL for bad text (the converter check's form)."""
+    return parse_int(cast_text(v))
 
 
 def to_int_like_cast(v: Column | str) -> Column:
-    """Text -> int the way the reference's strict cast behaves: what ``try_int`` can't convert
-    raises."""
-    s = F.btrim(_text(v), F.lit(CAST_BLANKS))
-    bad = F.raise_error(F.concat(F.lit("not an integer: "), s)).cast("int")
-    return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(try_int(v), bad))
+    """Text -> int; bad text raises (staging's form)."""
+    return strict_int(cast_text(v))

@@ -11,10 +11,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import digits_only, to_date_br, to_num, try_int
+from ..functions.cleaning import digits_only, parse_date, parse_int, parse_number
 from ..functions.numeric import exact_sum, r2, total
 from .analyses import panel
 from .model import Model
+from .staging import prepared
 
 
 def load_counts(m: Model) -> DataFrame:
@@ -64,20 +65,20 @@ def panel_range(m: Model) -> DataFrame:
     return panel(m).agg(F.count(F.lit(1)).alias("linhas"), F.min("data").alias("de"), F.max("data").alias("ate"))
 
 
-# Which rule converts which raw column.
+# Which rule converts the (prepared) text of which raw column.
 PARSED_COLUMNS = {
     "raw_vendas": {
-        "numero_pedido": try_int,
-        "sequencia_item": try_int,
-        "data_pedido": to_date_br,
-        "quantidade": try_int,
-        "preco_unitario": to_num,
-        "desconto_pct": to_num,
-        "frete_cobrado": to_num,
-        "custo_frete_real": to_num,
+        "numero_pedido": parse_int,
+        "sequencia_item": parse_int,
+        "data_pedido": parse_date,
+        "quantidade": parse_int,
+        "preco_unitario": parse_number,
+        "desconto_pct": parse_number,
+        "frete_cobrado": parse_number,
+        "custo_frete_real": parse_number,
     },
-    "raw_produtos": {"custo_unitario": to_num, "preco_tabela": to_num},
-    "raw_clientes": {"cnpj": digits_only, "data_cadastro": to_date_br, "limite_credito": to_num},
+    "raw_produtos": {"custo_unitario": parse_number, "preco_tabela": parse_number},
+    "raw_clientes": {"cnpj": digits_only, "data_cadastro": parse_date, "limite_credito": parse_number},
 }
 
 
@@ -90,6 +91,8 @@ def parse_quality(m: Model) -> DataFrame:
     """
     parts = []
     for table, rules in PARSED_COLUMNS.items():
+        of = lambda kind: [c for c, r in rules.items() if r is kind]  # noqa: B023, E731
+        texts = prepared(m[table].select(*rules), of(parse_number), of(parse_date), of(parse_int))
         flags, sums, rows = [], [], []
         for i, (column, rule) in enumerate(rules.items()):
             flags += [
@@ -105,7 +108,7 @@ def parse_quality(m: Model) -> DataFrame:
                     (F.col(f"p{i}") - F.col(f"c{i}")).alias("falhas"),
                 )
             )
-        one = m[table].select(*flags).agg(*sums)
+        one = texts.select(*flags).agg(*sums)
         parts.append(
             one.select(F.explode(F.array(*rows)).alias("r")).select(
                 F.lit(table).alias("tabela"), "r.coluna",

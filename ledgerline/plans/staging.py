@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import digits_only, flag_yes, norm_txt, to_date_br, to_int_like_cast, to_num, trim_spaces
+from ..functions.cleaning import (
+    cast_text, digits_only, flag_yes, norm_txt, number_text, parse_date, parse_number, strict_int, to_int_like_cast, trim_spaces,
+)
 from ..operators.dedupe import dedupe_by_key
 
 SALES_KEY = ["numero_pedido", "sequencia_item"]
@@ -29,30 +33,38 @@ def dedupe_sales(raw_sales: DataFrame) -> DataFrame:
     return dedupe_by_key(raw_sales, SALES_KEY, sales_copy_order())
 
 
+def prepared(df: DataFrame, numbers: Sequence[str] = (), dates: Sequence[str] = (), integers: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the text of columns to convert cleaned, in a projection of its own: the
+    conversions read it several times, and so it is made once a value."""
+    return df.withColumns(
+        {c: number_text(c) for c in numbers} | {c: trim_spaces(c) for c in dates} | {c: cast_text(c) for c in integers}
+    )
+
+
 def stg_products(raw_products: DataFrame) -> DataFrame:
     """T1."""
-    return raw_products.select(
+    return prepared(raw_products, numbers=["custo_unitario", "preco_tabela"]).select(
         "codigo_produto",
         norm_txt("descricao").alias("descricao"),
         norm_txt("categoria").alias("categoria"),
         norm_txt("unidade").alias("unidade"),
-        to_num("custo_unitario").alias("custo_unitario"),
-        to_num("preco_tabela").alias("preco_tabela"),
+        parse_number("custo_unitario").alias("custo_unitario"),
+        parse_number("preco_tabela").alias("preco_tabela"),
         flag_yes("ativo").alias("ativo"),
     )
 
 
 def stg_customers(raw_customers: DataFrame) -> DataFrame:
     """T2."""
-    return raw_customers.select(
+    return prepared(raw_customers, numbers=["limite_credito"], dates=["data_cadastro"]).select(
         "codigo_cliente",
         norm_txt("razao_social").alias("razao_social"),
         digits_only("cnpj").alias("cnpj"),
         norm_txt("segmento").alias("segmento"),
         norm_txt("regiao").alias("regiao"),
         trim_spaces("vendedor").alias("cod_vendedor"),
-        to_date_br("data_cadastro").alias("data_cadastro"),
-        to_num("limite_credito").alias("limite_credito"),
+        parse_date("data_cadastro").alias("data_cadastro"),
+        parse_number("limite_credito").alias("limite_credito"),
     )
 
 
@@ -63,18 +75,19 @@ def stg_sales(raw_sales: DataFrame) -> DataFrame:
     undated the whole item goes, even when another copy was valid.  Catalyst keeps them there
     because they are not on the window's partition keys.
     """
-    kept = dedupe_sales(raw_sales)
+    numbers = ["preco_unitario", "desconto_pct", "frete_cobrado", "custo_frete_real"]
+    kept = prepared(dedupe_sales(raw_sales), numbers, ["data_pedido"], [*SALES_KEY, "quantidade"])
     typed = kept.select(
-        to_int_like_cast("numero_pedido").alias("numero_pedido"),
-        to_int_like_cast("sequencia_item").alias("sequencia_item"),
-        to_date_br("data_pedido").alias("data_pedido"),
+        strict_int("numero_pedido").alias("numero_pedido"),
+        strict_int("sequencia_item").alias("sequencia_item"),
+        parse_date("data_pedido").alias("data_pedido"),
         "codigo_cliente",
         "codigo_produto",
-        to_int_like_cast("quantidade").alias("quantidade"),
-        to_num("preco_unitario").alias("preco_unitario"),
-        to_num("desconto_pct").alias("desconto_pct"),
-        to_num("frete_cobrado").alias("frete_cobrado"),
-        to_num("custo_frete_real").alias("custo_frete_real"),
+        strict_int("quantidade").alias("quantidade"),
+        parse_number("preco_unitario").alias("preco_unitario"),
+        parse_number("desconto_pct").alias("desconto_pct"),
+        parse_number("frete_cobrado").alias("frete_cobrado"),
+        parse_number("custo_frete_real").alias("custo_frete_real"),
         trim_spaces("vendedor").alias("cod_vendedor"),
         F.upper(trim_spaces("status")).alias("status"),
     )

@@ -78,3 +78,12 @@ def test_dedupe_limits_before_any_exchange_on_its_key(spark):
     # final limit, exchange on the key, partial limit; below that only the order-key join
     assert len(limits) == 2 and limits[1] - limits[0] == 2
     assert "l_linenumber" not in "".join(re.findall(r"hashpartitioning\((.*?)\)", explain(raw_sales(spark, SF_SMALL))))
+
+
+def test_number_text_is_made_once_a_value(spark):
+    from ledgerline.plans.staging import stg_products
+    from ledgerline.sources.io import RAW_PRODUCT_COLUMNS
+
+    raw = spark.createDataFrame([tuple("x" for _ in RAW_PRODUCT_COLUMNS)], ", ".join(f"{c} string" for c in RAW_PRODUCT_COLUMNS))
+    plan = stg_products(raw.repartition(2))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 2  # two number columns
