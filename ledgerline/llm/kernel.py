@@ -118,6 +118,14 @@ def windows(w: Words, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(out[at]), at
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices, so that a task holds the values of a few texts at a time
+    and not of a whole batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column's values as UTF-8 bytes."""
     if isinstance(column, pa.ChunkedArray):

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .kernel import chunks, constants, list_column, mix, text_bytes, windows, words
+from .kernel import chunks, constants, list_column, mix, slices, text_bytes, windows, words
 from .tables import kept, table
 
 SHINGLE = 5
@@ -108,18 +108,14 @@ _SKETCH = "doc_id bigint, n_shingles bigint, set_hash bigint, bands array<bigint
 
 
 def _sketch(batches):
-    for batch in batches:
+    for batch in slices(batches):
         sets = list(shingle_sets(text_bytes(batch.column("text"))))
         counts = np.array([len(s) for s in sets], np.int64)
         hashes = np.array([mix(s ^ _U(0x5BD1E995)).sum(dtype=np.uint64) for s in sets], np.uint64)
         full = [s for s in sets if len(s)]
-        keys, low = [], []
-        for at in range(0, len(full), 512):
-            sigs = signatures(full[at : at + 512])
-            keys.append(band_keys(sigs).ravel())
-            low += [r.tobytes() for r in sigs.astype(np.uint8)]
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        low = iter(low)
+        sigs = signatures(full)
+        flat = band_keys(sigs).ravel()
+        low = iter([r.tobytes() for r in sigs.astype(np.uint8)])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), pa.array(counts), pa.array(hashes.view(np.int64)),
@@ -131,7 +127,7 @@ def _sketch(batches):
 
 
 def _full_sets(batches):
-    for batch in batches:
+    for batch in slices(batches):
         sets = list(shingle_sets(text_bytes(batch.column("text"))))
         flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         bounds = np.cumsum([0, *map(len, sets)])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import Words, _powers, chunks, mix, text_bytes, words
+from .kernel import Words, _powers, chunks, mix, slices, text_bytes, words
 from .tables import kept, table
 
 MIN_SENTENCES = 2
@@ -81,7 +81,7 @@ def runs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _runs(batches):
-    for batch in batches:
+    for batch in slices(batches, 1024):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         for at, group in chunks(text_bytes(batch.column("text"))):
             hashed, text, i, j = runs(words(group, lower=True))
@@ -110,7 +110,7 @@ def without(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int, int
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in slices(batches):
         texts = text_bytes(batch.column("text"))
         out, n_sentences, n_words = [], [], []
         for text, ranges in zip(texts, batch.column("__ranges").to_pylist(), strict=True):
