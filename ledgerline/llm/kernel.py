@@ -33,7 +33,7 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * _U(_P) + _U(seed)) | _U(1)
 
 
-_BYTE_CODE = constants(256, 7)
+BYTE_CODE = constants(256, 7)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -41,7 +41,7 @@ _LOWER[0x41:0x5B] += 0x20
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the hash base and of its inverse (kept up to one chunk's length)."""
     if len(_POWERS[0]) >= n:
         return _POWERS[0][:n], _POWERS[1][:n]
@@ -96,8 +96,8 @@ def words(texts: list[bytes], lower: bool = False) -> Words:
     np.logical_not(space, out=inside[1:])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[0::2], edges[1::2]
-    codes = _BYTE_CODE[_LOWER[data] if lower else data]
-    power, inverse = _powers(len(data))
+    codes = BYTE_CODE[_LOWER[data] if lower else data]
+    power, inverse = powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(codes * power, out=total[1:])
     hashed = mix((total[end] - total[start]) * inverse[start])

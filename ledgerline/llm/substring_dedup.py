@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import Words, _powers, chunks, mix, slices, text_bytes, words
+from .kernel import Words, chunks, mix, powers, slices, text_bytes, words
 from .tables import kept, table
 
 MIN_SENTENCES = 2
@@ -72,7 +72,7 @@ def runs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     ok = (i >= np.concatenate([first, first])) & (j <= np.concatenate([last, last]))
     key = np.unique(i[ok] * np.int64(n) + j[ok])
     i, j = key // n, key % n
-    power, inverse = _powers(len(w.hash))
+    power, inverse = powers(len(w.hash))
     total = np.zeros(len(w.hash) + 1, np.uint64)
     np.cumsum(w.hash * power, out=total[1:])
     a, b = edge[i], edge[j + 1]

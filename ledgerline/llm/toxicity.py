@@ -26,7 +26,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import chunks, mix, text_bytes, words
+from .kernel import BYTE_CODE, chunks, mix, powers, text_bytes, words
 from .tables import held_out, kept, table
 
 #: Most labelled rows that the model learns from.
@@ -76,11 +76,9 @@ def tokens(texts: list[bytes]):
     w = words([t.lower() for t in texts])
     a, b = _core(w.data, w.start, w.end)
     # Hash again over the core spans: prefix sums of the same byte codes.
-    from .kernel import _BYTE_CODE, _powers
-
-    power, inverse = _powers(len(w.data))
+    power, inverse = powers(len(w.data))
     total = np.zeros(len(w.data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[w.data] * power, out=total[1:])
+    np.cumsum(BYTE_CODE[w.data] * power, out=total[1:])
     hashed = mix((total[b] - total[a]) * inverse[np.minimum(a, len(w.data) - 1)])
     heads = []
     for n in _PREFIXES:
