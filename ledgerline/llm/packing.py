@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .kernel import slices
 from .tables import table
 
 MAX_TOKENS = 2048
@@ -227,7 +228,7 @@ def _packer(path: str, limits: Limits, with_ids: bool):
             fresh, waiting = [], 0
             return out
 
-        for batch in batches:
+        for batch in slices(batches, 512):
             texts, names = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             prompts = batch.column("prompt").to_pylist() if "prompt" in batch.schema.names else None
             for k, (name, text) in enumerate(zip(names, texts, strict=True)):

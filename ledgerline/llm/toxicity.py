@@ -26,7 +26,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import BYTE_CODE, chunks, mix, powers, text_bytes, words
+from .kernel import BYTE_CODE, chunks, mix, powers, slices, text_bytes, words
 from .tables import held_out, kept, table
 
 #: Most labelled rows that the model learns from.
@@ -150,7 +150,7 @@ def _featurise(lexicon):
     """Adds the feature columns; the column ``__scored`` has the texts and goes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 512):
             rest = {name: batch.column(name) for name in batch.schema.names if name != "__scored"}
             parts = [features(group, lexicon) for _, group in chunks(text_bytes(batch.column("__scored")))]
             x = np.concatenate(parts) if parts else np.zeros((0, len(NAMES)))
