@@ -1,10 +1,11 @@
 import random
 
-import brute
 import numpy as np
 
 from ledgerline.llm import minhash as m
 
+from . import brute
+
 
 def _texts(seed=5):
     """Groups of near copies around hubs, chains of links, and documents with a shared passage."""

@@ -1,9 +1,10 @@
 import random
 
-import brute
 
 from ledgerline.llm import substring_dedup as s
 
+from . import brute
+
 
 def _docs():
     rnd = random.Random(11)

@@ -1,6 +1,5 @@
 """The pipeline's stages against brute force, each on what its predecessor kept."""
 
-import brute
 import duckdb
 import pytest
 
@@ -8,6 +7,8 @@ import corpus_pipeline as c
 from ledgerline.llm import packing, quality_rules, toxicity
 from ledgerline.llm.tables import kept, table
 
+from . import brute
+
 SF = "/root/testdata/sf0.001"
 
 
