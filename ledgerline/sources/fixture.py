@@ -74,7 +74,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # Orders grow with the sales: joined by a shuffle at every size, never broadcast.
+    j = li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
 
     qty = F.col("l_quantity").cast("bigint")
     cents = _cents(F.col("l_extendedprice"))
