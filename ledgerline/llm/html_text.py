@@ -69,7 +69,8 @@ _MARKUP = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))",
     re.I | re.S,
 )
-_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|itemprop)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: One attribute after another: its name, then its quoted or bare value.
+_ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -85,7 +86,7 @@ def _part(name: str, rest: str, in_main: bool) -> str:
                 role = "dialog"
             elif key == "itemprop":
                 role = "main" if value.lower() == "articlebody" else role
-            else:
+            elif key in ("class", "id"):
                 names += f" {value}"
     if role in _OUT_ROLES or (names and name not in ("body", "html") and name not in _MAIN and _OUT_NAMES.search(names)):
         return "out"

@@ -39,6 +39,16 @@ def test_broken_markup():
     assert h.main_text("<a '" * 20_000) == ""
 
 
+def test_hidden_is_the_name_of_an_attribute():
+    for tag in ('div style="overflow:hidden"', "div style='overflow: hidden; top:0'", 'div title="the hidden valley"', "div data-x=hidden"):
+        assert h.main_text(f"<article><{tag}><p>in</p></div><p>end</article>") == "in\n\nend"
+        assert h.main_text(f"<{tag}><article><p>in</p></article></div>") == "in"
+        for own in ("hidden", 'hidden=""', "HIDDEN", "hidden = until-found"):
+            assert h.main_text(f"<article><{tag} {own}><p>in</p></div><p>end</article>") == "end"
+    assert h.main_text('<body style="overflow-x:hidden" class=x><article>all</article></body>') == "all"
+    assert h.main_text("<article><p title='class=\"ad\"'>x</p></article>") == "x"
+
+
 def test_messy(spark):
     rows = [(1, "u", None, 9), (2, None, "", 9), (None, "u", "<article>x</article>", None), (3, "u", "<article>x</article>", 1)]
     rows += [(3, "u", "<article>x</article>", 1), (4, "u", "<article>" + "<p>word</p>" * 30_000, 1)]
