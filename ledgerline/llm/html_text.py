@@ -1,8 +1,8 @@
 """Main text of web pages (operator 9): two-pass block rules.
 
 The page is read into text blocks.  Blocks in elements that never hold main text (menus, page
-headers and footers, sidebars, notices, adverts, forms, comments; by element, role, class or id)
-are out.  First pass: length, link density and stop-word density make every other block good,
+headers and footers, sidebars, notices, adverts, forms, comments; by element, role, or a whole class
+or id) are out, unless they turn out to hold the article or most of the text.  First pass: length, link density and stop-word density make every other block good,
 bad, short or nearly good.  Second pass: short and nearly good blocks take the label of the
 nearest decided blocks on either side.  A block inside the page's marked article counts as good
 unless its text is mostly links: headings, short paragraphs and prose without stop words belong
@@ -56,15 +56,30 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-_OUT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|navbar|nav|navigation|menu|breadcrumbs?|footer|"
-    r"masthead|cookies?|consent|notice|popup|modal|overlay|comments?|disqus|respond|replies|share|sharing|social|"
-    r"related|recommended|newsletter|subscribe|signup|login|widget|toolbar|pagination|pager|skip-link|copyright)(?:$|[\s_-])",
+# Elements of these kinds may also wrap a page or its article by mistake of a name: see _released.
+_ALWAYS_OUT = frozenset("nav footer menu dialog button select head map".split())
+#: Names that say little about what else an element holds, and names of what is never main text.
+_LAYOUT_NAMES = r"banner|sidebar|navbar|nav|navigation|menu|breadcrumbs?|footer|masthead|popup|modal|overlay|share|sharing|social|widgets?|toolbar"
+_FOREIGN_NAMES = (
+    r"ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|notice|comments?|disqus|respond|replies|related|recommended|"
+    r"newsletter|subscribe|signup|login|pagination|pager|skip-link|copyright"
+)
+# What may stand beside a name in one class or id; any other part (has-, no-, -content) makes it another name.
+_BESIDE_NAMES = (
+    r"site|page|post|posts|entry|article|global|main|primary|secondary|top|bottom|left|right|list|box|block|slot|unit|links?|"
+    r"buttons?|bar|area|section|wrap|wrapper|container|inner|items?|icons|form|thread|\d+(?:x\d+)?"
+)
+_OUT_NAME = re.compile(
+    rf"(?:(?:{_BESIDE_NAMES})[_-]+)*(?:(?P<foreign>{_FOREIGN_NAMES})|{_LAYOUT_NAMES})"
+    rf"(?:[_-]+(?:{_LAYOUT_NAMES}|{_FOREIGN_NAMES}|{_BESIDE_NAMES}))*",
     re.I,
 )
+_ATTRIBUTES = r"""(?:[^'">=/]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?|"[^"]*+"|'[^']*+'|/(?!>))*+"""
+_RAW_END = r"(?:.*?(?:</(?P=raw)\s*+>|\Z))"
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(_RAW)})(?=[\s/>])[^>]*+(?:>.*?(?:</(?P=raw)\s*+>|\Z)|\Z)"
+    # A raw element ends with its end tag, or with its own tag if that closes itself.
+    rf"|<(?P<raw>{'|'.join(_RAW)})(?=[\s/>])(?:{_ATTRIBUTES}(?:/>|>{_RAW_END})|[^>]*+(?:>{_RAW_END}|\Z))"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))",
     re.I | re.S,
@@ -75,86 +90,157 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def _part(name: str, rest: str, in_main: bool) -> str:
-    """What an element holds: ``out``, ``main`` or nothing said."""
+    """What an element holds: ``never`` main text, text that is ``foreign`` or ``out`` unless the
+    page's text is in it, ``main`` or nothing said."""
     role, names = "", ""
     if len(rest) > 2:
         for key, *values in _ATTRIBUTE.findall(rest):
             value, key = next((v for v in values if v), ""), key.lower()
             if key == "role":
-                role = value.lower()
+                role = value.lower() if role != "hidden" else role
             elif key == "hidden":
-                role = "dialog"
+                role = "hidden"
             elif key == "itemprop":
-                role = "main" if value.lower() == "articlebody" else role
+                role = "main" if value.lower() == "articlebody" and role != "hidden" else role
             elif key in ("class", "id"):
                 names += f" {value}"
-    if role in _OUT_ROLES or (names and name not in ("body", "html") and name not in _MAIN and _OUT_NAMES.search(names)):
+    if role == "hidden":
+        return "never"
+    if names and name not in ("body", "html") and name not in _MAIN:
+        found = [m for m in map(_OUT_NAME.fullmatch, names.split()) if m]
+        if found:
+            return "foreign" if any(m["foreign"] for m in found) else "out"
+    if role in _OUT_ROLES:
         return "out"
     if name in _OUT and not (in_main and name in ("header", "figcaption")):
-        return "out"
+        return "never" if name in _ALWAYS_OUT else "out"
     return "main" if name in _MAIN or role == "main" else ""
 
 
-def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
+Block = tuple[str, float, bool, bool]
+
+
+class _Page:
+    """A page's blocks in pieces of text, each with the innermost open element that is out."""
+
+    def __init__(self, page: str):
+        #: (pieces, in a heading, in the marked article); a piece is (text, in a link, element that is out or 0).
+        self.raw: list[tuple[list[tuple[str, bool, int]], bool, bool]] = []
+        #: By an out element's number: the one around it, and whether it is foreign or in the marked article.
+        self.around, self.strict = [0], [False]
+        self._read(page)
+
+    def _read(self, page: str) -> None:
+        pieces: list[tuple[str, bool, int]] = []
+        stack: list[tuple[str, str]] = []
+        never = main = links = inside = 0
+        heading = False
+
+        def close_block():
+            nonlocal pieces
+            if pieces:
+                self.raw.append((pieces, heading, main > 0))
+                pieces = []
+
+        def leave(name: str, part: str) -> None:
+            nonlocal never, main, links, inside
+            never -= part == "never"
+            main -= part == "main"
+            links -= name == "a"
+            if part in ("out", "foreign"):
+                inside = self.around[inside]
+
+        at = 0
+        for m in _MARKUP.finditer(page):
+            if m.start() > at and not never:
+                pieces.append((page[at : m.start()], links > 0, inside))
+            at = m.end()
+            name = m["name"]
+            if name is None:
+                continue
+            name = name.lower()
+            if name == "br":
+                if not never:
+                    pieces.append(("\n", False, inside))
+                continue
+            if name in _BLOCKS:
+                close_block()
+            if m["close"]:
+                # Ends the nearest open element of that name, and what is still open inside it.
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == name:
+                        for gone, part in reversed(stack[k:]):
+                            leave(gone, part)
+                        del stack[k:]
+                        break
+                    if stack[k][0] in _MAIN and name not in _MAIN and name not in ("body", "html"):
+                        break  # a stray end tag does not end the article
+            elif name not in _VOID and not m["rest"].endswith("/>"):
+                if name == "p" and stack and stack[-1][0] == "p":
+                    leave(*stack.pop())
+                part = _part(name, m["rest"], main > 0)
+                if name != "p" or part:
+                    stack.append((name, part))
+                    never += part == "never"
+                    links += name == "a"
+                    if part in ("out", "foreign"):
+                        self.around.append(inside)
+                        self.strict.append(part == "foreign" or main > 0)
+                        inside = len(self.around) - 1
+                    main += part == "main"
+            if name in _BLOCKS:
+                heading = not m["close"] and len(name) == 2 and name[0] == "h" and name[1].isdigit()
+        if not never:
+            pieces.append((page[at:], links > 0, inside))
+        close_block()
+
+    def _block(self, pieces: list[tuple[str, bool, int]], heading: bool, main: bool) -> Block | None:
+        joined = " ".join(entities.unescape("".join([p[0] for p in pieces])).split())
+        linked = sum(len(p[0]) for p in pieces if p[1])
+        return (joined, min(1.0, linked / len(joined)), heading, main) if joined else None
+
+    def _released(self) -> list[bool]:
+        """Which out elements are read after all: those that hold the marked article, or most of the
+        page's text that could be main text.  Foreign ones and those within the marked article are
+        read only where no such text is left without them."""
+        n = len(self.around)
+        seen = [True] + [False] * (n - 1)
+        if n == 1:
+            return seen
+        text, marked = [0] * n, [0] * n
+        for pieces, heading, main in self.raw:
+            by: dict[int, list[tuple[str, bool, int]]] = {}
+            for piece in pieces:
+                by.setdefault(piece[2], []).append(piece)
+            for k, own in by.items():
+                block = self._block(own, heading, main)
+                if block and first_pass(block[0], block[1], main) in ("good", "near"):
+                    text[k] += len(block[0])
+                    marked[k] += main * len(block[0])
+        shown, shown_marked = text[0], marked[0]
+        own_text, own_marked = list(text), list(marked)
+        for k in range(n - 1, 0, -1):
+            text[self.around[k]] += text[k]
+            marked[self.around[k]] += marked[k]
+        for k in range(1, n):
+            article = not shown_marked and 2 * marked[k] > marked[0]
+            most = 2 * text[k] > text[0]
+            if seen[self.around[k]] and (not shown if self.strict[k] else True) and (article or most):
+                seen[k] = True
+                shown += own_text[k]
+                shown_marked += own_marked[k]
+        return seen
+
+    def blocks(self) -> list[Block]:
+        seen = self._released()
+        found = [self._block([p for p in pieces if seen[p[2]]], heading, main) for pieces, heading, main in self.raw]
+        return [b for b in found if b]
+
+
+def blocks(page: str) -> list[Block]:
     """(text, share of it in links, in a heading, in the marked article) of every block that is
     not in an element that is out."""
-    found, text, linked = [], [], 0
-    stack: list[tuple[str, str]] = []
-    out = main = links = 0
-    heading = False
-
-    def close_block():
-        nonlocal linked
-        joined = " ".join(entities.unescape("".join(text)).split())
-        if joined:
-            found.append((joined, min(1.0, linked / len(joined)), heading, main > 0))
-        text.clear()
-        linked = 0
-
-    at = 0
-    for m in _MARKUP.finditer(page):
-        if m.start() > at and not out:
-            piece = page[at : m.start()]
-            text.append(piece)
-            if links:
-                linked += len(piece)
-        at = m.end()
-        name = m["name"]
-        if name is None:
-            continue
-        name = name.lower()
-        if name == "br":
-            text.append("\n")
-            continue
-        if name in _BLOCKS:
-            close_block()
-        if m["close"]:
-            # Ends the nearest open element of that name, and what is still open inside it.
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    for gone, part in stack[k:]:
-                        out -= part == "out"
-                        main -= part == "main"
-                        links -= gone == "a"
-                    del stack[k:]
-                    break
-                if stack[k][0] in _MAIN and name not in _MAIN and name not in ("body", "html"):
-                    break  # a stray end tag does not end the article
-        elif name not in _VOID and not m["rest"].endswith("/>"):
-            if name == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
-            part = _part(name, m["rest"], main > 0)
-            if name != "p" or part:
-                stack.append((name, part))
-                out += part == "out"
-                main += part == "main"
-                links += name == "a"
-        if name in _BLOCKS:
-            heading = not m["close"] and len(name) == 2 and name[0] == "h" and name[1].isdigit()
-    if not out:
-        text.append(page[at:])
-    close_block()
-    return found
+    return _Page(page).blocks()
 
 
 def first_pass(text: str, links: float, article: bool) -> str:

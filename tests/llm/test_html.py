@@ -49,6 +49,32 @@ def test_hidden_is_the_name_of_an_attribute():
     assert h.main_text("<article><p title='class=\"ad\"'>x</p></article>") == "x"
 
 
+def test_names_of_wrappers_drop_nothing():
+    long = PROSE * 5
+    names = ["content-area has-sidebar", "post no-sidebar", "entry-content no-comments", "page with-nav", "widget-content"]
+    for name in [*names, "elementor-widget-text", "sidebar", "widget", "left-sidebar", "overlay"]:
+        for held in (f"<article><p>{long}</p></article>", f"<p>{long}</p>"):
+            for tag in ("class", "id"):
+                page = f'<div {tag}="{name}">{held}<div class="comments-area"><p>{PROSE * 20}</p></div></div>'
+                assert h.main_text(f"<body>{page}</body>") == long.strip(), (name, held)
+    assert h.main_text(f'<form id="form1"><article><p>{long}</p><p>end</p></article></form>').endswith("end")
+    for name in ("sidebar", "site-footer", "ad-slot", "cookie-consent", "related posts", "comments-area", "nav_bar", "widget-2"):
+        assert h.main_text(f'<p>{long}</p><div class="x {name}"><p>{long}</p></div><p>{long}</p>') == f"{long.strip()}\n\n{long.strip()}"
+    assert h.main_text('<p>' + long + '</p>' + '<div class="ad">' * 5_000 + "x") == long.strip()
+
+
+def test_a_paragraph_that_is_out_ends_with_the_next_one():
+    assert h.main_text('<article><p class="ad">buy<p>text</article>') == "text"
+
+
+def test_self_closed_raw_elements():
+    for tag in ("<svg/>", "<svg />", '<svg a="1>2"/>', "<math\nx='/'/>", "<script src='a'/>", "<svg hidden/>"):
+        assert h.main_text(f"<article>a{tag}b<svg><title>t</title></svg>c</article>") == "abc"
+    for tag in ("<svg>", '<svg a="/>">', "<script src=/x/>", "<math x='/' >"):
+        name = tag[1:].split()[0].rstrip(">")
+        assert h.main_text(f"<article>a{tag}b</{name}>c</article>") == "ac"
+
+
 def test_messy(spark):
     rows = [(1, "u", None, 9), (2, None, "", 9), (None, "u", "<article>x</article>", None), (3, "u", "<article>x</article>", 1)]
     rows += [(3, "u", "<article>x</article>", 1), (4, "u", "<article>" + "<p>word</p>" * 30_000, 1)]
