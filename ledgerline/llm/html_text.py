@@ -4,9 +4,10 @@ The page is read into text blocks.  Blocks in elements that never hold main text
 headers and footers, sidebars, notices, adverts, forms, comments; by element, role, or a whole class
 or id) are out, unless they turn out to hold the article or most of the text.  First pass: length, link density and stop-word density make every other block good,
 bad, short or nearly good.  Second pass: short and nearly good blocks take the label of the
-nearest decided blocks on either side.  A block inside the page's marked article counts as good
-unless its text is mostly links: headings, short paragraphs and prose without stop words belong
-to an article, and density alone would lose them.
+nearest decided blocks on either side.  The page's marked article is a prior: what density does
+not find good in it is nearly good unless mostly links, and the article's ends count as good
+neighbours (headings, short paragraphs and prose without stop words belong to it).  Outside it the
+good blocks stand, and undecided ones need good ones on both sides.
 
 Defined cases.  A null or empty html, and a page without a good block, give an empty text.  Markup
 that ends within a tag, a comment or a script loses that rest only.  Repeated rows, null ids and
@@ -106,7 +107,7 @@ def _part(name: str, rest: str, in_main: bool) -> str:
                 names += f" {value}"
     if role == "hidden":
         return "never"
-    if names and name not in ("body", "html") and name not in _MAIN:
+    if names and name not in ("body", "html", "main"):
         found = [m for m in map(_OUT_NAME.fullmatch, names.split()) if m]
         if found:
             return "foreign" if any(m["foreign"] for m in found) else "out"
@@ -117,15 +118,15 @@ def _part(name: str, rest: str, in_main: bool) -> str:
     return "main" if name in _MAIN or role == "main" else ""
 
 
-Block = tuple[str, float, bool, bool]
+Block = tuple[str, float, bool, int]
 
 
 class _Page:
     """A page's blocks in pieces of text, each with the innermost open element that is out."""
 
     def __init__(self, page: str):
-        #: (pieces, in a heading, in the marked article); a piece is (text, in a link, element that is out or 0).
-        self.raw: list[tuple[list[tuple[str, bool, int]], bool, bool]] = []
+        #: (pieces, in a heading, number of the marked article or 0); a piece is (text, in a link, element that is out or 0).
+        self.raw: list[tuple[list[tuple[str, bool, int]], bool, int]] = []
         #: By an out element's number: the one around it, and whether it is foreign or in the marked article.
         self.around, self.strict = [0], [False]
         self._read(page)
@@ -133,13 +134,13 @@ class _Page:
     def _read(self, page: str) -> None:
         pieces: list[tuple[str, bool, int]] = []
         stack: list[tuple[str, str]] = []
-        never = main = links = inside = 0
+        never = main = links = inside = article = 0
         heading = False
 
         def close_block():
             nonlocal pieces
             if pieces:
-                self.raw.append((pieces, heading, main > 0))
+                self.raw.append((pieces, heading, article if main else 0))
                 pieces = []
 
         def leave(name: str, part: str) -> None:
@@ -187,6 +188,7 @@ class _Page:
                         self.around.append(inside)
                         self.strict.append(part == "foreign" or main > 0)
                         inside = len(self.around) - 1
+                    article += part == "main" and not main
                     main += part == "main"
             if name in _BLOCKS:
                 heading = not m["close"] and len(name) == 2 and name[0] == "h" and name[1].isdigit()
@@ -194,10 +196,10 @@ class _Page:
             pieces.append((page[at:], links > 0, inside))
         close_block()
 
-    def _block(self, pieces: list[tuple[str, bool, int]], heading: bool, main: bool) -> Block | None:
+    def _block(self, pieces: list[tuple[str, bool, int]], heading: bool, article: int) -> Block | None:
         joined = " ".join(entities.unescape("".join([p[0] for p in pieces])).split())
         linked = sum(len(p[0]) for p in pieces if p[1])
-        return (joined, min(1.0, linked / len(joined)), heading, main) if joined else None
+        return (joined, min(1.0, linked / len(joined)), heading, article) if joined else None
 
     def _released(self) -> list[bool]:
         """Which out elements are read after all: those that hold the marked article, or most of the
@@ -208,15 +210,15 @@ class _Page:
         if n == 1:
             return seen
         text, marked = [0] * n, [0] * n
-        for pieces, heading, main in self.raw:
+        for pieces, heading, mark in self.raw:
             by: dict[int, list[tuple[str, bool, int]]] = {}
             for piece in pieces:
                 by.setdefault(piece[2], []).append(piece)
             for k, own in by.items():
-                block = self._block(own, heading, main)
-                if block and first_pass(block[0], block[1], main) in ("good", "near"):
+                block = self._block(own, heading, mark)
+                if block and first_pass(block[0], block[1], mark > 0) in ("good", "near"):
                     text[k] += len(block[0])
-                    marked[k] += main * len(block[0])
+                    marked[k] += len(block[0]) if mark else 0
         shown, shown_marked = text[0], marked[0]
         own_text, own_marked = list(text), list(marked)
         for k in range(n - 1, 0, -1):
@@ -233,19 +235,22 @@ class _Page:
 
     def blocks(self) -> list[Block]:
         seen = self._released()
-        found = [self._block([p for p in pieces if seen[p[2]]], heading, main) for pieces, heading, main in self.raw]
+        found = [self._block([p for p in pieces if seen[p[2]]], heading, mark) for pieces, heading, mark in self.raw]
         return [b for b in found if b]
 
 
 def blocks(page: str) -> list[Block]:
-    """(text, share of it in links, in a heading, in the marked article) of every block that is
-    not in an element that is out."""
+    """(text, share of it in links, in a heading, number of the marked article or 0) of every block
+    that is not in an element that is out."""
     return _Page(page).blocks()
 
 
 def first_pass(text: str, links: float, article: bool) -> str:
     if article:
-        return "bad" if links > MAX_ARTICLE_LINKS else "good"
+        # Density decides what is good; the mark makes nearly good of all the rest but lists of links.
+        if links > MAX_ARTICLE_LINKS:
+            return "bad"
+        return "good" if first_pass(text, links, False) == "good" else "near"
     if links > MAX_LINKS or "©" in text:
         return "bad"
     if len(text) < SHORT_CHARS:
@@ -257,40 +262,66 @@ def first_pass(text: str, links: float, article: bool) -> str:
     return "near" if stops >= LOW_STOPS else "bad"
 
 
-def second_pass(labels: list[str], headings: list[bool]) -> list[bool]:
+def _last_decided(labels: list[str], marks: list[int]) -> list[str]:
+    """The label of the nearest good or bad block before each block.  Within a marked article only
+    its own blocks count, and it begins as good; the page begins as bad."""
+    found, page, own, mark = [], "bad", "good", 0
+    for label, m in zip(labels, marks, strict=True):
+        if m != mark:
+            own, mark = "good", m
+        found.append(own if m else page)
+        if label in ("good", "bad"):
+            own = page = label
+    return found
+
+
+def second_pass(labels: list[str], headings: list[bool], marks: list[int]) -> list[bool]:
     """Whether each block is kept: undecided ones look to the nearest good or bad block on either
     side; both good keeps, both bad drops, one of each keeps what was nearly good.  A heading
     needs a kept block after it."""
-    n = len(labels)
-    before, after = ["bad"] * n, ["bad"] * n
-    last = "bad"
-    for k in range(n):
-        before[k] = last
-        last = labels[k] if labels[k] in ("good", "bad") else last
-    last = "bad"
-    for k in reversed(range(n)):
-        after[k] = last
-        last = labels[k] if labels[k] in ("good", "bad") else last
-    keep = []
-    for k, label in enumerate(labels):
-        if label in ("good", "bad"):
-            keep.append(label == "good")
+    before = _last_decided(labels, marks)
+    after = _last_decided(labels[::-1], marks[::-1])[::-1]
+    keep = [False] * len(labels)
+    for k in reversed(range(len(labels))):
+        if labels[k] in ("good", "bad"):
+            keep[k] = labels[k] == "good"
         elif headings[k]:
-            keep.append(after[k] == "good")
+            last = k + 1 == len(labels) or marks[k + 1] != marks[k]
+            keep[k] = after[k] == "good" and (last or keep[k + 1])
         elif before[k] == after[k]:
-            keep.append(before[k] == "good")
+            keep[k] = before[k] == "good"
         else:
-            keep.append(label == "near")
+            keep[k] = labels[k] == "near"
     return keep
 
 
+def _labels(found: list[Block]) -> tuple[list[str], list[int]]:
+    """Labels of the first pass, and the marked articles that count as such: one without a good
+    block (a card, a short comment) does not where the good text outside of all is longer than
+    the text in them."""
+    plain = [first_pass(text, links, False) for text, links, _, _ in found]
+    if not any(b[3] for b in found):
+        return plain, [0] * len(found)
+    good = {b[3] for b, label in zip(found, plain, strict=True) if label == "good"}
+    outside = sum(len(b[0]) for b, label in zip(found, plain, strict=True) if not b[3] and label == "good")
+    inside = sum(len(b[0]) for b in found if b[3] and b[1] <= MAX_ARTICLE_LINKS)
+    marks = [b[3] if b[3] in good or inside >= outside else 0 for b in found]
+    if not any(marks):
+        return plain, marks
+    labels = []
+    for b, label, mark in zip(found, plain, marks, strict=True):
+        if mark and label != "good":
+            label = "bad" if b[1] > MAX_ARTICLE_LINKS else "near"
+        elif not mark and label == "near":
+            label = "short"  # outside the article only what density decides well stands
+        labels.append(label)
+    return labels, marks
+
+
 def main_text(page: str) -> str:
     found = blocks(page)
-    labels = [first_pass(text, links, article) for text, links, _, article in found]
-    if any(b[3] for b in found):
-        # A page that marks its article keeps its main text there.
-        labels = [label if b[3] else "bad" for label, b in zip(labels, found, strict=True)]
-    keep = second_pass(labels, [b[2] for b in found])
+    labels, marks = _labels(found)
+    keep = second_pass(labels, [b[2] for b in found], marks)
     return "\n\n".join(b[0] for b, k in zip(found, keep, strict=True) if k)
 
 

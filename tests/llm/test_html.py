@@ -75,6 +75,21 @@ def test_self_closed_raw_elements():
         assert h.main_text(f"<article>a{tag}b</{name}>c</article>") == "ac"
 
 
+def test_a_marked_article_is_a_prior_not_a_verdict():
+    long = PROSE * 5
+    prose = f"<div><p>{long}</p><p>Small one</p><p>{long}</p></div>"
+    want = f"{long.strip()}\n\nSmall one\n\n{long.strip()}"
+    for cards in ("<article><h3>Card</h3><p>Zzz qqq.</p></article>" * 4, f'<article class="comment"><p>{long}</p></article>' * 2):
+        assert h.main_text(f"<body>{prose}{cards}</body>") == want
+        assert h.main_text(f"<body>{cards}{prose}</body>") == want
+    # Good text outside an article stands, other text outside does not.
+    page = f"<p>{long}</p><article><h1>T</h1><p>%%%</p><p>{long}</p></article><p>{PROSE * 2}</p><p>x</p>"
+    assert h.main_text(page) == f"{long.strip()}\n\nT\n\n%%%\n\n{long.strip()}"
+    # Within it, what lies between lists of links goes.
+    links = "<ul><li><a>one</a></li></ul>"
+    assert h.main_text(f"<article><p>{long}</p>{links}<p>Zzz</p>{links}<p>end</p></article>") == f"{long.strip()}\n\nend"
+
+
 def test_messy(spark):
     rows = [(1, "u", None, 9), (2, None, "", 9), (None, "u", "<article>x</article>", None), (3, "u", "<article>x</article>", 1)]
     rows += [(3, "u", "<article>x</article>", 1), (4, "u", "<article>" + "<p>word</p>" * 30_000, 1)]
