@@ -1,15 +1,19 @@
-"""Substring dedup (operator 10): sliding spans of sentences.
+"""Substring dedup (operator 10): sliding spans at the ends of sentences.
 
-Every run of consecutive sentences that is just long enough (below) is hashed from its words, the
-hashes are joined over all documents, and sentences covered by a repeated run that is not the
-run's first occurrence (smallest doc_id, then position) are removed.  The rest of a text stays
-byte for byte, but for white space left at the end.
+Spans of words are hashed, the hashes are joined over all documents, and words covered by a repeated
+span that is not the span's first occurrence (smallest doc_id, then position) are removed.  The rest
+of a text stays byte for byte, but for white space left at the end.
 
-A sentence ends with a line break or a word that ends in ``.``, ``!``, ``?`` (closing quotes or
-brackets may follow).  The run that starts at a sentence, and the one that ends at it, is the
-shortest of at least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words; a sentence of
-``LONG_SENTENCE`` words is a run by itself.  So of a passage of more than 2 * ``MIN_WORDS`` words
-every whole sentence lies in a run that lies in the passage.
+A sentence ends with a line break, a word that ends in ``.``, ``!``, ``?`` (closing quotes or
+brackets may follow), or before a capital that follows a word in lower case: there a passage may
+have been set into a sentence.  The spans are the ``SPAN`` words before and after every such place,
+whatever sentences they lie in, and every sentence of more than ``2 * SPAN`` words as a whole.  So of
+a passage with ends of sentences ``SPAN`` words or more within it, all sentences between are covered,
+and of the sentences at its two ends what lies in a span that lies in the passage.
+
+The pipeline's stage (``within`` not set) hashes runs of whole sentences instead: from each sentence
+on, and up to each, the shortest of at least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words, or
+a sentence of ``LONG_SENTENCE`` words by itself.  It misses passages set into a sentence.
 
 Defined cases.  Null, empty or blank texts have no sentence and come back as they are, as do texts
 with nothing to remove.  Rows that share a doc_id count as one document (its first occurrences
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 from .kernel import Words, chunks, mix, powers, slices, text_bytes, words
 from .tables import kept, table
 
+SPAN = 15
+#: Whole-sentence runs, which the pipeline's stage goes by.
 MIN_SENTENCES = 2
 MIN_WORDS = 25
 LONG_SENTENCE = 40
@@ -36,8 +42,9 @@ _CLOSER = np.zeros(256, bool)
 _CLOSER[list(b"\"')]")] = True
 
 
-def sentence_starts(w: Words) -> np.ndarray:
-    """Index of the first word of every sentence of a chunk."""
+def sentence_starts(w: Words, capitals: bool = False) -> np.ndarray:
+    """Index of the first word of every sentence of a chunk; ``capitals``: one also starts with a
+    capital that follows a word in lower case."""
     if not len(w.start):
         return np.zeros(0, np.int64)
     last = w.data[w.end - 1]
@@ -46,15 +53,46 @@ def sentence_starts(w: Words) -> np.ndarray:
     breaks = np.cumsum(w.data == 10)
     new = np.ones(len(w.start), bool)
     new[1:] = stop[:-1] | (breaks[w.start[1:]] > breaks[w.end[:-1] - 1]) | (w.text[1:] != w.text[:-1])
+    if capitals:
+        head, lead = w.data[w.start], w.data[w.start + 1]
+        low = (head >= 97) & (head <= 122) | (head == 0xC3) & (lead >= 0x9F)
+        capital = (head >= 65) & (head <= 90) | (head == 0xC3) & (lead >= 0x80) & (lead <= 0x9E)
+        new[1:] |= low[:-1] & capital[1:]
     return np.flatnonzero(new)
 
 
+def _hashed(w: Words, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, first word, word after the last) of every different span; words count from 0 per text."""
+    n = np.int64(len(w.start) + 1)
+    key = np.unique(a * n + b)
+    a, b = key // n, key % n
+    power, inverse = powers(len(w.hash))
+    total = np.zeros(len(w.hash) + 1, np.uint64)
+    np.cumsum(w.hash * power, out=total[1:])
+    hashed = mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64))
+    first = w.bounds[w.text[a]]
+    return hashed, w.text[a], a - first, b - first
+
+
+def spans(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``_hashed`` spans at the ends of sentences."""
+    at = sentence_starts(w, capitals=True)
+    if not len(at):
+        return _hashed(w, at, at)
+    end = np.append(at[1:], len(w.start))
+    text = w.text[at]
+    after, before, whole = at + SPAN <= w.bounds[text + 1], end - SPAN >= w.bounds[text], end - at > 2 * SPAN
+    a = np.concatenate([at[after], end[before] - SPAN, at[whole]])
+    b = np.concatenate([at[after] + SPAN, end[before], end[whole]])
+    return _hashed(w, a, b)
+
+
 def runs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text, first sentence, last sentence) of every run; sentences count from 0 per text."""
+    """``_hashed`` runs of whole sentences: the shortest from each sentence on, and up to each."""
     at = sentence_starts(w)
     n = len(at)
     if not n:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        return _hashed(w, at, at)
     edge = np.append(at, len(w.start))
     text = w.text[at]
     first = np.searchsorted(text, text)  # first sentence of the text
@@ -70,43 +108,40 @@ def runs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     i = np.concatenate([index, since])
     j = np.concatenate([upto, index])
     ok = (i >= np.concatenate([first, first])) & (j <= np.concatenate([last, last]))
-    key = np.unique(i[ok] * np.int64(n) + j[ok])
-    i, j = key // n, key % n
-    power, inverse = powers(len(w.hash))
-    total = np.zeros(len(w.hash) + 1, np.uint64)
-    np.cumsum(w.hash * power, out=total[1:])
-    a, b = edge[i], edge[j + 1]
-    hashed = mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64))
-    return hashed, text[i], i - first[i], j - first[i]
+    return _hashed(w, edge[i[ok]], edge[j[ok] + 1])
 
 
-def _runs(batches):
-    for batch in slices(batches, 1024):
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for at, group in chunks(text_bytes(batch.column("text"))):
-            hashed, text, i, j = runs(words(group, lower=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashed.view(np.int64)), pa.array(ids[at + text], pa.int64()),
-                    pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
-                ],
-                names=["run", "doc_id", "i", "j"],
-            )
+def _runs(within: bool):
+    def run(batches):
+        for batch in slices(batches, 1024):
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            for at, group in chunks(text_bytes(batch.column("text"))):
+                hashed, text, i, j = (spans if within else runs)(words(group, lower=True))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(hashed.view(np.int64)), pa.array(ids[at + text], pa.int64()),
+                        pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
+                    ],
+                    names=["run", "doc_id", "i", "j"],
+                )
+
+    return run
 
 
 def without(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """The text without the sentences of the ranges; how many sentences and words went."""
+    """The text without the words of the ranges; how many whole sentences and words went."""
     w = words([text])
-    at = sentence_starts(w)
-    gone = np.zeros(len(at), bool)
+    gone = np.zeros(len(w.start), bool)
     for i, j in ranges:
-        gone[i : j + 1] = True
+        gone[i:j] = True
     if not gone.any():
         return text, 0, 0
-    edge = np.append(w.start[at], len(text))
-    parts = [text[: edge[0]]] + [text[edge[k] : edge[k + 1]] for k in np.flatnonzero(~gone)]
-    n_words = np.diff(np.append(at, len(w.start)))[gone].sum()
-    return b"".join(parts).rstrip(b" \t\n\r\x0b\x0c"), int(gone.sum()), int(n_words)
+    edge = np.append(w.start, len(text))
+    # Kept words in stretches: where one begins and the word after its last.
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], ~gone, [False]]).astype(np.int8)))
+    parts = [text[: edge[0]]] + [text[edge[i] : edge[j]] for i, j in zip(turns[::2], turns[1::2], strict=True)]
+    n_sentences = np.logical_and.reduceat(gone, sentence_starts(w)).sum()
+    return b"".join(parts).rstrip(b" \t\n\r\x0b\x0c"), int(n_sentences), int(gone.sum())
 
 
 def _cut(batches):
@@ -126,15 +161,15 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """(doc_id, ranges): sentence ranges to remove, for the documents that have some.
+def repeated_ranges(docs: DataFrame, within: bool = False) -> DataFrame:
+    """(doc_id, ranges): word ranges to remove, for the documents that have some.
 
     The first occurrence of a run is a partial aggregate over its hash, so a run that occurs in
     every document is combined before the shuffle; the join back is a plain equi-join that AQE
-    can split.  A document's ranges are at most as many as its sentences, twice.
+    can split.  A document's ranges are at most as many as its sentences, three times.
     """
     ids = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).filter("doc_id IS NOT NULL")
-    found = kept(ids.mapInArrow(_runs, "run bigint, doc_id bigint, i int, j int"), "runs")
+    found = kept(ids.mapInArrow(_runs(within), "run bigint, doc_id bigint, i int, j int"), "runs")
     first = found.groupBy("run").agg(F.min(F.struct("doc_id", "i")).alias("first"), F.count(F.lit(1)).alias("n"))
     # Written, so that the join below has a shuffle of its own, which AQE can split.
     first = kept(first.filter("n > 1").select("run", "first"), "repeated-runs")
@@ -142,13 +177,14 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     return again.groupBy("doc_id").agg(F.collect_set(F.struct("i", "j")).alias("__ranges"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, within: bool = False) -> DataFrame:
     """``docs`` with repeated passages removed from ``text``, and what was removed counted in
-    ``n_removed_sentences`` and ``n_removed_words``."""
+    ``n_removed_sentences`` and ``n_removed_words``.  ``within``: also passages set into sentences,
+    by spans and not by runs of whole sentences."""
     counts = ["n_removed_sentences", "n_removed_words"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in [*counts, "__ranges"]])
     docs = docs.withColumn("text", F.col("text").cast("string"))
-    ranges = kept(repeated_ranges(docs), "ranges").withColumnRenamed("doc_id", "__doc_id")
+    ranges = kept(repeated_ranges(docs, within), "ranges").withColumnRenamed("doc_id", "__doc_id")
     both = docs.join(ranges, F.col("doc_id") == F.col("__doc_id"), "left").drop("__doc_id")
     schema = docs.withColumns({c: F.lit(0).cast("bigint") for c in counts}).schema
     return both.mapInArrow(_cut, schema)
@@ -156,4 +192,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs).select("doc_id", "text", "n_removed_sentences", "n_removed_words")
+    return remove_repeats(docs, within=True).select("doc_id", "text", "n_removed_sentences", "n_removed_words")

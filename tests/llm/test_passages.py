@@ -37,6 +37,21 @@ def test_passages_stay_once(spark):
         assert sum(" ".join(p.split()) in " ".join(t.split()) for t in got) == 1
 
 
+def test_passages_set_in_mid_sentence(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=6))
+    some = lambda n: " ".join(word() for _ in range(n))
+    passage = " ".join(some(18).capitalize() + "." for _ in range(3))
+    tail = f"{some(20)}. {some(16).capitalize()}. {some(20).capitalize()}"  # begins and ends within sentences
+    one = some(16).capitalize() + "."
+    docs = [(k, f"{some(9)} {p} {some(9)} end.") for k, p in enumerate([passage, passage, tail, tail, one, one])]
+    got = {r["doc_id"]: r for r in s.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), within=True).collect()}
+    for k, words in ((1, 54), (5, 16)):
+        assert got[k - 1]["text"] == docs[k - 1][1] and len(got[k]["text"].split()) == 19 and got[k]["n_removed_words"] == words
+    left = got[3]["text"].split()  # the words of the host and those further than a span from an end of a sentence
+    assert len(left) == 19 + 10 and left[:14] == docs[3][1].split()[:14] and left[14:] == docs[3][1].split()[-15:]
+
+
 def test_messy(spark, messy):
     out = s.remove_repeats(messy)
     rows = out.collect()
