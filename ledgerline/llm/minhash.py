@@ -9,10 +9,10 @@ buckets, star-shaped candidate edges, exact confirmation on full shingle sets.
    pairs.  Star edges are confirmed on full sets and components are formed.
 3. Stars alone could miss a link between two leaves.  Buckets whose leaves lie in more than one
    component are therefore searched in blocks: signatures are compared within a task, and only
-   pairs over different components come out, each from the first bucket that it shares, whose
-   estimated similarity is within 5 standard deviations of the threshold.  They are confirmed too.
+   pairs over different components come out (once for each bucket they share, then made distinct)
+   whose estimated similarity is within 5 standard deviations of the threshold.  They are confirmed too.
 
-With 40 bands of 6 rows, a pair at the threshold (0.85) shares no bucket with probability 1e-10.
+With 40 bands of 6 rows, a pair at the threshold (0.85) shares no bucket with probability 6e-9.
 
 Defined cases.  Null, empty or blank texts have zero shingles and link with nothing.  Repeated
 rows fall into one class.  A row without doc_id is in no group and is kept.  Other columns are
@@ -172,14 +172,14 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _cells(batches: pa.Table) -> pa.Table:
-    """Pairs of one bucket's block pair that lie in different components, may link by size and
-    estimate, and share no earlier band."""
+    """Pairs of one bucket's block pair that lie in different components and may link by size and
+    estimate."""
     rows = batches
     names, out = ["a", "b"], ([], [])
     ids, block = rows["id"].to_numpy(), rows["block"].to_numpy()
     component, n = rows["component"].to_numpy(), rows["n"].to_numpy()
     sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(len(ids), _BINS)
-    low, high, band = (rows[c][0].as_py() for c in ("low", "high", "band"))
+    low, high = (rows[c][0].as_py() for c in ("low", "high"))
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
     for at in range(0, len(left), 16):
         x = left[at : at + 16]
@@ -192,9 +192,7 @@ def _cells(batches: pa.Table) -> pa.Table:
             continue
         same = sig[x[i]] == sig[right[j]]
         near = same.mean(axis=1) >= _ESTIMATE
-        earlier = same[:, : band * ROWS].reshape(len(i), band, ROWS).all(axis=2).any(axis=1) if band else np.zeros(len(i), bool)
-        go = near & ~earlier
-        a, b = ids[x[i[go]]], ids[right[j[go]]]
+        a, b = ids[x[i[near]]], ids[right[j[near]]]
         out[0].append(np.minimum(a, b))
         out[1].append(np.maximum(a, b))
     columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
@@ -221,7 +219,7 @@ def _leaf_pairs(members: DataFrame, sketches: DataFrame, found: DataFrame | None
     mixed = mixed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     mixed = mixed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    cells = mixed.select("bucket", "low", "high", "block", "band", "id", "n", "component", "signature")
+    cells = mixed.select("bucket", "low", "high", "block", "id", "n", "component", "signature")
     return cells.groupBy("bucket", "low", "high").applyInArrow(_cells, "a bigint, b bigint")
 
 

@@ -57,6 +57,15 @@ def test_leaf_links_that_no_star_tests(spark):
     assert [tuple(r) for r in pairs] == [(1, 2)]
 
 
+def test_bytes_that_agree_by_chance_in_an_earlier_band(spark):
+    """The one-byte signatures agree in band 0 though its buckets differ: band 1's bucket is the only one."""
+    same = bytes((np.arange(m._BINS) % 251).astype(np.uint8))
+    rows = [(9, 1, 1, 50, 3, same), (9, 1, 2, 51, 3, same)]
+    df = spark.createDataFrame(rows, "bucket long, band int, id long, n long, size long, signature binary")
+    pairs = m._leaf_pairs(df.drop("signature"), df.select(df.id.alias("doc_id"), "signature"), None).collect()
+    assert [tuple(r) for r in pairs] == [(1, 2)]
+
+
 def test_densified_bins_copy_filled_ones():
     few = np.sort(np.random.default_rng(3).integers(0, 2**63, 7).astype(np.uint64))
     sig = m.signatures([few, few[:1]])
