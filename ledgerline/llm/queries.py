@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, minhash, nearest, packing, pieces, quality_knn, quality_rules, substring_dedup, toxicity, warc
+from . import (
+    filter_audit, html_text, minhash, nearest, packing, pieces, quality_knn, quality_rules, simhash, substring_dedup, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
@@ -19,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.query,
     "op9_html_extraction": html_text.query,
     "op10_substring_dedup": substring_dedup.query,
+    "op11_filter_interaction_audit": filter_audit.query,
+    "op12_simhash_near_dedup": simhash.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -26,4 +30,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_warc": warc.SQL,
     "op3_nearest_neighbours": nearest.SQL,
     "op5_quality_rules": quality_rules.SQL,
+    "op11_filter_interaction_audit": filter_audit.SQL,
 }

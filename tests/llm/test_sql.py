@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLE_SQL[name])
     columns = [d[0] for d in want.description]
