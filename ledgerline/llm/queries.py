@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    filter_audit, html_text, minhash, nearest, packing, pieces, quality_knn, quality_rules, simhash, substring_dedup, toxicity, warc,
+    filter_audit, html_text, minhash, nearest, packing, pieces, quality_knn, quality_rules, simhash, substring_dedup, toxicity, turn_trie,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": substring_dedup.query,
     "op11_filter_interaction_audit": filter_audit.query,
     "op12_simhash_near_dedup": simhash.query,
+    "op13_conversation_prefix_trie": turn_trie.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -31,4 +33,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_nearest_neighbours": nearest.SQL,
     "op5_quality_rules": quality_rules.SQL,
     "op11_filter_interaction_audit": filter_audit.SQL,
+    "op13_conversation_prefix_trie": turn_trie.SQL,
 }

@@ -1,0 +1,111 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from ledgerline.llm import turn_trie as t
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def _nodes(rows):
+    """Every node of the trie by plain dictionaries over whole prefixes."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            key = hashlib.md5(f"{len((role or '').encode())}:{role or ''}{text or ''}".encode()).digest()
+            own.setdefault(c, []).append(((turn is not None, turn or 0), key, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v)] for c, v in own.items()}
+    members, ends = {}, {}
+    for c, turns in own.items():
+        h, base = zlib.crc32(str(c).encode()) % 9, c - (abs(c) % 5) * (1 if c >= 0 else -1)
+        seq = tuple(own.get(base, [])[:h] + turns[h:])
+        ends.setdefault(seq, []).append(c)
+        for d in range(len(seq) + 1):
+            members.setdefault(seq[:d], []).append(c)
+    children = {}
+    for p in members:
+        if p:
+            children.setdefault(p[:-1], []).append(p)
+    leaves, saved, out = {}, {}, []
+    for p in sorted(members, key=len, reverse=True):
+        below = children.get(p, [])
+        leaves[p] = sum(leaves[c] for c in below) or 1
+        saved[p] = sum(saved[c] for c in below) + ((len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0)
+        ids = ",".join(map(str, sorted(ends.get(p, []))))
+        up = min(members[p[:-1]]) if p else None
+        out.append((min(members[p]), len(p), up, len(members[p]), len(below), leaves[p], saved[p],
+                    hashlib.sha256(ids.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def _got(df):
+    return sorted(map(tuple, df.select(*t._RESULT).collect()), key=repr)
+
+
+def _rows(seed=4, n=160):
+    rnd = random.Random(seed)
+    hot = [("user", "hello"), ("assistant", "naïve é"), ("user", "")]
+    rows = []
+    for c in rnd.sample(range(-40, 400), n):
+        kind = rnd.random()
+        turns = hot[: rnd.randint(0, 3)] if kind < 0.5 else []
+        turns = turns + [(rnd.choice(["user", "assistant", None]), rnd.choice(["a", "b", "c", None, "word " * 9])) for _ in range(rnd.randint(1, 9))]
+        if kind > 0.9:
+            turns = [*hot, *[("user", "same")] * 3]
+        rows += [(c, k, *x) for k, x in enumerate(turns)]
+    rows += [(7, None, "user", "no turn"), (7, None, "system", "no turn"), (11, 3, "user", "x"), (11, 3, "user", "x"), (None, 1, "user", "none")]
+    rows += [(1000, k, "user", f"deep {k}") for k in range(70)] + [(1005, k, "user", f"deep {k % 60}") for k in range(70)]
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("turns", [100_000, 12])
+def test_same_nodes_as_plain_prefixes(spark, monkeypatch, turns):
+    """With small shards nearly every path is cut, and shared by many of them."""
+    monkeypatch.setattr(t, "SHARD_TURNS", turns)
+    rows = _rows()
+    assert _got(t.nodes(spark.createDataFrame(rows, SCHEMA).repartition(3))) == _nodes(rows)
+
+
+def test_shards_cut_sorted_sequences_anywhere(monkeypatch):
+    """Cut after every sequence: whole and shared nodes of all shards are those of one."""
+    monkeypatch.setattr(t, "SHARD_TURNS", 1)
+    keys = lambda s: [hashlib.md5(x.encode()).digest() for x in s]
+    rows = sorted([(i, 1, str(i), keys(s), [1] * len(s)) for i, s in enumerate(["", "a", "ab", "abc", "b", "bc"])], key=lambda r: r[3])
+    batch = t._record([(r[0], r[1], r[2]) for r in rows], "low bigint, n bigint, ends string")
+    lists = [t.pa.array([r[k] for r in rows], t.pa.list_(kind)) for k, kind in ((3, t.pa.binary()), (4, t.pa.int64()))]
+    batch = t.pa.RecordBatch.from_arrays([*batch.columns, *lists], names=["low", "n", "ends", "keys", "bytes"])
+    out = t.pa.Table.from_batches(list(t._shards(iter([batch])))).to_pylist()
+    assert all(r["path"] is not None for r in out) and len({r["path"] for r in out}) == 6
+
+
+def test_double_array_holds_exactly_its_sequences():
+    rnd = np.random.default_rng(5)
+    seqs = sorted({tuple(rnd.integers(0, 12, rnd.integers(0, 7))) for _ in range(600)})
+    bounds = np.cumsum([0, *map(len, seqs)])
+    trie = t.pack(np.array([c for s in seqs for c in s], np.int64), bounds)
+    prefixes = {s[:d] for s in seqs for d in range(len(s) + 1)}
+    assert (trie.check >= 0).sum() == len(prefixes)
+    slot = {(): 0}
+    for p in sorted(prefixes, key=len):
+        for c in range(12):
+            found = int(trie.step(np.array([slot[p]]), np.array([c]))[0])
+            assert (found >= 0) == ((*p, c) in prefixes)
+            if found >= 0:
+                slot[*p, c] = found
+    assert len(set(slot.values())) == len(prefixes)
+
+
+def test_messy(spark, messy):
+    rows = [(1, 0, "user", "x" * 300_000), (2, None, None, None), (3, 0, "", ""), (None, None, None, None), (6, 1, "user", "y")]
+    df = spark.createDataFrame([(*r, 1, "z", b"k") for r in rows], SCHEMA + ", n_convs long, own string, key binary")
+    assert _got(t.nodes(df)) == _nodes(rows)
+    assert t.nodes(df).columns == t._RESULT
+    assert len(_got(t.nodes(df.filter("conv_id = 3")))) in (1, 2)
+
+
+def test_empty(spark):
+    assert t.nodes(spark.createDataFrame([], SCHEMA)).count() == 0
