@@ -10,6 +10,10 @@ zero; the expression stays inside generated code with no allocation.
 A sum is kept in two parts.  Amounts below 10^15 are summed as whole decimal units (cents for
 money), exactly and in any order.  Whatever is left (infinite, not a number, or too large for whole
 units) is summed as doubles, the way the reference sums everything.  ``total`` puts both together.
+
+Whole units are summed in three limbs of 20 bits (the highest takes the rest and the sign), each a
+plain integer sum in generated code: a limb cannot overflow below 2^43 rows a group, and the limbs
+are put together once a group.
 """
 
 from __future__ import annotations
@@ -17,9 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-_UNITS = "decimal(19,0)"
-# Amounts from here on are summed as doubles.
+_LIMB_BITS = 20
+_LIMBS = 3
+# Amounts from here on are summed as doubles; so are those of which a long cannot hold the units.
 _LARGE = 1e15
+_LARGE_UNITS = 9e18
 MONEY = 100
 # Discounts are averaged to this many units per point.
 RATE = 10_000
@@ -50,13 +56,30 @@ def r1(v: Column | str) -> Column:
     return round_to(v, 1)
 
 
-def exact_sum(v: Column | str, units: int = MONEY) -> Column:
-    """Sum of ``v`` as a struct: ``whole`` in units, ``rest`` as a double (NULL if there is none)."""
+def limbs(v: Column | str, units: int = MONEY) -> dict[str, Column]:
+    """The summands of ``v`` by name: limbs of its whole units, lowest first, and the double ``rest``."""
     x = _c(v)
-    whole = F.abs(x) < F.lit(_LARGE)
+    whole = F.abs(x) < F.lit(min(_LARGE, _LARGE_UNITS / units))
     # Cut to the range first: ANSI casts raise on what ``when`` leaves out only if evaluated.
-    unit = F.when(whole, F.rint(x * F.lit(float(units))).cast(_UNITS))
-    return F.struct(F.sum(unit).alias("whole"), F.sum(F.when(~whole, x)).alias("rest"))
+    unit = F.when(whole, F.rint(x * F.lit(float(units))).cast("bigint"))
+    low = F.lit((1 << _LIMB_BITS) - 1)
+    out = {f"l{i}": F.shiftright(unit, i * _LIMB_BITS).bitwiseAND(low) for i in range(_LIMBS - 1)}
+    out[f"l{_LIMBS - 1}"] = F.shiftright(unit, (_LIMBS - 1) * _LIMB_BITS)
+    return out | {"rest": F.when(~whole, x)}
+
+
+def joined(sums: dict[str, Column]) -> Column:
+    """A sum as a struct (``whole`` in units, ``rest``) from the sums of its limbs and of the rest."""
+    parts = [sums[f"l{i}"].cast("decimal(20,0)") * F.lit(1 << (i * _LIMB_BITS)).cast("decimal(13,0)") for i in range(_LIMBS)]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole + part
+    return F.struct(whole.cast("decimal(38,0)").alias("whole"), sums["rest"].alias("rest"))
+
+
+def exact_sum(v: Column | str, units: int = MONEY) -> Column:
+    """Sum of ``v`` as a struct: ``whole`` in units, ``rest`` as a double (NULL if there is none)."""
+    return joined({name: F.sum(part) for name, part in limbs(v, units).items()})
 
 
 def total(s: Column | str, units: int = MONEY) -> Column:

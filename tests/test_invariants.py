@@ -82,3 +82,23 @@ def test_money_sums_are_exact(model):
     exact = sum((Decimal(str(r.receita_total)) for r in rel.select("receita_total").collect()), Decimal(0))
     steps = {r.etapa: r.valor for r in A.margin_waterfall(model).collect()}
     assert Decimal(str(steps["Receita"])) == exact
+
+
+def test_limbs_add_up_exactly(spark):
+    """Sums of whole units by limbs against Python's integers: both signs, the largest amounts, NULLs."""
+    import random
+
+    from ledgerline.functions.numeric import MONEY, RATE, exact_sum, total
+
+    rnd = random.Random(9)
+    values = [rnd.choice([1, -1]) * rnd.randrange(10 ** rnd.randint(1, 16)) / 100 for _ in range(3000)]
+    values += [999_999_999_999_999.0, -899_999_999_999_999.0, 0.0, -0.01, None]
+    df = spark.createDataFrame([(i % 7, v) for i, v in enumerate(values)], "k int, x double").repartition(5)
+    for units in (MONEY, RATE):
+        small = [v for v in values if v is not None and abs(v) < min(1e15, 9e18 / units)]
+        kept = df.filter(F.abs("x") < min(1e15, 9e18 / units))
+        got = kept.groupBy("k").agg(exact_sum("x", units).alias("s")).select("s.whole", "s.rest").collect()
+        assert sum(int(r.whole) for r in got) == sum(round(v * units) for v in small)
+        assert all(r.rest is None for r in got)
+    assert spark.createDataFrame([], "x double").agg(total(exact_sum("x")).alias("s")).first().s is None
+    assert df.filter("x IS NULL").agg(total(exact_sum("x")).alias("s")).first().s is None
