@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,3 +20,18 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     rn = "__dedupe_rn"
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
+
+
+def dedupe_and_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
+    """The first row of every ``keys`` group (by ``order``, ascending, NULLs last), with ``sums`` over
+    all rows of the group, in one aggregation.
+
+    The same rows as ``dedupe_by_key``, for callers that also have to know something of the copies
+    that go.  Both sides of the shuffle aggregate, so a key with very many copies ships one row a
+    task.  ``order`` must be total over the columns that are in neither ``keys`` nor ``sums``.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in sums]
+    rank = [part for i, c in enumerate(order) for part in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))]
+    first = F.min_by(F.struct(*rest), F.struct(*rank)).alias("__first")
+    one = df.groupBy(*keys).agg(first, *[F.sum(c).alias(name) for name, c in sums.items()])
+    return one.select(*keys, *[F.col(f"__first.{c}").alias(c) for c in rest], *sums)

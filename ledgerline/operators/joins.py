@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,8 @@ _ROW_BYTES, _SLOT_BYTES = 16, 16
 # A key is hot from this share of a mean partition on; so at most this many times the partitions
 # can be hot.
 _HOT_SHARE = 4
+# Entries that the frequency sketch tracks for each one it reports.
+_SKETCH_SHARE = 32
 
 
 def measured(df: DataFrame) -> tuple[int, dict[str, int]]:
@@ -36,22 +39,55 @@ def fits_broadcast(df: DataFrame, rows: int, text_bytes: dict[str, int]) -> bool
     )
 
 
-def join_dealt(facts: DataFrame, dim: DataFrame, key: str, spread: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join of ``facts`` and ``dim`` on ``key`` in which no key lands in one task.
+def _partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    Keys that hold more than a quarter of a mean partition are found by a count (partial sums, so
-    the count itself is not skewed); there are at most four times as many as partitions, which
-    bounds the broadcast list.  Their fact rows are dealt over salts by a hash of ``spread``, and
-    only their dimension rows are repeated, once a salt.  NULL keys match nothing: they are dealt
-    over all partitions.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join: {how}")
-    parts = max(1, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+def frequent(spark: SparkSession, key: str) -> Column:
+    """An aggregate, for ``hot_keys``, of the most frequent values of ``key``: a sketch of bounded size
+    (at most a million entries), so several codes can be summed up in a pass that is made anyway."""
+    top = min(100_000, _HOT_SHARE * _partitions(spark) + 1)
+    tracked = min(1_000_000, max(1024, _SKETCH_SHARE * top))
+    return F.expr(f"approx_top_k({key}, {top}, {tracked})")
+
+
+def hot_keys(spark: SparkSession, found: Sequence, rows: int) -> list[tuple[str, int]]:
+    """(key, salts) of the keys with more than a quarter of a mean partition among ``rows`` rows, from
+    a ``frequent`` aggregate.  Counts are good to a fraction of that share; they only set how
+    many tasks a key is dealt over."""
+    unit = max(1.0, rows / (_partitions(spark) * _HOT_SHARE))
+    return [(r["item"], math.ceil(r["count"] / unit)) for r in found if r["item"] is not None and r["count"] > unit]
+
+
+def _counted_hot_keys(facts: DataFrame, key: str) -> DataFrame:
+    parts = _partitions(facts.sparkSession)
     counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     unit = counts.agg(F.greatest(F.lit(1.0), F.sum("__n") / F.lit(parts * _HOT_SHARE))).scalar()
     hot = counts.withColumn("__unit", unit).filter(F.col("__n") > F.col("__unit"))
-    hot = F.broadcast(hot.select(key, F.ceil(F.col("__n") / F.col("__unit")).cast("int").alias("__salts")))
+    return hot.select(key, F.ceil(F.col("__n") / F.col("__unit")).cast("int").alias("__salts"))
+
+
+def join_dealt(
+    facts: DataFrame, dim: DataFrame, key: str, spread: Sequence[str], how: str = "inner",
+    hot: Sequence[tuple[str, int]] | None = None,
+) -> DataFrame:
+    """Equi-join of ``facts`` and ``dim`` on the text column ``key`` in which no key lands in one task.
+
+    Keys that hold more than a quarter of a mean partition are hot; there are at most four times as
+    many as partitions, which bounds the broadcast list.  They are given by ``hot`` (see ``hot_keys``)
+    or else found by a count (partial sums, so the count itself is not skewed; it runs ``facts`` a
+    second time).  Their fact rows are dealt over salts by a hash of ``spread``, and only their
+    dimension rows are repeated, once a salt.  NULL keys match nothing: they are dealt over all
+    partitions.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join: {how}")
+    parts = _partitions(facts.sparkSession)
+    if hot is None:
+        hot = _counted_hot_keys(facts, key)
+    else:
+        hot = facts.sparkSession.createDataFrame(list(hot), f"`{key}` string, __salts int")
+    hot = F.broadcast(hot)
 
     dealt = F.xxhash64(*spread)
     salt = F.coalesce(F.pmod(dealt, F.col("__salts")), F.lit(0)).cast("int")

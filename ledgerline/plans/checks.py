@@ -1,7 +1,8 @@
 """Data-quality checks of the build (Q1-Q4) and the converter check.
 
-Each check is a one-pass aggregate; several totals over different tables are combined with
-scalar subqueries (planned once, no join).
+What can be counted while the staging tables are written is not asked of the exports again; the
+other checks are one-pass aggregates, and totals over different tables are combined with scalar
+subqueries (planned once, no join).
 """
 
 from __future__ import annotations
@@ -11,15 +12,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import digits_only, parse_date, parse_int, parse_number
 from ..functions.numeric import exact_sum, r2, total
 from .analyses import panel
 from .model import Model
-from .staging import prepared
+from .staging import PARSED_COLUMNS, conversion_flags
 
 
 def load_counts(m: Model) -> DataFrame:
-    """Q1: raw rows, kept rows, dropped rows, returns, products without cost."""
+    """Q1: raw rows, kept rows, dropped rows, returns, products without cost.
+
+    A written model has counted them while its staging tables were written; a lazy one asks the
+    tables.
+    """
+    schema = "linhas_brutas bigint, linhas_tratadas bigint, descartadas bigint, devolucoes bigint, produtos_sem_custo bigint"
+    if m.metrics:
+        sales, products = m.metrics["raw_vendas"], m.metrics["raw_produtos"]
+        row = (sales["rows"], sales["kept"], sales["rows"] - sales["kept"], sales["returns"], products["no_cost"])
+        return m["stg_vendas"].sparkSession.createDataFrame([row], schema)
     stg = m["stg_vendas"]
     kept = stg.agg(F.count(F.lit(1))).scalar()
     returns = stg.agg(F.count_if(F.col("tipo_operacao") == "DEVOLUCAO")).scalar()
@@ -65,56 +74,34 @@ def panel_range(m: Model) -> DataFrame:
     return panel(m).agg(F.count(F.lit(1)).alias("linhas"), F.min("data").alias("de"), F.max("data").alias("ate"))
 
 
-# Which rule converts the (prepared) text of which raw column.
-PARSED_COLUMNS = {
-    "raw_vendas": {
-        "numero_pedido": parse_int,
-        "sequencia_item": parse_int,
-        "data_pedido": parse_date,
-        "quantidade": parse_int,
-        "preco_unitario": parse_number,
-        "desconto_pct": parse_number,
-        "frete_cobrado": parse_number,
-        "custo_frete_real": parse_number,
-    },
-    "raw_produtos": {"custo_unitario": parse_number, "preco_tabela": parse_number},
-    "raw_clientes": {"cnpj": digits_only, "data_cadastro": parse_date, "limite_credito": parse_number},
-}
-
-
 def parse_quality(m: Model) -> DataFrame:
     """Per raw column with a conversion rule, rows present, converted and failed.
 
-    One pass per raw table: each rule is evaluated once per row into a 0/1 flag, the flags are
-    summed, and the per-column counters are unpivoted.  Every rule maps NULL to NULL, so
-    failed = present - converted.
+    A written model has summed the conversions while its staging tables were written; a lazy one
+    takes one pass per raw table.
     """
+    spark = m["stg_vendas"].sparkSession
+    schema = "tabela string, coluna string, presentes bigint, convertidos bigint, falhas bigint"
+    if m.metrics:
+        rows = []
+        for table, rules in PARSED_COLUMNS.items():
+            seen = m.metrics[table]
+            for c in rules:
+                present, failed = seen["rows"] - seen[f"absent_{c}"], seen[f"failed_{c}"]
+                rows.append((table, c, present, present - failed, failed))
+        return spark.createDataFrame(rows, schema)
     parts = []
     for table, rules in PARSED_COLUMNS.items():
-        of = lambda kind: [c for c, r in rules.items() if r is kind]  # noqa: B023, E731
-        texts = prepared(m[table].select(*rules), of(parse_number), of(parse_date), of(parse_int))
-        flags, sums, rows = [], [], []
-        for i, (column, rule) in enumerate(rules.items()):
-            flags += [
-                F.col(column).isNotNull().cast("long").alias(f"p{i}"),
-                rule(column).isNotNull().cast("long").alias(f"c{i}"),
-            ]
-            sums += [F.sum(f"p{i}").alias(f"p{i}"), F.sum(f"c{i}").alias(f"c{i}")]
-            rows.append(
-                F.struct(
-                    F.lit(column).alias("coluna"),
-                    F.col(f"p{i}").alias("presentes"),
-                    F.col(f"c{i}").alias("convertidos"),
-                    (F.col(f"p{i}") - F.col(f"c{i}")).alias("falhas"),
-                )
-            )
-        one = texts.select(*flags).agg(*sums)
-        parts.append(
-            one.select(F.explode(F.array(*rows)).alias("r")).select(
-                F.lit(table).alias("tabela"), "r.coluna",
-                F.coalesce("r.presentes", F.lit(0)).alias("presentes"),
-                F.coalesce("r.convertidos", F.lit(0)).alias("convertidos"),
-                F.coalesce("r.falhas", F.lit(0)).alias("falhas"),
+        flagged, flags = conversion_flags(m[table].select(*rules), rules)
+        one = flagged.agg(F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in flags])
+        counted = [
+            F.struct(
+                F.lit(c).alias("coluna"),
+                (F.col("rows") - F.col(f"absent_{c}")).alias("presentes"),
+                (F.col("rows") - F.col(f"absent_{c}") - F.col(f"failed_{c}")).alias("convertidos"),
+                F.col(f"failed_{c}").alias("falhas"),
             )
-        )
+            for c in rules
+        ]
+        parts.append(one.select(F.lit(table).alias("tabela"), F.inline(F.array(*counted))))
     return reduce(DataFrame.unionByName, parts)

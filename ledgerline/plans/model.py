@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r2
-from ..operators.joins import fits_broadcast, join_dealt, measured
+from ..operators.joins import fits_broadcast, frequent, hot_keys, join_dealt, measured
 from ..operators.ordered import ordered_scan
 from ..session import app_id, new_scratch_dir
 from ..sources.fixture import raw_tables
 from ..sources.scratch import materialize, remove_folder
-from .staging import stg_customers, stg_products, stg_sales
+from .staging import Watched, stage_plain, stage_sales, stg_customers, stg_products, stg_sales
 
 # Fixed values of the reference: seller names and commission rates by seller code, and the
 # defaults for any other code.
@@ -124,7 +124,8 @@ def fact_sales(m: "Model") -> DataFrame:
     customer is a left join falling back to member 0.  The date key is computed from the date:
     the date dimension spans every sale date, so that join always matches and is not needed.
     A dimension is broadcast when its measured size allows; otherwise the join shuffles, with hot
-    codes and sales without a code dealt over many tasks.
+    codes and sales without a code dealt over many tasks.  Which codes are hot was found for all
+    three joins while the staged sales were written, so they are read once.
 
     The table written has the reference's fact columns plus the attributes of the very
     dimension rows it points to (member 0's for unknown customers; the day and month of the
@@ -142,7 +143,7 @@ def fact_sales(m: "Model") -> DataFrame:
         if m.is_small(name, columns):
             j = j.join(F.broadcast(dim), key, how)
         else:
-            j = join_dealt(j, dim, key, ["numero_pedido", "sequencia_item"], how)
+            j = join_dealt(j, dim, key, ["numero_pedido", "sequencia_item"], how, m.hot_codes(key))
 
     price, qty = F.col("preco_unitario"), F.col("quantidade")
     cost, rate = F.col("custo_unitario"), F.col("taxa_comissao")
@@ -186,16 +187,22 @@ def fact_columns(fact: DataFrame) -> DataFrame:
     return fact.select(*FACT_COLUMNS)
 
 
+# Codes by which the staged sales are joined.
+JOIN_CODES = ["codigo_produto", "cod_vendedor", "codigo_cliente"]
+
+
 class Model(dict):
     """Named DataFrames of one build: raw, staging, dimensions and fact.
 
-    ``sizes`` holds the measured rows and text bytes of the dimensions; ``folder`` is where the
-    build wrote its tables.
+    ``sizes`` holds the measured rows and text bytes of the dimensions; ``metrics`` what was counted
+    while the staging tables were written, by raw table (empty for a lazy model); ``folder`` is
+    where the build wrote its tables.
     """
 
     def __init__(self, *args, **kwargs):
         super().__init__(*args, **kwargs)
         self.sizes: dict[str, tuple[int, dict[str, int]]] = {}
+        self.metrics: dict[str, dict] = {}
         self.memo: dict[str, DataFrame] = {}
         self.folder: str | None = None
 
@@ -205,6 +212,13 @@ class Model(dict):
             self.sizes[name] = measured(self[name])
         return fits_broadcast(self[name].select(*columns), *self.sizes[name])
 
+    def hot_codes(self, key: str) -> list[tuple[str, int]] | None:
+        """Hot codes of a join of the staged sales, if they were counted (see ``join_dealt``)."""
+        seen = self.metrics.get("raw_vendas")
+        if seen is None:
+            return None
+        return hot_keys(self["stg_vendas"].sparkSession, seen[f"top_{key}"], seen["kept"])
+
 
 _CACHE: dict[tuple, Model] = {}
 _KEY_LOCKS: dict[tuple, threading.Lock] = {}
@@ -255,11 +269,23 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
     def keep(df: DataFrame, name: str) -> DataFrame:
         return df if root is None else materialize(df, name, f"{root}/{name}")
 
+    def keep_watched(stage, lazy, raw: str, name: str, extra: dict) -> DataFrame:
+        """A staging table, written with its metrics collected by the write."""
+        if root is None:
+            return lazy(m[raw])
+        watch = Watched()
+        kept = keep(stage(m[raw], watch, extra), name)
+        m.metrics[raw] = watch.read()
+        return kept
+
     # Three independent chains (sales, products, customers) are submitted side by side: Spark
     # runs their jobs concurrently, so the small dimension jobs fill cores the sales job leaves
-    # idle.  The raw exports are not copied: staging reads them once, the checks when asked.
+    # idle.  The raw exports are not copied: staging reads them once, and counts what the checks
+    # and the fact's joins want to know of them.
     def sales_chain() -> None:
-        m["stg_vendas"] = keep(stg_sales(m["raw_vendas"]), "stg_vendas")
+        extra = {"kept": F.count(F.lit(1)), "returns": F.count_if(F.col("tipo_operacao") == "DEVOLUCAO")}
+        extra |= {f"top_{code}": frequent(spark, code) for code in JOIN_CODES}
+        m["stg_vendas"] = keep_watched(stage_sales, stg_sales, "raw_vendas", "stg_vendas", extra)
         # One pass over the sales gives both the seller codes and the date span.
         span = keep(
             m["stg_vendas"].groupBy("cod_vendedor").agg(
@@ -274,12 +300,15 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
         m.sizes["dim_vendedor"] = measured(m["dim_vendedor"])
 
     def product_chain() -> None:
-        m["stg_produtos"] = stg_products(m["raw_produtos"])
+        extra = {"no_cost": F.count_if(F.col("custo_unitario").isNull())}
+        stage = lambda raw, watch, e: stage_plain(raw, "raw_produtos", stg_products, watch, e)
+        m["stg_produtos"] = keep_watched(stage, stg_products, "raw_produtos", "stg_produtos", extra)
         m["dim_produto"] = keep(dim_product(m["stg_produtos"]), "dim_produto")
         m.sizes["dim_produto"] = measured(m["dim_produto"])
 
     def customer_chain() -> None:
-        m["stg_clientes"] = stg_customers(m["raw_clientes"])
+        stage = lambda raw, watch, e: stage_plain(raw, "raw_clientes", stg_customers, watch, e)
+        m["stg_clientes"] = keep_watched(stage, stg_customers, "raw_clientes", "stg_clientes", {})
         m["dim_cliente"] = keep(dim_customer(m["stg_clientes"]), "dim_cliente")
         m.sizes["dim_cliente"] = measured(m["dim_cliente"])
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import (
-    cast_text, digits_only, flag_yes, norm_txt, number_text, parse_date, parse_number, strict_int, to_int_like_cast, trim_spaces,
+    cast_text, digits_only, flag_yes, norm_txt, number_text, parse_date, parse_int, parse_number, strict_int, to_int_like_cast,
+    trim_spaces,
 )
-from ..operators.dedupe import dedupe_by_key
+from ..operators.dedupe import dedupe_and_sum, dedupe_by_key
 
 SALES_KEY = ["numero_pedido", "sequencia_item"]
 
@@ -21,11 +22,68 @@ SALES_TIEBREAK = [
 ]
 
 
-def sales_copy_order() -> list[Column]:
-    """Which copy of an order item survives: non-negative quantity first, then the customer
-    code (NULL last) as in the reference, then every other raw column so the choice is total."""
+# Which rule converts the (prepared) text of which raw column.
+PARSED_COLUMNS: dict[str, dict[str, Callable]] = {
+    "raw_vendas": {
+        "numero_pedido": parse_int,
+        "sequencia_item": parse_int,
+        "data_pedido": parse_date,
+        "quantidade": parse_int,
+        "preco_unitario": parse_number,
+        "desconto_pct": parse_number,
+        "frete_cobrado": parse_number,
+        "custo_frete_real": parse_number,
+    },
+    "raw_produtos": {"custo_unitario": parse_number, "preco_tabela": parse_number},
+    "raw_clientes": {"cnpj": digits_only, "data_cadastro": parse_date, "limite_credito": parse_number},
+}
+_CLEANED = {parse_number: number_text, parse_date: trim_spaces, parse_int: cast_text}
+
+
+def sales_copy_rank() -> list[Column]:
+    """Which copy of an order item survives (ascending, NULLs last): non-negative quantity first, then
+    the customer code as in the reference, then every other raw column so the choice is total."""
     sign = F.when(to_int_like_cast("quantidade") < 0, F.lit(1)).otherwise(F.lit(0))
-    return [sign.asc()] + [F.col(c).asc_nulls_last() for c in SALES_TIEBREAK]
+    return [sign, *[F.col(c) for c in SALES_TIEBREAK]]
+
+
+def sales_copy_order() -> list[Column]:
+    return [c.asc_nulls_last() for c in sales_copy_rank()]
+
+
+def conversion_flags(raw: DataFrame, rules: Mapping[str, Callable]) -> tuple[DataFrame, list[str]]:
+    """``raw`` with two 0/1 columns per converted column, and their names: ``absent_<column>`` (no
+    text) and ``failed_<column>`` (text that its rule does not convert)."""
+    texts = {f"__text_{c}": _CLEANED.get(rule, F.col)(c) for c, rule in rules.items()}
+    flags = {}
+    for c, rule in rules.items():
+        absent = F.col(f"__text_{c}").isNull()
+        flags[f"absent_{c}"] = absent.cast("bigint")
+        flags[f"failed_{c}"] = (~absent & rule(f"__text_{c}").isNull()).cast("bigint")
+    flagged = raw.withColumns(texts).select(*raw.columns, *[f.alias(name) for name, f in flags.items()])
+    return flagged, list(flags)
+
+
+class Watched:
+    """Metrics that Spark collects while a staging table is written, to be read after the write.
+
+    They are taken in the stage that writes (for the sales that is after the dedupe's shuffle), whose
+    tasks count once each, even when executors are lost and tasks run again.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[Observation] = []
+
+    def on(self, df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
+        self._seen.append(Observation())
+        return df.observe(self._seen[-1], *[m.alias(name) for name, m in metrics.items()])
+
+    def read(self) -> dict:
+        return {name: value for seen in self._seen for name, value in seen.get.items()}
+
+
+def _sums(flags: Sequence[str]) -> dict[str, Column]:
+    return {f: F.coalesce(F.sum(f), F.lit(0)) for f in flags}
 
 
 def dedupe_sales(raw_sales: DataFrame) -> DataFrame:
@@ -68,6 +126,13 @@ def stg_customers(raw_customers: DataFrame) -> DataFrame:
     )
 
 
+def stage_plain(raw: DataFrame, table: str, stage: Callable[[DataFrame], DataFrame], watch: Watched, extra: Mapping[str, Column]) -> DataFrame:
+    """T1 or T2 of an export, with its rows and conversions (and ``extra`` of the result) watched."""
+    flagged, flags = conversion_flags(raw, PARSED_COLUMNS[table])
+    staged = stage(watch.on(flagged, {"rows": F.count(F.lit(1))} | _sums(flags)))
+    return watch.on(staged, extra) if extra else staged
+
+
 def stg_sales(raw_sales: DataFrame) -> DataFrame:
     """T4: dedupe first, then drop cancelled and undated items, then tag returns.
 
@@ -75,8 +140,26 @@ def stg_sales(raw_sales: DataFrame) -> DataFrame:
     undated the whole item goes, even when another copy was valid.  Catalyst keeps them there
     because they are not on the window's partition keys.
     """
+    return _typed_sales(dedupe_sales(raw_sales))
+
+
+def stage_sales(raw_sales: DataFrame, watch: Watched, extra: Mapping[str, Column]) -> DataFrame:
+    """T4 with the raw rows and their conversions (and ``extra`` of the result) watched.
+
+    The dedupe is an aggregation here, which adds up the copies of an item and their conversions
+    while it finds the one that survives; so the export is read once for all of them.
+    """
+    flagged, flags = conversion_flags(raw_sales, PARSED_COLUMNS["raw_vendas"])
+    sums = {"__copies": F.lit(1).cast("bigint")} | {f: F.col(f) for f in flags}
+    rows = flagged.select(*SALES_KEY, *SALES_TIEBREAK, *flags)
+    one = dedupe_and_sum(rows, SALES_KEY, sales_copy_rank(), sums)
+    one = watch.on(one, {"rows": F.coalesce(F.sum("__copies"), F.lit(0))} | _sums(flags))
+    return watch.on(_typed_sales(one), extra)
+
+
+def _typed_sales(one_copy: DataFrame) -> DataFrame:
     numbers = ["preco_unitario", "desconto_pct", "frete_cobrado", "custo_frete_real"]
-    kept = prepared(dedupe_sales(raw_sales), numbers, ["data_pedido"], [*SALES_KEY, "quantidade"])
+    kept = prepared(one_copy, numbers, ["data_pedido"], [*SALES_KEY, "quantidade"])
     typed = kept.select(
         strict_int("numero_pedido").alias("numero_pedido"),
         strict_int("sequencia_item").alias("sequencia_item"),
