@@ -8,15 +8,18 @@ buckets, star-shaped candidate edges, exact confirmation on full shingle sets.
    (the natural hub of a group of near copies) is linked to every other member: a star, not all
    pairs.  Star edges are confirmed on full sets and components are formed.
 3. Stars alone could miss a link between two leaves.  Buckets whose leaves lie in more than one
-   component are therefore searched in blocks: signatures are compared within a task, and only
-   pairs over different components come out (once for each bucket they share, then made distinct)
-   whose estimated similarity is within 5 standard deviations of the threshold.  They are confirmed too.
+   component are therefore searched in blocks, in two steps.  First signatures are compared within a
+   task, and the leaves come out that have a partner in another component whose estimated similarity
+   is within 5 standard deviations of the threshold.  Then their full shingle sets are brought
+   together bucket by bucket and compared there; of the links confirmed in a block pair only a spanning
+   forest comes out, so neither step makes more rows than it reads, however large a group is.
 
 With 40 bands of 6 rows, a pair at the threshold (0.85) shares no bucket with probability 6e-9.
 
 Defined cases.  Null, empty or blank texts have zero shingles and link with nothing.  Repeated
-rows fall into one class.  A row without doc_id is in no group and is kept.  Other columns are
-not looked at; ``drop_near_copies`` returns them unchanged.
+rows fall into one class.  A row without doc_id is in no group and is kept.  Very long texts are
+read whole; a block holds few documents where their sets are long.  An empty table gives no rows.
+Other columns are not looked at; ``drop_near_copies`` returns them unchanged.
 """
 
 from __future__ import annotations
@@ -40,8 +43,9 @@ THRESHOLD = 85  # percent
 _BINS = 512
 #: Lowest estimate that is confirmed: at 0.85 the estimate's standard deviation is 0.016.
 _ESTIMATE = 0.765
-#: Members of a bucket that meet in one task at a time.
-BLOCK = 512
+#: Members of a bucket that meet in one task at a time, and the bytes of their shingle sets.
+BLOCK = 256
+BLOCK_BYTES = 4 << 20
 #: Most ids that are broadcast to pick their texts (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 _U = np.uint64
@@ -104,25 +108,29 @@ def band_keys(sigs: np.ndarray) -> np.ndarray:
     return mix((cells * _ROW_CODES).sum(axis=2, dtype=np.uint64) + _BAND_CODES)
 
 
-_SKETCH = "doc_id bigint, n_shingles bigint, set_hash bigint, bands array<bigint>, signature binary"
+_SKETCH = "doc_id bigint, n_shingles bigint, set_hash bigint, set_check bigint, bands array<bigint>, signature binary"
+#: Documents with equal values here have equal shingle sets (128 bits of hash and the size).
+_SET = ["set_hash", "set_check", "n_shingles"]
 
 
 def _sketch(batches):
     for batch in slices(batches):
         sets = list(shingle_sets(text_bytes(batch.column("text"))))
         counts = np.array([len(s) for s in sets], np.int64)
-        hashes = np.array([mix(s ^ _U(0x5BD1E995)).sum(dtype=np.uint64) for s in sets], np.uint64)
+        hashes, checks = (
+            np.array([mix(s ^ code).sum(dtype=np.uint64) for s in sets], np.uint64) for code in (_U(0x5BD1E995), _BAND_CODES[0])
+        )
         full = [s for s in sets if len(s)]
         sigs = signatures(full)
         flat = band_keys(sigs).ravel()
         low = iter([r.tobytes() for r in sigs.astype(np.uint8)])
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(counts), pa.array(hashes.view(np.int64)),
+                batch.column("doc_id"), pa.array(counts), pa.array(hashes.view(np.int64)), pa.array(checks.view(np.int64)),
                 list_column(flat.view(np.int64), np.cumsum([0, *np.where(counts > 0, BANDS, 0)]), pa.int64()),
                 pa.array([next(low) if n else b"" for n in counts], pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "set_hash", "bands", "signature"],
+            names=["doc_id", "n_shingles", "set_hash", "set_check", "bands", "signature"],
         )
 
 
@@ -137,7 +145,7 @@ def _full_sets(batches):
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, bands, signature) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, set_hash, set_check, bands, signature) of every row of ``docs`` (doc_id, text)."""
     ids = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return ids.mapInArrow(_sketch, _SKETCH)
 
@@ -155,15 +163,20 @@ def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids``, made again from their texts."""
+    texts = _only(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), ids)
+    sets = texts.mapInArrow(_full_sets, "doc_id bigint, shingles array<bigint>")
+    return kept(sets.dropDuplicates(["doc_id"]), "sets")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose full shingle sets reach the threshold.
 
     Sets are made again from the texts, for the documents that occur in a pair only.
     """
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-    texts = _only(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), ids)
-    sets = texts.mapInArrow(_full_sets, "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
-    sets = kept(sets, "sets")
+    sets = full_sets(docs, ids)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -171,36 +184,82 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.filter(F.col("i") * 100 >= (F.col("n") + F.col("m") - F.col("i")) * THRESHOLD).select("a", "b")
 
 
-def _cells(batches: pa.Table) -> pa.Table:
-    """Pairs of one bucket's block pair that lie in different components and may link by size and
-    estimate."""
-    rows = batches
-    names, out = ["a", "b"], ([], [])
-    ids, block = rows["id"].to_numpy(), rows["block"].to_numpy()
-    component, n = rows["component"].to_numpy(), rows["n"].to_numpy()
-    sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(len(ids), _BINS)
-    low, high = (rows[c][0].as_py() for c in ("low", "high"))
-    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the two blocks that meet (twice the same for a block with itself)."""
+    block = rows["block"].to_numpy()
+    return tuple(np.flatnonzero(block == rows[c][0].as_py()) for c in ("low", "high"))
+
+
+def _may_pair(rows: pa.Table, left: np.ndarray, right: np.ndarray, component: np.ndarray) -> np.ndarray:
+    """[left, right]: whether two rows lie in different components and may link by their sizes."""
+    n = rows["n"].to_numpy()
+    small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
+    return (component[left][:, None] != component[right][None, :]) & (small * 100 >= large * THRESHOLD)
+
+
+def _near(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return (sig[i] == sig[j]).mean(axis=1) >= _ESTIMATE
+
+
+def _signed(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(rows.num_rows, _BINS)
+
+
+_LEAF = ["bucket", "id", "n", "component"]
+
+
+def _promising(rows: pa.Table) -> pa.Table:
+    """The rows of one bucket's block pair that have a partner, by size and estimate, in another component."""
+    sig, component = _signed(rows), rows["component"].to_numpy()
+    left, right = _sides(rows)
+    found = np.zeros(rows.num_rows, bool)
     for at in range(0, len(left), 16):
         x = left[at : at + 16]
-        ok = component[x][:, None] != component[right][None, :]
-        ok &= (ids[x][:, None] < ids[right][None, :]) | (low != high)
-        small, large = np.minimum(n[x][:, None], n[right][None, :]), np.maximum(n[x][:, None], n[right][None, :])
-        ok &= small * 100 >= large * THRESHOLD
-        i, j = np.nonzero(ok)
-        if not len(i):
+        i, j = np.nonzero(_may_pair(rows, x, right, component))
+        near = _near(sig, x[i], right[j])
+        found[x[i[near]]] = True
+        found[right[j[near]]] = True
+    return rows.select(_LEAF).filter(pa.array(found))
+
+
+def _forest(rows: pa.Table) -> pa.Table:
+    """A spanning forest of the links, confirmed on full sets, over different components of one
+    bucket's block pair."""
+    ids, sig = rows["id"].to_numpy(), _signed(rows)
+    label = rows["component"].to_numpy().copy()
+    flat = rows["shingles"].combine_chunks()
+    values, bounds = flat.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(flat.value_lengths().to_numpy())])
+    sets = [values[bounds[k] : bounds[k + 1]] for k in range(rows.num_rows)]
+    left, right = _sides(rows)
+    a, b = [], []
+    for x in left:
+        other = right[_may_pair(rows, np.array([x]), right, label)[0]]
+        other = other[_near(sig, np.full(len(other), x), other)]
+        if not len(other):
             continue
-        same = sig[x[i]] == sig[right[j]]
-        near = same.mean(axis=1) >= _ESTIMATE
-        a, b = ids[x[i[near]]], ids[right[j[near]]]
-        out[0].append(np.minimum(a, b))
-        out[1].append(np.maximum(a, b))
-    columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
-    return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
-
-
-def _leaf_pairs(members: DataFrame, sketches: DataFrame, found: DataFrame | None) -> DataFrame:
-    """The pairs that the stars left untested and that may link.
+        own = np.sort(sets[x])
+        many = np.array([len(sets[y]) for y in other])
+        joined = np.concatenate([sets[y] for y in other])
+        at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+        both = np.add.reduceat((own[at] == joined).astype(np.int64), np.concatenate([[0], np.cumsum(many)[:-1]]))
+        for y in other[both * 100 >= (len(own) + many - both) * THRESHOLD]:
+            if label[y] != label[x]:
+                a.append(min(ids[x], ids[y]))
+                b.append(max(ids[x], ids[y]))
+                label[label == label[y]] = label[x]
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _in_blocks(members: DataFrame, blocks: Column) -> DataFrame:
+    """``members`` once for every pair of blocks of their bucket that they meet in."""
+    members = members.withColumn("__blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), "__blocks").cast("int"))
+    members = members.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+    members = members.withColumn("low", F.least("block", "__other")).withColumn("high", F.greatest("block", "__other"))
+    return members.drop("__blocks", "__other")
+
+
+def promising_leaves(members: DataFrame, sketches: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The (bucket, id, n, component) that have a partner the stars left untested and that may link.
 
     ``members`` (bucket, band, id, n, size) without the buckets' centres.
     """
@@ -215,12 +274,26 @@ def _leaf_pairs(members: DataFrame, sketches: DataFrame, found: DataFrame | None
     mixed = kept(mixed, "mixed")
     signed = _only(sketches.select("doc_id", "signature"), mixed.select(F.col("id").alias("doc_id")))
     mixed = mixed.join(signed.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "id")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mixed = mixed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    mixed = mixed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    cells = mixed.select("bucket", "low", "high", "block", "id", "n", "component", "signature")
-    return cells.groupBy("bucket", "low", "high").applyInArrow(_cells, "a bigint, b bigint")
+    cells = _in_blocks(mixed, F.ceil(F.col("size") / BLOCK)).select(*_LEAF, "signature", "block", "low", "high")
+    near = cells.groupBy("bucket", "low", "high").applyInArrow(_promising, "bucket bigint, id bigint, n bigint, component bigint")
+    return kept(near.distinct(), "promising")
+
+
+def leaf_links(leaves: DataFrame, sketches: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed (a, b) between ``promising_leaves``: of every bucket enough to join what links in it."""
+    about = leaves.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"), F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"),
+    )
+    # Of buckets with the same leaves one is enough.
+    about = kept(about.dropDuplicates(["members", "shingles", "x", "y"]).drop("x", "y"), "leaf-buckets")
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES))
+    leaves = kept(leaves.join(about, "bucket"), "leaf-members")
+    ids = leaves.select(F.col("id").alias("doc_id")).distinct()
+    sets = full_sets(docs, ids).withColumnRenamed("doc_id", "id")
+    signed = _only(sketches.select("doc_id", "signature"), ids).dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id")
+    cells = _in_blocks(leaves, blocks).select(*_LEAF, "block", "low", "high").join(sets, "id").join(signed, "id")
+    return cells.groupBy("bucket", "low", "high").applyInArrow(_forest, "a bigint, b bigint").distinct()
 
 
 def link_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame) -> DataFrame | None:
@@ -246,10 +319,9 @@ def link_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame) -> Da
     links = kept(confirm(pairs, docs), "links")
     found = None if links.isEmpty() else kept(components(links), "components")
     leaves = stars.filter("size > 2").select("bucket", "band", "id", "n", "size")
-    rest = _leaf_pairs(leaves, sketches, found).distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = kept(rest, "rest")
-    if not rest.isEmpty():
-        more = kept(confirm(rest, docs), "links")
+    leaves = promising_leaves(leaves, sketches, found)
+    if not leaves.isEmpty():
+        more = kept(leaf_links(leaves, sketches, docs), "links")
         if not more.isEmpty():
             found = kept(components(links.unionByName(more)), "components")
     return found
@@ -259,9 +331,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     sketches = kept(sketch(docs), "sketch")
     sets = sketches.drop("signature").filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    lowest = sets.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("id"))
+    lowest = sets.groupBy(*_SET).agg(F.min("doc_id").alias("id"))
     lowest = kept(lowest, "classes")
-    one = sets.join(lowest.withColumnRenamed("id", "doc_id"), ["set_hash", "n_shingles", "doc_id"], "left_semi")
+    one = sets.join(lowest.withColumnRenamed("id", "doc_id"), [*_SET, "doc_id"], "left_semi")
     one = one.dropDuplicates(["doc_id"])
     classes = one.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands")
     groups = link_classes(classes, sketches, docs)
@@ -269,8 +341,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
         of_set = lowest.withColumn("component", F.col("id"))
     else:
         of_set = lowest.join(groups.withColumnRenamed("node", "id"), "id", "left")
-    of_set = of_set.select("set_hash", "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    out = sketches.select("doc_id", "n_shingles", "set_hash").join(of_set, ["set_hash", "n_shingles"], "left")
+    of_set = of_set.select(*_SET, F.coalesce("component", "id").alias("component_id"))
+    out = sketches.select("doc_id", *_SET).join(of_set, _SET, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(

@@ -53,8 +53,8 @@ def test_leaf_links_that_no_star_tests(spark):
     ]
     df = spark.createDataFrame(rows, "bucket long, band int, id long, n long, size long, signature binary")
     sketches = df.select(df.id.alias("doc_id"), "signature")
-    pairs = m._leaf_pairs(df.drop("signature"), sketches, None).collect()
-    assert [tuple(r) for r in pairs] == [(1, 2)]
+    leaves = m.promising_leaves(df.drop("signature"), sketches, None).collect()
+    assert sorted(r["id"] for r in leaves) == [1, 2]
 
 
 def test_bytes_that_agree_by_chance_in_an_earlier_band(spark):
@@ -62,8 +62,48 @@ def test_bytes_that_agree_by_chance_in_an_earlier_band(spark):
     same = bytes((np.arange(m._BINS) % 251).astype(np.uint8))
     rows = [(9, 1, 1, 50, 3, same), (9, 1, 2, 51, 3, same)]
     df = spark.createDataFrame(rows, "bucket long, band int, id long, n long, size long, signature binary")
-    pairs = m._leaf_pairs(df.drop("signature"), df.select(df.id.alias("doc_id"), "signature"), None).collect()
-    assert [tuple(r) for r in pairs] == [(1, 2)]
+    leaves = m.promising_leaves(df.drop("signature"), df.select(df.id.alias("doc_id"), "signature"), None).collect()
+    assert sorted(r["id"] for r in leaves) == [1, 2]
+
+
+def _variants(n, words, changed, seed):
+    rnd = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(n):
+        copy = list(base)
+        for at in rnd.sample(range(words), changed):
+            copy[at] = f"x{k}y{at}"
+        out.append((k, " ".join(copy)))
+    return out
+
+
+def test_a_crowd_that_does_not_link_makes_no_more_rows_than_it_reads(spark, monkeypatch):
+    """400 variants of one text, four of 200 words changed: similar, but hardly any two link."""
+    docs = _variants(400, 200, 4, 8)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    steps = {"promising_leaves": [], "leaf_links": []}
+    for name, rows in steps.items():
+        plain = getattr(m, name)
+
+        def watched(*args, plain=plain, rows=rows):
+            out = plain(*args)
+            rows.append((args[0].count(), out.count()))
+            return out
+
+        monkeypatch.setattr(m, name, watched)
+    got = {r["doc_id"]: r["component_id"] for r in m.near_groups(df).collect()}
+    assert got == brute.near_components(docs)
+    for rows in steps.values():
+        assert len(rows) == 1 and rows[0][1] <= rows[0][0], steps
+
+
+def test_leaves_are_joined_over_blocks(spark, monkeypatch):
+    """Blocks of two members: what links is found in whatever block pair it meets."""
+    monkeypatch.setattr(m, "BLOCK", 2)
+    docs = _variants(40, 200, 3, 3)
+    got = {r["doc_id"]: r["component_id"] for r in m.near_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute.near_components(docs)
 
 
 def test_densified_bins_copy_filled_ones():
