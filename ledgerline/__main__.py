@@ -48,8 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     v = views(m)
     io.export_model({k: v[k] for k in ("dim_produto", "dim_cliente", "dim_vendedor", "dim_tempo", "fct_vendas")}, f"{out}/model")
     io.export_panel_csv(v["painel"], f"{out}/painel.csv")
-    sheets = {sheet: getattr(analyses, name)(m) for sheet, name in io.REPORTS.items()}
-    io.export_reports(sheets, f"{out}/reports")
+    io.export_reports(analyses.report_views(m), f"{out}/reports")
     print(f"written under {out}")
 
 

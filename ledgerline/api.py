@@ -73,12 +73,21 @@ def _exported_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_raw_csv(spark, path, panel.columns, ",")
 
 
-def _exported_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report sheets written as CSV; the monthly one read back as text."""
-    m = _model(spark, sf_dir)
-    views = {sheet: getattr(A, name)(m) for sheet, name in io.REPORTS.items()}
-    paths = io.export_reports(views, new_scratch_dir(spark, "reports"))
-    return io.read_raw_csv(spark, paths["por_mes"], views["por_mes"].columns, ",")
+def _exported_sheet(sheet: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The report sheets written as CSV (once a model); one of them read back as text."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = _model(spark, sf_dir)
+        with m.lock:
+            if "sheets" not in m.exports:
+                views = A.report_views(m)
+                paths = io.export_reports(views, f"{m.folder}/reports")
+                m.exports["sheets"] = {s: (paths[s], views[s].columns) for s in views}
+        path, columns = m.exports["sheets"][sheet]
+        return io.read_raw_csv(spark, path, columns, ",")
+
+    run.__name__ = f"export_{sheet}"
+    return run
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -114,7 +123,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sinks
     "export_model": _exported_model,
     "export_panel_csv": _exported_panel,
-    "export_reports": _exported_report,
+    "export_reports": _exported_sheet("por_mes"),
+    "export_reports_panel": _exported_sheet("painel"),
+    "export_reports_category": _exported_sheet("por_categoria"),
+    "export_reports_discount": _exported_sheet("por_desconto"),
+    "export_reports_customers": _exported_sheet("clientes"),
+    "export_reports_freight": _exported_sheet("frete"),
     # checks
     "load_counts": _on_model(Q.load_counts),
     "dimension_counts": _on_model(Q.dimension_counts),

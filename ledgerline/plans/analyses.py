@@ -7,6 +7,9 @@ back to a dimension: each one is a pruned scan of one table and an aggregation.
 and rounded the reference's way at the end (see ``functions.numeric``).  Windows that run over one
 row per category, discount band, month or seller stay plain; the ABC curve runs over one row per
 customer and uses the ordered scan instead.
+
+An analysis is a set of totals by some columns, and a sheet made of them.  The report export makes
+five sheets of one pass over the fact, by grouping sets (``report_views``).
 """
 
 from __future__ import annotations
@@ -16,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import RATE, exact_mean, exact_sum, grand_total, pct, r1, r2, ratio, total, total_of_both
 from ..operators.ordered import ordered_scan
-from .model import Model
+from ..sources.scratch import materialize
+from .model import UNKNOWN_CUSTOMER, Model
 
 
 def _reliable(m: Model) -> DataFrame:
@@ -33,6 +37,31 @@ def _discounts() -> list[F.Column]:
     return [exact_sum("desconto_pct", RATE).alias("ds"), F.count("desconto_pct").alias("dn")]
 
 
+# Totals by name -> the amount that is summed exactly.
+_AMOUNTS = {
+    "rt": "receita_total", "cp": "custo_produto", "ce": "custo_entrega", "cc": "custo_comissao", "fs": "frete_subsidiado",
+    "mb": "margem_bruta", "mc": "margem_contribuicao",
+}
+
+
+def _totals(*names: str) -> list[F.Column]:
+    """Totals by name: an amount's sum, ``charged`` freight, ``pedidos`` (orders), ``itens`` (lines),
+    ``discounts`` (their sum and count)."""
+    out = []
+    for name in names:
+        if name == "pedidos":
+            out.append(F.count_distinct("numero_pedido").alias(name))
+        elif name == "itens":
+            out.append(F.count(F.lit(1)).alias(name))
+        elif name == "discounts":
+            out += _discounts()
+        elif name == "charged":
+            out.append(exact_sum(F.col("custo_entrega") - F.col("frete_subsidiado")).alias(name))
+        else:
+            out.append(exact_sum(_AMOUNTS[name]).alias(name))
+    return out
+
+
 def _situation(margin: F.Column, revenue: F.Column) -> F.Column:
     share = ratio(F.lit(100.0) * margin, revenue)
     return (
@@ -43,18 +72,15 @@ def _situation(margin: F.Column, revenue: F.Column) -> F.Column:
     )
 
 
+_OF_CATEGORY = ["pedidos", "rt", "cp", "ce", "cc", "fs", "mb", "mc"]
+
+
 def margin_by_category(m: Model) -> DataFrame:
     """A1: where margin is made and lost, per product category."""
-    g = _reliable(m).groupBy("categoria").agg(
-        F.count_distinct("numero_pedido").alias("pedidos"),
-        exact_sum("receita_total").alias("rt"),
-        exact_sum("custo_produto").alias("cp"),
-        exact_sum("custo_entrega").alias("ce"),
-        exact_sum("custo_comissao").alias("cc"),
-        exact_sum("frete_subsidiado").alias("fs"),
-        exact_sum("margem_bruta").alias("mb"),
-        exact_sum("margem_contribuicao").alias("mc"),
-    )
+    return _category_sheet(_reliable(m).groupBy("categoria").agg(*_totals(*_OF_CATEGORY)))
+
+
+def _category_sheet(g: DataFrame) -> DataFrame:
     return g.select(
         "categoria",
         "pedidos",
@@ -91,20 +117,16 @@ def margin_waterfall(m: Model) -> DataFrame:
 ABC_GROUP = ["codigo_cliente", "razao_social", "segmento", "regiao"]
 
 
+_OF_CUSTOMER = ["pedidos", "rt", "mc", "fs", "discounts"]
+
+
+def _known_customer() -> F.Column:
+    return F.col("codigo_cliente") != F.lit(UNKNOWN_CUSTOMER[1])
+
+
 def customer_totals(m: Model) -> DataFrame:
     """Per-customer totals behind A3 (orphan member excluded)."""
-    return (
-        _reliable(m)
-        .filter(F.col("codigo_cliente") != F.lit("NAO_IDENTIFICADO"))
-        .groupBy(*ABC_GROUP)
-        .agg(
-            F.count_distinct("numero_pedido").alias("pedidos"),
-            exact_sum("receita_total").alias("rt"),
-            exact_sum("margem_contribuicao").alias("mc"),
-            exact_sum("frete_subsidiado").alias("fs"),
-            *_discounts(),
-        )
-    )
+    return _reliable(m).filter(_known_customer()).groupBy(*ABC_GROUP).agg(*_totals(*_OF_CUSTOMER))
 
 
 def customer_abc(m: Model) -> DataFrame:
@@ -113,10 +135,14 @@ def customer_abc(m: Model) -> DataFrame:
     Position and running share come from the ordered scan over the per-customer totals.  Revenue
     ties are broken by the customer columns so positions are reproducible.
     """
-    if "customer_abc" in m.memo:
-        return m.memo["customer_abc"]
+    if "customer_abc" not in m.memo:
+        m.memo["customer_abc"] = _customer_sheet(customer_totals(m))
+    return m.memo["customer_abc"]
+
+
+def _customer_sheet(customers: DataFrame) -> DataFrame:
     receita, margem = total("rt"), total("mc")
-    per_customer = customer_totals(m).withColumns(
+    per_customer = customers.withColumns(
         {"receita": receita, "rt_whole": F.col("rt.whole"), "rt_rest": F.col("rt.rest")}
     )
     order = [("receita", True)] + [(c, False) for c in ABC_GROUP]
@@ -127,7 +153,7 @@ def customer_abc(m: Model) -> DataFrame:
     )
     both = lambda name: total(F.struct(*[F.col(f"{name}_{k}").alias(k) for k in parts]))
     share = ratio(both("acum"), both("todos"))
-    out = scanned.select(
+    return scanned.select(
         "posicao",
         "razao_social",
         "segmento",
@@ -142,8 +168,6 @@ def customer_abc(m: Model) -> DataFrame:
         r1(F.lit(100.0) * share).alias("receita_acumulada_pct"),
         F.when(share <= 0.80, F.lit("A")).when(share <= 0.95, F.lit("B")).otherwise(F.lit("C")).alias("classe_abc"),
     ).orderBy("posicao")
-    m.memo["customer_abc"] = out
-    return out
 
 
 def critical_customers(m: Model) -> DataFrame:
@@ -186,13 +210,15 @@ def discount_band(d: F.Column) -> F.Column:
     )
 
 
+_OF_BAND = ["itens", "rt", "mc"]
+
+
 def discount_bands(m: Model) -> DataFrame:
     """A5: revenue and margin by discount band (NULL discount falls in the last band)."""
-    g = _reliable(m).groupBy(discount_band(F.col("desconto_pct")).alias("faixa")).agg(
-        F.count(F.lit(1)).alias("itens"),
-        exact_sum("receita_total").alias("rt"),
-        exact_sum("margem_contribuicao").alias("mc"),
-    )
+    return _band_sheet(_reliable(m).groupBy(discount_band(F.col("desconto_pct")).alias("faixa")).agg(*_totals(*_OF_BAND)))
+
+
+def _band_sheet(g: DataFrame) -> DataFrame:
     return g.select(
         "faixa",
         "itens",
@@ -203,15 +229,15 @@ def discount_bands(m: Model) -> DataFrame:
     ).orderBy("faixa")
 
 
+_OF_FREIGHT = ["rt", "ce", "charged", "fs", "mc"]
+
+
 def freight_subsidy(m: Model) -> DataFrame:
     """What free freight costs, per category."""
-    g = _reliable(m).groupBy("categoria").agg(
-        exact_sum("receita_total").alias("rt"),
-        exact_sum("custo_entrega").alias("ce"),
-        exact_sum(F.col("custo_entrega") - F.col("frete_subsidiado")).alias("charged"),
-        exact_sum("frete_subsidiado").alias("fs"),
-        exact_sum("margem_contribuicao").alias("mc"),
-    )
+    return _freight_sheet(_reliable(m).groupBy("categoria").agg(*_totals(*_OF_FREIGHT)))
+
+
+def _freight_sheet(g: DataFrame) -> DataFrame:
     return g.select(
         "categoria",
         r2(total("rt")).alias("receita"),
@@ -224,14 +250,15 @@ def freight_subsidy(m: Model) -> DataFrame:
     ).orderBy(F.col("frete_absorvido").desc_nulls_last())
 
 
+_OF_MONTH = ["pedidos", "rt", "mc", "fs"]
+
+
 def monthly_trend(m: Model) -> DataFrame:
     """Month by month, with change over the previous month that had sales and a 3-month mean."""
-    g = _reliable(m).groupBy("ano_mes").agg(
-        F.count_distinct("numero_pedido").alias("pedidos"),
-        exact_sum("receita_total").alias("rt"),
-        exact_sum("margem_contribuicao").alias("mc"),
-        exact_sum("frete_subsidiado").alias("fs"),
-    )
+    return _month_sheet(_reliable(m).groupBy("ano_mes").agg(*_totals(*_OF_MONTH)))
+
+
+def _month_sheet(g: DataFrame) -> DataFrame:
     w = Window.orderBy("ano_mes")
     receita, margem = total("rt"), total("mc")
     prev_r, prev_m = F.lag(receita).over(w), F.lag(margem).over(w)
@@ -312,3 +339,41 @@ def panel(m: Model) -> DataFrame:
         "tipo_operacao", "quantidade", "desconto_pct", "receita_total", "custo_produto", "custo_entrega",
         "custo_comissao", "frete_subsidiado", "margem_contribuicao",
     )
+
+
+_REPORT_SETS = {"categoria": ["categoria"], "ano_mes": ["ano_mes"], "faixa": ["faixa"], "cliente": ABC_GROUP}
+
+
+def report_totals(m: Model) -> dict[str, DataFrame]:
+    """The totals of the report sheets by category, month, discount band and customer, from one pass over
+    the fact: its rows are grouped by every set of columns at once, and the (small) result is
+    written and split."""
+    if "report_totals" not in m.memo:
+        keys = [c for columns in _REPORT_SETS.values() for c in columns]
+        names = dict.fromkeys([*_OF_CATEGORY, *_OF_FREIGHT, *_OF_MONTH, *_OF_BAND, *_OF_CUSTOMER])
+        sets = [[F.col(c) for c in columns] for columns in _REPORT_SETS.values()]
+        rows = _reliable(m).withColumn("faixa", discount_band(F.col("desconto_pct")))
+        all_sets = rows.groupingSets(sets, *[F.col(c) for c in keys]).agg(F.grouping_id().alias("__set"), *_totals(*names))
+        m.memo["report_totals"] = materialize(all_sets, "report-totals") if m.folder else all_sets
+    out, keys = {}, [c for columns in _REPORT_SETS.values() for c in columns]
+    for name, columns in _REPORT_SETS.items():
+        # A bit for every column that the set leaves out, the first column's the highest.
+        number = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in columns)
+        left_out = [c for c in keys if c not in columns]
+        out[name] = m.memo["report_totals"].filter(F.col("__set") == number).drop("__set", *left_out)
+    return out
+
+
+def report_views(m: Model) -> dict[str, DataFrame]:
+    """The six sheets of the report export: the panel, and five that share one pass over the fact."""
+    of = report_totals(m)
+    if "customer_abc" not in m.memo:
+        m.memo["customer_abc"] = _customer_sheet(of["cliente"].filter(_known_customer()))
+    return {
+        "painel": panel(m),
+        "por_categoria": _category_sheet(of["categoria"]),
+        "por_mes": _month_sheet(of["ano_mes"]),
+        "por_desconto": _band_sheet(of["faixa"]),
+        "clientes": customer_abc(m),
+        "frete": _freight_sheet(of["categoria"]),
+    }

@@ -195,8 +195,8 @@ class Model(dict):
     """Named DataFrames of one build: raw, staging, dimensions and fact.
 
     ``sizes`` holds the measured rows and text bytes of the dimensions; ``metrics`` what was counted
-    while the staging tables were written, by raw table (empty for a lazy model); ``folder`` is
-    where the build wrote its tables.
+    while the staging tables were written, by raw table (empty for a lazy model); ``memo`` and
+    ``exports`` results that later questions share; ``folder`` is where the build wrote its tables.
     """
 
     def __init__(self, *args, **kwargs):
@@ -204,6 +204,8 @@ class Model(dict):
         self.sizes: dict[str, tuple[int, dict[str, int]]] = {}
         self.metrics: dict[str, dict] = {}
         self.memo: dict[str, DataFrame] = {}
+        self.exports: dict[str, dict] = {}
+        self.lock = threading.Lock()
         self.folder: str | None = None
 
     def is_small(self, name: str, columns: Sequence[str]) -> bool:

@@ -149,7 +149,7 @@ def as_report_text(df: DataFrame) -> DataFrame:
     return _plain_columns(df).select(*cols)
 
 
-# Report sheet -> analysis, as exported by the reference.
+# Report sheet -> the analysis that it shows, as exported by the reference.
 REPORTS = {
     "painel": "panel",
     "por_categoria": "margin_by_category",
