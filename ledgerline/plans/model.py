@@ -13,8 +13,8 @@ from ..functions.numeric import r2
 from ..operators.joins import fits_broadcast, frequent, hot_keys, join_dealt, measured
 from ..operators.ordered import ordered_scan
 from ..session import app_id, new_scratch_dir
-from ..sources.fixture import raw_tables
-from ..sources.scratch import materialize, remove_folder
+from ..sources.fixture import TABLES, raw_tables, table_path
+from ..sources.scratch import files_digest, materialize, remove_folder
 from .staging import Watched, stage_plain, stage_sales, stg_customers, stg_products, stg_sales
 
 # Fixed values of the reference: seller names and commission rates by seller code, and the
@@ -230,13 +230,15 @@ _LOCK = threading.Lock()
 def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True, reuse: bool = True) -> Model:
     """Model of the raw exports projected from the test tables in ``sf_dir``.
 
-    Built once per session, input files and settings (``reuse``); see ``build_model_from_raw``.
-    Two callers that ask for the same model at once build it once; other keys are not held up.
+    Built once per session, state of the input files and settings (``reuse``); see
+    ``build_model_from_raw``.  Two callers that ask for the same model at once build it once; other
+    keys are not held up.
     """
     raw = raw_tables(spark, sf_dir)
-    key = (app_id(spark), sf_dir, str(materialized), *_settings(spark), *sorted(_files(raw)))
     if not reuse:
         return build_model_from_raw(spark, raw, materialized)
+    state = files_digest(spark, [table_path(sf_dir, t) for t in TABLES])
+    key = (app_id(spark), sf_dir, str(materialized), *_settings(spark), *state)
     with _LOCK:
         own = _KEY_LOCKS.setdefault(key, threading.Lock())
     with own:
@@ -251,10 +253,6 @@ def _settings(spark: SparkSession) -> list[str]:
     return [str(spark.conf.get(n, None)) for n in names]
 
 
-def _files(raw: dict[str, DataFrame]) -> set[str]:
-    return {f for df in raw.values() for f in df.inputFiles()}
-
-
 def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materialized: bool = True) -> Model:
     """Run the whole modelling job on three raw exports (``raw_vendas``, ``raw_produtos``,
     ``raw_clientes``; all text, e.g. from ``sources.io.read_raw_exports``).

@@ -17,8 +17,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The test tables that the exports are projected from.
+TABLES = ["lineitem", "orders", "part", "customer", "nation", "region"]
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def idiv(a: Column, b: Column | int) -> Column:
@@ -75,7 +83,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     # Orders grow with the sales: joined by a shuffle at every size, never broadcast.
-    j = li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
+    j = li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
 
     qty = F.col("l_quantity").cast("bigint")
     cents = _cents(F.col("l_extendedprice"))
