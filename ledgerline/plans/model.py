@@ -115,6 +115,8 @@ PRODUCT_ATTRIBUTES = ["codigo_produto", "descricao", "categoria"]
 CUSTOMER_ATTRIBUTES = ["codigo_cliente", "razao_social", "segmento", "regiao"]
 SELLER_ATTRIBUTES = ["nome_vendedor", "taxa_comissao"]
 DATE_ATTRIBUTES = ["data", "ano_mes"]
+# The fact is stored by month.
+MONTH = "ano_mes"
 
 
 def fact_sales(m: "Model") -> DataFrame:
@@ -269,6 +271,13 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
     def keep(df: DataFrame, name: str) -> DataFrame:
         return df if root is None else materialize(df, name, f"{root}/{name}")
 
+    def keep_fact(df: DataFrame) -> DataFrame:
+        """The fact in a folder a month.  The exchange before the write brings a month's rows together, so
+        folders get few files; adaptive execution splits the months that are large."""
+        if root is None:
+            return df
+        return materialize(df.hint("rebalance", F.col(MONTH)), "fct_vendas", f"{root}/fct_vendas", [MONTH])
+
     def keep_watched(stage, lazy, raw: str, name: str, extra: dict) -> DataFrame:
         """A staging table, written with its metrics collected by the write."""
         if root is None:
@@ -315,7 +324,7 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
     with ThreadPoolExecutor(max_workers=3, thread_name_prefix="model") as pool:
         for f in [pool.submit(c) for c in (sales_chain, product_chain, customer_chain)]:
             f.result()
-    m["fct_vendas"] = keep(fact_sales(m), "fct_vendas")
+    m["fct_vendas"] = keep_fact(fact_sales(m))
     return m
 
 

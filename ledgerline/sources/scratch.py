@@ -10,18 +10,20 @@ from pyspark.sql import functions as F
 from ..session import new_scratch_dir
 
 
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None, folders: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and return a DataFrame reading the written files.
 
     Later jobs read the files instead of recomputing the lineage, and a lost executor costs a
     re-read, not a recomputation of every shuffle above it.  The folder lives under
-    ``spark.checkpoint.dir`` (shared storage on a cluster), never on a machine-local disk.
+    ``spark.checkpoint.dir`` (shared storage on a cluster), never on a machine-local disk.  Columns
+    in ``folders`` become sub-folders, which a filter on them prunes.
     """
     spark = df.sparkSession
     target = path or new_scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").partitionBy(*folders).parquet(target)
     # The schema is known: reading it back needs no footer-inference job.
-    return spark.read.schema(df.schema).parquet(target)
+    out = spark.read.schema(df.schema).parquet(target)
+    return out.select(df.columns) if folders else out
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

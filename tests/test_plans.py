@@ -7,6 +7,7 @@ import sys
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 from plan_report import explain  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 from ledgerline.plans import analyses as A  # noqa: E402
@@ -87,3 +88,20 @@ def test_number_text_is_made_once_a_value(spark):
     raw = spark.createDataFrame([tuple("x" for _ in RAW_PRODUCT_COLUMNS)], ", ".join(f"{c} string" for c in RAW_PRODUCT_COLUMNS))
     plan = stg_products(raw.repartition(2))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(") == 2  # two number columns
+
+
+def test_a_month_of_the_panel_reads_that_month_only(spark, model):
+    month = A.panel(model).filter("ano_mes = '1995-03'")
+    plan = explain(month)
+    assert re.search(r"PartitionFilters: \[.*ano_mes#\d+ = 1995-03\)\]", plan)
+    stored = model["fct_vendas"].filter("ano_mes = '1995-03'").select(F.input_file_name().alias("f")).distinct().collect()
+    assert 1 <= len(stored) <= 2 and all("ano_mes=1995-03" in r.f for r in stored)
+    assert {r.ano_mes for r in month.collect()} == {"1995-03"}
+
+
+def test_fact_by_month_keeps_its_columns_and_rows(spark, model):
+    from ledgerline.plans.model import fact_sales
+
+    stored, made = model["fct_vendas"], fact_sales(model)
+    assert stored.columns == made.columns and stored.dtypes == made.dtypes
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, made.collect()))
