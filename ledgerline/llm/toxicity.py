@@ -1,18 +1,24 @@
 """Toxicity (operator 7): gradient-boosted trees over dense features, isotonic calibration.
 
-Features of every whole text: densities of lexicon words (a general list, and words and word
-beginnings learned from the labelled rows), how close lexicon words stand to second-person words,
+Features of every whole text: densities of lexicon words (words and word beginnings learned from
+the labelled rows; there is no list of our own), how close lexicon words stand to second-person words,
 and rates of capitals, punctuation, exclamation, repeated signs and obfuscated words (signs or
 digits between letters).  Trees are pyspark.ml's; the margin of a held-back third of the training
 rows is calibrated by an isotonic regression.
 
 The training rows are labelled rows outside the held-out fold, at most ``SAMPLE`` of them, those
-with the lowest hash of doc_id.  Labels, lang, source and doc_id are no inputs of a score.
-
-Defined cases.  A null or empty text has zero features and gets a score.  Rows without a label,
-or whose label is null, teach nothing; of a doc_id labelled twice the higher label counts.  With
-no toxic or no harmless training row every score is the share of toxic ones (0 without rows).
-Repeated rows are scored alike.  Extra columns are not looked at.
+with the lowest hash of doc_id.  Labels, lang, source and doc_id are no inputs of a score.  The
+lexicon is cross-fitted, however many rows there are: each half of the training rows has its
+features by the entries that the other half taught, so entries bear the weight they have on rows
+that they were not learned from; new texts are scored by the entries of all training rows.  Halves
+and thirds are dealt within each label.
+
+Defined cases.  A null or empty text has zero features and gets a score.  Very long texts are read
+whole.  Rows without a label, or whose label is null, teach nothing; of a doc_id labelled twice the
+higher label counts, and of one with different texts the first in binary order is read.  With fewer
+than two toxic or two harmless training rows every score is the share of toxic ones (0 without
+rows).  Repeated rows are scored alike.  An empty table gives no rows.  Extra columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .kernel import BYTE_CODE, chunks, mix, powers, slices, text_bytes, words
@@ -39,8 +45,7 @@ MIN_ROWS = 3
 #: An entry's share of toxic rows has to be this many times its share of others.
 MIN_LIFT = 8.0
 CUT = 0.5
-# General English insults, and second-person words of the corpus languages.
-INSULTS = "loser idiot pathetic scum worthless moron trash clown disgusting stupid dumb filthy vermin imbecile".split()
+# Second-person words of the corpus languages.
 YOU = "you your you're yours u ur tu te toi vous votre vos du dich dir dein deine ihr euch usted tú ti vosotros".split()
 
 _U = np.uint64
@@ -52,8 +57,8 @@ _PUNCT = np.zeros(256, bool)
 _PUNCT[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
 _PREFIXES = (4, 5, 6)
 NAMES = [
-    "insults", "learned", "learned_prefix", "learned_weight", "near_you", "you", "capitals", "shouted", "punctuation",
-    "exclaims", "symbols", "obfuscated", "repeated", "word_length", "any_insult", "any_learned",
+    "learned", "learned_prefix", "learned_weight", "near_you", "you", "capitals", "shouted", "punctuation", "exclaims",
+    "symbols", "obfuscated", "repeated", "word_length", "any_learned",
 ]
 
 
@@ -62,12 +67,14 @@ def _word_hashes(listed: list[str]) -> np.ndarray:
 
 
 def _core(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word spans without leading and trailing signs (at most six each)."""
-    a, b = start.copy(), end.copy()
-    for _ in range(6):
-        a = np.where((a < b) & _PUNCT[data[np.minimum(a, len(data) - 1)]], a + 1, a)
-        b = np.where((a < b) & _PUNCT[data[b - 1]], b - 1, b)
-    return a, b
+    """Word spans without leading and trailing signs, however many; empty where a word has nothing else."""
+    n = len(data)
+    at = np.arange(n, dtype=np.int64)
+    plain = ~_PUNCT[data]
+    following = np.minimum.accumulate(np.where(plain, at, n)[::-1])[::-1]  # first other byte from here on
+    last = np.maximum.accumulate(np.where(plain, at, -1))  # last other byte up to here
+    a = np.minimum(following[start], end)
+    return a, np.maximum(last[end - 1] + 1, a)
 
 
 def tokens(texts: list[bytes]):
@@ -102,7 +109,7 @@ def features(texts: list[bytes], lexicon: tuple[np.ndarray, np.ndarray]) -> np.n
     n_texts = len(texts)
     per = lambda flag: np.bincount(w.text, weights=flag, minlength=n_texts)
     n = np.maximum(np.diff(w.bounds), 1)
-    insult, you = _in(_INSULT_KEYS, hashed), _in(_YOU_KEYS, hashed)
+    you = _in(_YOU_KEYS, hashed)
     whole = _in(keys, hashed)
     head = np.zeros(len(hashed), bool)
     weight = np.zeros(len(hashed))
@@ -112,7 +119,7 @@ def features(texts: list[bytes], lexicon: tuple[np.ndarray, np.ndarray]) -> np.n
             weight[hit] = np.maximum(weight[hit], weights[np.searchsorted(keys, found[hit])])
         if found is not hashed:
             head |= hit
-    bad = insult | whole | head
+    bad = whole | head
     near = np.zeros(len(bad), bool)
     for gap in range(1, 6):
         same = w.text[gap:] == w.text[:-gap] if len(bad) > gap else np.zeros(0, bool)
@@ -131,14 +138,13 @@ def features(texts: list[bytes], lexicon: tuple[np.ndarray, np.ndarray]) -> np.n
     again = np.zeros(len(raw), bool)
     again[1:] = (raw[1:] == raw[:-1]) & _PUNCT[raw[1:]]
     columns = [
-        per(insult) / n, per(whole) / n, per(head) / n, per(weight) / n, per(bad & near) / n, per(you) / n, rate(upper),
+        per(whole) / n, per(head) / n, per(weight) / n, per(bad & near) / n, per(you) / n, rate(upper),
         per(shouted) / n, rate(_PUNCT[raw]), rate(raw == 0x21), rate(np.isin(raw, list(b"#*$%&|<>@"))),
-        per(obfuscated) / n, rate(again), per(w.end - w.start) / n, np.minimum(per(insult), 4), np.minimum(per(whole | head), 4),
+        per(obfuscated) / n, rate(again), per(w.end - w.start) / n, np.minimum(per(bad), 4),
     ]
     return np.stack(columns, axis=1)
 
 
-_INSULT_KEYS = _word_hashes(INSULTS)
 _YOU_KEYS = _word_hashes(YOU)
 
 
@@ -200,7 +206,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     # At most SAMPLE ids and labels are broadcast.
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    return texts.dropDuplicates(["doc_id"])
+    return texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def _dealt(train: DataFrame) -> DataFrame:
+    """The (at most ``SAMPLE``) training rows with their ``half`` and ``third``, dealt within each label."""
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")) - 1
+    return train.withColumn("third", place % 3).withColumn("half", F.floor(place / 3) % 2)
 
 
 def _with_features(rows: DataFrame, lexicon) -> DataFrame:
@@ -216,32 +228,29 @@ def score_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", with_te
     ``with_text=False`` leaves the text out of the result, so it isn't carried back from Python.
     """
     out = [c for c in docs.columns if c not in ("held_out", "score", "predicted") and (with_text or c != "text")]
-    train = kept(training_rows(docs, labels, label), "toxic-train")
+    train = kept(_dealt(training_rows(docs, labels, label)), "toxic-train")
     rows = docs.select(*[F.col(f"`{c}`") for c in out])
     counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-    if len(counts) < 2:
+    if min(counts.get(0, 0), counts.get(1, 0)) < 2:
         share = float(counts.get(1, 0)) / max(1, sum(counts.values()))
         scored = rows.withColumn("score", F.lit(share))
     else:
-        # The lexicon learns from one half, trees and calibration from the other: entries then
-        # bear the weight they have on rows that they were not learned from.  With fewer than
-        # 100 rows of a label there is too little to halve, and all rows teach trees.
-        half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))
-        lexicon = learn_lexicon(train.filter(half == 0))
-        rest = train.filter(half == 1) if min(counts.values()) >= 100 else train
         scored_text = F.col("text").cast("string").alias("__scored")
-        rest = rest.select("doc_id", "label", scored_text)
-        known = kept(_with_features(rest, lexicon).coalesce(4), "toxic-features")
+        halves = []
+        for half in (0, 1):
+            own = train.filter(F.col("half") == half).select("doc_id", "label", "third", scored_text)
+            halves.append(_with_features(own, learn_lexicon(train.filter(F.col("half") != half))))
+        known = kept(halves[0].unionByName(halves[1]).coalesce(4), "toxic-features")
         known = known.withColumn("label", F.col("label").cast("double"))
-        part = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(3))
+        lexicon = learn_lexicon(train)
         trees = GBTClassifier(
             maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, featuresCol="__features", labelCol="label",
             predictionCol="__prediction",
         )
         trees.setRawPredictionCol("__raw").setProbabilityCol("__probability")
-        model = trees.fit(known.filter(part != 0))
+        model = trees.fit(known.filter("third <> 0"))
         margin = vector_to_array("__raw")[1].alias("__margin")
-        held = model.transform(known.filter(part == 0)).select(margin, "label")
+        held = model.transform(known.filter("third = 0")).select(margin, "label")
         curve = IsotonicRegression(featuresCol="__margin", labelCol="label", predictionCol="__calibrated").fit(held)
         new = _with_features(docs.select(*[F.col(f"`{c}`") for c in out], scored_text), lexicon)
         new = model.transform(new).select(*[F.col(f"`{c}`") for c in out], margin)

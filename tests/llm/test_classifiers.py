@@ -46,3 +46,56 @@ def test_labels_of_the_held_out_fold_teach_nothing(spark, messy, labels):
     first = sorted((r["doc_id"] or 0, r["score"]) for r in quality_knn.score(messy, labels).collect())
     again = sorted((r["doc_id"] or 0, r["score"]) for r in quality_knn.score(messy, flipped).collect())
     assert first == again
+
+
+def _plain_tokens(text):
+    """Words without the ASCII signs around them, in lower case."""
+    import string
+
+    from . import brute
+
+    return [w.strip(string.punctuation).lower() for w in brute.WORD.findall(text)]
+
+
+def test_features_as_counted_one_by_one():
+    import numpy as np
+
+    lexicon = ["nasty", "grim"]
+    keys = np.sort(np.concatenate([toxicity._word_hashes(lexicon)]))
+    texts = [
+        "You are NASTY, so nasty!!!", "", "x" * 5000, "grim" + "!" * 9 + " day", "***grim*** (you)", "n.a.s.t.y words GRIM2 AB ABC",
+        "!!! ??? .", "a\n\tb grim  c d e f g h your",
+    ]
+    got = toxicity.features([t.encode() for t in texts], (keys, np.ones(len(keys))))
+    of = {name: got[:, k] for k, name in enumerate(toxicity.NAMES)}
+    for k, text in enumerate(texts):
+        words = _plain_tokens(text)
+        n = max(1, len(words))
+        bad = [w in lexicon for w in words]
+        you = [w in toxicity.YOU for w in words]
+        near = [b and any(you[max(0, i - 5) : i + 6]) for i, b in enumerate(bad)]
+        assert of["learned"][k] == sum(bad) / n and of["you"][k] == sum(you) / n, text
+        assert of["near_you"][k] == sum(near) / n and of["any_learned"][k] == min(4, sum(bad)), text
+        raw = max(1, len(text.encode()))
+        assert of["capitals"][k] == sum("A" <= c <= "Z" for c in text) / raw
+        assert of["exclaims"][k] == text.count("!") / raw
+
+
+def test_toxic_lexicon_is_cross_fitted_at_every_size(spark, monkeypatch):
+    """A few rows of a label are enough, and no row's features come from entries it taught."""
+    taught = []
+    plain = toxicity.learn_lexicon
+
+    def watched(train):
+        taught.append({r["doc_id"] for r in train.select("doc_id").collect()})
+        return plain(train)
+
+    monkeypatch.setattr(toxicity, "learn_lexicon", watched)
+    rows = [(i, "you vile wretch " * 3 if i % 4 == 0 else f"calm words of day {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    scored = {r["doc_id"]: r for r in toxicity.score_rows(docs, marks).collect()}
+    first, second, every = taught
+    assert not first & second and first | second == every and min(len(first), len(second)) > 10
+    held = [r for r in scored.values() if r["held_out"]]
+    assert held and all(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in held)
