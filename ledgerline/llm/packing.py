@@ -17,7 +17,9 @@ Token ids are the tokenizer's own, found the quick way: white space never lies i
 vocabulary, so ids are made per blank-separated part and remembered in a bounded table.
 
 Defined cases.  A null or empty text is a document of the end token alone.  Repeated rows and rows
-without doc_id are documents like others.  Extra columns are not looked at.
+without doc_id are documents like others.  Very long texts are encoded whole.  Of examples with equal
+products the first of the longest comes first.  An empty table gives no rows.  Extra columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -131,13 +133,13 @@ class Pool:
     def add(self, docs: np.ndarray, lengths: np.ndarray, loss_from: np.ndarray) -> list[list[tuple[int, int, int]]]:
         """Adds whole documents; the full sequences cut from the long ones come back at once."""
         limit, full = self.limits, []
-        most = min(limit.tokens, limit.loss)
         start = np.zeros(len(docs), np.int64)
-        for k in np.flatnonzero(lengths > most):
-            n = int(lengths[k])
-            while n - start[k] > most:
-                full.append([(int(docs[k]), int(start[k]), most)])
-                start[k] += most
+        for k in np.flatnonzero((lengths > limit.tokens) | (lengths - loss_from > limit.loss)):
+            n, at, bearing = int(lengths[k]), 0, int(loss_from[k])
+            while (end := min(at + limit.tokens, max(at, bearing) + limit.loss)) < n:
+                full.append([(int(docs[k]), at, end - at)])
+                at = end
+            start[k] = at
         self.doc = np.concatenate([self.doc, docs])
         self.start = np.concatenate([self.start, start])
         self.length = np.concatenate([self.length, lengths - start])
@@ -219,8 +221,9 @@ def _packer(path: str, limits: Limits, with_ids: bool):
             lengths = np.array([f[1] for f in fresh], np.int64)
             found = pool.add(docs, lengths, np.array([f[2] for f in fresh], np.int64))
             found += list(pool.sequences(last))
-            if last and limits.cut and found and sum(p[2] for p in found[-1]) < limits.tokens:
-                found[-1:] = powers_of_two(found[-1])
+            if limits.cut:
+                short = [sum(p[2] for p in own) < limits.tokens for own in found]
+                found = [p for own, less in zip(found, short) for p in (powers_of_two(own) if less else [own])]
             out = list(rows(found, number, keys, ids))
             number += len(found)
             left = set(pool.doc.tolist())

@@ -74,6 +74,47 @@ def test_instruction_data_stays_whole(spark):
         assert sum(r["length"] - prompts[r["doc_id"]] for r in own) <= 60
 
 
+def test_prompts_longer_than_the_loss_limit_stay_whole(spark, tokenizer):
+    """Only what bears a loss counts for that limit; what exceeds one is cut where it is reached."""
+    count = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
+    rows = [(0, "a " * 9, "please say " * 45), (1, "a " * 99, "please say " * 10), (2, "a " * 9, "please say " * 100), (3, "a " * 200, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ask string").coalesce(1)
+    limits = p.Limits(tokens=128, segments=5, loss=60, cut=False)
+    packed = p.pack(df, p.vocabulary(), limits, prompt="ask").collect()
+    sizes = {i: (count(ask or ""), count(ask or "") + count(text) + 1) for i, text, ask in rows}
+    want = {}
+    for i, (prompt, n) in sizes.items():
+        at, want[i] = 0, []
+        while at < n:
+            end = at
+            while end < n and end - at < 128 and max(0, end + 1 - max(at, prompt)) <= 60:
+                end += 1
+            want[i].append((at, end - at))
+            at = end
+    got = {i: sorted((r["start"], r["length"]) for r in packed if r["doc_id"] == i) for i in sizes}
+    assert got == want and len(want[0]) == 1 and len(want[1]) == 2 and len(want[2]) == 2
+    for own in _sequences(packed).values():
+        assert sum(r["length"] for r in own) <= 128
+        loss = [max(0, r["start"] + r["length"] - max(r["start"], sizes[r["doc_id"]][0])) for r in own]
+        assert sum(loss) <= 60
+
+
+def test_short_documents_leave_no_padding(spark):
+    """Sequences that have all their segments long before they are full."""
+    rows = [(i, "a " * (i % 5)) for i in range(20_000)]
+    packed = p.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), p.vocabulary(), with_ids=False).collect()
+    total = 0
+    for own in _sequences(packed).values():
+        n = sum(r["length"] for r in own)
+        assert n & (n - 1) == 0 and len(own) <= p.MAX_SEGMENTS
+        at = 0
+        for r in own:
+            assert r["offset"] == at
+            at += r["length"]
+        total += n
+    assert total == sum(i % 5 + 1 for i in range(20_000))
+
+
 def test_messy(spark, messy):
     rows = p.pack(messy, p.vocabulary()).collect()
     assert {r["doc_id"] for r in rows} == {1, 2, 3, 4, 5, 6, 7, 8, None}
