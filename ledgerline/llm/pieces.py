@@ -7,27 +7,33 @@ alignment to the original byte span it stands for.  Characters outside the vocab
 byte pieces.  Decoding is the library's decode(ids).
 
 A model whose map is empty (as that of the registered query) replaces nothing, and the same
-alignment is then plain arithmetic.  Pieces never continue over the start of a run of spaces, nor
-mix letters with other signs (the loader checks the vocabulary), so merging runs per part of that
-kind; parts seen before are remembered in a bounded table.
+alignment is then plain arithmetic: prefix sums of the characters' bytes.  Pieces never continue over
+the start of a run of spaces, nor mix letters with other signs (the loader checks the vocabulary), so
+merging runs per part of that kind; of parts seen before, the pieces (id, first and last character)
+are remembered in a bounded table.  The registered query takes its digests from the aligned pieces:
+their ids, the text that those ids decode to, and their byte spans.
 
 Defined cases.  Null and empty texts have no ids and decode to the empty text.  Repeated rows and
 null ids pass through; extra columns are not looked at.  A part of any length is merged with a
-heap, so one very long word costs n log n.
+heap, so one very long word costs n log n.  Very long texts are encoded whole.  An empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .kernel import slices
 from .tables import table
 
 SPACE = "▁"
@@ -35,6 +41,8 @@ REMEMBERED = 120_000
 #: Longer parts are merged with a heap, and longer ones still are not remembered.
 SHORT_PART = 24
 LONGEST_REMEMBERED = 64
+#: Bytes of a row (id, first, end) of an entry.
+_ROW = 12
 
 
 class CharacterMap:
@@ -204,11 +212,17 @@ class PieceModel:
         if not any(a != self.space and bool(letter.match(a)) != bool(letter.match(b)) for a, b in pairs):
             self.parts = re.compile(rf"{s}*[^\W\d_]+|{s}*(?:[\W\d_](?<!{s}))+|{s}+")
         self.joins = Joins(self.scores)
-        # By a piece's code: its id with a comma before it, and its text.
-        self.id_text = [f",{self.ids[p]}" for p in self.scores]
-        self.piece_text = [p.replace(SPACE, " ") for p in self.scores]
-        self.young: dict[str, tuple[int, str, str]] = {}
-        self.old: dict[str, tuple[int, str, str]] = {}
+        # By a piece's code: its id and its characters; by an id: its decimal text, and what it decodes to.
+        self.id_of = np.array([self.ids[p] for p in self.scores], np.int32)
+        self.width_of = np.array([len(p) for p in self.scores], np.int32)
+        self.decimal = [str(i) for i in range(len(self.names))]
+        self.shown = [
+            bytes([int(n[3:5], 16)]) if k == 6 else n.replace(SPACE, " ").encode() for n, k in zip(self.names, self.kinds, strict=True)
+        ]
+        self.is_text = np.isin(self.kinds, (1, 6))  # plain pieces and bytes
+        # The pieces of parts: rows of (id, first character, character after the last) in the part.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     # -- normalisation ---------------------------------------------------------------------------
 
@@ -299,16 +313,7 @@ class PieceModel:
     def encode(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first byte, end byte) of every piece, in bytes of the original text.  The byte
         pieces of one character share its span."""
-        normal, source = self.normalise(text)
-        out, at = [], 0
-        parts = self.parts.findall(normal)
-        symbols = self.merge(set(parts))
-        for part in parts:
-            for symbol in symbols[part]:
-                begin, end = source[at], source[at + len(symbol)]
-                out += [(i, begin, end) for i in self.symbol_ids(symbol)]
-                at += len(symbol)
-        return out
+        return list(map(tuple, self.aligned([text])[0].tolist()))
 
     # -- decoding --------------------------------------------------------------------------------
 
@@ -341,72 +346,98 @@ class PieceModel:
         flush()
         return "".join(out)
 
-    # -- digests of whole texts ------------------------------------------------------------------
-
-    def _entry(self, symbols: list[str]) -> tuple[int, str, str]:
-        """(number of ids, ids each with a comma before it, decoded text) of a part."""
-        known = self.ids
-        try:
-            ids = [known[s] for s in symbols]
-        except KeyError:
-            ids = [i for s in symbols for i in self.symbol_ids(s)]
-        return len(ids), "".join([f",{i}" for i in ids]), self.decode(ids, leading=False)
-
-    def _learn(self, parts: set[str]) -> dict[str, tuple[int, str, str]]:
+    def decode_all(self, ids: np.ndarray) -> str:
+        """``decode`` of the ids of a whole text; where they are pieces and bytes only, their bytes are joined
+        at once (a run of bytes and the pieces around it decode alike apart and together)."""
+        if not len(ids):
+            return ""
+        if self.squeeze or not self.is_text[ids].all():
+            return self.decode(ids.tolist())
+        text = b"".join(map(self.shown.__getitem__, ids.tolist())).decode(errors="replace")
+        return text[1:] if self.prefix and self.names[ids[0]].startswith(SPACE) else text
+
+    # -- aligned pieces of many texts --------------------------------------------------------------
+
+    def _entry(self, symbols: list[str]) -> bytes:
+        """The pieces of a part, from its symbols."""
+        rows, at = [], 0
+        for symbol in symbols:
+            rows += [(i, at, at + len(symbol)) for i in self.symbol_ids(symbol)]
+            at += len(symbol)
+        return np.array(rows, np.int32).tobytes()
+
+    def _learn(self, parts: set[str]) -> dict[str, bytes]:
         """Entries of parts that are not among the young ones."""
         old = self.old
         found = {p: old[p] for p in parts if p in old}
-        new = [p for p in parts if p not in found]
-        short = [p for p in new if len(p) <= SHORT_PART]
-        pieces, ids, shown = len(self.scores), self.id_text, self.piece_text
-        for part, codes in zip(short, self.joins.merge(short), strict=True):
-            if max(codes) < pieces:  # whole pieces only, as nearly always
-                found[part] = len(codes), "".join([ids[c] for c in codes]), "".join([shown[c] for c in codes])
-        found |= {p: self._entry(s) for p, s in self.merge([p for p in new if p not in found]).items()}
+        short = [p for p in parts if p not in found and len(p) <= SHORT_PART]
+        merged = [(p, codes) for p, codes in zip(short, self.joins.merge(short), strict=True) if max(codes) < len(self.scores)]
+        if merged:  # whole pieces only, as nearly always: entries of all parts at once
+            counts = np.fromiter((len(c) for _, c in merged), np.int64, len(merged))
+            codes = np.fromiter(itertools.chain.from_iterable(c for _, c in merged), np.int64, int(counts.sum()))
+            cuts = np.concatenate([[0], np.cumsum(counts)])
+            ends = np.cumsum(self.width_of[codes])
+            ends -= np.repeat(np.concatenate([[0], ends[cuts[1:-1] - 1]]), counts)
+            table = np.stack([self.id_of[codes], ends - self.width_of[codes], ends], axis=1).astype(np.int32).tobytes()
+            found |= {p: table[_ROW * x : _ROW * y] for (p, _), x, y in zip(merged, cuts.tolist(), cuts[1:].tolist())}
+        found |= {p: self._entry(s) for p, s in self.merge([p for p in parts if p not in found]).items()}
         if len(self.young) + len(found) > REMEMBERED:
             self.old, self.young = self.young, {}
         if len(found) <= REMEMBERED:
             self.young |= {p: e for p, e in found.items() if len(p) <= LONGEST_REMEMBERED}
         return found
 
-    def _normal(self, text: str) -> str:
-        if self.map is None and not self.squeeze and self.escape and self.prefix:
-            return SPACE + text.replace(" ", SPACE) if text else ""  # nothing is replaced but the spaces
-        return self.normalise(text)[0]
-
-    def round_trips(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """(number of ids, decimal ids joined by commas, decoded text) of whole texts.
+    def _normal(self, text: str) -> tuple[str, np.ndarray]:
+        """``normalise``, with the alignment as an array."""
+        if self.map is not None or self.squeeze or not self.escape or not self.prefix:
+            normal, source = self.normalise(text)
+            return normal, np.array(source, np.int64)
+        if not text:
+            return "", np.zeros(1, np.int64)
+        # Nothing is replaced but the spaces: a character comes from where its bytes begin.
+        code = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        source = np.zeros(len(text) + 2, np.int64)
+        np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), out=source[2:])
+        return SPACE + text.replace(" ", SPACE), source
+
+    def aligned(self, texts: list[str]) -> list[np.ndarray]:
+        """Rows (id, first byte, end byte) of the pieces of whole texts.
 
         Parts that are not remembered are merged together, over about a million characters of text
         at a time.
         """
-        out: list[tuple[int, str, str]] = []
+        out: list[np.ndarray] = []
         group, size = [], 0
         for text in texts:
             group.append(self._normal(text))
             size += len(text)
             if size > 1 << 20:
-                out += self._round_trips(group)
+                out += self._aligned(group)
                 group, size = [], 0
-        return out + self._round_trips(group)
+        return out + self._aligned(group)
 
-    def _round_trips(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        cut = [self.parts.findall(t) for t in texts]
+    def _aligned(self, texts: list[tuple[str, np.ndarray]]) -> list[np.ndarray]:
+        cut = [self.parts.findall(t) for t, _ in texts]
         known = self.young
-        new = {p for parts in cut for p in parts if p not in known}
-        learned = self._learn(new)
+        learned = self._learn({p for parts in cut for p in parts if p not in known})
         out = []
-        for text, parts in zip(texts, cut, strict=True):
-            if not parts:
-                out.append((0, "", ""))
-                continue
-            counts, ids, shown = zip(*[learned[p] if p in learned else known[p] for p in parts], strict=True)
-            decoded = "".join(shown)
-            if (self.prefix or self.squeeze) and text.startswith(SPACE):
-                decoded = decoded.lstrip(" ") if self.squeeze else decoded[1:]
-            out.append((sum(counts), "".join(ids)[1:], decoded))
+        for (_, source), parts in zip(texts, cut, strict=True):
+            entries = [learned.get(p) or known[p] for p in parts]
+            rows = np.frombuffer(b"".join(entries), np.int32).reshape(-1, 3).astype(np.int64)
+            width = np.array(list(map(len, parts)), np.int64)
+            pieces = np.array(list(map(len, entries)), np.int64) // _ROW
+            rows[:, 1:] += np.repeat(np.cumsum(width) - width, pieces)[:, None]
+            rows[:, 1:] = source[rows[:, 1:]]
+            out.append(rows)
         return out
 
+    def round_trips(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """(number of ids, decimal ids joined by commas, decoded text) of whole texts."""
+        return [self._round_trip(rows[:, 0]) for rows in self.aligned(texts)]
+
+    def _round_trip(self, ids: np.ndarray) -> tuple[int, str, str]:
+        return len(ids), ",".join(map(self.decimal.__getitem__, ids.tolist())), self.decode_all(ids)
+
 
 _LOADED: dict[str, PieceModel] = {}
 
@@ -418,32 +449,40 @@ def model_of(path: str) -> PieceModel:
     return _LOADED[path]
 
 
+_DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_crc32 bigint"
+
+
 def _digests(path: str):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
     def run(batches):
-        for batch in batches:
-            model = model_of(path)
-            rows = model.round_trips([t or "" for t in batch.column("text").to_pylist()])
+        model = model_of(path)
+        for batch in slices(batches, 512):
+            found = model.aligned([t or "" for t in batch.column("text").to_pylist()])
+            rows = [model._round_trip(pieces[:, 0]) for pieces in found]
+            spans = [zlib.crc32(pieces[:, 1:].astype("<u4").tobytes()) for pieces in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([sha(r[1]) for r in rows], pa.string()), pa.array([sha(r[2]) for r in rows], pa.string()),
+                    pa.array(spans, pa.int64()),
                 ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"],
             )
 
     return run
 
 
 def _spans(path: str):
-    kind = pa.list_(pa.struct([("id", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())]))
-
     def run(batches):
-        for batch in batches:
-            model = model_of(path)
-            rows = [[dict(zip(("id", "begin", "end"), p, strict=True)) for p in model.encode(t or "")] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind)], names=["doc_id", "pieces"])
+        model = model_of(path)
+        for batch in slices(batches, 512):
+            found = model.aligned([t or "" for t in batch.column("text").to_pylist()])
+            bounds = np.cumsum([0, *map(len, found)])
+            flat = np.concatenate(found).astype(np.int32) if found else np.zeros((0, 3), np.int32)
+            pieces = pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(3)], names=["id", "begin", "end"])
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pieces)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "pieces"])
 
     return run
 
@@ -455,9 +494,10 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, encoded and decoded."""
+    """Of every row: its pieces' number, the hash of their ids and of what these decode to, and the
+    crc32 of their byte spans (begin, end; little-endian unsigned 32-bit)."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(_digests(model), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(_digests(model), _DIGEST)
 
 
 def vocabulary() -> str:

@@ -1,6 +1,8 @@
 import hashlib
 import random
+import zlib
 
+import numpy as np
 import sentencepiece
 
 from ledgerline.llm import pieces as p
@@ -55,11 +57,33 @@ def test_messy(spark, messy):
     want = []
     for r in messy.collect():
         ids = library.encode(r["text"] or "")
-        want.append((r["doc_id"], len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids))))
+        spans = np.array([s[1:] for s in p.model_of(p.vocabulary()).encode(r["text"] or "")], "<u4")
+        want.append((r["doc_id"], len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)), zlib.crc32(spans.tobytes())))
     assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
     spans = {r["doc_id"]: r["pieces"] for r in p.encode(messy.filter("doc_id = 8"), p.vocabulary()).collect()}[8]
     assert spans[0]["begin"] == 0 and spans[-1]["end"] == len(messy.filter("doc_id = 8").first()["text"].encode())
 
 
+def test_pieces_of_a_mapped_text_reach_the_source():
+    """A model with a character map: the spans of plain pieces cut the source where the map took from it."""
+    library = sentencepiece.SentencePieceProcessor(model_file=p.vocabulary())
+    model = p.PieceModel(library.serialized_model_proto())
+    model.map = p.PieceModel(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()).map
+    for text in ("x ﬁ Ⅷ ｱ", "①②", "plain words", "", "é ﬁﬁ"):
+        normal, source = model.normalise(text)
+        found = model.encode(text)
+        assert [f[0] for f in found] == (library.encode(normal[1:].replace(p.SPACE, " ")) if normal else [])
+        assert all(b <= e for _, b, e in found) and [f[1] for f in found] == sorted(f[1] for f in found)
+        assert not found or (found[0][1] == 0 and found[-1][2] == len(text.encode()))
+
+
+def test_remembered_parts_give_the_same_pieces():
+    model = p.PieceModel(sentencepiece.SentencePieceProcessor(model_file=p.vocabulary()).serialized_model_proto())
+    texts = _texts()
+    first, again = model.aligned(texts), model.aligned(texts[::-1])[::-1]
+    one = [model.aligned([t])[0] for t in texts]
+    assert all((a == b).all() and (a == c).all() for a, b, c in zip(first, again, one, strict=True))
+
+
 def test_empty(spark, messy):
     assert p.digests(messy.limit(0), p.vocabulary()).count() == 0
