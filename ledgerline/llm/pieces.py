@@ -419,10 +419,10 @@ class PieceModel:
     def _aligned(self, texts: list[tuple[str, np.ndarray]]) -> list[np.ndarray]:
         cut = [self.parts.findall(t) for t, _ in texts]
         known = self.young
-        learned = self._learn({p for parts in cut for p in parts if p not in known})
+        known = known | self._learn(set().union(*cut).difference(known))
         out = []
         for (_, source), parts in zip(texts, cut, strict=True):
-            entries = [learned.get(p) or known[p] for p in parts]
+            entries = list(map(known.__getitem__, parts))
             rows = np.frombuffer(b"".join(entries), np.int32).reshape(-1, 3).astype(np.int64)
             width = np.array(list(map(len, parts)), np.int64)
             pieces = np.array(list(map(len, entries)), np.int64) // _ROW
