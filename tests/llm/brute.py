@@ -43,6 +43,9 @@ def sentences(text):
     for k, (s, e) in enumerate(words):
         word = text[s:e]
         stop = word[-1] in ".!?" or (word[-1] in "\"')]" and len(word) > 1 and word[-2] in ".!?")
+        if k + 1 < len(words):  # a capital after a word in lower case, by first characters up to U+00FF
+            after = text[words[k + 1][0]]
+            stop = stop or ((("a" <= word[0] <= "z") or "\xdf" <= word[0] <= "\xff") and (("A" <= after <= "Z") or "\xc0" <= after <= "\xde"))
         if k + 1 == len(words) or stop or "\n" in text[e : words[k + 1][0]]:
             end = len(text) if k + 1 == len(words) else words[k + 1][0]
             out.append((words[first][0], end, tuple(text[a:b].translate(LOWER) for a, b in words[first : k + 1])))
@@ -50,12 +53,11 @@ def sentences(text):
     return out
 
 
-def passage_runs(sents, least=2, words=25, long=40):
+def passage_runs(sents, least=2, words=25, long=15):
     runs = set()
     for i in range(len(sents)):
         if len(sents[i][2]) >= long:
             runs.add((i, i))
-            continue
         n = 0
         for j in range(i, len(sents)):
             n += len(sents[j][2])

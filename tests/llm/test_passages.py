@@ -38,18 +38,43 @@ def test_passages_stay_once(spark):
 
 
 def test_passages_set_in_mid_sentence(spark):
+    """A capital after a word in lower case begins a sentence, so a passage set into one goes whole."""
     rnd = random.Random(3)
     word = lambda: "".join(rnd.choices("abcdefgh", k=6))
     some = lambda n: " ".join(word() for _ in range(n))
     passage = " ".join(some(18).capitalize() + "." for _ in range(3))
     tail = f"{some(20)}. {some(16).capitalize()}. {some(20).capitalize()}"  # begins and ends within sentences
     one = some(16).capitalize() + "."
-    docs = [(k, f"{some(9)} {p} {some(9)} end.") for k, p in enumerate([passage, passage, tail, tail, one, one])]
-    got = {r["doc_id"]: r for r in s.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), within=True).collect()}
-    for k, words in ((1, 54), (5, 16)):
-        assert got[k - 1]["text"] == docs[k - 1][1] and len(got[k]["text"].split()) == 19 and got[k]["n_removed_words"] == words
-    left = got[3]["text"].split()  # the words of the host and those further than a span from an end of a sentence
-    assert len(left) == 19 + 10 and left[:14] == docs[3][1].split()[:14] and left[14:] == docs[3][1].split()[-15:]
+    short = " ".join(some(13).capitalize() + "." for _ in range(2))  # two sentences, neither long by itself
+    few = some(14).capitalize() + "."  # neither a run nor long
+    docs = [(k, f"{some(9)} {p} {some(9)} end.") for k, p in enumerate([passage, passage, tail, tail, one, one, short, short, few, few])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in s.remove_repeats(df).collect()}
+    for k, words, sentences in ((1, 54, 3), (5, 16, 1), (7, 26, 2)):
+        assert got[k - 1]["text"] == docs[k - 1][1] and len(got[k]["text"].split()) == 19
+        assert (got[k]["n_removed_words"], got[k]["n_removed_sentences"]) == (words, sentences)
+    # Only the sentence between: the pieces at the ends belong to the hosts' sentences.
+    assert got[3]["n_removed_words"] == 16 and got[3]["n_removed_sentences"] == 1
+    assert got[9]["text"] == docs[9][1]
+    assert {i: r["text"] for i, r in got.items()} == brute.without_passages(docs)
+
+
+def test_shared_sentences_and_no_shared_words_around(spark):
+    """What goes is whole sentences: words shared by different sentences stay."""
+    rnd = random.Random(12)
+    some = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n))
+    both, head = f"{some(13).capitalize()}. {some(13).capitalize()}.", some(15).capitalize()
+    docs = [(k, f"{some(5).capitalize()}. {both} {some(4).capitalize()}.") for k in range(2)]
+    docs += [(k, f"{some(5).capitalize()}. {head} {some(6)}.") for k in (2, 3)]
+    got = {r["doc_id"]: r for r in s.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[1]["n_removed_sentences"] == 2 and got[3]["text"] == docs[3][1]
+
+
+def test_registered_query_is_the_brute_force(spark):
+    """The registered path over a whole given table."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = {r["doc_id"]: r["text"] for r in s.query(spark, "/root/testdata/sf0.001").collect()}
+    assert got == brute.without_passages(docs)
 
 
 def test_messy(spark, messy):
