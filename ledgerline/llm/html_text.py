@@ -5,13 +5,16 @@ headers and footers, sidebars, notices, adverts, forms, comments; by element, ro
 or id) are out, unless they turn out to hold the article or most of the text.  First pass: length, link density and stop-word density make every other block good,
 bad, short or nearly good.  Second pass: short and nearly good blocks take the label of the
 nearest decided blocks on either side.  The page's marked article is a prior: what density does
-not find good in it is nearly good unless mostly links, and the article's ends count as good
-neighbours (headings, short paragraphs and prose without stop words belong to it).  Outside it the
-good blocks stand, and undecided ones need good ones on both sides.
+not find good in it is nearly good unless it is a list of links, and the article's ends count as good
+neighbours (headings, short paragraphs and prose without stop words belong to it).  A list of links is
+items, or two or more blocks in a row, that are nothing but links; a sentence with a long link or a
+linked table cell is text.  Outside the article the good blocks stand, and undecided ones need good ones on
+both sides.
 
 Defined cases.  A null or empty html, and a page without a good block, give an empty text.  Markup
-that ends within a tag, a comment or a script loses that rest only.  Repeated rows, null ids and
-null urls pass through; extra columns are not looked at.
+that ends within a tag, a comment or a script loses that rest only.  Very long pages are read whole.
+Repeated rows, null ids and null urls pass through; an empty table gives no rows; extra columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -23,16 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .kernel import slices
 from .tables import table
 
 SHORT_CHARS = 70
 LONG_CHARS = 200
 MAX_LINKS = 0.2
-MAX_ARTICLE_LINKS = 0.5
+#: Share of a block's characters in links from which on it is nothing but links.
+ALL_LINKS = 0.99
 LOW_STOPS = 0.30
 HIGH_STOPS = 0.32
-#: How many blocks of nearly good or short text a neighbour may be away from.
-HEADING_DISTANCE = 200
 
 # Frequent function words of the corpus languages.
 STOP_WORDS = frozenset(
@@ -118,15 +121,16 @@ def _part(name: str, rest: str, in_main: bool) -> str:
     return "main" if name in _MAIN or role == "main" else ""
 
 
-Block = tuple[str, float, bool, int]
+Block = tuple[str, float, bool, int, bool]
 
 
 class _Page:
     """A page's blocks in pieces of text, each with the innermost open element that is out."""
 
     def __init__(self, page: str):
-        #: (pieces, in a heading, number of the marked article or 0); a piece is (text, in a link, element that is out or 0).
-        self.raw: list[tuple[list[tuple[str, bool, int]], bool, int]] = []
+        #: (pieces, in a heading, number of the marked article or 0, in a list's item); a piece is (text, in a link,
+        #: element that is out or 0).
+        self.raw: list[tuple[list[tuple[str, bool, int]], bool, int, bool]] = []
         #: By an out element's number: the one around it, and whether it is foreign or in the marked article.
         self.around, self.strict = [0], [False]
         self._read(page)
@@ -134,20 +138,21 @@ class _Page:
     def _read(self, page: str) -> None:
         pieces: list[tuple[str, bool, int]] = []
         stack: list[tuple[str, str]] = []
-        never = main = links = inside = article = 0
+        never = main = links = items = inside = article = 0
         heading = False
 
         def close_block():
             nonlocal pieces
             if pieces:
-                self.raw.append((pieces, heading, article if main else 0))
+                self.raw.append((pieces, heading, article if main else 0, items > 0))
                 pieces = []
 
         def leave(name: str, part: str) -> None:
-            nonlocal never, main, links, inside
+            nonlocal never, main, links, items, inside
             never -= part == "never"
             main -= part == "main"
             links -= name == "a"
+            items -= name == "li"
             if part in ("out", "foreign"):
                 inside = self.around[inside]
 
@@ -184,6 +189,7 @@ class _Page:
                     stack.append((name, part))
                     never += part == "never"
                     links += name == "a"
+                    items += name == "li"
                     if part in ("out", "foreign"):
                         self.around.append(inside)
                         self.strict.append(part == "foreign" or main > 0)
@@ -196,10 +202,10 @@ class _Page:
             pieces.append((page[at:], links > 0, inside))
         close_block()
 
-    def _block(self, pieces: list[tuple[str, bool, int]], heading: bool, article: int) -> Block | None:
+    def _block(self, pieces: list[tuple[str, bool, int]], heading: bool, article: int, item: bool) -> Block | None:
         joined = " ".join(entities.unescape("".join([p[0] for p in pieces])).split())
         linked = sum(len(p[0]) for p in pieces if p[1])
-        return (joined, min(1.0, linked / len(joined)), heading, article) if joined else None
+        return (joined, min(1.0, linked / len(joined)), heading, article, item) if joined else None
 
     def _released(self) -> list[bool]:
         """Which out elements are read after all: those that hold the marked article, or most of the
@@ -210,13 +216,14 @@ class _Page:
         if n == 1:
             return seen
         text, marked = [0] * n, [0] * n
-        for pieces, heading, mark in self.raw:
+        for pieces, heading, mark, item in self.raw:
             by: dict[int, list[tuple[str, bool, int]]] = {}
             for piece in pieces:
                 by.setdefault(piece[2], []).append(piece)
             for k, own in by.items():
-                block = self._block(own, heading, mark)
-                if block and first_pass(block[0], block[1], mark > 0) in ("good", "near"):
+                block = self._block(own, heading, mark, item)
+                label = first_pass(block[0], block[1]) if block else "bad"
+                if label in ("good", "near") or (block and mark and block[1] < ALL_LINKS):
                     text[k] += len(block[0])
                     marked[k] += len(block[0]) if mark else 0
         shown, shown_marked = text[0], marked[0]
@@ -235,23 +242,19 @@ class _Page:
 
     def blocks(self) -> list[Block]:
         seen = self._released()
-        found = [self._block([p for p in pieces if seen[p[2]]], heading, mark) for pieces, heading, mark in self.raw]
+        found = [self._block([p for p in pieces if seen[p[2]]], *rest) for pieces, *rest in self.raw]
         return [b for b in found if b]
 
 
 def blocks(page: str) -> list[Block]:
-    """(text, share of it in links, in a heading, number of the marked article or 0) of every block
-    that is not in an element that is out."""
+    """(text, share of it in links, in a heading, number of the marked article or 0, in a list's item) of
+    every block that is not in an element that is out."""
     return _Page(page).blocks()
 
 
-def first_pass(text: str, links: float, article: bool) -> str:
-    if article:
-        # Density decides what is good; the mark makes nearly good of all the rest but lists of links.
-        if links > MAX_ARTICLE_LINKS:
-            return "bad"
-        return "good" if first_pass(text, links, False) == "good" else "near"
-    if links > MAX_LINKS or "©" in text:
+def first_pass(text: str, links: float) -> str:
+    """Label of a block by its length and the densities of links and stop words."""
+    if links > MAX_LINKS:
         return "bad"
     if len(text) < SHORT_CHARS:
         return "bad" if links else "short"
@@ -262,6 +265,13 @@ def first_pass(text: str, links: float, article: bool) -> str:
     return "near" if stops >= LOW_STOPS else "bad"
 
 
+def link_lists(found: list[Block]) -> list[bool]:
+    """Whether each block is in a list of links: it is nothing but links, and so is a neighbour, or it is
+    a list's item."""
+    full = [False, *(b[1] >= ALL_LINKS for b in found), False]
+    return [full[k + 1] and (b[4] or full[k] or full[k + 2]) for k, b in enumerate(found)]
+
+
 def _last_decided(labels: list[str], marks: list[int]) -> list[str]:
     """The label of the nearest good or bad block before each block.  Within a marked article only
     its own blocks count, and it begins as good; the page begins as bad."""
@@ -299,19 +309,21 @@ def _labels(found: list[Block]) -> tuple[list[str], list[int]]:
     """Labels of the first pass, and the marked articles that count as such: one without a good
     block (a card, a short comment) does not where the good text outside of all is longer than
     the text in them."""
-    plain = [first_pass(text, links, False) for text, links, _, _ in found]
+    plain = [first_pass(b[0], b[1]) for b in found]
     if not any(b[3] for b in found):
         return plain, [0] * len(found)
+    listed = link_lists(found)
     good = {b[3] for b, label in zip(found, plain, strict=True) if label == "good"}
     outside = sum(len(b[0]) for b, label in zip(found, plain, strict=True) if not b[3] and label == "good")
-    inside = sum(len(b[0]) for b in found if b[3] and b[1] <= MAX_ARTICLE_LINKS)
+    inside = sum(len(b[0]) for b, in_list in zip(found, listed, strict=True) if b[3] and not in_list)
     marks = [b[3] if b[3] in good or inside >= outside else 0 for b in found]
     if not any(marks):
         return plain, marks
     labels = []
-    for b, label, mark in zip(found, plain, marks, strict=True):
+    for label, mark, in_list in zip(plain, marks, listed, strict=True):
         if mark and label != "good":
-            label = "bad" if b[1] > MAX_ARTICLE_LINKS else "near"
+            # Density decides what is good; the mark makes nearly good of the rest but lists of links.
+            label = "bad" if in_list else "near"
         elif not mark and label == "near":
             label = "short"  # outside the article only what density decides well stands
         labels.append(label)
@@ -326,7 +338,7 @@ def main_text(page: str) -> str:
 
 
 def _extract(batches):
-    for batch in batches:
+    for batch in slices(batches):
         texts = [main_text(h) if h else "" for h in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]

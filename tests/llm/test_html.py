@@ -99,3 +99,73 @@ def test_messy(spark):
     assert (by[1]["text"], by[1]["n_chars"]) == ("", 0) and by[2]["text"] == "" and by[None]["text"] == "x"
     assert by[4]["n_chars"] == 30_000 * 4 + 29_999 * 2
     assert h.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_sentences_and_cells_with_links_belong_to_the_article():
+    page = (
+        "<article><p>see <a>this long linked name of a study</a></p><p>one</p><p><a>all of it linked</a></p><p>two</p>"
+        "<table><tr><td><a>cell</a></td><td>12</td></tr><tr><td><a>other</a></td><td>13</td></tr></table>"
+        "<ul><li><a>more</a></li><li><a>and more</a></li><li><a>of these</a></li></ul><p>end</article>"
+    )
+    kept = ["see this long linked name of a study", "one", "all of it linked", "two", "cell", "12", "other", "13", "end"]
+    assert h.main_text(page) == "\n\n".join(kept)
+
+
+def test_a_copyright_sign_alone_drops_no_paragraph():
+    long = PROSE * 5
+    assert h.main_text(f"<body><p>{long}</p><p>{long}© of it all</p></body>") == f"{long.strip()}\n\n{long}© of it all"
+    assert h.main_text(f"<body><p>{long}</p><p>© 2020 the site</p></body>") == long.strip()
+
+
+def _plain(found):
+    """Both passes written out for pages without a marked article: (labels, kept texts)."""
+    labels = []
+    for text, links, *_ in found:
+        words = "".join(c.lower() if c.isalpha() else " " for c in text).split()
+        stops = sum(w in h.STOP_WORDS for w in words) / max(1, len(words))
+        if links > 0.2:
+            labels.append("bad")
+        elif len(text) < 70:
+            labels.append("bad" if links else "short")
+        elif stops >= 0.32:
+            labels.append("good" if len(text) > 200 else "near")
+        else:
+            labels.append("near" if stops >= 0.30 else "bad")
+    kept = [False] * len(found)
+    decided = lambda steps: next((labels[k] for k in steps if labels[k] in ("good", "bad")), "bad")
+    for k in reversed(range(len(found))):
+        left, right = decided(range(k - 1, -1, -1)), decided(range(k + 1, len(found)))
+        if labels[k] in ("good", "bad"):
+            kept[k] = labels[k] == "good"
+        elif found[k][2]:
+            kept[k] = right == "good" and (k + 1 == len(found) or kept[k + 1])
+        elif left == right:
+            kept[k] = left == "good"
+        else:
+            kept[k] = labels[k] == "near"
+    return labels, [b[0] for b, k in zip(found, kept) if k]
+
+
+def test_density_and_neighbours_decide_pages_without_an_article():
+    import random
+
+    rnd = random.Random(5)
+    stop, other = "the of and to in is it was".split(), "granite harbour copper ledger willow anvil meadow".split()
+
+    def text(words, share):
+        return " ".join(rnd.choice(stop) if i < share * words else rnd.choice(other) for i in range(words))
+
+    seen = set()
+    for _ in range(300):
+        blocks = []
+        for _ in range(rnd.randint(1, 12)):
+            words, share, links = rnd.choice([3, 8, 20, 30, 60]), rnd.choice([0.0, 0.2, 0.31, 0.5, 0.8]), rnd.choice([0, 0, 0, 2, 9])
+            tag = rnd.choice(["p", "div", "li", "h2"])
+            linked = f"<a>{text(links, 0.3)}</a>" if links else ""
+            blocks.append(f"<{tag}>{text(words, share)} {linked}</{tag}>")
+        page = f"<body>{''.join(blocks)}</body>"
+        found = h.blocks(page)
+        labels, kept = _plain(found)
+        seen |= {(label, b[0] in kept) for label, b in zip(labels, found)}
+        assert h.main_text(page) == "\n\n".join(kept)
+    assert {("good", True), ("bad", False), ("short", True), ("short", False), ("near", True), ("near", False)} <= seen
