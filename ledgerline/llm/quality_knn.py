@@ -5,16 +5,19 @@ bands of text-level rates such as distinct words or repeated lines), weighted by
 inverse document frequency.  A truncated singular value decomposition of the training rows gives
 the latent space.  The training rows' latent vectors are broadcast (at most ``SAMPLE`` x
 ``DIMENSIONS`` floats), every document's cosine to each of them is computed in blocks, and the
-``NEIGHBOURS`` nearest vote with their similarity as the weight.
+``NEIGHBOURS`` nearest vote with their similarity as the weight.  Where several are equally near and
+only some of them fit, they share the votes that are left.
 
 The training rows are labelled rows outside the held-out fold, at most ``SAMPLE`` of them, those
 with the lowest hash of doc_id; term weights and space are part of the model fitted on them.
 Labels, lang, source and doc_id are no inputs of a score.
 
 Defined cases.  A null or empty text, or one without a known term, gets the training rows' share of
-label 1, as does every text if there are fewer than two training rows (0 without any).  Rows
-without a label, or whose label is null, teach nothing; of a doc_id labelled twice the higher label
-counts.  Extra columns are not looked at.
+label 1, as does every text if there are fewer than two training rows (0 without any).  Very long
+texts are read whole, short ones at most ``ROWS`` at a time (a row of counts each).  Rows without a
+label, or whose label is null, teach nothing; of a doc_id labelled twice the higher label counts, and
+of one with different texts the first in binary order is read.  An empty table gives no rows.  Extra
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import chunks, mix, text_bytes, words
-from .tables import held_out, kept, table
+from .kernel import chunks, mix, slices, text_bytes, words
+from .tables import held_out, kept, table, training_rows
 
 SAMPLE = 4096
 DIMENSIONS = 48
@@ -33,6 +36,8 @@ NEIGHBOURS = 32
 #: Similarities are raised to this power before they vote.
 SHARPNESS = 4
 CUT = 0.3
+#: Texts counted at a time.
+ROWS = 256
 _WORD_TERMS = 2048
 _SHAPE_TERMS = 512
 _BANDS = 16
@@ -132,16 +137,18 @@ def vote(latent: np.ndarray, known: np.ndarray, labels: np.ndarray, share: float
     """Scores of latent vectors by their nearest known ones."""
     similar = np.maximum(unit(latent) @ known.T, 0)
     k = min(NEIGHBOURS, known.shape[0])
-    near = np.argpartition(-similar, k - 1, axis=1)[:, :k]
-    weight = np.take_along_axis(similar, near, 1).astype(np.float64) ** SHARPNESS
+    last = -np.partition(-similar, k - 1, axis=1)[:, k - 1 : k]
+    nearer, tied = similar > last, similar == last
+    left = (k - nearer.sum(axis=1)) / np.maximum(1, tied.sum(axis=1))
+    weight = (nearer + tied * left[:, None]) * similar.astype(np.float64) ** SHARPNESS
     total = weight.sum(axis=1)
-    score = (weight * labels[near]).sum(axis=1) / np.where(total > 0, total, 1)
+    score = (weight @ labels) / np.where(total > 0, total, 1)
     return np.where(total > 0, score, share)
 
 
 def _counted(batches):
     """Non-zero term counts of training rows."""
-    for batch in batches:
+    for batch in slices(batches, ROWS):
         parts = [counts(group) for _, group in chunks(text_bytes(batch.column("text")))]
         x = np.concatenate(parts) if parts else np.zeros((0, TERMS), np.float32)
         yield pa.RecordBatch.from_arrays(
@@ -157,7 +164,7 @@ def _scorer(model):
     idf, axes, known, labels, share = model.value
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             parts = [vote(weigh(counts(group), idf) @ axes, known, labels, share) for _, group in chunks(text_bytes(batch.column("text")), 1 << 19)]
             score = np.clip(np.concatenate(parts), 0.0, 1.0) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
@@ -165,16 +172,6 @@ def _scorer(model):
     return run
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    marked = labels.select(F.col("doc_id").cast("bigint"), F.col(label).cast("bigint").alias("label"))
-    marked = marked.filter("label IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    marked = marked.groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    # At most SAMPLE ids and labels are broadcast.
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    return texts.dropDuplicates(["doc_id"])
-
-
 def fit(train: DataFrame):
     """(idf, axes, known, labels, share), or the share of label 1 alone if there is too little."""
     found = train.mapInArrow(_counted, "doc_id bigint, label bigint, terms binary, counts binary")
@@ -196,7 +193,7 @@ def fit(train: DataFrame):
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    model, share = fit(training_rows(docs, labels, label))
+    model, share = fit(training_rows(docs, labels, label, SAMPLE))
     if model is None:
         scored = rows.select("doc_id", F.lit(share).alias("score"))
     else:

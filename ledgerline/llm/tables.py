@@ -22,3 +22,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels no model may learn from: crc32 of the id as text divisible by 5."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """(doc_id, label, text) of at most ``most`` labelled rows outside the held-out fold: those with the
+    lowest hash of doc_id, with the higher label of a doc_id labelled twice, and of one with different
+    texts the first in binary order."""
+    marked = labels.select(F.col("doc_id").cast("bigint"), F.col(label).cast("bigint").alias("label"))
+    marked = marked.filter("label IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
+    marked = marked.groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    # At most ``most`` ids and labels are broadcast.
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .kernel import BYTE_CODE, chunks, mix, powers, slices, text_bytes, words
-from .tables import held_out, kept, table
+from .tables import held_out, kept, table, training_rows
 
 #: Most labelled rows that the model learns from.
 SAMPLE = 20_000
@@ -198,17 +198,6 @@ def learn_lexicon(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], np.log(np.array([r["lift"] for r in rows], float))[order]
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of at most ``SAMPLE`` labelled rows outside the held-out fold."""
-    marked = labels.select(F.col("doc_id").cast("bigint"), F.col(label).cast("bigint").alias("label"))
-    marked = marked.filter("label IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    marked = marked.groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    # At most SAMPLE ids and labels are broadcast.
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    return texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-
-
 def _dealt(train: DataFrame) -> DataFrame:
     """The (at most ``SAMPLE``) training rows with their ``half`` and ``third``, dealt within each label."""
     place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")) - 1
@@ -228,7 +217,7 @@ def score_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", with_te
     ``with_text=False`` leaves the text out of the result, so it isn't carried back from Python.
     """
     out = [c for c in docs.columns if c not in ("held_out", "score", "predicted") and (with_text or c != "text")]
-    train = kept(_dealt(training_rows(docs, labels, label)), "toxic-train")
+    train = kept(_dealt(training_rows(docs, labels, label, SAMPLE)), "toxic-train")
     rows = docs.select(*[F.col(f"`{c}`") for c in out])
     counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     if min(counts.get(0, 0), counts.get(1, 0)) < 2:

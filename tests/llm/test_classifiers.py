@@ -99,3 +99,32 @@ def test_toxic_lexicon_is_cross_fitted_at_every_size(spark, monkeypatch):
     assert not first & second and first | second == every and min(len(first), len(second)) > 10
     held = [r for r in scored.values() if r["held_out"]]
     assert held and all(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in held)
+
+
+def test_votes_as_counted_one_by_one():
+    """Neighbours, their weights and what ties share, against plain loops."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    known = quality_knn.unit(rng.integers(-2, 3, (90, 6)).astype(np.float64))  # few values: many ties
+    labels = rng.integers(0, 2, 90).astype(float)
+    latent = rng.integers(-2, 3, (40, 6)).astype(np.float64)
+    got = quality_knn.vote(latent, known, labels, 0.25)
+    similar = np.maximum(quality_knn.unit(latent) @ known.T, 0)
+    for row, score in zip(similar, got, strict=True):
+        order = sorted(range(90), key=lambda i: -row[i])
+        last = row[order[quality_knn.NEIGHBOURS - 1]]
+        near, tied = [i for i in order if row[i] > last], [i for i in order if row[i] == last]
+        votes = dict.fromkeys(near, 1.0) | dict.fromkeys(tied, (quality_knn.NEIGHBOURS - len(near)) / len(tied))
+        total = sum(v * row[i] ** quality_knn.SHARPNESS for i, v in votes.items())
+        want = sum(v * row[i] ** quality_knn.SHARPNESS * labels[i] for i, v in votes.items()) / total if total else 0.25
+        assert abs(score - want) < 1e-9
+
+
+def test_quality_of_a_table_as_one_block(spark, messy, labels, monkeypatch):
+    """Counted and voted in slices of two, or all at once: the same scores."""
+    every = sorted((r["doc_id"] or 0, r["score"]) for r in quality_knn.score(messy, labels).collect())
+    monkeypatch.setattr(quality_knn, "ROWS", 2)
+    two = sorted((r["doc_id"] or 0, r["score"]) for r in quality_knn.score(messy, labels).collect())
+    assert [a for a, _ in every] == [a for a, _ in two]
+    assert all(abs(a - b) < 1e-6 for (_, a), (_, b) in zip(every, two, strict=True))
