@@ -272,11 +272,18 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
         return df if root is None else materialize(df, name, f"{root}/{name}")
 
     def keep_fact(df: DataFrame) -> DataFrame:
-        """The fact in a folder a month.  The exchange before the write brings a month's rows together, so
-        folders get few files; adaptive execution splits the months that are large."""
+        """The fact in a folder a month, its rows by order.
+
+        The exchange before the write brings a month's rows together, so folders get few files;
+        adaptive execution splits the months that are large (and with them a very large order, which
+        buckets by order would leave to one task).  The items of an order lie side by side, so the
+        analyses that count orders combine them in the task that reads them, and one row of an order
+        and group is all that is shuffled.
+        """
         if root is None:
             return df
-        return materialize(df.hint("rebalance", F.col(MONTH)), "fct_vendas", f"{root}/fct_vendas", [MONTH])
+        rows = df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "numero_pedido", "sequencia_item")
+        return materialize(rows, "fct_vendas", f"{root}/fct_vendas", [MONTH])
 
     def keep_watched(stage, lazy, raw: str, name: str, extra: dict) -> DataFrame:
         """A staging table, written with its metrics collected by the write."""

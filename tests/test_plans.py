@@ -105,3 +105,15 @@ def test_fact_by_month_keeps_its_columns_and_rows(spark, model):
     stored, made = model["fct_vendas"], fact_sales(model)
     assert stored.columns == made.columns and stored.dtypes == made.dtypes
     assert sorted(map(repr, stored.collect())) == sorted(map(repr, made.collect()))
+
+
+def test_items_of_an_order_are_combined_where_they_are_read(spark, model):
+    """An order's items of a month lie in one file, side by side; so the partial aggregate of
+    (group, order) leaves one row of each for the shuffle."""
+    fact = model["fct_vendas"].select("numero_pedido", "ano_mes", F.input_file_name().alias("f"))
+    assert fact.select("numero_pedido", "f").distinct().count() == fact.select("numero_pedido", "ano_mes").distinct().count()
+    rows = fact.withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect()
+    files = {}
+    for r in rows:
+        files.setdefault(r.f, []).append(r.numero_pedido)
+    assert all(orders == sorted(orders) for orders in files.values())
