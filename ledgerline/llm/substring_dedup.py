@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kernel import Words, chunks, mix, powers, slices, text_bytes, words
-from .tables import kept, table
+from .tables import kept, numbered, table
 
 MIN_SENTENCES = 2
 MIN_WORDS = 25
@@ -169,11 +169,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``n_removed_sentences`` and ``n_removed_words``."""
     counts = ["n_removed_sentences", "n_removed_words"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in [*counts, "__ranges"]])
-    docs = docs.withColumn("text", F.col("text").cast("string"))
+    docs, names = numbered(docs.withColumn("text", F.col("text").cast("string")), ("doc_id", "text"))
     ranges = kept(repeated_ranges(docs), "ranges").withColumnRenamed("doc_id", "__doc_id")
     both = docs.join(ranges, F.col("doc_id") == F.col("__doc_id"), "left").drop("__doc_id")
     schema = docs.withColumns({c: F.lit(0).cast("bigint") for c in counts}).schema
-    return both.mapInArrow(_cut, schema)
+    out = both.mapInArrow(_cut, schema)
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()], *counts)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,13 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def numbered(df: DataFrame, keep: Collection[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns numbered but for those in ``keep``, and the new name of each column: Python
+    functions over batches take no column that has a dot in its name."""
+    names = {c: c if c in keep else f"__c{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels no model may learn from: crc32 of the id as text divisible by 5."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

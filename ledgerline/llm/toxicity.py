@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .kernel import BYTE_CODE, chunks, mix, powers, slices, text_bytes, words
-from .tables import held_out, kept, table, training_rows
+from .tables import held_out, kept, numbered, table, training_rows
 
 #: Most labelled rows that the model learns from.
 SAMPLE = 20_000
@@ -218,7 +218,7 @@ def score_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", with_te
     """
     out = [c for c in docs.columns if c not in ("held_out", "score", "predicted") and (with_text or c != "text")]
     train = kept(_dealt(training_rows(docs, labels, label, SAMPLE)), "toxic-train")
-    rows = docs.select(*[F.col(f"`{c}`") for c in out])
+    rows, names = numbered(docs.select(*[F.col(f"`{c}`") for c in out]), ("doc_id", "text"))
     counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     if min(counts.get(0, 0), counts.get(1, 0)) < 2:
         share = float(counts.get(1, 0)) / max(1, sum(counts.values()))
@@ -241,10 +241,12 @@ def score_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", with_te
         margin = vector_to_array("__raw")[1].alias("__margin")
         held = model.transform(known.filter("third = 0")).select(margin, "label")
         curve = IsotonicRegression(featuresCol="__margin", labelCol="label", predictionCol="__calibrated").fit(held)
-        new = _with_features(docs.select(*[F.col(f"`{c}`") for c in out], scored_text), lexicon)
-        new = model.transform(new).select(*[F.col(f"`{c}`") for c in out], margin)
+        new = rows if with_text else numbered(docs.select(*[F.col(f"`{c}`") for c in out], "text"), ("doc_id", "text"))[0]
+        new = _with_features(new.withColumn("__scored", scored_text).select(*names.values(), "__scored"), lexicon)
+        new = model.transform(new).select(*names.values(), margin)
         calibrated = F.least(F.lit(1.0), F.greatest(F.lit(0.0), "__calibrated"))
         scored = curve.transform(new).withColumn("score", calibrated).drop("__margin", "__calibrated")
+    scored = scored.select(*[F.col(n).alias(c) for c, n in names.items()], "score")
     fold = F.coalesce(held_out(F.col("doc_id").cast("bigint")), F.lit(False))
     return scored.withColumn("held_out", fold).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 

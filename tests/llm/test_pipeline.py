@@ -81,3 +81,11 @@ def test_messy(spark, messy):
     empty = messy.limit(0)
     for name, f in c.STAGES:
         assert f(spark, empty, SF).count() == 0
+
+
+def test_columns_with_dots_and_result_names(spark, messy):
+    docs = messy.withColumnsRenamed({"lang": "a.b", "score": "n_removed_words"}).withColumn("held out", messy.doc_id)
+    for name, f in c.STAGES[:-1]:
+        docs, before = f(spark, docs, SF), docs
+        assert docs.columns == before.columns
+    assert docs.count() <= messy.count()
