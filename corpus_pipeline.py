@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's docs.  All stages but the last return the columns of ``documents``.
+
+Defined cases.  Null, empty or blank texts fail the quality rules, and so do documents of rejected
+hosts; they go.  Rows without doc_id are judged like others, have no label and no copies, and are
+packed.  Repeated rows share one verdict; all rows with the doc_id that stays of a group do stay.  Very
+long texts are read whole by every stage.  An empty table stays one.  Extra columns come back from all
+stages but the last; one that is named like a result of a stage (``kept``, ``score``) holds that result.
 """
 
 from __future__ import annotations
@@ -13,14 +19,19 @@ from ledgerline.llm import minhash, packing, quality_rules, substring_dedup, tox
 from ledgerline.llm.tables import kept, table
 
 
+def _only(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col(f"`{c}`") for c in columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose host does (null texts fail)."""
-    return quality_rules.apply_rules(docs).filter("kept").select(docs.columns)
+    return _only(quality_rules.apply_rules(docs).filter("kept"), docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; the model learns from the labelled ones among them."""
-    return toxicity.score_rows(docs, table(spark, sf_dir, "labels")).filter("predicted = 0").select(docs.columns)
+    scored = toxicity.score_rows(docs, table(spark, sf_dir, "labels"))
+    return _only(scored.filter("predicted = 0"), docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +41,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has; n_chars is counted anew."""
-    out = substring_dedup.remove_repeats(docs).select(docs.columns)
+    out = _only(substring_dedup.remove_repeats(docs), docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 
