@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import itertools
+import operator
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -134,10 +135,11 @@ class Joins:
         hit = self.keys[at] == key
         return np.where(hit, self.rank[at], self.NEVER), self.joined[at]
 
-    def merge(self, parts: list[str]) -> list[list[int]]:
-        """Symbol codes of every part; one join a round in every part that has one left."""
+    def merge(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Symbol codes of the (non-empty) parts; one join a round in every part that has one left.  They come
+        a few thousand parts at a time: the parts' numbers, their codes one after another, and how many
+        each has."""
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        out: list[list[int]] = [[]] * len(parts)
         order = np.argsort(lengths, kind="stable")
         for some in np.array_split(order, max(1, len(order) // 4096)):
             width = int(lengths[some].max(initial=0))
@@ -172,9 +174,7 @@ class Joins:
                     ranks[row, col] = self.find(symbols[row, col], symbols[row, col + 1])[0]
                 ends = np.flatnonzero(best + 1 >= counts[live])
                 ranks[live[ends], best[ends]] = self.NEVER
-            for k, row, n in zip(some.tolist(), symbols.tolist(), counts.tolist(), strict=True):
-                out[k] = row[:n]
-        return out
+            yield some, symbols[steps < counts[:, None]], counts
 
 
 class PieceModel:
@@ -216,10 +216,8 @@ class PieceModel:
         self.id_of = np.array([self.ids[p] for p in self.scores], np.int32)
         self.width_of = np.array([len(p) for p in self.scores], np.int32)
         self.decimal = [str(i) for i in range(len(self.names))]
-        self.shown = [
-            bytes([int(n[3:5], 16)]) if k == 6 else n.replace(SPACE, " ").encode() for n, k in zip(self.names, self.kinds, strict=True)
-        ]
-        self.is_text = np.isin(self.kinds, (1, 6))  # plain pieces and bytes
+        bytes_of = {1: lambda n: n.replace(SPACE, " ").encode(), 6: lambda n: bytes([int(n[3:5], 16)])}
+        self.shown = [bytes_of[k](n) if k in bytes_of else None for n, k in zip(self.names, self.kinds, strict=True)]
         # The pieces of parts: rows of (id, first character, character after the last) in the part.
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -272,9 +270,12 @@ class PieceModel:
         """Each part as symbols: the best-scored neighbouring pair is joined, leftmost first."""
         short = [p for p in parts if len(p) <= SHORT_PART]
         names, n = self.joins.names, len(self.joins.names)
-        out = {}
-        for part, codes in zip(short, self.joins.merge(short), strict=True):
-            out[part] = [names[c] if c < n else chr(c - n) for c in codes]
+        out = {p: [] for p in short}
+        for some, codes, counts in self.joins.merge(short):
+            symbols, at = [names[c] if c < n else chr(c - n) for c in codes.tolist()], 0
+            for k, many in zip(some.tolist(), counts.tolist(), strict=True):
+                out[short[k]] = symbols[at : at + many]
+                at += many
         return out | {p: self._merge_long(p) for p in parts if len(p) > SHORT_PART}
 
     def _merge_long(self, part: str) -> list[str]:
@@ -313,7 +314,8 @@ class PieceModel:
     def encode(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first byte, end byte) of every piece, in bytes of the original text.  The byte
         pieces of one character share its span."""
-        return list(map(tuple, self.aligned([text])[0].tolist()))
+        ids, spans = self.aligned([text])[0]
+        return [(i, a, b) for i, (a, b) in zip(ids.tolist(), spans.tolist(), strict=True)]
 
     # -- decoding --------------------------------------------------------------------------------
 
@@ -346,14 +348,17 @@ class PieceModel:
         flush()
         return "".join(out)
 
-    def decode_all(self, ids: np.ndarray) -> str:
+    def decode_all(self, ids: list[int]) -> str:
         """``decode`` of the ids of a whole text; where they are pieces and bytes only, their bytes are joined
         at once (a run of bytes and the pieces around it decode alike apart and together)."""
-        if not len(ids):
+        if not ids:
             return ""
-        if self.squeeze or not self.is_text[ids].all():
-            return self.decode(ids.tolist())
-        text = b"".join(map(self.shown.__getitem__, ids.tolist())).decode(errors="replace")
+        if self.squeeze:
+            return self.decode(ids)
+        shown = _items(self.shown, ids)
+        if None in shown:
+            return self.decode(ids)
+        text = b"".join(shown).decode(errors="replace")
         return text[1:] if self.prefix and self.names[ids[0]].startswith(SPACE) else text
 
     # -- aligned pieces of many texts --------------------------------------------------------------
@@ -371,15 +376,17 @@ class PieceModel:
         old = self.old
         found = {p: old[p] for p in parts if p in old}
         short = [p for p in parts if p not in found and len(p) <= SHORT_PART]
-        merged = [(p, codes) for p, codes in zip(short, self.joins.merge(short), strict=True) if max(codes) < len(self.scores)]
-        if merged:  # whole pieces only, as nearly always: entries of all parts at once
-            counts = np.fromiter((len(c) for _, c in merged), np.int64, len(merged))
-            codes = np.fromiter(itertools.chain.from_iterable(c for _, c in merged), np.int64, int(counts.sum()))
-            cuts = np.concatenate([[0], np.cumsum(counts)])
+        for some, codes, counts in self.joins.merge(short):
+            # Entries of all parts at once; those with other symbols than pieces are made anew below.
+            cuts = np.cumsum(counts) - counts
+            whole = np.maximum.reduceat(codes, cuts) < len(self.scores)
+            codes = np.where(codes < len(self.scores), codes, 0)
             ends = np.cumsum(self.width_of[codes])
-            ends -= np.repeat(np.concatenate([[0], ends[cuts[1:-1] - 1]]), counts)
+            ends -= np.repeat(ends[cuts] - self.width_of[codes[cuts]], counts)
             table = np.stack([self.id_of[codes], ends - self.width_of[codes], ends], axis=1).astype(np.int32).tobytes()
-            found |= {p: table[_ROW * x : _ROW * y] for (p, _), x, y in zip(merged, cuts.tolist(), cuts[1:].tolist())}
+            for k, x, n, ok in zip(some.tolist(), (_ROW * cuts).tolist(), (_ROW * counts).tolist(), whole.tolist(), strict=True):
+                if ok:
+                    found[short[k]] = table[x : x + n]
         found |= {p: self._entry(s) for p, s in self.merge([p for p in parts if p not in found]).items()}
         if len(self.young) + len(found) > REMEMBERED:
             self.old, self.young = self.young, {}
@@ -397,16 +404,19 @@ class PieceModel:
         # Nothing is replaced but the spaces: a character comes from where its bytes begin.
         code = np.frombuffer(text.encode("utf-32-le"), "<u4")
         source = np.zeros(len(text) + 2, np.int64)
-        np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), out=source[2:])
+        if code.max() < 0x80:
+            source[2:] = np.arange(1, len(text) + 1)
+        else:
+            np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), out=source[2:])
         return SPACE + text.replace(" ", SPACE), source
 
-    def aligned(self, texts: list[str]) -> list[np.ndarray]:
-        """Rows (id, first byte, end byte) of the pieces of whole texts.
+    def aligned(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The pieces of whole texts: their ids, and rows (first byte, end byte).
 
         Parts that are not remembered are merged together, over about a million characters of text
         at a time.
         """
-        out: list[np.ndarray] = []
+        out: list[tuple[np.ndarray, np.ndarray]] = []
         group, size = [], 0
         for text in texts:
             group.append(self._normal(text))
@@ -416,27 +426,31 @@ class PieceModel:
                 group, size = [], 0
         return out + self._aligned(group)
 
-    def _aligned(self, texts: list[tuple[str, np.ndarray]]) -> list[np.ndarray]:
+    def _aligned(self, texts: list[tuple[str, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
         cut = [self.parts.findall(t) for t, _ in texts]
         known = self.young
         known = known | self._learn(set().union(*cut).difference(known))
         out = []
         for (_, source), parts in zip(texts, cut, strict=True):
-            entries = list(map(known.__getitem__, parts))
-            rows = np.frombuffer(b"".join(entries), np.int32).reshape(-1, 3).astype(np.int64)
-            width = np.array(list(map(len, parts)), np.int64)
-            pieces = np.array(list(map(len, entries)), np.int64) // _ROW
-            rows[:, 1:] += np.repeat(np.cumsum(width) - width, pieces)[:, None]
-            rows[:, 1:] = source[rows[:, 1:]]
-            out.append(rows)
+            entries = _items(known, parts)
+            rows = np.frombuffer(b"".join(entries), np.int32).reshape(-1, 3)
+            width = np.array(list(map(len, parts)), np.int32)
+            pieces = np.array(list(map(len, entries)), np.int32) // _ROW
+            first = np.repeat(np.cumsum(width) - width, pieces)
+            out.append((rows[:, 0], source[rows[:, 1:] + first[:, None]]))
         return out
 
     def round_trips(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of ids, decimal ids joined by commas, decoded text) of whole texts."""
-        return [self._round_trip(rows[:, 0]) for rows in self.aligned(texts)]
+        return [self._round_trip(ids.tolist()) for ids, _ in self.aligned(texts)]
+
+    def _round_trip(self, ids: list[int]) -> tuple[int, str, str]:
+        return len(ids), ",".join(_items(self.decimal, ids)), self.decode_all(ids)
+
 
-    def _round_trip(self, ids: np.ndarray) -> tuple[int, str, str]:
-        return len(ids), ",".join(map(self.decimal.__getitem__, ids.tolist())), self.decode_all(ids)
+def _items(found, keys: list) -> tuple:
+    """``found[k]`` of all keys."""
+    return operator.itemgetter(*keys)(found) if len(keys) > 1 else tuple(found[k] for k in keys)
 
 
 _LOADED: dict[str, PieceModel] = {}
@@ -459,8 +473,8 @@ def _digests(path: str):
         model = model_of(path)
         for batch in slices(batches, 512):
             found = model.aligned([t or "" for t in batch.column("text").to_pylist()])
-            rows = [model._round_trip(pieces[:, 0]) for pieces in found]
-            spans = [zlib.crc32(pieces[:, 1:].astype("<u4").tobytes()) for pieces in found]
+            rows = [model._round_trip(ids.tolist()) for ids, _ in found]
+            spans = [zlib.crc32(s.astype("<u4").tobytes()) for _, s in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()),
@@ -478,9 +492,10 @@ def _spans(path: str):
         model = model_of(path)
         for batch in slices(batches, 512):
             found = model.aligned([t or "" for t in batch.column("text").to_pylist()])
-            bounds = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found).astype(np.int32) if found else np.zeros((0, 3), np.int32)
-            pieces = pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(3)], names=["id", "begin", "end"])
+            bounds = np.cumsum([0, *(len(ids) for ids, _ in found)])
+            ids = np.concatenate([i for i, _ in found]).astype(np.int32)
+            spans = np.concatenate([s for _, s in found]).astype(np.int32)
+            pieces = pa.StructArray.from_arrays([pa.array(c) for c in (ids, spans[:, 0], spans[:, 1])], names=["id", "begin", "end"])
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pieces)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "pieces"])
 

@@ -82,7 +82,8 @@ def test_remembered_parts_give_the_same_pieces():
     texts = _texts()
     first, again = model.aligned(texts), model.aligned(texts[::-1])[::-1]
     one = [model.aligned([t])[0] for t in texts]
-    assert all((a == b).all() and (a == c).all() for a, b, c in zip(first, again, one, strict=True))
+    for a, b, c in zip(first, again, one, strict=True):
+        assert all((x == y).all() and (x == z).all() for x, y, z in zip(a, b, c, strict=True))
 
 
 def test_empty(spark, messy):
