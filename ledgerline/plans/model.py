@@ -236,16 +236,15 @@ def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True, reu
     ``build_model_from_raw``.  Two callers that ask for the same model at once build it once; other
     keys are not held up.
     """
-    raw = raw_tables(spark, sf_dir)
     if not reuse:
-        return build_model_from_raw(spark, raw, materialized)
+        return build_model_from_raw(spark, raw_tables(spark, sf_dir), materialized)
     state = files_digest(spark, [table_path(sf_dir, t) for t in TABLES])
     key = (app_id(spark), sf_dir, str(materialized), *_settings(spark), *state)
     with _LOCK:
         own = _KEY_LOCKS.setdefault(key, threading.Lock())
     with own:
         if key not in _CACHE:
-            _CACHE[key] = build_model_from_raw(spark, raw, materialized)
+            _CACHE[key] = build_model_from_raw(spark, raw_tables(spark, sf_dir), materialized)
         return _CACHE[key]
 
 
