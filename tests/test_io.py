@@ -176,3 +176,41 @@ def test_scratch_folder_has_to_be_shared(spark, monkeypatch, master, path, fine)
     else:
         with pytest.raises(RuntimeError, match="shared"):
             session.scratch_root(Session())
+
+
+@pytest.mark.parametrize("shared,taken_up,fine", [(True, True, True), (False, True, False), (True, False, False)])
+def test_scratch_folder_without_a_scheme_is_tried_out_on_a_cluster(spark, tmp_path, shared, taken_up, fine):
+    from ledgerline import session
+    from ledgerline.sources import io
+    from ledgerline.sources.scratch import materialize
+
+    path = str(tmp_path / "kept")
+    values = {"spark.master": "spark://h:7077", "spark.checkpoint.dir": path, "spark.app.id": f"app-{path}".replace("/", "_")}
+
+    class Conf:
+        def get(self, key, default=None):
+            return values.get(key) or default
+
+    class Context:
+        defaultParallelism, _jsc = 4, spark.sparkContext._jsc
+
+        def getCheckpointDir(self):
+            return f"file:{path}/0a1b" if taken_up else None
+
+    class Session:
+        conf, sparkContext, _jvm, _jsc, read = Conf(), Context(), spark._jvm, spark._jsc, spark.read
+
+        def range(self, start, end, step, tasks):
+            # What machines with a disk of their own write is not there afterwards.
+            return spark.range(start, end, step, tasks) if shared else spark.range(start, end, step, tasks).filter("id % 2 = 0")
+
+    if not fine:
+        with pytest.raises(RuntimeError, match="shared"):
+            session.scratch_root(Session())
+        return
+    assert session.scratch_root(Session()) == path and session.scratch_root(Session()) == path
+    assert not list((tmp_path / "kept").rglob("probe-*"))
+    folder = session.new_scratch_dir(Session(), "csv")
+    raw = spark.createDataFrame([("P000001", "x", "A", "UN", "1.00", "2,00", "S")], io.RAW_PRODUCT_COLUMNS)
+    written = io.write_raw_exports({"raw_produtos": materialize(raw, "raw", f"{folder}/raw")}, folder)["raw_produtos"]
+    assert folder.startswith(path) and io.read_raw_products(spark, written).collect() == raw.collect()
