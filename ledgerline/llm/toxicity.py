@@ -31,6 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .kernel import BYTE_CODE, chunks, mix, powers, slices, text_bytes, words
 from .tables import held_out, kept, numbered, table, training_rows
@@ -45,6 +46,8 @@ MIN_ROWS = 3
 #: An entry's share of toxic rows has to be this many times its share of others.
 MIN_LIFT = 8.0
 CUT = 0.5
+#: Bytes of texts that are looked at together; the arrays over them are many times as large.
+TEXT_BYTES = 1 << 18
 # Second-person words of the corpus languages.
 YOU = "you your you're yours u ur tu te toi vous votre vos du dich dir dein deine ihr euch usted tú ti vosotros".split()
 
@@ -152,13 +155,13 @@ _COLUMNS = [f"__{name}" for name in NAMES]
 _KINDS = ", ".join(f"{c} double" for c in _COLUMNS)
 
 
-def _featurise(lexicon):
-    """Adds the feature columns; the column ``__scored`` has the texts and goes."""
+def _featurise(lexicon, scored="__scored"):
+    """Adds the feature columns; the column ``scored`` has the texts, and one named ``__scored`` goes."""
 
     def run(batches):
-        for batch in slices(batches, 512):
+        for batch in slices(batches):
             rest = {name: batch.column(name) for name in batch.schema.names if name != "__scored"}
-            parts = [features(group, lexicon) for _, group in chunks(text_bytes(batch.column("__scored")))]
+            parts = [features(group, lexicon) for _, group in chunks(text_bytes(batch.column(scored)), TEXT_BYTES)]
             x = np.concatenate(parts) if parts else np.zeros((0, len(NAMES)))
             columns = rest | {name: pa.array(x[:, k]) for k, name in enumerate(_COLUMNS)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -168,9 +171,9 @@ def _featurise(lexicon):
 
 def _keys(batches):
     """(key, label) of the distinct words and word beginnings of every training row."""
-    for batch in batches:
+    for batch in slices(batches):
         labels = batch.column("label").to_numpy(zero_copy_only=False)
-        for at, group in chunks(text_bytes(batch.column("text"))):
+        for at, group in chunks(text_bytes(batch.column("text")), TEXT_BYTES):
             w, _, _, hashed, heads = tokens(group)
             out, label = [], []
             for i in range(len(group)):
@@ -204,11 +207,11 @@ def _dealt(train: DataFrame) -> DataFrame:
     return train.withColumn("third", place % 3).withColumn("half", F.floor(place / 3) % 2)
 
 
-def _with_features(rows: DataFrame, lexicon) -> DataFrame:
+def _with_features(rows: DataFrame, lexicon, scored: str = "__scored") -> DataFrame:
     carried = [f for f in rows.schema.fields if f.name != "__scored"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [_KINDS])
     vector = VectorAssembler(inputCols=_COLUMNS, outputCol="__features", handleInvalid="keep")
-    return vector.transform(rows.mapInArrow(_featurise(lexicon), schema)).drop(*_COLUMNS)
+    return vector.transform(rows.mapInArrow(_featurise(lexicon, scored), schema)).drop(*_COLUMNS)
 
 
 def score_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", with_text: bool = True) -> DataFrame:
@@ -242,7 +245,11 @@ def score_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", with_te
         held = model.transform(known.filter("third = 0")).select(margin, "label")
         curve = IsotonicRegression(featuresCol="__margin", labelCol="label", predictionCol="__calibrated").fit(held)
         new = rows if with_text else numbered(docs.select(*[F.col(f"`{c}`") for c in out], "text"), ("doc_id", "text"))[0]
-        new = _with_features(new.withColumn("__scored", scored_text).select(*names.values(), "__scored"), lexicon)
+        # A text that comes back is read where it stands, and goes to Python once.
+        scored = "text" if with_text and new.schema["text"].dataType == T.StringType() else "__scored"
+        if scored == "__scored":
+            new = new.withColumn(scored, scored_text).select(*names.values(), scored)
+        new = _with_features(new, lexicon, scored)
         new = model.transform(new).select(*names.values(), margin)
         calibrated = F.least(F.lit(1.0), F.greatest(F.lit(0.0), "__calibrated"))
         scored = curve.transform(new).withColumn("score", calibrated).drop("__margin", "__calibrated")

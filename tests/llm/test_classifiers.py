@@ -128,3 +128,42 @@ def test_quality_of_a_table_as_one_block(spark, messy, labels, monkeypatch):
     two = sorted((r["doc_id"] or 0, r["score"]) for r in quality_knn.score(messy, labels).collect())
     assert [a for a, _ in every] == [a for a, _ in two]
     assert all(abs(a - b) < 1e-6 for (_, a), (_, b) in zip(every, two, strict=True))
+
+
+def test_toxicity_sends_a_text_once_and_looks_at_few_bytes_together(spark, monkeypatch):
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from ledgerline.llm import kernel
+
+    rng = random.Random(3)
+    listed = ["".join(rng.choices("abcdefghij!", k=rng.randint(1, 9))) for _ in range(900)]
+    texts = [" ".join(rng.choices(listed, k=400)) for _ in range(700)] + [None, "", "x"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "label": pa.array([i % 2 for i in range(len(texts))])})
+    lexicon = (np.sort(kernel.words([" ".join(listed[:40]).encode()]).hash), np.linspace(0, 1, 40))
+    kernel.powers(1)
+    for run in (toxicity._featurise(lexicon, "text"), toxicity._keys):
+        tracemalloc.start()
+        for _ in run([batch]):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60e6, peak
+    out = pa.Table.from_batches(list(toxicity._featurise(lexicon, "text")([batch])))
+    assert out["text"].to_pylist() == texts
+    whole = toxicity.features([(t or "").encode() for t in texts], lexicon)
+    assert np.array_equal(np.stack([out[c].to_numpy() for c in toxicity._COLUMNS], axis=1), whole)
+
+    sent = []
+    plain = toxicity._with_features
+    monkeypatch.setattr(toxicity, "_with_features", lambda rows, *a: sent.append(rows.columns) or plain(rows, *a))
+    docs = spark.createDataFrame([(i, f"word{i % 7} you fool" if i % 2 else f"word{i % 7} and tea", i) for i in range(60)], "doc_id bigint, text string, `n.x` bigint")
+    marked = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic bigint")
+    scored = toxicity.score_rows(docs, marked)
+    assert sent[-1] == ["doc_id", "text", "__c2"] and scored.columns[:3] == docs.columns
+    assert {(r[0], r[1], r[2]) for r in scored.collect()} == {tuple(r) for r in docs.collect()}
+    other = toxicity.score_rows(docs.withColumn("text", docs.text.cast("binary")), marked)
+    assert sorted(map(tuple, other.select("doc_id", "score").collect())) == sorted(map(tuple, scored.select("doc_id", "score").collect()))
