@@ -214,3 +214,43 @@ def test_scratch_folder_without_a_scheme_is_tried_out_on_a_cluster(spark, tmp_pa
     raw = spark.createDataFrame([("P000001", "x", "A", "UN", "1.00", "2,00", "S")], io.RAW_PRODUCT_COLUMNS)
     written = io.write_raw_exports({"raw_produtos": materialize(raw, "raw", f"{folder}/raw")}, folder)["raw_produtos"]
     assert folder.startswith(path) and io.read_raw_products(spark, written).collect() == raw.collect()
+
+
+@pytest.mark.parametrize("spelled", ["{}//kept", "{}/kept/", "{}/./kept", "{}/other/../kept"])
+def test_scratch_folder_may_be_spelled_in_any_way(spark, tmp_path, spelled):
+    from ledgerline import session
+
+    path = spelled.format(tmp_path)
+    values = {"spark.master": "spark://h:7077", "spark.checkpoint.dir": path, "spark.app.id": f"app-{hash(path)}"}
+
+    class Conf:
+        def get(self, key, default=None):
+            return values.get(key) or default
+
+    class Context:
+        defaultParallelism, _jsc = 4, spark.sparkContext._jsc
+
+        def getCheckpointDir(self):
+            return f"file:{tmp_path}/kept/0a1b"
+
+    class Session:
+        conf, sparkContext, _jvm, _jsc, read, range = Conf(), Context(), spark._jvm, spark._jsc, spark.read, spark.range
+
+    assert session.scratch_root(Session()) == path
+
+
+def test_applications_share_no_folder_below_the_shared_one():
+    """A folder that one user's application makes there is closed to the next user's."""
+    from ledgerline import session
+
+    def at(app):
+        class Session:
+            class conf:
+                @staticmethod
+                def get(key, default=None):
+                    return {"spark.master": "local[2]", "spark.checkpoint.dir": "/shared", "spark.app.id": app}.get(key, default)
+
+        return session.new_scratch_dir(Session(), "csv").removeprefix("/shared/").split("/")
+
+    first, second = at("app-1"), at("app-2")
+    assert len(first) == 2 and first[0] != second[0]
