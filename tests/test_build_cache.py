@@ -10,7 +10,7 @@ from ledgerline.sources.scratch import files_digest
 
 def _copy(tmp_path):
     for t in TABLES:
-        shutil.copy(table_path(SF_SMALL, t), tmp_path / f"{t}.parquet")
+        shutil.copyfile(table_path(SF_SMALL, t), tmp_path / f"{t}.parquet")
     return str(tmp_path)
 
 
