@@ -254,3 +254,61 @@ def test_applications_share_no_folder_below_the_shared_one():
 
     first, second = at("app-1"), at("app-2")
     assert len(first) == 2 and first[0] != second[0]
+
+
+@pytest.mark.parametrize("at_start,shared,fine", [("/own/disk", True, True), (None, True, True), ("/own/disk", False, False)])
+def test_scratch_folder_may_be_set_by_the_program(spark, tmp_path, at_start, shared, fine):
+    """``setCheckpointDir`` on a cluster whose default setting is a folder on each machine, or none."""
+    from ledgerline import session
+
+    values = {"spark.master": "spark://h:7077", "spark.checkpoint.dir": at_start, "spark.app.id": f"app-{hash(tmp_path)}"}
+
+    class Conf:
+        def get(self, key, default=None):
+            return values.get(key) or default
+
+    class Context:
+        defaultParallelism, _jsc = 4, spark.sparkContext._jsc
+
+        def getCheckpointDir(self):
+            return f"file:{tmp_path}/kept/0a1b"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext, _jvm, _jsc, read = Conf(), Context(), spark._jvm, spark._jsc, spark.read
+
+        def range(self, start, end, step, tasks):
+            return spark.range(start, end, step, tasks) if shared else spark.range(start, end, step, tasks).filter("id % 2 = 0")
+
+    if not fine:
+        with pytest.raises(RuntimeError, match="shared"):
+            session.scratch_root(Session())
+        return
+    assert session.new_scratch_dir(Session(), "csv").startswith(f"file:{tmp_path}/kept/ledgerline-app-")
+    values["spark.checkpoint.dir"] = str(tmp_path / "kept")
+    assert session.scratch_root(Session()) == str(tmp_path / "kept")
+
+
+def test_scratch_folder_may_be_a_relative_path(spark, monkeypatch):
+    from ledgerline import session
+
+    here = spark._jvm.java.lang.System.getProperty("user.dir")
+    values = {"spark.master": "spark://h:7077", "spark.checkpoint.dir": "mnt/kept", "spark.app.id": "app-1"}
+    monkeypatch.setattr(session, "_SHARED", {("app-1", f"{here}/mnt/kept")})  # tried out already
+
+    class Conf:
+        def get(self, key, default=None):
+            return values.get(key) or default
+
+    class Context:
+        _jsc = spark.sparkContext._jsc
+
+        def getCheckpointDir(self):
+            return f"file:{here}/mnt/kept/0a1b"
+
+    class Session:
+        conf, sparkContext, _jvm, _jsc = Conf(), Context(), spark._jvm, spark._jsc
+
+    assert session.scratch_root(Session()) == f"{here}/mnt/kept"
