@@ -11,7 +11,7 @@ import pytest
 from tests.conftest import ROOT
 
 NAMES = [
-    "csv_sales", "customer_abc", "dim_customer", "dim_product", "dim_date", "dim_seller",
+    "csv_sales", "customer_abc", "dim_customer", "dim_product", "dim_date", "dim_seller", "dimension_counts",
 ]
 
 # Runs NAMES over the folder given and puts out, by name, the sorted rows or the error.
