@@ -12,7 +12,7 @@ from tests.conftest import ROOT
 
 NAMES = [
     "csv_sales", "customer_abc", "dim_customer", "dim_product", "dim_date", "dim_seller", "dimension_counts",
-    "discount_bands",
+    "discount_bands", "export_model",
 ]
 
 # Runs NAMES over the folder given and puts out, by name, the sorted rows or the error.
