@@ -14,7 +14,7 @@ NAMES = [
     "csv_sales", "customer_abc", "dim_customer", "dim_product", "dim_date", "dim_seller", "dimension_counts",
     "discount_bands", "export_model", "export_panel_csv", "export_reports", "export_reports_category",
     "export_reports_customers", "export_reports_discount", "export_reports_freight", "export_reports_panel",
-    "fact_integrity",
+    "fact_integrity", "fact_sales",
 ]
 
 # Runs NAMES over the folder given and puts out, by name, the sorted rows or the error.
