@@ -67,9 +67,9 @@ def _exported_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exported_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel written as CSV and read back as text."""
+    """The panel written as (compressed) CSV and read back as text."""
     panel, path = A.panel(_model(spark, sf_dir)), new_scratch_dir(spark, "panel-csv")
-    io.export_panel_csv(panel, path)
+    io.export_panel_csv(panel, path, "gzip")
     return io.read_raw_csv(spark, path, panel.columns, ",")
 
 

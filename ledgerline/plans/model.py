@@ -14,8 +14,8 @@ from ..operators.joins import fits_broadcast, frequent, hot_keys, join_dealt, me
 from ..operators.ordered import ordered_scan
 from ..session import app_id, new_scratch_dir
 from ..sources.fixture import TABLES, raw_tables, table_path
-from ..sources.scratch import files_digest, materialize, remove_folder
-from .staging import Watched, stage_plain, stage_sales, stg_customers, stg_products, stg_sales
+from ..sources.scratch import files_digest, in_passes, materialize_passes, pass_count, remove_folder
+from .staging import SALES_KEY, Watched, stage_plain, stage_sales, stg_customers, stg_products, stg_sales
 
 # Fixed values of the reference: seller names and commission rates by seller code, and the
 # defaults for any other code.
@@ -198,7 +198,8 @@ class Model(dict):
 
     ``sizes`` holds the measured rows and text bytes of the dimensions; ``metrics`` what was counted
     while the staging tables were written, by raw table (empty for a lazy model); ``memo`` and
-    ``exports`` results that later questions share; ``folder`` is where the build wrote its tables.
+    ``exports`` results that later questions share; ``folder`` is where the build wrote its tables;
+    ``passes`` in how many parts the sales are worked through (see ``pass_count``).
     """
 
     def __init__(self, *args, **kwargs):
@@ -209,6 +210,7 @@ class Model(dict):
         self.exports: dict[str, dict] = {}
         self.lock = threading.Lock()
         self.folder: str | None = None
+        self.passes = 1
 
     def is_small(self, name: str, columns: Sequence[str]) -> bool:
         """Whether the columns of a table may be broadcast, by its measured size."""
@@ -250,7 +252,10 @@ def build_model(spark: SparkSession, sf_dir: str, materialized: bool = True, reu
 
 def _settings(spark: SparkSession) -> list[str]:
     """Settings that change how a model is built."""
-    names = ("spark.ledgerline.broadcastMaxRows", "spark.ledgerline.broadcastMaxBytes", "spark.sql.shuffle.partitions")
+    names = (
+        "spark.ledgerline.broadcastMaxRows", "spark.ledgerline.broadcastMaxBytes", "spark.ledgerline.passBytes",
+        "spark.sql.shuffle.partitions",
+    )
     return [str(spark.conf.get(n, None)) for n in names]
 
 
@@ -263,12 +268,17 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
     query reads those files: the dedupe shuffle runs once, a lost executor costs a re-read
     instead of a recomputation, and scans of the fact get column pruning and filter pushdown.
     Without it everything stays a lazy plan (used by tests).
+
+    The deduplicated sales and the fact are made in up to eight passes, by a hash of the item and of
+    the order: a pass shuffles its part of the rows, and its shuffle files are gone before the next.
+    Each pass reads the files of the sales export again.
     """
     m = Model(raw)
     root = m.folder = new_scratch_dir(spark, "model") if materialized else None
+    m.passes = pass_count(m["raw_vendas"]) if materialized else 1
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return df if root is None else materialize(df, name, f"{root}/{name}")
+        return df if root is None else materialize_passes([df], f"{root}/{name}")
 
     def keep_fact(df: DataFrame) -> DataFrame:
         """The fact in a folder a month, its rows by order.
@@ -277,19 +287,20 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
         adaptive execution splits the months that are large (and with them a very large order, which
         buckets by order would leave to one task).  The items of an order lie side by side, so the
         analyses that count orders combine them in the task that reads them, and one row of an order
-        and group is all that is shuffled.
+        and group is all that is shuffled.  An order is in one pass.
         """
         if root is None:
             return df
-        rows = df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "numero_pedido", "sequencia_item")
-        return materialize(rows, "fct_vendas", f"{root}/fct_vendas", [MONTH])
+        parts = in_passes(df, ["numero_pedido"], m.passes)
+        rows = (p.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "numero_pedido", "sequencia_item") for p in parts)
+        return materialize_passes(rows, f"{root}/fct_vendas", [MONTH])
 
-    def keep_watched(stage, lazy, raw: str, name: str, extra: dict) -> DataFrame:
+    def keep_watched(stage, lazy, raw: str, name: str, extra: dict, key: Sequence[str] = (), passes: int = 1) -> DataFrame:
         """A staging table, written with its metrics collected by the write."""
         if root is None:
             return lazy(m[raw])
         watch = Watched()
-        kept = keep(stage(m[raw], watch, extra), name)
+        kept = materialize_passes((stage(p, watch, extra) for p in in_passes(m[raw], key, passes)), f"{root}/{name}")
         m.metrics[raw] = watch.read()
         return kept
 
@@ -300,7 +311,7 @@ def build_model_from_raw(spark: SparkSession, raw: dict[str, DataFrame], materia
     def sales_chain() -> None:
         extra = {"kept": F.count(F.lit(1)), "returns": F.count_if(F.col("tipo_operacao") == "DEVOLUCAO")}
         extra |= {f"top_{code}": frequent(spark, code) for code in JOIN_CODES}
-        m["stg_vendas"] = keep_watched(stage_sales, stg_sales, "raw_vendas", "stg_vendas", extra)
+        m["stg_vendas"] = keep_watched(stage_sales, stg_sales, "raw_vendas", "stg_vendas", extra, SALES_KEY, m.passes)
         # One pass over the sales gives both the seller codes and the date span.
         span = keep(
             m["stg_vendas"].groupBy("cod_vendedor").agg(

@@ -68,7 +68,8 @@ class Watched:
     """Metrics that Spark collects while a staging table is written, to be read after the write.
 
     They are taken in the stage that writes (for the sales that is after the dedupe's shuffle), whose
-    tasks count once each, even when executors are lost and tasks run again.
+    tasks count once each, even when executors are lost and tasks run again.  What several passes
+    over one export have watched is added up.
     """
 
     def __init__(self) -> None:
@@ -79,7 +80,21 @@ class Watched:
         return df.observe(self._seen[-1], *[m.alias(name) for name, m in metrics.items()])
 
     def read(self) -> dict:
-        return {name: value for seen in self._seen for name, value in seen.get.items()}
+        out = {}
+        for seen in self._seen:
+            for name, value in seen.get.items():
+                out[name] = _added(out[name], value) if name in out else value
+        return out
+
+
+def _added(a: int | list, b: int | list) -> int | list:
+    """The sum of two counts, or of two lists of counted items (rows of ``item`` and ``count``)."""
+    if not isinstance(a, list):
+        return a + b
+    counts = {}
+    for r in [*a, *b]:
+        counts[r["item"]] = counts.get(r["item"], 0) + r["count"]
+    return [{"item": item, "count": n} for item, n in counts.items()]
 
 
 def _sums(flags: Sequence[str]) -> dict[str, Column]:

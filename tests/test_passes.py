@@ -1,0 +1,122 @@
+"""The model's big tables are made in passes over the sales; a pass's shuffle files are gone before the next."""
+
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from ledgerline.api import QUERIES
+from ledgerline.plans import checks as Q
+from ledgerline.plans.model import build_model
+from ledgerline.sources import io
+from ledgerline.sources.scratch import MAX_PASSES, in_passes, materialize_passes, pass_count, shuffles_removed
+
+SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@pytest.fixture
+def small_passes(spark):
+    spark.conf.set("spark.ledgerline.passBytes", "20000")
+    yield
+    spark.conf.unset("spark.ledgerline.passBytes")
+
+
+@pytest.fixture
+def in_parts(spark, small_passes):
+    return build_model(spark, SF_SMALL)
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def _shuffled(spark):
+    """Bytes by file of what shuffles have on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    paths = [files.apply(i).getPath() for i in range(files.size())]
+    return {p: os.path.getsize(p) for p in paths if os.path.basename(p).startswith("shuffle_") and os.path.exists(p)}
+
+
+def _left(spark, before, most=20_000):
+    """Bytes of new shuffle files, once they are at most ``most`` or some seconds have gone by."""
+    until = time.time() + 15
+    while (n := sum(size for p, size in _shuffled(spark).items() if p not in before)) > most and time.time() < until:
+        time.sleep(0.1)
+    return n
+
+
+def test_passes_split_the_rows_by_key(spark):
+    df = spark.range(2000).selectExpr("CASE WHEN id % 5 = 0 THEN NULL ELSE cast(id % 300 as string) END AS k", "id")
+    parts = list(in_passes(df, ["k"], 4))
+    assert len(parts) == 4
+    keys = [{r.k for r in p.select("k").distinct().collect()} for p in parts]
+    assert sum(map(len, keys)) == len(set().union(*keys)) == df.select("k").distinct().count()
+    assert sorted(r.id for p in parts for r in p.collect()) == list(range(2000))
+    assert list(in_passes(df, ["k"], 1)) == [df]
+
+
+def test_passes_follow_the_bytes_of_the_files_read(spark, tmp_path, small_passes):
+    spark.range(20_000).withColumn("x", F.rand(1)).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*"))
+    assert pass_count(df) == MAX_PASSES
+    spark.conf.set("spark.ledgerline.passBytes", str(size // 2 - 1))
+    assert pass_count(df.filter("id > 3").groupBy("id").count()) == 3
+    spark.conf.set("spark.ledgerline.passBytes", str(2 * size))
+    assert pass_count(df) == 1
+    assert pass_count(spark.createDataFrame([("a",)], "a string")) == 1
+
+
+def test_a_pass_leaves_no_shuffle_files_to_the_next(spark, tmp_path):
+    before, seen = _shuffled(spark), []
+
+    def parts():
+        for i in range(3):
+            seen.append(_left(spark, before, 0))
+            yield spark.range(50_000).select((F.col("id") * 3 + i).alias("id")).repartition(4, "id")
+
+    assert materialize_passes(parts(), f"{tmp_path}/t").count() == 150_000
+    assert seen == [0, 0, 0] and _left(spark, before) < 20_000  # the count's own shuffle is one row a task
+    assert all(f.name.endswith(".zstd.parquet") or ".zstd" in f.name for f in (tmp_path / "t").glob("part-*"))
+
+
+def test_the_setting_is_as_it_was_afterwards(spark):
+    assert spark.conf.get(SETTING, None) is None
+    with shuffles_removed(spark), shuffles_removed(spark.range(1).sparkSession):
+        assert spark.conf.get(SETTING) == "true"
+    assert spark.conf.get(SETTING, None) is None
+    spark.conf.set(SETTING, "false")
+    try:
+        with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+            1 / 0
+        assert spark.conf.get(SETTING) == "false"
+    finally:
+        spark.conf.unset(SETTING)
+
+
+def test_a_build_leaves_no_shuffle_files(spark):
+    before = _shuffled(spark)
+    build_model(spark, SF_SMALL, reuse=False)
+    assert _left(spark, before) < 20_000  # what measures the dimensions: one row a task
+
+
+def test_a_model_in_passes_is_that_in_one(spark, model, in_parts):
+    assert in_parts is not model and in_parts.passes > 3 and model.passes == 1
+    for table in ("stg_vendas", "dim_vendedor", "dim_tempo", "fct_vendas"):
+        assert in_parts[table].dtypes == model[table].dtypes
+        assert _rows(in_parts[table]) == _rows(model[table]), table
+    for check in (Q.load_counts, Q.parse_quality, Q.fact_integrity):
+        assert _rows(check(in_parts)) == _rows(check(model))
+
+
+def test_export_panel_csv_in_passes_is_compressed_and_whole(spark, model, monkeypatch, small_passes):
+    paths = []
+    plain = io.export_panel_csv
+    monkeypatch.setattr(io, "export_panel_csv", lambda panel, path, *a: (paths.append(path), plain(panel, path, *a)))
+    got = QUERIES["export_panel_csv"](spark, SF_SMALL)
+    parts = [f for f in os.listdir(paths[0].removeprefix("file:")) if f.startswith("part-")]
+    assert parts and all(f.endswith(".csv.gz") for f in parts)
+    spark.conf.unset("spark.ledgerline.passBytes")
+    assert _rows(got) == _rows(QUERIES["export_panel_csv"](spark, SF_SMALL))
