@@ -2,12 +2,14 @@
 
 import os
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerline.api import QUERIES
+from ledgerline.plans import analyses as A
 from ledgerline.plans import checks as Q
 from ledgerline.plans.model import build_model
 from ledgerline.sources import io
@@ -18,7 +20,7 @@ SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 @pytest.fixture
 def small_passes(spark):
-    spark.conf.set("spark.ledgerline.passBytes", "20000")
+    spark.conf.set("spark.ledgerline.passBytes", "50000")
     yield
     spark.conf.unset("spark.ledgerline.passBytes")
 
@@ -61,6 +63,7 @@ def test_passes_follow_the_bytes_of_the_files_read(spark, tmp_path, small_passes
     spark.range(20_000).withColumn("x", F.rand(1)).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")
     size = sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*"))
+    spark.conf.set("spark.ledgerline.passBytes", "1000")
     assert pass_count(df) == MAX_PASSES
     spark.conf.set("spark.ledgerline.passBytes", str(size // 2 - 1))
     assert pass_count(df.filter("id > 3").groupBy("id").count()) == 3
@@ -103,7 +106,7 @@ def test_a_build_leaves_no_shuffle_files(spark):
 
 
 def test_a_model_in_passes_is_that_in_one(spark, model, in_parts):
-    assert in_parts is not model and in_parts.passes > 3 and model.passes == 1
+    assert in_parts is not model and 1 < in_parts.passes < 8 and model.passes == 1
     for table in ("stg_vendas", "dim_vendedor", "dim_tempo", "fct_vendas"):
         assert in_parts[table].dtypes == model[table].dtypes
         assert _rows(in_parts[table]) == _rows(model[table]), table
@@ -120,3 +123,44 @@ def test_export_panel_csv_in_passes_is_compressed_and_whole(spark, model, monkey
     assert parts and all(f.endswith(".csv.gz") for f in parts)
     spark.conf.unset("spark.ledgerline.passBytes")
     assert _rows(got) == _rows(QUERIES["export_panel_csv"](spark, SF_SMALL))
+
+
+def test_report_sheets_of_a_model_in_passes(spark, model, in_parts):
+    totals = A.report_totals(in_parts)
+    for name, want in A.report_totals(model).items():
+        assert totals[name].dtypes == want.dtypes
+        assert _rows(totals[name]) == _rows(want), name
+    sheets = A.report_views(in_parts)
+    for sheet, want in A.report_views(model).items():
+        assert _rows(sheets[sheet]) == _rows(want), sheet
+
+
+def test_report_totals_are_shuffled_a_part_at_a_time(spark, in_parts, monkeypatch):
+    """No write of the totals reads the whole fact, and its shuffle files are gone before the next."""
+    in_parts.memo.clear()
+    plain, before, rows, left = A.materialize, _shuffled(spark), [], []
+
+    def watched(df, name, *args):
+        left.append(_left(spark, before))
+        out = plain(df, name, *args)
+        rows.append(sum(r.itens for r in out.filter("faixa IS NOT NULL").select("itens").collect()))
+        return out
+
+    monkeypatch.setattr(A, "materialize", watched)
+    A.report_totals(in_parts)
+    whole = in_parts["fct_vendas"].filter("custo_confiavel").count()
+    assert len(rows) == in_parts.passes + 1 and rows[-1] == sum(rows[:-1]) == whole
+    assert max(rows[:-1]) < whole * 0.45 and max(left) < 20_000
+
+
+def test_totals_without_any_amount_or_beyond_whole_units_add_up(spark):
+    """NULL totals stay NULL, infinite and very large amounts go by the double rest."""
+    kind = "__set bigint, " + ", ".join(f"{c} string" for c in A._REPORT_KEYS) + ", rt struct<whole:decimal(38,0),rest:double>, itens bigint"
+    row = lambda key, whole, rest, n: (1, key, *[None] * (len(A._REPORT_KEYS) - 1), (whole, rest), n)
+    big = Decimal(10) ** 30
+    parts = [
+        spark.createDataFrame([row("a", big, None, 2), row("b", None, None, 1), row(None, Decimal(5), 1e17, 3)], kind),
+        spark.createDataFrame([row("a", big + 1, None, 3), row("b", None, None, 4), row(None, None, float("inf"), 1)], kind),
+    ]
+    got = {r[1]: ((r.rt.whole, r.rt.rest), r.itens) for r in A._added(parts, [*A._REPORT_KEYS, "__set"]).collect()}
+    assert got == {"a": ((2 * big + 1, None), 5), "b": ((None, None), 5), None: ((Decimal(5), float("inf")), 4)}
