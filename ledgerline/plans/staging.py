@@ -40,15 +40,15 @@ PARSED_COLUMNS: dict[str, dict[str, Callable]] = {
 _CLEANED = {parse_number: number_text, parse_date: trim_spaces, parse_int: cast_text}
 
 
-def sales_copy_rank() -> list[Column]:
+def sales_copy_rank() -> list[Column | str]:
     """Which copy of an order item survives (ascending, NULLs last): non-negative quantity first, then
     the customer code as in the reference, then every other raw column so the choice is total."""
     sign = F.when(to_int_like_cast("quantidade") < 0, F.lit(1)).otherwise(F.lit(0))
-    return [sign, *[F.col(c) for c in SALES_TIEBREAK]]
+    return [sign, *SALES_TIEBREAK]
 
 
 def sales_copy_order() -> list[Column]:
-    return [c.asc_nulls_last() for c in sales_copy_rank()]
+    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in sales_copy_rank()]
 
 
 def conversion_flags(raw: DataFrame, rules: Mapping[str, Callable]) -> tuple[DataFrame, list[str]]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerline.api import QUERIES
+from ledgerline.operators.dedupe import dedupe_and_sum
 from ledgerline.plans import analyses as A
 from ledgerline.plans import checks as Q
 from ledgerline.plans.model import build_model
@@ -164,3 +165,26 @@ def test_totals_without_any_amount_or_beyond_whole_units_add_up(spark):
     ]
     got = {r[1]: ((r.rt.whole, r.rt.rest), r.itens) for r in A._added(parts, [*A._REPORT_KEYS, "__set"]).collect()}
     assert got == {"a": ((2 * big + 1, None), 5), "b": ((None, None), 5), None: ((Decimal(5), float("inf")), 4)}
+
+
+def test_seller_performance_of_a_model_in_passes(spark, model, in_parts):
+    assert _rows(A.seller_performance(in_parts)) == _rows(A.seller_performance(model))
+
+
+def test_dedupe_ships_a_row_s_text_once(spark):
+    """What the rank names by text is not carried beside it as well; the rows kept are the same."""
+    rows = [(str(i % 40), None if i % 7 == 0 else f"{i * 7919 % 1009:04d}" * 20, f"b{i % 3}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, a string, b string").repartition(4).localCheckpoint()
+    named = dedupe_and_sum(df, ["k"], ["a", "b"], {"n": F.lit(1)})
+    carried = dedupe_and_sum(df, ["k"], [F.col("a"), F.col("b")], {"n": F.lit(1)})
+    some = dedupe_and_sum(df, ["k"], [F.col("a"), "b"], {"n": F.lit(1)})
+    assert _rows(named) == _rows(carried) == _rows(some) and named.count() == 40
+
+    def bytes_of(dedupe):
+        before = _shuffled(spark)
+        dedupe.write.format("noop").mode("overwrite").save()
+        return sum(size for p, size in _shuffled(spark).items() if p not in before and p.endswith(".data"))
+
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "min_by" not in plan and "min(struct" in plan
+    assert bytes_of(named) < bytes_of(carried)
