@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from ledgerline.api import QUERIES
 from ledgerline.operators.dedupe import dedupe_and_sum
+from ledgerline.operators.ordered import ordered_scan
 from ledgerline.plans import analyses as A
 from ledgerline.plans import checks as Q
 from ledgerline.plans.model import build_model
@@ -167,6 +168,16 @@ def test_totals_without_any_amount_or_beyond_whole_units_add_up(spark):
     assert got == {"a": ((2 * big + 1, None), 5), "b": ((None, None), 5), None: ((Decimal(5), float("inf")), 4)}
 
 
+def test_critical_customers_of_a_model_in_passes(spark, model, in_parts):
+    """The customers' orders are counted a part at a time, and the curve leaves no shuffle files."""
+    in_parts.memo.clear()
+    before = _shuffled(spark)
+    got = A.critical_customers(in_parts)
+    assert _left(spark, before) < 20_000
+    assert _rows(A.customer_abc(in_parts)) == _rows(A.customer_abc(model))
+    assert _rows(got) == _rows(A.critical_customers(model))
+
+
 def test_seller_performance_of_a_model_in_passes(spark, model, in_parts):
     assert _rows(A.seller_performance(in_parts)) == _rows(A.seller_performance(model))
 
@@ -188,3 +199,10 @@ def test_dedupe_ships_a_row_s_text_once(spark):
     plan = named._jdf.queryExecution().executedPlan().toString()
     assert "min_by" not in plan and "min(struct" in plan
     assert bytes_of(named) < bytes_of(carried)
+
+
+def test_ordered_scan_leaves_no_shuffle_files(spark):
+    before = _shuffled(spark)
+    scanned = ordered_scan(spark.range(20_000).select(F.hash("id").alias("h"), "id"), [("h", False), ("id", False)], number="n")
+    assert _left(spark, before, 0) == 0
+    assert scanned.agg(F.max("n")).first()[0] == 20_000
