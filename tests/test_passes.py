@@ -168,6 +168,19 @@ def test_totals_without_any_amount_or_beyond_whole_units_add_up(spark):
     assert got == {"a": ((2 * big + 1, None), 5), "b": ((None, None), 5), None: ((Decimal(5), float("inf")), 4)}
 
 
+@pytest.mark.parametrize("sheet", ["por_mes", "painel"])
+def test_export_reports_in_passes_are_compressed_and_whole(spark, model, small_passes, sheet):
+    name = {"por_mes": "export_reports", "painel": "export_reports_panel"}[sheet]
+    before = _shuffled(spark)
+    got = QUERIES[name](spark, SF_SMALL)
+    assert _left(spark, before) < 20_000
+    folder = f"{build_model(spark, SF_SMALL).folder}/reports/{sheet}".removeprefix("file:")
+    parts = [f for f in os.listdir(folder) if f.startswith("part-")]
+    assert parts and all(f.endswith(".csv.gz") for f in parts)
+    spark.conf.unset("spark.ledgerline.passBytes")
+    assert _rows(got) == _rows(QUERIES[name](spark, SF_SMALL))
+
+
 def test_critical_customers_of_a_model_in_passes(spark, model, in_parts):
     """The customers' orders are counted a part at a time, and the curve leaves no shuffle files."""
     in_parts.memo.clear()
